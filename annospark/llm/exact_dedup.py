@@ -6,11 +6,12 @@ blocks never do.  Then adjacent names are paired and the distinct pairs sorted
 and numbered in turn, until each document has a single name.  No hash decides
 equality anywhere, so identities are free of collisions.
 
-Everything is DataFrame operations.  Each naming is a distinct aggregation with
-map-side combining (a block that a third of all rows share arrives as one row
-per task) and a sort-merge join back, whose occurrence side Spark may split when
-it is skewed.  Only the first naming moves text; the levels above move integers,
-half as many each time, and their number is the logarithm of the longest text.
+Everything is DataFrame operations.  Each naming is an aggregation with map-side
+combining (a block that a third of all rows share arrives as one row per task), a
+sort of the distinct keys, and a salted join back.  Text moves once, in the first
+naming; after it a block is fetched by a pair of hashes that are checked to be
+unique among all distinct blocks.  The levels above move integers, half as many
+each time, and their number is the logarithm of the longest text.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.lineage import cut
+from annospark.skew import join_back
 
 #: Bytes in a block.
 BLOCK = 4096
@@ -35,13 +37,30 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` without ``keys``, and with ``name``: the number of the keys in sorted order.
+def _names(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct ``keys`` of ``rows`` with ``name``, their number in sorted order, and ``size``, their rows.
 
     Numbers ascend in each partition of the distinct keys; they need to be unique, not dense.
     """
-    names = rows.select(*keys).distinct().sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
-    return rows.join(names, keys).drop(*keys)
+    return rows.groupBy(*keys).agg(F.count("*").alias("size")).sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
+
+
+def _hashes(seed: int) -> list[Column]:
+    return [F.xxhash64(F.lit(seed + i), F.col("block")).alias(f"h{i}") for i in (0, 1)]
+
+
+def _block_names(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """``h0, h1, name, size`` of each distinct block, and the seed of the two hashes.
+
+    The hashes stand for the block when its name is fetched, so that text moves once only.  They decide nothing:
+    should two different blocks share both, another seed is taken.
+    """
+    seed = 0
+    while True:
+        names = cut(_names(blocks.select("block"), ["block"]).select(*_hashes(seed), "name", "size"), "names")
+        if names.groupBy("h0", "h1").count().where("count > 1").isEmpty():
+            return names, seed
+        seed += 2
 
 
 def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK) -> DataFrame:
@@ -61,7 +80,9 @@ def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bloc
     # What belongs to the row travels with its first block only.
     first = F.col("pos") == 0
     blocks = blocks.select("row", "pos", "width", F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.unhex("sha")).alias("sha"), "block")
-    table = cut(_named(blocks, ["block"]), "blocks")
+    names, seed = _block_names(blocks)
+    keyed = blocks.select("row", "pos", "width", "doc_id", "sha", *_hashes(seed))
+    table = cut(join_back(keyed, names, ["h0", "h1"], "size").drop("h0", "h1"), "blocks")
     heads = table.where("pos = 0").select("row", "doc_id", F.lower(F.hex("sha")).alias("sha"), "width", "name")
     done = heads.where("width = 1").select("row", F.lit(0).alias("level"), "name")
     level, width = 0, table.agg(F.max("width")).first()[0] or 0
@@ -73,7 +94,9 @@ def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bloc
         pairs = here.groupBy("row", F.expr("cast(pos div 2 as int)").alias("at"), F.expr("cast((width + 1) div 2 as int)").alias("wide"))
         pairs = pairs.agg(side(0).alias("left"), F.coalesce(side(1), F.lit(-1)).alias("right"))
         pairs = pairs.select("row", F.col("at").alias("pos"), F.col("wide").alias("width"), "left", "right")
-        here = cut(_named(pairs, ["left", "right"]).select("row", "pos", "width", "name"), f"level{level}")
+        pairs = cut(pairs, f"pairs{level}")
+        names = cut(_names(pairs, ["left", "right"]), f"names{level}")
+        here = cut(join_back(pairs, names, ["left", "right"], "size").select("row", "pos", "width", "name"), f"level{level}")
         parts.append(here.where("width = 1").select("row", F.lit(level).alias("level"), "name"))
         here = here.where("width > 1")
     found = parts[0]
@@ -93,7 +116,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", blo
     """
     rows = cut(identities(docs, text, doc_id, block), "identities")
     groups = rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
-    out = rows.join(groups, ["level", "name"])
+    groups = cut(groups.withColumn("size", F.col("group_size")), "groups")
+    out = join_back(rows, groups, ["level", "name"], "size")
     return out.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

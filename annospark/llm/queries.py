@@ -5,17 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, url_filter
+from . import bpe, exact_dedup, media, secret_scan, simhash, tokens, url_filter
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    digests = {"n_tokens": F.expr("cast(octet_length(ids) div 4 as long)"), "ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256)}
+    return out.select("doc_id", *(c.alias(n) for n, c in digests.items()))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.simhash_classes(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.text_media(read(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list holds the sites of ``pages`` whose own label is one of ``LISTED_LABELS``."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -24,7 +49,18 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(pages, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op7_url_filter)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}") for kind in secret_scan.BASE]
+    return out.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_counts, op2_exact_dedup, op3_bpe_round_trip, op4_simhash, op5_telephony, op7_url_filter, op10_secret_scan)
+}
 
 ORACLE_SQL = {
     "op2_exact_dedup": """
