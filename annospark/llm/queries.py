@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, media, secret_scan, simhash, tokens, url_filter
+from . import bpe, exact_dedup, lm_score, media, packing, secret_scan, simhash, tokens, toxicity, url_filter
 
 
 def tokenizer_file(name: str) -> str:
@@ -41,6 +41,10 @@ def op5_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(read(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list holds the sites of ``pages`` whose own label is one of ``LISTED_LABELS``."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -49,6 +53,14 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(pages, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(read(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
@@ -59,8 +71,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_exact_dedup, op3_bpe_round_trip, op4_simhash, op5_telephony, op7_url_filter, op10_secret_scan)
-}
+    for f in (
+        op1_token_counts, op2_exact_dedup, op3_bpe_round_trip, op4_simhash, op5_telephony, op6_packing, op7_url_filter,
+        op8_lm_score, op9_toxicity, op10_secret_scan,
+    )
+}
 
 ORACLE_SQL = {
     "op2_exact_dedup": """
