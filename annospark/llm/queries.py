@@ -34,7 +34,7 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_classes(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op5_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:

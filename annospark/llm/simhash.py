@@ -4,13 +4,17 @@ A fingerprint bit is the majority of that bit over the hashes of a text's word
 shingles.  Fingerprints within ``bits`` differing bits are linked, and the
 components of links are the classes of near-duplicates.
 
-Links are found among distinct fingerprints, so copies cost nothing.  By the
-pigeonhole principle two linked fingerprints agree in at least ``n - bits`` of
-``n`` blocks; rows meet under the keys of those agreements, with ``n`` chosen so
-that a key has few rows at any corpus size.  Each fingerprint carries its Hamming
-distances to ``PIVOTS`` fixed reference fingerprints.  By the triangle inequality
-linked fingerprints differ by ``bits`` at most in every coordinate: pairs that
-differ by more are discarded, and the rest verified by their exact distance.
+Links are found among distinct fingerprints, so copies cost nothing.  Rows meet
+under keys: agreements in some blocks of bits.  With one lane of 64 bits the keys
+are exact by the pigeonhole principle: two linked fingerprints agree in at least
+``n - bits`` of ``n`` blocks, with ``n`` chosen so that a key has few rows at any
+corpus size.  With more lanes, for distances that rule out no block, each lane
+gives as many keys as fit; ``recall`` tells the share of links that they find.
+
+For each fingerprint the Hamming distances to ``PIVOTS`` fixed reference
+fingerprints are tabulated.  By the triangle inequality linked fingerprints differ
+by ``bits`` at most in every coordinate: pairs that differ by more are discarded,
+and the rest verified by their exact distance.
 
 A key with more than ``HOT`` fingerprints is split into chunks that meet pairwise
 in groups of their own, so no task holds an unbounded group and no pair is lost.
@@ -36,26 +40,32 @@ SEED = 42
 PIVOTS = 16
 #: A key's fingerprints in one group at most; more are split into chunks of half as many.
 HOT = 2048
-#: Fingerprints that a key should have at most on average.
-PER_KEY = 64
+#: Fingerprints that a key should have at most on average; the least bits of a key with several lanes.
+PER_KEY, LEAST_KEY = 64, 12
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
 SMALL = 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """The SimHash of one text, unsigned."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of each word shingle, repeats included; of all words together if there are fewer than ``words``."""
     tokens = (text or "").encode().lower().split()
-    if not tokens:
-        return 0
     if len(tokens) <= words:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(tokens), SEED)]
-    else:
-        line, digest = b" ".join(tokens), xxhash.xxh64_intdigest
-        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        hashes = [digest(line[a:b], SEED) for a, b in zip(starts[: len(tokens) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)]
-    return majority(np.array(hashes, np.uint64))
+        return np.array([xxhash.xxh64_intdigest(b" ".join(tokens), SEED)] if tokens else [], np.uint64)
+    line, digest = b" ".join(tokens), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts[: len(tokens) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 4, lanes: int = 1) -> list[int]:
+    """The SimHash of one text, an unsigned integer a lane: the hashes themselves, then mixes of them; zeros without words."""
+    hashes = shingle_hashes(text, words)
+    out = [majority(hashes) if len(hashes) else 0]
+    for lane in range(1, lanes):
+        x = (hashes ^ hashes >> np.uint64(31)) * np.uint64((2 * lane * int(_MIX) + 1) % (1 << 64))
+        out.append(majority(x ^ x >> np.uint64(29)) if len(hashes) else 0)
+    return out
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -67,46 +77,61 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(count * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(text: Column, words: int = 4) -> Column:
-    """SimHash of each text as a long of the same bits; that of a null or empty text is zero."""
+def fingerprints(text: Column, words: int = 4, lanes: int = 1) -> Column:
+    """SimHash of each text as a struct of longs ``f0, f1, ...`` of the same bits; zeros for a null or empty text."""
+    names = [f"f{i}" for i in range(lanes)]
 
-    @F.arrow_udf("long")
+    @F.arrow_udf(f"struct<{','.join(f'{n}:bigint' for n in names)}>")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t, words) for t in texts.to_pylist()], np.uint64).view(np.int64))
+        found = np.array([fingerprint(t, words, lanes) for t in texts.to_pylist()], np.uint64).reshape(-1, lanes).view(np.int64)
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(found[:, i])) for i in range(lanes)], names)
 
     return of(F.coalesce(text, F.lit("")))
 
 
-def pivots() -> np.ndarray:
+def pivots(lanes: int) -> np.ndarray:
     """The reference fingerprints: multiples of an odd constant, mixed."""
-    x = np.arange(1, PIVOTS + 1, dtype=np.uint64) * _MIX
-    x ^= x >> np.uint64(29)
-    return x * np.uint64(0xBF58476D1CE4E5B9)
+    with np.errstate(over="ignore"):
+        x = np.arange(1, PIVOTS * lanes + 1, dtype=np.uint64) * _MIX
+        x ^= x >> np.uint64(29)
+        return (x * np.uint64(0xBF58476D1CE4E5B9)).reshape(PIVOTS, lanes)
 
 
 def distance_table(fp: np.ndarray) -> np.ndarray:
-    """Hamming distances of each fingerprint to each pivot."""
-    return np.bitwise_count(fp[:, None] ^ pivots()[None, :])
-
-
-def key_plan(distinct: int, bits: int) -> list[tuple[tuple[int, int], ...]]:
-    """Blocks (shift, width) of each key: enough of them that ``distinct`` fingerprints have few to a key."""
+    """Hamming distances of each fingerprint (a row of lanes) to each pivot."""
+    out = np.zeros((len(fp), PIVOTS), np.int16)
+    for lane, of in enumerate(pivots(fp.shape[1]).T):
+        out += np.bitwise_count(fp[:, lane, None] ^ of[None, :])
+    return out
+
+
+def key_plan(distinct: int, bits: int, lanes: int = 1) -> list[tuple[tuple[int, int, int], ...]]:
+    """Blocks (lane, shift, width) of each key: enough bits that ``distinct`` fingerprints have few to a key."""
+    if lanes > 1:
+        width = max(LEAST_KEY, min(32, (max(1, distinct) // PER_KEY).bit_length()))
+        return [((lane, shift, width),) for lane in range(lanes) for shift in range(0, 64 - width + 1, width)]
     for n in range(bits + 1, 65):
         widths = [64 // n + (i < 64 % n) for i in range(n)]
         shifts = [sum(widths[:i]) for i in range(n)]
         agree = n - bits
         if distinct >> min(sum(sorted(widths)[:agree]), 63) <= PER_KEY or n >= bits + 4:
-            return [tuple((shifts[i], widths[i]) for i in chosen) for chosen in combinations(range(n), agree)]
+            return [tuple((0, shifts[i], widths[i]) for i in chosen) for chosen in combinations(range(n), agree)]
     raise ValueError("no plan")
 
 
-def _keys(fp: Column, plan) -> Column:
-    """One key for each agreement of ``plan``: its number in the top bits, the agreeing bits below."""
+def recall(distinct: int, lanes: int, differing: float) -> float:
+    """The share of links found by the keys of several lanes when that share of bits differs."""
+    plan = key_plan(distinct, 0, lanes)
+    return 1 - (1 - (1 - differing) ** plan[0][0][2]) ** len(plan)
+
+
+def _keys(plan) -> Column:
+    """One key for each agreement of ``plan``: its number, and the agreeing bits."""
     out = []
     for number, blocks in enumerate(plan):
         key = F.lit(0).cast("long")
-        for shift, width in blocks:
-            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1)))
+        for lane, shift, width in blocks:
+            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(F.col(f"f{lane}"), shift).bitwiseAND(F.lit((1 << width) - 1)))
         out.append(F.struct(F.lit(number).alias("plan"), key.alias("bits")))
     return F.array(*out)
 
@@ -131,12 +156,16 @@ class _Forest:
 def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, bits: int) -> np.ndarray:
     """Which pairs (i, j) are within ``bits``: pivot coordinates discard, exact distances verify."""
     at = np.arange(len(i))
-    for p in range(table.shape[1]):
-        a, b = table[i[at], p].astype(np.int16), table[j[at], p].astype(np.int16)
-        at = at[np.abs(a - b) <= bits]
+    for p in range(PIVOTS if bits < 8 * fp.shape[1] else 1):  # of a large distance a coordinate tells little
+        at = at[np.abs(table[i[at], p] - table[j[at], p]) <= bits]
         if not len(at):
             return at
-    return at[np.bitwise_count(fp[i[at]] ^ fp[j[at]]) <= bits]
+    apart = np.zeros(len(at), np.int16)
+    for lane in range(fp.shape[1]):
+        apart += np.bitwise_count(fp[i[at], lane] ^ fp[j[at], lane])
+        close = apart <= bits
+        at, apart = at[close], apart[close]
+    return at
 
 
 def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,63 +202,77 @@ def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int)
     return pairs[:, 0], pairs[:, 1]
 
 
-def links(distinct: DataFrame, bits: int = 4, hot: int = HOT) -> DataFrame:
-    """Links ``u, v`` that connect all fingerprints of ``fp`` (distinct longs) within ``bits`` of each other."""
-
-    @F.arrow_udf("binary")
-    def distances(fps: pa.Array) -> pa.Array:
-        return pa.array([row.tobytes() for row in distance_table(np.asarray(fps, np.int64).view(np.uint64)).astype(np.uint8)], pa.binary())
+def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
+    """Links ``u, v`` that connect all nodes of ``table`` (``node``, and distinct lanes ``f0, ...``) within ``bits``."""
+    names = [f"f{i}" for i in range(lanes)]
 
     def compare(batches):
         """Rows sorted by group; a group may go on in the next batch."""
         left: list[pa.RecordBatch] = []
 
-        def out(part: pa.Table) -> pa.RecordBatch:
-            fp = part["fp"].to_numpy()
+        def changes(part: pa.Table) -> np.ndarray:
             key = np.stack([part[c].to_numpy().astype(np.int64) for c in ("plan", "bits", "low", "high")])
-            group = np.concatenate([[0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))]) if len(fp) else np.empty(0, np.int64)
-            table = np.frombuffer(b"".join(part["far"].to_pylist()), np.uint8).reshape(-1, PIVOTS)
-            i, j = group_links(group, fp.view(np.uint64), table, bits)
-            return pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j])], ["u", "v"])
+            return (key[:, 1:] != key[:, :-1]).any(axis=0)
+
+        def out(part: pa.Table) -> pa.RecordBatch:
+            group = np.concatenate([[0], np.cumsum(changes(part))])
+            fp = np.stack([part[n].to_numpy() for n in names], axis=1).view(np.uint64)
+            i, j = group_links(group, fp, distance_table(fp), bits)
+            node = part["node"].to_numpy()
+            return pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["u", "v"])
 
         for batch in batches:
             part = pa.Table.from_batches([*left, batch])
             if not part.num_rows:
                 continue
-            key = np.stack([part[c].to_numpy().astype(np.int64) for c in ("plan", "bits", "low", "high")])
-            changes = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
-            done = int(changes[-1]) + 1 if len(changes) else 0
+            ends = np.flatnonzero(changes(part))
+            done = int(ends[-1]) + 1 if len(ends) else 0
             if done:
                 yield out(part.slice(0, done))
             left = part.slice(done).combine_chunks().to_batches()
         if left:
             yield out(pa.Table.from_batches(left))
 
-    table = cut(distinct.select("fp", distances("fp").alias("far")), "pivots")
-    plan = key_plan(table.count(), bits)
-    rows = table.select("fp", "far", F.explode(_keys(F.col("fp"), plan)).alias("k")).select("fp", "far", "k.plan", "k.bits")
+    plan = key_plan(table.count(), bits, lanes)
+    rows = table.select("node", *names, F.explode(_keys(plan)).alias("k")).select("node", *names, "k.plan", "k.bits")
     sizes = rows.groupBy("plan", "bits").agg(F.count("*").alias("size")).where("size > 1")
     # A join drops the keys of one row, and tells the size of each other key, which is split if it is hot.
     rows = join_back(rows, sizes.withColumn("rows", F.col("size")), ["plan", "bits"], "rows").withColumn("chunks", F.when(F.col("size") > hot, F.ceil(F.col("size") * 2 / hot)).otherwise(1).cast("int"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("fp"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("plan", "bits", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "fp", "far")
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     group = ["plan", "bits", "low", "high"]
+    rows = rows.select("plan", "bits", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", *names)
     return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "u long, v long").distinct()
 
 
-def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, hot: int = HOT) -> DataFrame:
-    """``doc_id, fp, component_id`` for each row of ``docs``: its fingerprint and the least ``doc_id`` of its class.
+def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
+    """``doc_id, f0, ..., component_id`` for each row of ``docs``: its fingerprint and the least ``doc_id`` of its class.
 
     Words are what stands between ASCII whitespace after lower-casing A-Z; a text of fewer than ``words`` words is one
     shingle, a null, empty or blank text has fingerprint zero and is linked like any other.  A null ``doc_id`` stays
     and names a class only if no other id can.  Repeated rows give repeated rows of one class; no rows give no rows;
     other columns are not read.
     """
-    rows = cut(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words).alias("fp")), "fingerprints")
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("size")), "distinct")
-    member = components(links(distinct.select("fp"), bits, hot))
-    named = distinct.join(member, distinct["fp"] == member["node"], "left").select("fp", "least", "size", F.coalesce("component", "fp").alias("class"))
+    names = [f"f{i}" for i in range(lanes)]
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words, lanes).alias("fp"))
+    rows = cut(rows.select("doc_id", "fp.*"), "fingerprints")
+    distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("least"), F.count("*").alias("size"))
+    distinct = cut(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
+    member = components(links(distinct.select("node", *names), bits, lanes, hot)).withColumnRenamed("node", "_node")
+    named = distinct.join(member, distinct["node"] == member["_node"], "left").select(*names, "least", "size", F.coalesce("component", "node").alias("class"))
     named = cut(named, "classes")
     ids = cut(named.groupBy("class").agg(F.min("least").alias("component_id"), F.count("*").alias("fps")), "ids")
-    named = join_back(named.select("fp", "size", "class"), ids, ["class"], "fps")
-    return join_back(rows, cut(named.drop("class"), "named"), ["fp"], "size").select("doc_id", "fp", "component_id")
+    named = join_back(named.select(*names, "size", "class"), ids, ["class"], "fps")
+    return join_back(rows, cut(named.drop("class"), "named"), names, "size").select("doc_id", *names, "component_id")
+
+
+def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8, lanes: int = 4) -> DataFrame:
+    """``docs`` with one document of each class of near-duplicates, that of the least ``doc_id``; all columns stay.
+
+    Two texts are linked if at least the share ``similarity`` of the ``64 * lanes`` bits of their SimHash, over shingles
+    of ``words`` words, is equal.  Rows that share a ``doc_id`` share its fate; a row with a null ``doc_id`` stays only
+    if its class has no other id.
+    """
+    bits = int((1 - similarity) * 64 * lanes)
+    classes = simhash_classes(docs, text, doc_id, words, bits, lanes)
+    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(keep, docs[doc_id].eqNullSafe(keep["_kept_id"]), "left_semi")
