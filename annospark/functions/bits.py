@@ -103,4 +103,4 @@ def cell_grid(level: int) -> tuple[int, int, int]:
 def unsigned(x: Column) -> Column:
     """A 64-bit pattern as a number from 0 to 2**64 - 1."""
     wide = x.cast("decimal(20,0)")
-    return F.when(x < 0, wide + F.lit(1 << 64).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)")
+    return F.when(x < 0, wide + F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)")

@@ -16,6 +16,7 @@ from annospark.config import DataConfig, PropertySpec, Relationship, ShardingSpe
 from annospark.functions import values as V
 from annospark.functions.bits import cell_grid, morton, shard_hex, with_murmur, with_shard
 from annospark.functions.geometry import Box, bounds_of, cell_volume, contains, convert, in_bounds, segment_meets
+from annospark.lineage import cut
 from annospark.operators import checks, encode, octree, splits
 from annospark.operators.indexes import id_index, related, relation_index, spatial_index
 from annospark.plans.build import info, plan
@@ -274,12 +275,12 @@ def octree_counts(spark, sf_dir):
 
 
 def lookup_id_query(spark, sf_dir):
-    index = id_index(points(spark, sf_dir), BY_ID)
+    index = cut(id_index(points(spark, sf_dir), BY_ID), "by_id")
     return lookup_id(index, [7, 63, 99, 10**12], BY_ID).select("id", "shard", "minishard", "shard_hex")
 
 
 def lookup_relation_query(spark, sf_dir):
-    index = relation_index(orders_of_parts(spark, sf_dir), BY_RELATION)
+    index = cut(relation_index(orders_of_parts(spark, sf_dir), BY_RELATION), "relation")
     return lookup_relation(index, "part", [5, 77, 150], BY_RELATION).select("rel_id", "id")
 
 
