@@ -34,8 +34,8 @@ RATE, STORED_RATE = 8000, 16000
 UNIT, PAD = 576, 255
 #: Data bytes of an ADPCM block, behind a header of 4 bytes.
 ADPCM_DATA = 288
-#: ADPCM blocks decoded at once.
-AT_ONCE = 4096
+#: ADPCM blocks in one step at most, and bytes of files that are decoded together.
+AT_ONCE, GROUP_BYTES = 4096, 4 << 20
 
 
 def mulaw_table() -> np.ndarray:
@@ -162,10 +162,45 @@ def stored(media: bytes) -> bytes:
     return np.frombuffer(data, np.uint8).reshape(-1, 4 + ADPCM_DATA)[:, 4:].tobytes() if coding == "ima_adpcm" else data
 
 
-def to_pcm(media: bytes, rate: int = STORED_RATE) -> bytes:
-    """A telephony file as one of 16-bit PCM at ``rate``."""
-    coding, have, data = read_wave(media)
-    return write_wave("pcm", resample(samples(coding, data), have, rate).astype("<i2").tobytes(), rate)
+def to_pcm(files: list[bytes | None], rate: int = STORED_RATE) -> list[bytes | None]:
+    """Telephony files as files of 16-bit PCM at ``rate``; None for None and for what is no such file.
+
+    The ADPCM blocks of all files are decoded together, so that short files make as wide a step as long ones.
+    """
+    parts: list[tuple[str, int, bytes] | None] = []
+    for f in files:
+        try:
+            coding, have, data = read_wave(f or b"")
+            parts.append((coding, have, data) if coding != "ima_adpcm" or len(data) % (4 + ADPCM_DATA) == 0 else None)
+        except (ValueError, struct.error):
+            parts.append(None)
+    blocks = b"".join(p[2] for p in parts if p and p[0] == "ima_adpcm")
+    decoded, at, out = decode_adpcm(blocks), 0, []
+    for p in parts:
+        if p is None:
+            out.append(None)
+            continue
+        coding, have, data = p
+        if coding == "ima_adpcm":
+            n = len(data) // (4 + ADPCM_DATA) * (1 + 2 * ADPCM_DATA)
+            x, at = decoded[at : at + n], at + n
+        else:
+            x = samples(coding, data)
+        out.append(write_wave("pcm", resample(x, have, rate).astype("<i2").tobytes(), rate))
+    return out
+
+
+def in_groups(files: list[bytes | None]):
+    """Files in runs of about ``GROUP_BYTES``, so that a batch of long ones isn't decoded at once."""
+    group, size = [], 0
+    for f in files:
+        group.append(f)
+        size += len(f or b"")
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def coding_of(payload: bytes) -> str:
@@ -178,13 +213,7 @@ def pcm_column(media: Column, rate: int = STORED_RATE) -> Column:
 
     @F.arrow_udf("binary")
     def convert(files: pa.Array) -> pa.Array:
-        out = []
-        for f in files.to_pylist():
-            try:
-                out.append(None if f is None else to_pcm(f, rate))
-            except (ValueError, struct.error):
-                out.append(None)
-        return pa.array(out, pa.binary())
+        return pa.array([x for group in in_groups(files.to_pylist()) for x in to_pcm(group, rate)], pa.binary())
 
     return convert(media)
 
@@ -209,16 +238,17 @@ def media_digest(media: Column) -> Column:
     @F.arrow_udf(DIGEST)
     def digest(files: pa.Array) -> pa.Array:
         out = []
-        for f in files.to_pylist():
-            if f is None:
-                out.append(None)
-                continue
-            payload, pcm = stored(f), to_pcm(f)
-            out.append({
-                "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-32:]),
-                "media_bytes": len(f), "media_sha256": hashlib.sha256(f).hexdigest(), "feature": features(samples(*read_wave(pcm)[::2])),
-                "coding": read_wave(f)[0], "pcm_sha256": hashlib.sha256(pcm).hexdigest(),
-            })
+        for group in in_groups(files.to_pylist()):
+            for f, pcm in zip(group, to_pcm(group), strict=True):
+                if pcm is None:
+                    out.append(None)
+                    continue
+                payload = stored(f)
+                out.append({
+                    "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-32:]),
+                    "media_bytes": len(f), "media_sha256": hashlib.sha256(f).hexdigest(), "feature": features(samples(*read_wave(pcm)[::2])),
+                    "coding": read_wave(f)[0], "pcm_sha256": hashlib.sha256(pcm).hexdigest(),
+                })
         return pa.array(out, pa.struct([(n, pa.int64() if n in ("payload_bytes", "tail_crc32", "media_bytes") else pa.string()) for n in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "coding", "pcm_sha256")]))
 
     return digest(media)
