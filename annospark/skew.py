@@ -18,7 +18,7 @@ def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, ho
     own row is repeated for each.  The ``most`` largest groups only are salted, so the broadcast table of salts has a
     fixed bound; any other group is smaller than a ``most``-th of all rows.
     """
-    hot = groups.orderBy(F.desc(size)).limit(most).where(F.col(size) > together)
+    hot = groups.orderBy(F.desc(size)).limit(most)
     hot = hot.select(F.xxhash64(*keys).alias("_hot"), F.ceil(F.col(size) / together).cast("long").alias("_salts"))
     hot = F.broadcast(hot.groupBy("_hot").agg(F.max("_salts").alias("_salts")))
     deal = F.pmod(F.xxhash64(*rows.columns, F.monotonically_increasing_id()), "_salts")
