@@ -43,7 +43,7 @@ HOT = 2048
 #: Fingerprints that a key should have at most on average; the least bits of a key with several lanes.
 PER_KEY, LEAST_KEY = 64, 12
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
-SMALL = 24
+SMALL = 128
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,7 +131,7 @@ def _keys(plan) -> Column:
     for number, blocks in enumerate(plan):
         key = F.lit(0).cast("long")
         for lane, shift, width in blocks:
-            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(F.col(f"f{lane}"), shift).bitwiseAND(F.lit((1 << width) - 1)))
+            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(F.col(f"f{lane}"), shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1)))
         out.append(F.struct(F.lit(number).alias("plan"), key.alias("bits")))
     return F.array(*out)
 
