@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import CACHE, CACHE_CHARS, DIGITS, LETTERS, NOT_PLAIN
+from .tokens import CACHE, CACHE_CHARS, DIGITS, LETTERS, NOT_PLAIN, PLAIN
 
 #: Texts of more characters are cut; characters in a leaf at most; tokens in the first window on each side.
 LONG, LEAF, WINDOW = 65_536, 16_384, 16
 #: The word pattern over lower-cased plain characters; whitespace belongs to no word.
 WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^ \t\n\r{LETTERS}{DIGITS}]+")
-#: Lower-casing or composing one of these may need its neighbours or more than one character.
-UNEVEN = re.compile("[İŉǰ]")
+#: Plain characters that lower-casing takes out of the plain ones, or makes longer.
+UNEVEN = re.compile(f"[{''.join(c for c in PLAIN if c.lower() not in PLAIN)}]")
 
 
 class WordBpe:
