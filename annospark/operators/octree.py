@@ -9,8 +9,8 @@ A level is planned so that no task holds a cell.  Cells are counted with map-sid
 combining.  As the order's keys are uniform, a cell of ``n`` rows finds its
 ``cell_rows`` least among the keys under a share slightly above ``cell_rows / n``;
 only those meet in a window, so a window's partition has a bounded size however
-many rows the cell has.  The last key held then splits the cell's rows in a salted
-join.  Rows carry id, points and cell only.
+many rows the cell has.  The last key held then splits the cell's rows, in a broadcast
+join while cells are few and a salted one beyond that.  Rows carry id, points and cell.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from annospark.plans.sharding import CELL_ROWS, MAX_LEVELS
 from annospark.skew import join_back
 
 CELL = ["cx", "cy", "cz"]
-#: Hexadecimal digits of the order's key that serve as a uniform number.
-DIGITS = 12
+#: Hexadecimal digits of the order's key that serve as a uniform number; cells whose counts are sent to all tasks, at most.
+DIGITS, SENT_CELLS = 12, 50_000
 
 
 def hold_order(id: Column, seed: str = "") -> Column:
@@ -64,18 +64,22 @@ def descend(rows: DataFrame) -> DataFrame:
     return out.withColumns(cells | lows | highs).drop("kid")
 
 
-def _last_held(rows: DataFrame, cells: DataFrame, k: int) -> DataFrame:
-    """``cells`` (with ``n``) and ``last``: key and id of the last row that a cell of over ``k`` rows holds."""
+def _with_cells(rows: DataFrame, cells: DataFrame, few: bool) -> DataFrame:
+    """``rows`` joined with their cell's columns: ``cells`` is sent to all tasks if it is small, else salted."""
+    return rows.join(F.broadcast(cells), CELL) if few else join_back(rows, cells.withColumn("rows", F.col("n")), CELL, "rows")
+
+
+def _last_held(rows: DataFrame, crowded: DataFrame, n_crowded: int, few: bool, k: int) -> DataFrame:
+    """``last`` of each crowded cell: key and id of the last row that it holds."""
     number = F.conv(F.substring("key", 1, DIGITS), 16, 10).cast("double") / float(16**DIGITS)
-    crowded = cells.where(F.col("n") > k)
     spare = 6 * math.sqrt(k) + 10
     while True:
-        some = join_back(rows.select(*CELL, "key", "id"), crowded.withColumn("rows", F.col("n")), CELL, "rows").where(number <= F.lit(k + spare) / F.col("n"))
-        place = Window.partitionBy(*CELL).orderBy("key", "id")
-        last = some.withColumn("place", F.row_number().over(place)).where(F.col("place") == k)
+        some = _with_cells(rows.select(*CELL, "key", "id"), crowded, few).where(number <= F.lit(k + spare) / F.col("n"))
+        place = F.row_number().over(Window.partitionBy(*CELL).orderBy("key", "id"))
+        last = some.withColumn("place", place).where(F.col("place") == k)
         last = cut(last.select(*CELL, F.struct("key", "id").alias("last")), "last")
-        if last.count() == crowded.count():
-            return cells.join(last, CELL, "left")
+        if last.count() == n_crowded:
+            return last
         spare *= 8  # the keys of some cell lie so unevenly that it needs a larger share
 
 
@@ -89,19 +93,24 @@ def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_l
     lost = rows.where(~F.exists("points", in_cell)).limit(1).collect()
     if lost:
         raise RuntimeError(f"annotation {lost[0]['id']} has no point inside the bounds")
-    while not rows.isEmpty():
-        if level >= max_levels:
-            raise RuntimeError(f"rows are left below level {max_levels - 1}")
+    columns = [F.col(c) for c in (*CELL, "id", "key")]
+    while True:
         cells = cut(rows.groupBy(*CELL).agg(F.count("*").alias("n")), "cells")
-        ends = cut(_last_held(rows, cells, cell_rows), "ends")
-        split = join_back(rows, ends.withColumn("rows", F.col("n")), CELL, "rows")
+        over = F.coalesce(F.sum((F.col("n") > cell_rows).cast("int")), F.lit(0))
+        n_cells, n_crowded = cells.agg(F.count("*"), over).first()
+        if n_cells and level >= max_levels:
+            raise RuntimeError(f"rows are left below level {max_levels - 1}")
+        if not n_crowded:
+            held.append(rows.select(F.lit(level).alias("level"), *columns))
+            break
+        few = n_cells <= SENT_CELLS
+        last = _last_held(rows, cells.where(F.col("n") > cell_rows), n_crowded, few, cell_rows)
+        split = _with_cells(rows, cells.join(last, CELL, "left"), few)
         split = split.withColumn("holds", F.col("last").isNull() | (F.struct("key", "id") <= F.col("last"))).drop("last", "n")
         split = cut(split, f"split{level}")
-        held.append(split.where("holds").select(F.lit(level).alias("level"), *CELL, "id", "key"))
-        rows = cut(descend(split.where("not holds").drop("holds")), f"level{level + 1}")
+        held.append(split.where("holds").select(F.lit(level).alias("level"), *columns))
+        rows = descend(split.where("not holds").drop("holds"))
         level += 1
-    if not held:
-        return start(annotations, bounds, seed).select(F.lit(0).alias("level"), *CELL, "id", F.lit(1).alias("place")).limit(0)
     every = reduce(DataFrame.unionByName, held)
     # A cell holds cell_rows at most, so this window's partitions are bounded.
     place = F.row_number().over(Window.partitionBy("level", *CELL).orderBy("key", "id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +108,7 @@ def run(spark: SparkSession, path: str, config: DataConfig, out: str, size: int
         for k in range(made.levels):
             encode.write_files(encode.spatial_shards(made.spatial, made.annotations, config, made.plan.levels[k], k), f"{root}/spatial{k}")
         os.makedirs(root, exist_ok=True)
-        with open(f"{root}/info", "w") as f:
-            json.dump(info(config, made.bounds, made.plan, made.levels), f, indent=2)
+        for name, what in (("info", info(config, made.bounds, made.plan, made.levels)), ("config.json", asdict(config))):
+            with open(f"{root}/{name}", "w") as f:
+                json.dump(what, f, indent=2)
     return made

@@ -20,6 +20,12 @@ def write_index(index: DataFrame, path: str, *by: str) -> None:
     index.repartition(*by).sortWithinPartitions(*by).write.partitionBy(*by).parquet(path, mode="overwrite")
 
 
+def write_csv(index: DataFrame, path: str, *by: str) -> None:
+    """The same as CSV with headers, for looking at; nested columns are written as JSON."""
+    flat = [F.to_json(c).alias(c) if t.startswith(("array", "map", "struct")) else F.col(c) for c, t in index.dtypes]
+    index.select(*flat).repartition(*by).write.partitionBy(*by).csv(path, header=True, mode="overwrite")
+
+
 def shards_of(ids: list[int], sharding: ShardingSpec) -> list[int]:
     """The shards of a query's ids."""
     return sorted({place(i, sharding.shard_bits, sharding.minishard_bits, sharding.preshift_bits, sharding.hash)[0] for i in ids})

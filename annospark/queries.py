@@ -19,6 +19,7 @@ from annospark.functions.geometry import Box, bounds_of, cell_volume, contains,
 from annospark.lineage import cut
 from annospark.operators import checks, encode, octree, splits
 from annospark.operators.indexes import id_index, related, relation_index, spatial_index
+from annospark.operators.sample import sample, without
 from annospark.plans.build import info, plan
 from annospark.plans.lookup import box_query, lookup_id, lookup_relation
 from annospark.plans.sharding import planned
@@ -142,6 +143,13 @@ def union_splits(spark, sf_dir):
     return union([rows.where(F.col("o_orderkey") % 3 == k) for k in range(3)])
 
 
+def sample_rows(spark, sf_dir):
+    """Whether each order is in a sample of 500."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey")
+    taken = sample(rows, "o_orderkey", 500)
+    return taken.withColumn("taken", F.lit(True)).unionByName(without(rows, taken, "o_orderkey").withColumn("taken", F.lit(False)))
+
+
 # ---- aggregates and checks
 
 
@@ -333,7 +341,7 @@ QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
         shard_histogram_identity, shard_histogram_murmur, murmur_hash, shard_worker_assignment, split_ranges, split_sizes, synth_id, row_range,
-        sharding_spec_levels, union_splits, bounds, duplicate_ids, bounds_audit, location_check, density_check, enum_encode, missing_enum_labels,
+        sharding_spec_levels, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, location_check, density_check, enum_encode, missing_enum_labels,
         relation_coerce, relation_key, relation_explode_group, relation_enum_fallback, hex_colour, polyline_vector, point_list_parse, point_in_box,
         segment_intersects_box, polyline_in_bounds, convert_coordinates, octree_cell_by_level, morton_cells, cell_shard_hex, octree_points,
         octree_lines, octree_counts, lookup_id_query, lookup_relation_query, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
@@ -458,6 +466,7 @@ ORACLE_SQL = {
              b AS (SELECT *, held * {ROW_BYTES} AS bytes FROM l),
              s AS (SELECT *, {_HALVINGS.format('bytes', 50_000_000)} AS shard_bits, {_HALVINGS.format('held', 1000)} AS parts FROM b)
         SELECT level, held, bytes, shard_bits, greatest(parts - shard_bits, 0) AS minishard_bits FROM s""",
+    "sample_rows": "SELECT o_orderkey, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 500 AS taken FROM orders",
     "union_splits": "SELECT o_orderkey, o_custkey FROM orders",
     "bounds": f"SELECT min(x) AS x_low, max(x) AS x_high, min(y) AS y_low, max(y) AS y_high, min(z) AS z_low, max(z) AS z_high FROM ({ENDS_SQL})",
     "duplicate_ids": """

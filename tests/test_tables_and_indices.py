@@ -15,7 +15,7 @@ from annospark.functions.geometry import Box, convert, in_bounds
 from annospark.operators import checks, encode, octree
 from annospark.operators.indexes import id_index, relation_index
 from annospark.plans import build
-from annospark.plans.lookup import box_query, lookup_id
+from annospark.plans.lookup import box_query, lookup_id, write_csv
 from annospark.sources import tables
 from annospark.sources.shards import chunks_of, decode_groups, decode_ids, read_shards
 from annospark.streaming.append import append_stream
@@ -194,6 +194,9 @@ def test_run_writes_tables_shards_and_info(spark, tmp_path):
         assert x["relations"]["cell_a"] == want[i]["relations"]["cell_a"]
     held = decode_groups(read_shards(spark, f"{out}/spatial1"), config, made.plan.levels[1].minishard_bits)
     assert held.count() == made.spatial.where("level = 1").count() and os.path.isdir(f"{out}/cell_a")
+    assert json.load(open(f"{out}/config.json"))["annotation_type"] == "LINE"
+    write_csv(made.by_id, f"{out}/csv", "shard")
+    assert spark.read.csv(f"{out}/csv", header=True).count() == 200
     stored = spark.read.parquet(f"{out}/tables/by_id")
     assert [x["id"] for x in lookup_id(stored, [7, 999], made.plan.by_id).collect()] == [7]
     box = Box.of((10, 10, 10), (60, 60, 60))
