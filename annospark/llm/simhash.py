@@ -40,6 +40,8 @@ SEED = 42
 PIVOTS = 16
 #: A key's fingerprints in one group at most; more are split into chunks of half as many.
 HOT = 2048
+#: Nodes whose ids are sent to all tasks at most; a longer list is joined.
+SENT_NODES = 200_000
 #: Fingerprints that a key should have at most on average; the least bits of a key with several lanes.
 PER_KEY, LEAST_KEY = 64, 12
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
@@ -168,8 +170,43 @@ def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, bits:
     return at
 
 
-def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of each group; rows come sorted by ``group``."""
+def _spread(fp: np.ndarray, table: np.ndarray, start: int, end: int, bits: int):
+    """Links of a spanning forest of one group: from row to row, each reached row leaves the search."""
+    left_out = np.arange(start, end)
+    while len(left_out):
+        queue, left_out = [int(left_out[0])], left_out[1:]
+        while queue and len(left_out):
+            x = queue.pop()
+            hit = near(fp, table, np.full(len(left_out), x), left_out, bits)
+            found = left_out[hit].tolist()
+            yield from ((x, y) for y in found)
+            queue += found
+            left_out = np.delete(left_out, hit)
+
+
+def _nearest(fp: np.ndarray, start: int, end: int, bits: int):
+    """Links of a minimum spanning forest of one group, by Hamming distance."""
+    out, x = np.arange(start + 1, end), start  # rows that aren't in the forest yet, the last one that went in
+    least, to = np.full(len(out), bits + 1, np.int16), np.full(len(out), start)
+    while len(out):
+        apart = np.bitwise_count(fp[out] ^ fp[x]).sum(axis=1, dtype=np.int16)
+        nearer = apart < least
+        least[nearer], to[nearer] = apart[nearer], x
+        k = int(least.argmin())
+        x = int(out[k])
+        if least[k] <= bits:
+            yield int(to[k]), x
+        for a in (out, least, to):
+            a[k] = a[-1]
+        out, least, to = out[:-1], least[:-1], to[:-1]
+
+
+def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int, nearest: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a spanning forest of each group; rows come sorted by ``group``.
+
+    ``nearest``: of a minimum spanning forest, which without the links that fail a stricter test still connects
+    what near links connect.
+    """
     n = len(fp)
     first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if n else np.empty(0, np.int64)
     sizes = np.diff(np.append(first, n))
@@ -185,24 +222,16 @@ def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int)
     links = []
     if left:
         i, j = np.concatenate(left), np.concatenate(right)
-        order, forest = np.argsort(group[i], kind="stable"), _Forest()
+        apart = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1) if nearest else np.zeros(len(i), np.int64)
+        order, forest = np.lexsort((apart, group[i])), _Forest()
         links += [(a, b) for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True) if forest.join(a, b)]
     for start, size in zip(first[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        left_out = np.arange(start, start + size)
-        while len(left_out):
-            queue, left_out = [int(left_out[0])], left_out[1:]
-            while queue and len(left_out):
-                x = queue.pop()
-                hit = near(fp, table, np.full(len(left_out), x), left_out, bits)
-                found = left_out[hit]
-                links += [(x, y) for y in found.tolist()]
-                queue += found.tolist()
-                left_out = np.delete(left_out, hit)
+        links += _nearest(fp, start, start + size, bits) if nearest else _spread(fp, table, start, start + size, bits)
     pairs = np.array(links, np.int64).reshape(-1, 2)
     return pairs[:, 0], pairs[:, 1]
 
 
-def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
+def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT, nearest: bool = False) -> DataFrame:
     """Links ``u, v`` that connect all nodes of ``table`` (``node``, and distinct lanes ``f0, ...``) within ``bits``."""
     names = [f"f{i}" for i in range(lanes)]
 
@@ -217,7 +246,7 @@ def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT) -> Da
         def out(part: pa.Table) -> pa.RecordBatch:
             group = np.concatenate([[0], np.cumsum(changes(part))])
             fp = np.stack([part[n].to_numpy() for n in names], axis=1).view(np.uint64)
-            i, j = group_links(group, fp, distance_table(fp), bits)
+            i, j = group_links(group, fp, distance_table(fp), bits, nearest)
             node = part["node"].to_numpy()
             return pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["u", "v"])
 
@@ -244,20 +273,59 @@ def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT) -> Da
     return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "u long, v long").distinct()
 
 
-def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
+def shingle_sets(text: Column, words: int, lanes: int) -> Column:
+    """``fp`` and the distinct shingle hashes ``set`` of each text."""
+    kind = ",".join(f"f{i}:bigint" for i in range(lanes))
+
+    @F.arrow_udf(f"struct<fp:struct<{kind}>,set:array<bigint>>")
+    def of(texts: pa.Array) -> pa.Array:
+        texts = texts.to_pylist()
+        fps = np.array([fingerprint(t, words, lanes) for t in texts], np.uint64).reshape(-1, lanes).view(np.int64)
+        names = [f"f{i}" for i in range(lanes)]
+        fp = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(fps[:, i])) for i in range(lanes)], names)
+        sets = pa.array([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts], pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([fp, sets], ["fp", "set"])
+
+    return of(F.coalesce(text, F.lit("")))
+
+
+def alike(found: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, doc_id: str, words: int, lanes: int, similarity: float) -> DataFrame:
+    """The links of ``found`` whose texts share ``similarity`` of their distinct shingles (Jaccard), exactly.
+
+    The texts of linked nodes are fetched by one id each, in a broadcast join while they are few.
+    """
+    names = [f"f{i}" for i in range(lanes)]
+    ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("size"))
+    ends = cut(ends.join(distinct.select("node", *names, F.col("least").alias("_id")), "node"), "ends")
+    few = F.broadcast(ends) if ends.count() <= SENT_NODES else ends
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(few, F.col("doc_id").eqNullSafe(F.col("_id")))
+    texts = texts.select("node", "size", F.struct(*names).alias("want"), shingle_sets(F.col("text"), words, lanes).alias("x")).where("want = x.fp")
+    # Rows may repeat an id and a text; one of them will do.
+    sets = cut(texts.groupBy("node").agg(F.first("size").alias("size"), F.first("x.set").alias("set")), "sets")
+    pairs = found.select("u", "v")
+    for end in ("u", "v"):
+        pairs = join_back(pairs, sets.select(F.col("node").alias(end), "size", F.col("set").alias(f"set_{end}")), [end], "size")
+    both = F.size(F.array_intersect("set_u", "set_v"))
+    return pairs.where(both >= similarity * (F.size("set_u") + F.size("set_v") - both)).select("u", "v")
+
+
+def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT, similarity: float | None = None) -> DataFrame:
     """``doc_id, f0, ..., component_id`` for each row of ``docs``: its fingerprint and the least ``doc_id`` of its class.
 
     Words are what stands between ASCII whitespace after lower-casing A-Z; a text of fewer than ``words`` words is one
     shingle, a null, empty or blank text has fingerprint zero and is linked like any other.  A null ``doc_id`` stays
     and names a class only if no other id can.  Repeated rows give repeated rows of one class; no rows give no rows;
-    other columns are not read.
+    other columns are not read.  With ``similarity`` a link also needs that Jaccard similarity of the texts' shingles.
     """
     names = [f"f{i}" for i in range(lanes)]
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words, lanes).alias("fp"))
     rows = cut(rows.select("doc_id", "fp.*"), "fingerprints")
     distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("least"), F.count("*").alias("size"))
     distinct = cut(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
-    member = components(links(distinct.select("node", *names), bits, lanes, hot)).withColumnRenamed("node", "_node")
+    found = links(distinct.select("node", *names), bits, lanes, hot, similarity is not None)
+    if similarity is not None:
+        found = alike(cut(found, "found"), distinct, docs, text, doc_id, words, lanes, similarity)
+    member = components(found).withColumnRenamed("node", "_node")
     named = distinct.join(member, distinct["node"] == member["_node"], "left").select(*names, "least", "size", F.coalesce("component", "node").alias("class"))
     named = cut(named, "classes")
     ids = cut(named.groupBy("class").agg(F.min("least").alias("component_id"), F.count("*").alias("fps")), "ids")
@@ -268,11 +336,11 @@ def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8, lanes: int = 4) -> DataFrame:
     """``docs`` with one document of each class of near-duplicates, that of the least ``doc_id``; all columns stay.
 
-    Two texts are linked if at least the share ``similarity`` of the ``64 * lanes`` bits of their SimHash, over shingles
-    of ``words`` words, is equal.  Rows that share a ``doc_id`` share its fate; a row with a null ``doc_id`` stays only
-    if its class has no other id.
+    Two texts are linked if the Jaccard similarity of their shingles of ``words`` words is ``similarity`` or more; the
+    candidates are those with at least that share of equal bits in fingerprints of ``lanes``.  Rows that share a
+    ``doc_id`` share its fate; a row with a null ``doc_id`` stays only if its class has no other id.
     """
     bits = int((1 - similarity) * 64 * lanes)
-    classes = simhash_classes(docs, text, doc_id, words, bits, lanes)
+    classes = simhash_classes(docs, text, doc_id, words, bits, lanes, similarity=similarity)
     keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(keep, docs[doc_id].eqNullSafe(keep["_kept_id"]), "left_semi")

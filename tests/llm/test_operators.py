@@ -173,6 +173,22 @@ def test_links_connect_all_that_are_near(spark, bits, lanes, hot):
     assert all(got.get(i, i) == r for i, r in enumerate(roots(len(fps), near)))
 
 
+def test_nearest_links_are_a_minimum_spanning_forest():
+    rng = np.random.default_rng(9)
+    for n, small in ((40, True), (300, False)):
+        fp = rng.integers(0, 1 << 63, (8, 4), dtype=np.uint64)[rng.integers(0, 8, n)]
+        for row in fp:
+            for b in rng.choice(252, rng.integers(0, 40), replace=False).tolist():
+                row[b // 63] ^= np.uint64(1 << b % 63)
+        i, j = simhash.group_links(np.zeros(n, np.int64), fp, simhash.distance_table(fp), 51, True)
+        every = sorted((int(np.bitwise_count(fp[a] ^ fp[b]).sum()), a, b) for a, b in itertools.combinations(range(n), 2))
+        want, forest = 0, simhash._Forest()
+        for d, a, b in every:
+            want += d if d <= 51 and forest.join(a, b) else 0
+        assert sum(int(np.bitwise_count(fp[a] ^ fp[b]).sum()) for a, b in zip(i, j, strict=True)) == want, small
+        assert roots(n, zip(i.tolist(), j.tolist(), strict=True)) == [forest.root(x) for x in range(n)]
+
+
 def test_components_of_long_paths_and_loops(spark):
     n = 200
     links = [(i + 1, i) for i in range(n)] + [(500, 500), (601, 600), (600, 601), (600, 602), (602, 601)]
