@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Entries of the broadcast table, at most, and characters in one.
 FREQUENT, FREQUENT_CHARS = 50_000, 32
-#: The table's pre-tokens come from so many rows (those of least hash) of at most so many characters.
+#: The table's pre-tokens come from about so many rows (those of small hash, twice as many at most) of at most so many characters.
 #: This bounds what reaches the driver and changes speed only, never a count.
 SAMPLE_ROWS, SAMPLE_CHARS = 512, 20_000
 #: Entries of a worker's cache; when full it starts anew.  Longer pre-tokens are not cached.
@@ -111,9 +111,11 @@ class TokenCounter:
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> dict[str, int]:
     """The most frequent pre-tokens of a bounded sample of rows, with their token counts."""
     column = F.col(f"`{text}`")
-    rows = docs.where(F.char_length(column) <= SAMPLE_CHARS).select(F.xxhash64(F.col(f"`{doc_id}`")).alias("h"), column.alias("t"))
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    chosen = F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(1 << 40)) < int(share * (1 << 40))
+    rows = docs.where(chosen & (F.char_length(column) <= SAMPLE_CHARS)).select(column.alias("t"))
     found: Counter = Counter()
-    for row in rows.orderBy("h").limit(SAMPLE_ROWS).collect():
+    for row in rows.limit(2 * SAMPLE_ROWS).collect():
         if not NOT_PLAIN.search(row["t"]):
             found.update(p for p in PIECES.findall(row["t"]) if len(p) <= FREQUENT_CHARS)
     counter = TokenCounter(path, {})
