@@ -11,6 +11,13 @@ are exact by the pigeonhole principle: two linked fingerprints agree in at least
 corpus size.  With more lanes, for distances that rule out no block, each lane
 gives as many keys as fit; ``recall`` tells the share of links that they find.
 
+``near_dedup`` needs every link of a Jaccard similarity.  The links of several
+lanes are its first step only: they connect most copies cheaply, each one verified.
+Then texts of classes that are still apart meet under the shingles of their heads:
+of all shingles in one order, common ones last, two sets that are alike share one
+among the first ``n - ceil(similarity * n) + 1``.  This holds at any corpus size and
+for any order, so no link is lost; every such pair is verified before it joins classes.
+
 For each fingerprint the Hamming distances to ``PIVOTS`` fixed reference
 fingerprints are tabulated.  By the triangle inequality linked fingerprints differ
 by ``bits`` at most in every coordinate: pairs that differ by more are discarded,
@@ -23,14 +30,16 @@ A group gives the links of a spanning forest only, never all pairs.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annospark.config import free_name
 from annospark.lineage import cut
 from annospark.skew import join_back
 
@@ -46,6 +55,8 @@ SENT_NODES = 200_000
 PER_KEY, LEAST_KEY = 64, 12
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
 SMALL = 128
+#: Rows, about, whose shingles are counted for the order of shingles, and shingles at most that the order puts last.
+SAMPLE, COMMON = 16_384, 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,7 +73,10 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
 
 def fingerprint(text: str | None, words: int = 4, lanes: int = 1) -> list[int]:
     """The SimHash of one text, an unsigned integer a lane: the hashes themselves, then mixes of them; zeros without words."""
-    hashes = shingle_hashes(text, words)
+    return lanes_of(shingle_hashes(text, words), lanes)
+
+
+def lanes_of(hashes: np.ndarray, lanes: int) -> list[int]:
     out = [majority(hashes) if len(hashes) else 0]
     for lane in range(1, lanes):
         x = (hashes ^ hashes >> np.uint64(31)) * np.uint64((2 * lane * int(_MIX) + 1) % (1 << 64))
@@ -204,8 +218,8 @@ def _nearest(fp: np.ndarray, start: int, end: int, bits: int):
 def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int, nearest: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Links of a spanning forest of each group; rows come sorted by ``group``.
 
-    ``nearest``: of a minimum spanning forest, which without the links that fail a stricter test still connects
-    what near links connect.
+    ``nearest``: of a minimum spanning forest, whose links are those that a stricter test most likely passes; what it
+    cuts off must then be found otherwise.
     """
     n = len(fp)
     first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if n else np.empty(0, np.int64)
@@ -231,100 +245,205 @@ def group_links(group: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: int,
     return pairs[:, 0], pairs[:, 1]
 
 
+def whole_groups(batches, keys: list[str]):
+    """Tables of whole groups, with the number of each row's group, from batches sorted by ``keys``; a group may go on in the next batch."""
+    left: list[pa.RecordBatch] = []
+
+    def changes(part: pa.Table) -> np.ndarray:
+        key = np.stack([part[c].to_numpy().astype(np.int64) for c in keys])
+        return (key[:, 1:] != key[:, :-1]).any(axis=0)
+
+    def numbered(part: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        return part, np.concatenate([[0], np.cumsum(changes(part))])
+
+    for batch in batches:
+        part = pa.Table.from_batches([*left, batch])
+        if not part.num_rows:
+            continue
+        ends = np.flatnonzero(changes(part))
+        done = int(ends[-1]) + 1 if len(ends) else 0
+        if done:
+            yield numbered(part.slice(0, done))
+        left = part.slice(done).combine_chunks().to_batches()
+    if left:
+        yield numbered(pa.Table.from_batches(left))
+
+
+def meeting(rows: DataFrame, keys: list[str], hot: int) -> tuple[DataFrame, list[str]]:
+    """``rows`` (``node``, ``keys`` and more) that share their keys with others, sorted by group; and what names a group.
+
+    A key of over ``hot`` rows is split into chunks, and each pair of chunks is a group.
+    """
+    more = [c for c in rows.columns if c not in keys]
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1")
+    # A join drops the keys of one row, and tells the size of each other key, which is split if it is hot.
+    rows = join_back(rows, sizes.withColumn("rows", F.col("size")), keys, "rows").withColumn("chunks", F.when(F.col("size") > hot, F.ceil(F.col("size") * 2 / hot)).otherwise(1).cast("int"))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    group = [*keys, "low", "high"]
+    rows = rows.select(*keys, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), *more)
+    return rows.repartition(*group).sortWithinPartitions(*group), group
+
+
 def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT, nearest: bool = False) -> DataFrame:
     """Links ``u, v`` that connect all nodes of ``table`` (``node``, and distinct lanes ``f0, ...``) within ``bits``."""
     names = [f"f{i}" for i in range(lanes)]
+    plan = key_plan(table.count(), bits, lanes)
+    rows = table.select("node", *names, F.explode(_keys(plan)).alias("k")).select("node", *names, "k.plan", "k.bits")
+    rows, keys = meeting(rows, ["plan", "bits"], hot)
 
     def compare(batches):
-        """Rows sorted by group; a group may go on in the next batch."""
-        left: list[pa.RecordBatch] = []
-
-        def changes(part: pa.Table) -> np.ndarray:
-            key = np.stack([part[c].to_numpy().astype(np.int64) for c in ("plan", "bits", "low", "high")])
-            return (key[:, 1:] != key[:, :-1]).any(axis=0)
-
-        def out(part: pa.Table) -> pa.RecordBatch:
-            group = np.concatenate([[0], np.cumsum(changes(part))])
+        for part, group in whole_groups(batches, keys):
             fp = np.stack([part[n].to_numpy() for n in names], axis=1).view(np.uint64)
             i, j = group_links(group, fp, distance_table(fp), bits, nearest)
             node = part["node"].to_numpy()
-            return pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["u", "v"])
+
+    return rows.mapInArrow(compare, "u long, v long").distinct()
+
+
+def sketches(text: Column, words: int, lanes: int) -> Column:
+    """``f0, ...``, the fingerprint of each text, ``d0, d1``, a digest of its set of distinct shingles, and ``n``, their number."""
+    names = [*(f"f{i}" for i in range(lanes)), "d0", "d1", "n"]
+
+    @F.arrow_udf(f"struct<{','.join(f'{n}:bigint' for n in names)}>")
+    def of(texts: pa.Array) -> pa.Array:
+        found = np.zeros((len(texts), lanes + 3), np.uint64)
+        for i, t in enumerate(texts.to_pylist()):
+            hashes = shingle_hashes(t, words)
+            own = np.unique(hashes)
+            found[i, :lanes] = lanes_of(hashes, lanes)
+            found[i, lanes : lanes + 2] = np.frombuffer(xxhash.xxh3_128_digest(own.astype("<u8").tobytes(), SEED), "<u8")
+            found[i, lanes + 2] = len(own)
+        found = found.view(np.int64)
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(found[:, i])) for i in range(lanes + 3)], names)
+
+    return of(F.coalesce(text, F.lit("")))
+
+
+def common_shingles(texts: DataFrame, text: str, row: str, words: int) -> np.ndarray:
+    """The shingles that several of about ``SAMPLE`` rows hold, rarest first, ``COMMON`` at most.  They change speed only."""
+    share = max(1, texts.count() // SAMPLE)
 
+    def of(batches):
         for batch in batches:
-            part = pa.Table.from_batches([*left, batch])
-            if not part.num_rows:
-                continue
-            ends = np.flatnonzero(changes(part))
-            done = int(ends[-1]) + 1 if len(ends) else 0
-            if done:
-                yield out(part.slice(0, done))
-            left = part.slice(done).combine_chunks().to_batches()
-        if left:
-            yield out(pa.Table.from_batches(left))
+            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets or [np.empty(0, np.uint64)]).view(np.int64))], ["shingle"])
 
-    plan = key_plan(table.count(), bits, lanes)
-    rows = table.select("node", *names, F.explode(_keys(plan)).alias("k")).select("node", *names, "k.plan", "k.bits")
-    sizes = rows.groupBy("plan", "bits").agg(F.count("*").alias("size")).where("size > 1")
-    # A join drops the keys of one row, and tells the size of each other key, which is split if it is hot.
-    rows = join_back(rows, sizes.withColumn("rows", F.col("size")), ["plan", "bits"], "rows").withColumn("chunks", F.when(F.col("size") > hot, F.ceil(F.col("size") * 2 / hot)).otherwise(1).cast("int"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    group = ["plan", "bits", "low", "high"]
-    rows = rows.select("plan", "bits", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", *names)
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "u long, v long").distinct()
+    chosen = texts.where(F.pmod(F.xxhash64(row), F.lit(share)) == 0).select(F.col(f"`{text}`"))
+    counts = chosen.mapInArrow(of, "shingle long").groupBy("shingle").agg(F.count("*").alias("rows")).where("rows > 1")
+    found = counts.orderBy(F.desc("rows"), "shingle").limit(COMMON).select("shingle").toArrow()
+    return found["shingle"].to_numpy().view(np.uint64)[::-1]
+
+
+def head(own: np.ndarray, known: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of the distinct shingles ``own``, of which a set of that Jaccard similarity must hold one.
+
+    The order is by ``rank`` of the shingles in ``known`` (ascending), after all that aren't in it, then by value.
+    """
+    at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+    order = np.lexsort((own, np.where(known[at] == own, rank[at], 0) if len(known) else np.zeros(len(own))))
+    return own[order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]] if len(own) else own
 
 
-def shingle_sets(text: Column, words: int, lanes: int) -> Column:
-    """``fp`` and the distinct shingle hashes ``set`` of each text."""
-    kind = ",".join(f"f{i}:bigint" for i in range(lanes))
+def heads(text: Column, words: int, similarity: float, common: np.ndarray, spark: SparkSession) -> Column:
+    """The head of each text's shingles in their order, ``common`` (in its order) last."""
+    order = np.argsort(common)
+    sent = spark.sparkContext.broadcast((common[order], (order + 1).astype(np.int64)))
 
-    @F.arrow_udf(f"struct<fp:struct<{kind}>,set:array<bigint>>")
+    @F.arrow_udf("array<bigint>")
     def of(texts: pa.Array) -> pa.Array:
-        texts = texts.to_pylist()
-        fps = np.array([fingerprint(t, words, lanes) for t in texts], np.uint64).reshape(-1, lanes).view(np.int64)
-        names = [f"f{i}" for i in range(lanes)]
-        fp = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(fps[:, i])) for i in range(lanes)], names)
-        sets = pa.array([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts], pa.list_(pa.int64()))
-        return pa.StructArray.from_arrays([fp, sets], ["fp", "set"])
+        found = [head(np.unique(shingle_hashes(t, words)), *sent.value, similarity) for t in texts.to_pylist()]
+        return pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))
 
     return of(F.coalesce(text, F.lit("")))
 
 
-def alike(found: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, doc_id: str, words: int, lanes: int, similarity: float) -> DataFrame:
-    """The links of ``found`` whose texts share ``similarity`` of their distinct shingles (Jaccard), exactly.
+def may_be_alike(group: np.ndarray, at: np.ndarray, n: np.ndarray, member: np.ndarray, similarity: float):
+    """Pairs of rows of one group and different ``member`` whose sizes and places in their heads leave room for that similarity.
 
-    The texts of linked nodes are fetched by one id each, in a broadcast join while they are few.
+    The places are those of the shingle that names the group.  It may not be a pair's first one in common, for which the
+    bound holds; then the pair comes in the group of that one too.
     """
-    names = [f"f{i}" for i in range(lanes)]
-    ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("size"))
-    ends = cut(ends.join(distinct.select("node", *names, F.col("least").alias("_id")), "node"), "ends")
+    i = np.arange(len(group))
+    for shift in range(1, len(group)):
+        i = i[i + shift < len(group)]
+        i = i[group[i] == group[i + shift]]
+        if not len(i):
+            return
+        j = i + shift
+        need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9)
+        good = (member[i] != member[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
+        good &= np.minimum(n[i] - at[i], n[j] - at[j]) >= need
+        if good.any():
+            yield i[good], j[good]
+
+
+def candidates(table: DataFrame, similarity: float, hot: int = HOT) -> DataFrame:
+    """All pairs ``u, v`` of nodes of different ``member`` that may have that Jaccard similarity, from ``node, member, n, head``."""
+    rows = table.select("node", "member", "n", F.posexplode("head").alias("at", "shingle"))
+    rows, keys = meeting(rows, ["shingle"], hot)
+
+    def compare(batches):
+        for part, group in whole_groups(batches, keys):
+            at, n, member, node = (part[c].to_numpy().astype(np.int64) for c in ("at", "n", "member", "node"))
+            found, size = [], 0
+
+            def out():
+                pairs = np.unique(np.concatenate(found), axis=0)  # noqa: B023
+                return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], ["u", "v"])
+
+            for i, j in may_be_alike(group, at, n, member, similarity):
+                found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1))
+                size += len(i)
+                if size > 1 << 18:
+                    yield out()
+                    found, size = [], 0
+            if found:
+                yield out()
+
+    return rows.mapInArrow(compare, "u long, v long").distinct()
+
+
+def shingle_sets(text: Column, words: int) -> Column:
+    """The distinct shingle hashes of each text."""
+
+    @F.arrow_udf("array<bigint>")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+    return of(F.coalesce(text, F.lit("")))
+
+
+def alike(found: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs of ``found`` whose texts (``node, text`` of ``texts``) share ``similarity`` of their distinct shingles (Jaccard), exactly.
+
+    The texts of linked nodes are fetched in a broadcast join while they are few.
+    """
+    ends = found.select(F.col("u").alias("_end")).unionByName(found.select(F.col("v").alias("_end"))).groupBy("_end").agg(F.count("*").alias("size"))
+    ends = cut(ends, "ends")
     few = F.broadcast(ends) if ends.count() <= SENT_NODES else ends
-    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(few, F.col("doc_id").eqNullSafe(F.col("_id")))
-    texts = texts.select("node", "size", F.struct(*names).alias("want"), shingle_sets(F.col("text"), words, lanes).alias("x")).where("want = x.fp")
-    # Rows may repeat an id and a text; one of them will do.
-    sets = cut(texts.groupBy("node").agg(F.first("size").alias("size"), F.first("x.set").alias("set")), "sets")
+    sets = cut(texts.join(few, F.col("node") == F.col("_end")).select("node", "size", shingle_sets(F.col("text"), words).alias("set")), "sets")
     pairs = found.select("u", "v")
     for end in ("u", "v"):
         pairs = join_back(pairs, sets.select(F.col("node").alias(end), "size", F.col("set").alias(f"set_{end}")), [end], "size")
     both = F.size(F.array_intersect("set_u", "set_v"))
-    return pairs.where(both >= similarity * (F.size("set_u") + F.size("set_v") - both)).select("u", "v")
+    return pairs.where(both >= similarity * (F.size("set_u") + F.size("set_v") - both) - 1e-9).select("u", "v")
 
 
-def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT, similarity: float | None = None) -> DataFrame:
+def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
     """``doc_id, f0, ..., component_id`` for each row of ``docs``: its fingerprint and the least ``doc_id`` of its class.
 
     Words are what stands between ASCII whitespace after lower-casing A-Z; a text of fewer than ``words`` words is one
     shingle, a null, empty or blank text has fingerprint zero and is linked like any other.  A null ``doc_id`` stays
     and names a class only if no other id can.  Repeated rows give repeated rows of one class; no rows give no rows;
-    other columns are not read.  With ``similarity`` a link also needs that Jaccard similarity of the texts' shingles.
+    other columns are not read.
     """
     names = [f"f{i}" for i in range(lanes)]
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words, lanes).alias("fp"))
     rows = cut(rows.select("doc_id", "fp.*"), "fingerprints")
     distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("least"), F.count("*").alias("size"))
     distinct = cut(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
-    found = links(distinct.select("node", *names), bits, lanes, hot, similarity is not None)
-    if similarity is not None:
-        found = alike(cut(found, "found"), distinct, docs, text, doc_id, words, lanes, similarity)
+    found = links(distinct.select("node", *names), bits, lanes, hot)
     member = components(found).withColumnRenamed("node", "_node")
     named = distinct.join(member, distinct["node"] == member["_node"], "left").select(*names, "least", "size", F.coalesce("component", "node").alias("class"))
     named = cut(named, "classes")
@@ -333,14 +452,33 @@ def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return join_back(rows, cut(named.drop("class"), "named"), names, "size").select("doc_id", *names, "component_id")
 
 
-def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8, lanes: int = 4) -> DataFrame:
-    """``docs`` with one document of each class of near-duplicates, that of the least ``doc_id``; all columns stay.
+def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8, lanes: int = 4, hot: int = HOT) -> DataFrame:
+    """``docs`` with one row of each class of near-duplicates, one of the least ``doc_id``; all columns stay.
 
-    Two texts are linked if the Jaccard similarity of their shingles of ``words`` words is ``similarity`` or more; the
-    candidates are those with at least that share of equal bits in fingerprints of ``lanes``.  Rows that share a
-    ``doc_id`` share its fate; a row with a null ``doc_id`` stays only if its class has no other id.
+    Two texts are linked exactly if the Jaccard similarity of their distinct shingles of ``words`` words is ``similarity``
+    or more; texts without words are alike.  Rows that repeat an id and a text are rows like any others: one row of a
+    class stays, one with a null ``doc_id`` only if no row of the class has another.
     """
-    bits = int((1 - similarity) * 64 * lanes)
-    classes = simhash_classes(docs, text, doc_id, words, bits, lanes, similarity=similarity)
-    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keep, docs[doc_id].eqNullSafe(keep["_kept_id"]), "left_semi")
+    names = [f"f{i}" for i in range(lanes)]
+    row, sketch = free_name("row", docs.columns), free_name("sketch", docs.columns)
+    keyed = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(sketch, sketches(F.col(f"`{text}`"), words, lanes))
+    keyed = cut(keyed, "keyed")
+    # A node is one set of shingles; its number is the row that would stay.
+    best = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.col(row).alias("row"))
+    nodes = keyed.select(best.alias("best"), f"{sketch}.*").groupBy("d0", "d1").agg(F.min_by(F.struct(*names, "n"), "best").alias("x"), F.min("best").alias("best"))
+    nodes = cut(nodes.select(F.col("best.row").alias("node"), "best", "x.*"), "nodes")
+    texts = keyed.select(F.col(row).alias("node"), F.col(f"`{text}`").alias("text"))
+
+    one = cut(nodes.groupBy(*names).agg(F.min("node").alias("node")), "prints")
+    near_prints = cut(links(one, int((1 - similarity) * 64 * lanes), lanes, hot, True), "near_prints")
+    sure = cut(alike(near_prints, texts, words, similarity), "sure")
+    member = cut(components(sure), "members")
+    table = nodes.join(member.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"))
+    first = texts.select(F.col("node").alias("_node"), heads(F.col("text"), words, similarity, common_shingles(texts, "text", "node", words), docs.sparkSession).alias("head"))
+    found = cut(candidates(first.join(table, F.col("node") == F.col("_node")).select("node", "member", "n", "head"), similarity, hot), "candidates")
+    sure = sure.unionByName(alike(found, texts, words, similarity))
+
+    member = components(sure).withColumnRenamed("node", "_node")
+    named = nodes.join(member, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("component", "node").alias("class")).agg(F.min("best").alias("best"))
+    keep = named.select(F.col("best.row").alias("_kept_row"))
+    return keyed.join(keep, keyed[row] == keep["_kept_row"], "left_semi").drop(row, sketch)

@@ -1,13 +1,15 @@
 """The queries on the small tables, and the pipeline stage by stage."""
 
 import collections
+import itertools
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from annospark.llm import queries
+from annospark.llm import queries, simhash
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -84,3 +86,33 @@ def test_toxicity_stage_drops_few(stages):
 
 def test_run(spark, sf):
     assert set(corpus_pipeline.run(spark, sf).columns) == {"doc_id", "n_tokens", "bucket", "padded", "batch", "slot"}
+
+
+WORDS = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdfgklmnprst"]
+
+
+def kept_of(spark, texts, **how):
+    return {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **how).collect()}
+
+
+def least_of_classes(texts):
+    """The least number of each class of links of Jaccard similarity 0.8, by all pairs."""
+    sets, forest = [shingles(t) for t in texts], simhash._Forest()
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            forest.join(a, b)
+    return {forest.root(i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("hot", [simhash.HOT, 16])
+def test_near_stage_finds_every_pair_from_80_percent_up(spark, hot, monkeypatch):
+    # Wide keys, as a large corpus has them: what SimHash finds must not matter.
+    monkeypatch.setattr(simhash, "LEAST_KEY", 32)
+    rng = np.random.default_rng(11)
+    texts = []
+    for _ in range(120):
+        w = rng.choice(WORDS, int(rng.integers(20, 300))).tolist()
+        texts.append(" ".join(w))
+        for k in (0.1, 0.105, 0.11, 0.115, 0.12):  # tails replaced: Jaccard 0.78 to 0.82
+            texts.append(" ".join(w[: len(w) - int(k * len(w))] + rng.choice(WORDS, int(k * len(w))).tolist()))
+    assert kept_of(spark, texts, hot=hot) == least_of_classes(texts)
