@@ -116,3 +116,11 @@ def test_near_stage_finds_every_pair_from_80_percent_up(spark, hot, monkeypatch)
         for k in (0.1, 0.105, 0.11, 0.115, 0.12):  # tails replaced: Jaccard 0.78 to 0.82
             texts.append(" ".join(w[: len(w) - int(k * len(w))] + rng.choice(WORDS, int(k * len(w))).tolist()))
     assert kept_of(spark, texts, hot=hot) == least_of_classes(texts)
+
+
+def test_near_stage_keeps_different_texts_of_one_fingerprint(spark):
+    rng = np.random.default_rng(12)
+    line = "the same seven words in every text"
+    texts = [" ".join([line] * 100 + rng.choice(WORDS, 300).tolist()) for _ in range(30)]
+    assert len({tuple(simhash.fingerprint(t, 5, 4)) for t in texts}) < 30
+    assert kept_of(spark, texts) == set(range(30))
