@@ -124,3 +124,16 @@ def test_near_stage_keeps_different_texts_of_one_fingerprint(spark):
     texts = [" ".join([line] * 100 + rng.choice(WORDS, 300).tolist()) for _ in range(30)]
     assert len({tuple(simhash.fingerprint(t, 5, 4)) for t in texts}) < 30
     assert kept_of(spark, texts) == set(range(30))
+
+
+def test_near_stage_joins_groups_of_copies_around_the_threshold(spark):
+    rng = np.random.default_rng(13)
+    texts = []
+    for _ in range(100):  # six copies, each with 5 to 13 % of its shingles replaced
+        w = rng.choice(WORDS, 200).tolist()
+        for _ in range(6):
+            copy = list(w)
+            for at in rng.choice(200, int(rng.integers(2, 6)), replace=False):
+                copy[at] = str(rng.choice(WORDS))
+            texts.append(" ".join(copy))
+    assert kept_of(spark, texts) == least_of_classes(texts)
