@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annospark.config import free_name
 from annospark.lineage import cut
 from annospark.skew import join_back
 
@@ -63,14 +64,14 @@ def _block_names(blocks: DataFrame) -> tuple[DataFrame, int]:
         seed += 2
 
 
-def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK) -> DataFrame:
+def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``row, doc_id, sha, level, name``.
 
     Two rows have the same ``(level, name)`` exactly if their normalised texts are equal.
-    ``row`` is unique; ``sha`` is the SHA-256 of the normalised text in UTF-8.
+    ``row`` is unique, and the column named ``row`` if that is given; ``sha`` is the SHA-256 of the normalised text in UTF-8.
     """
-    flat = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), ascii_lower(F.col(f"`{text}`")).cast("binary").alias("bytes"))
-    flat = flat.withColumn("row", F.monotonically_increasing_id())
+    key = F.monotonically_increasing_id() if row is None else F.col(f"`{row}`")
+    flat = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), ascii_lower(F.col(f"`{text}`")).cast("binary").alias("bytes"), key.alias("row"))
     cuts = F.expr(
         f"transform(sequence(0, greatest(0, cast((octet_length(bytes) - 1) div {block} as int))),"
         f" i -> substring(bytes, cast(i * {block} + 1 as int), {block}))"
@@ -105,16 +106,17 @@ def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bloc
     return heads.select("row", "doc_id", "sha").join(found, "row")
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK) -> DataFrame:
+def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK, row: str | None = None) -> DataFrame:
     """The group of equal texts that each row belongs to.
 
-    Returns one row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    Returns one row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``, and ``row`` if a column
+    of unique longs is named by it.
     Of equal texts the row with the largest ``doc_id`` stays (``kept``); its id is ``keep_id``.
     A null text is an empty text.  A null ``doc_id`` sorts below all others.  Repeated rows,
     also of one ``doc_id``, are separate members and exactly one row of a group stays.  A text of any
     length is one more level at most for each doubling.  No rows give no rows; other columns are not read.
     """
-    rows = cut(identities(docs, text, doc_id, block), "identities")
+    rows = cut(identities(docs, text, doc_id, block, row), "identities")
     groups = rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
     groups = cut(groups.withColumn("size", F.col("group_size")), "groups")
     out = join_back(rows, groups, ["level", "name"], "size")
@@ -124,14 +126,16 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", blo
         "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
         F.col("sha").alias("text_sha256"),
+        *([] if row is None else ["row"]),
     )
 
 
 def drop_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose text equals that of a row with a larger ``doc_id``.
+    """``docs`` with one row of each group of equal texts, one of the largest ``doc_id``.
 
-    All columns of ``docs`` stay as they are.  Rows that share a ``doc_id`` share its fate: they stay if
-    one of them does.
+    All columns of ``docs`` stay as they are.  Rows that share a ``doc_id``, or have none, are decided on one by one.
     """
-    keep = exact_dedup(docs, text, doc_id).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keep, docs[doc_id].eqNullSafe(keep["_kept_id"]), "left_semi")
+    row = free_name("row", docs.columns)
+    keyed = cut(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    keep = exact_dedup(keyed, text, doc_id, row=row).where("kept").select(F.col("row").alias("_kept_row"))
+    return keyed.join(keep, keyed[row] == keep["_kept_row"], "left_semi").drop(row)

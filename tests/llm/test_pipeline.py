@@ -137,3 +137,12 @@ def test_near_stage_joins_groups_of_copies_around_the_threshold(spark):
                 copy[at] = str(rng.choice(WORDS))
             texts.append(" ".join(copy))
     assert kept_of(spark, texts) == least_of_classes(texts)
+
+
+def test_dedup_stages_decide_on_each_row(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text), (1, text), (1, "other words"), (None, text), (None, "alone"), (None, "alone"), (None, "ALONE"), (2, "b"), (2, "b"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for stage, blank in ((corpus_pipeline.exact, 1), (corpus_pipeline.near, 1)):
+        got = collections.Counter((r["doc_id"], (r["text"] or "").lower()) for r in stage(spark, docs, None).collect())
+        assert got == {(1, text): 1, (1, "other words"): 1, (None, "alone"): 1, (2, "b"): 1, (None, ""): blank}
