@@ -1,9 +1,9 @@
 """Packing into optimal length buckets.
 
-The global histogram of lengths (exact up to ``EXACT``, then ``PER_DOUBLING`` bins
-for each doubling, so its size is bounded whatever the corpus) goes to the driver,
-where dynamic programming chooses the ``buckets`` boundaries that minimise the
-padding of all rows together.  Rows are then numbered within their bucket, and
+The global histogram of lengths (every length by itself; ``n`` different ones add up
+to ``n * (n + 1) / 2`` tokens at least, so 30 GB of text have 200,000 at most) goes to
+the driver, where dynamic programming chooses the ``buckets`` boundaries that minimise
+the padding of all rows together.  Rows are then numbered within their bucket, and
 runs of as many rows as the token budget allows are the batches.
 
 Numbering is spread: a bucket, which may hold most rows, is dealt into slices of
@@ -14,15 +14,16 @@ sizes make the numbers global.  Only a bucket's last batch is not full.
 from __future__ import annotations
 
 import math
+from collections import deque
+from itertools import accumulate
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.lineage import cut
 
-#: Lengths with a bin of their own; bins for each doubling beyond; rows numbered together.
-EXACT, PER_DOUBLING, SLICE = 1024, 64, 20_000
+#: Rows numbered together.
+SLICE = 20_000
 #: Buckets, and padded tokens in a batch.
 BUCKETS, BUDGET = 12, 32_768
 
@@ -32,38 +33,38 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def bin_of(length: Column) -> Column:
-    beyond = F.floor((F.log2(F.greatest(length, F.lit(1))) - math.log2(EXACT)) * PER_DOUBLING) + EXACT + 1
-    return F.when(length <= EXACT, length).otherwise(F.greatest(beyond, F.lit(EXACT + 1))).cast("int")
-
-
 def boundaries(top: list[int], count: list[int], total: list[int], buckets: int) -> list[int]:
     """Upper bounds of at most ``buckets`` buckets with the least padding.
 
     ``top, count, total``: the largest length, the rows and the sum of lengths of each bin, ascending.  A bound is
-    the largest length of some bin; the padding of a bucket is its bound times its rows less its lengths.
+    the largest length of some bin; the padding of a bucket is its bound times its rows less its lengths.  For a last
+    bin j that is a minimum over lines in its bound, which a convex hull gives in linear time; all in integers.
     """
     n = len(top)
     if not n:
         return []
-    tops = np.array(top, np.float64)
-    rows = np.concatenate([[0.0], np.cumsum(np.array(count, np.float64))])
-    lengths = np.concatenate([[0.0], np.cumsum(np.array(total, np.float64))])
-    best = tops * rows[1:] - lengths[1:]  # bins up to j in one bucket
+    rows, lengths = list(accumulate(count)), list(accumulate(total))
+    best = [t * r - s for t, r, s in zip(top, rows, lengths, strict=True)]  # bins up to j in one bucket
     cuts = []
     for _ in range(1, min(buckets, n)):
-        more, cut = best.copy(), np.full(n, -1)
+        more, cut = best.copy(), [-1] * n
+        hull: deque[tuple[int, int, int]] = deque()  # slope, height and bin of the lines that may still be least
         for j in range(1, n):
-            padding = best[:j] + tops[j] * (rows[j + 1] - rows[1 : j + 1]) - (lengths[j + 1] - lengths[1 : j + 1])
-            i = int(padding.argmin())
-            if padding[i] < more[j]:
-                more[j], cut[j] = padding[i], i
+            slope, height = -rows[j - 1], best[j - 1] + lengths[j - 1]
+            while len(hull) > 1 and (height - hull[-2][1]) * (hull[-2][0] - hull[-1][0]) <= (hull[-1][1] - hull[-2][1]) * (hull[-2][0] - slope):
+                hull.pop()
+            hull.append((slope, height, j - 1))
+            while len(hull) > 1 and hull[1][0] * top[j] + hull[1][1] <= hull[0][0] * top[j] + hull[0][1]:
+                hull.popleft()
+            padding = hull[0][0] * top[j] + hull[0][1] + top[j] * rows[j] - lengths[j]
+            if padding < more[j]:
+                more[j], cut[j] = padding, hull[0][2]
         best = more
         cuts.append(cut)
     out, j = [top[-1]], n - 1
     for cut in reversed(cuts):
         if cut[j] >= 0:
-            j = int(cut[j])
+            j = cut[j]
             out.append(top[j])
     return sorted(out)
 
@@ -78,10 +79,10 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: Co
     """
     length = words(F.col(f"`{text}`")) if length is None else F.greatest(F.coalesce(length, F.lit(0)).cast("long"), F.lit(0).cast("long"))
     rows = cut(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), length.alias("n_tokens")), "lengths")
-    bins = rows.groupBy(bin_of(F.col("n_tokens")).alias("bin")).agg(F.max("n_tokens").alias("top"), F.count("*").alias("count"), F.sum("n_tokens").alias("total"))
-    found = sorted(bins.collect(), key=lambda r: r["bin"])  # EXACT + PER_DOUBLING * 53 rows at most
-    bounds = boundaries([r["top"] for r in found], [r["count"] for r in found], [r["total"] for r in found], buckets)
-    slices = max(1, math.ceil(sum(r["count"] for r in found) / slice_rows))
+    found = rows.groupBy("n_tokens").agg(F.count("*").alias("count")).orderBy("n_tokens").toArrow()
+    top, count = (found[c].to_pylist() for c in ("n_tokens", "count"))
+    bounds = boundaries(top, count, [t * c for t, c in zip(top, count, strict=True)], buckets)
+    slices = max(1, math.ceil(sum(count) / slice_rows))
     bucket = padded = F.lit(None)
     for number, bound in reversed(list(enumerate(bounds))):
         fits = F.col("n_tokens") <= bound

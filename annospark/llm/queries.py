@@ -42,7 +42,9 @@ def op5_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"))
+    """Lengths are the token counts of op 1."""
+    docs = read(spark, sf_dir, "documents")
+    return packing.pack(docs, length=tokens.token_length(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

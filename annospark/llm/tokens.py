@@ -134,6 +134,11 @@ def token_counts(spark: SparkSession, text: Column, path: str, frequent: dict[st
     return count(F.coalesce(text, F.lit("")))
 
 
+def token_length(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> Column:
+    """The tokens of each row's text, as ``count_tokens`` has them."""
+    return token_counts(docs.sparkSession, F.col(f"`{text}`"), path, frequent_lengths(docs, path, text, doc_id))
+
+
 def count_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", limit: int = 512) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for each row of ``docs``.
 

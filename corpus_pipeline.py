@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from annospark.config import free_name
 from annospark.lineage import cut
-from annospark.llm import exact_dedup, packing, secret_scan, simhash
+from annospark.llm import exact_dedup, packing, secret_scan, simhash, tokens
 from annospark.llm import toxicity as tox
+from annospark.llm.queries import tokenizer_file
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +45,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bucket, batch and slot of every row."""
-    return packing.pack(docs)
+    """The bucket, batch and slot of every row; lengths are the token counts of op 1."""
+    return packing.pack(docs, length=tokens.token_length(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
 STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("SimHash near-dedup", near), ("secret scans", secrets), ("packing", pack)]

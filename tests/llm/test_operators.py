@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from annospark.llm import bpe, components, exact_dedup, lm_score, media, packing, queries, secret_scan, simhash, tokens, toxicity, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, name string, level int, fp string, size long, kept string, words int, key string"
@@ -289,6 +290,21 @@ def test_packing(messy, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+def test_packing_is_optimal_for_long_rows_too(spark):
+    lengths = [2000] * 50 + [2010] * 50 + [5000] * 20
+    got = packing.pack(spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n long"), length=F.col("n"), buckets=3).collect()
+    assert len(got) == 120 and all(r["padded"] == r["n_tokens"] for r in got)
+
+
+def test_packing_counts_tokens(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "abc" * 5000), (2, "日本語テキスト" * 3000), (3, "two words"), (4, None)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = ids(tokens.count_tokens(docs, queries.tokenizer_file("byte_bpe_50k.json")), "n_tokens")
+    for got in (queries.op6_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert ids(got, "n_tokens") == want and dict(want)[1] > 1000
+        assert all(rows["n"] == 1 or rows["n"] * rows["padded"] <= packing.BUDGET for rows in got.groupBy("bucket", "batch", "padded").agg(F.count("*").alias("n")).collect())
+
+
 # ---- 7 URLs
 
 
