@@ -5,6 +5,8 @@ word itself, hashed into ``BUCKETS`` rows; a passage's vector is the mean over i
 words; a linear softmax over it gives the class.  An unseen misspelling shares most
 n-grams with the words it was made from.  A text is as toxic as its worst passage
 of ``PASSAGE`` words, so a few words count as much in a long text as in a short one.
+Passages begin at every word.  A run of more than ``LONGEST`` characters without a space is
+cut into words of that length, which overlap so that no n-gram is lost.
 
 Training: a bounded sample of labelled rows, in one task, by Adagrad over the
 embeddings and the softmax together; each step's gradient goes through the worst
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 BUCKETS, WIDTH, GRAMS = 1 << 16, 8, (3, 4, 5)
 #: Words in a passage, and the least number of words that a passage counts as.
 PASSAGE, LEAST = 2, 2
+#: Characters in a word.
+LONGEST = 64
 #: Labelled rows in the training sample, at most, of each class (those of least hash), and characters in one.
 POSITIVE, NEGATIVE, TRAIN_CHARS = 2000, 4000, 60_000
 #: Passes over the sample, texts in a step, Adagrad's rate, seed.
@@ -44,22 +48,26 @@ WORD = re.compile(r"\w+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    found = WORD.findall((text or "").lower())
+    if max(map(len, found), default=0) <= LONGEST:
+        return found
+    step = LONGEST - max(GRAMS) + 1
+    return [w[i : i + LONGEST] for w in found for i in range(0, max(1, len(w) - max(GRAMS) + 1), step)]
 
 
 def subwords(word: str) -> list[int]:
     """Embedding rows of a word: itself and its n-grams, with ends marked."""
-    marked = f"<{word[:64]}>"
+    marked = f"<{word}>"
     grams = {marked} | {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
     return sorted(zlib.crc32(g.encode()) % BUCKETS for g in grams)
 
 
-def starts_of(n: int) -> np.ndarray:
-    return np.arange(0, max(n, 1), PASSAGE)
-
-
-def sizes_of(n: int) -> np.ndarray:
-    return np.maximum(np.minimum(PASSAGE, n - starts_of(n)), LEAST)
+def passages(parts: np.ndarray) -> np.ndarray:
+    """The mean over each passage's words; there is a passage from every word on that has enough after it, one at least."""
+    n = len(parts)
+    if n < PASSAGE:
+        return parts.sum(keepdims=True) / max(n, LEAST)
+    return sum(parts[k : n - PASSAGE + 1 + k] for k in range(PASSAGE)) / max(PASSAGE, LEAST)
 
 
 class _Words(dict):
@@ -100,7 +108,7 @@ class Model:
         parts = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
         worst = self.offset
         if len(parts):
-            worst += (np.add.reduceat(parts, starts_of(len(parts))) / sizes_of(len(parts))).max()
+            worst += passages(parts).max()
         return float(1 / (1 + np.exp(-np.clip(worst, -60, 60))))
 
 
@@ -141,18 +149,17 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     across = weight[1] - weight[0]
     table += np.outer(lean, across / (across @ across)).astype(np.float32)
 
-    at, length = [starts_of(len(b)) for b in bags], [sizes_of(len(b)) for b in bags]
     table_sum, weight_sum, bias_sum = np.full(BUCKETS, DAMPING, np.float32), np.full((2, WIDTH), 1e-2, np.float32), np.full(2, 1e-2, np.float32)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         # The worst passage of each text, by the log-odds of the model as it stands.
         odds = np.add.reduceat((table @ (weight[1] - weight[0]))[flat], first) / count
-        worst = {i: int((np.add.reduceat(odds[bags[i]], at[i]) / length[i]).argmax()) for i in used.tolist()}
+        worst = {i: int(passages(odds[bags[i]]).argmax()) for i in used.tolist()}
         for batch in np.array_split(rng.permutation(used), max(1, len(used) // BATCH)):
             # Forward through those passages: rows to words, words to passages, passages to classes.
-            chosen = [bags[i][at[i][worst[i]] :][:PASSAGE] for i in batch.tolist()]
+            chosen = [bags[i][worst[i] :][:PASSAGE] for i in batch.tolist()]
             n = np.array([len(c) for c in chosen])
-            words, size = np.concatenate(chosen), np.array([length[i][worst[i]] for i in batch.tolist()])
+            words, size = np.concatenate(chosen), np.maximum(n, LEAST)
             grams = count[words]
             begin = np.cumsum(grams) - grams
             index = flat[_ranges(first, count, words)]

@@ -411,6 +411,21 @@ def test_toxicity_finds_misspellings_on_held_out_rows(spark, nothing):
     assert toxicity.score_toxicity(nothing, labels.limit(0)).count() == 0
 
 
+def test_toxicity_reads_all_of_a_long_run():
+    for run in ("".join(chr(0x4E00 + i) for i in range(n)) for n in (64, 65, 68, 69, 124, 125, 500)):
+        rows = {r for w in toxicity.words_of(run) for r in toxicity.subwords(w)}
+        assert {zlib.crc32(g.encode()) % toxicity.BUCKETS for n in toxicity.GRAMS for i in range(len(run) - n + 1) for g in [run[i : i + n]]} <= rows
+        assert all(len(w) <= toxicity.LONGEST for w in toxicity.words_of(run)) and toxicity.words_of(f"a {run} b")[::len(toxicity.words_of(run)) + 1] == ["a", "b"]
+
+
+def test_a_word_before_a_text_cannot_hide_a_passage():
+    rng = np.random.default_rng(4)
+    model = toxicity.Model(rng.normal(0, 1, (toxicity.BUCKETS, toxicity.WIDTH)), rng.normal(0, 1, (2, toxicity.WIDTH)), np.zeros(2))
+    for i in range(200):
+        text = " ".join(f"w{k}" for k in rng.integers(0, 1000, 2 + i % 7))
+        assert model.score(f"before {text}") >= model.score(text) - 1e-12 and model.score(f"{text} after") >= model.score(text) - 1e-12
+
+
 # ---- 10 secrets
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
