@@ -53,10 +53,12 @@ HOT = 2048
 SENT_NODES = 200_000
 #: Fingerprints that a key should have at most on average; the least bits of a key with several lanes.
 PER_KEY, LEAST_KEY = 64, 12
+#: Bits of a SimHash key in ``near_dedup``, at any corpus size.
+NEAR_KEY = 32
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
 SMALL = 128
 #: Rows, about, whose shingles are counted for the order of shingles, and shingles at most that the order puts last.
-SAMPLE, COMMON = 16_384, 1 << 18
+SAMPLE, COMMON = 4096, 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,10 +123,10 @@ def distance_table(fp: np.ndarray) -> np.ndarray:
     return out
 
 
-def key_plan(distinct: int, bits: int, lanes: int = 1) -> list[tuple[tuple[int, int, int], ...]]:
-    """Blocks (lane, shift, width) of each key: enough bits that ``distinct`` fingerprints have few to a key."""
+def key_plan(distinct: int, bits: int, lanes: int = 1, width: int | None = None) -> list[tuple[tuple[int, int, int], ...]]:
+    """Blocks (lane, shift, width) of each key: ``width`` bits, or enough that ``distinct`` fingerprints have few to a key."""
     if lanes > 1:
-        width = max(LEAST_KEY, min(32, (max(1, distinct) // PER_KEY).bit_length()))
+        width = width or max(LEAST_KEY, min(32, (max(1, distinct) // PER_KEY).bit_length()))
         return [((lane, shift, width),) for lane in range(lanes) for shift in range(0, 64 - width + 1, width)]
     for n in range(bits + 1, 65):
         widths = [64 // n + (i < 64 % n) for i in range(n)]
@@ -284,10 +286,10 @@ def meeting(rows: DataFrame, keys: list[str], hot: int) -> tuple[DataFrame, list
     return rows.repartition(*group).sortWithinPartitions(*group), group
 
 
-def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT, nearest: bool = False) -> DataFrame:
+def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT, nearest: bool = False, width: int | None = None) -> DataFrame:
     """Links ``u, v`` that connect all nodes of ``table`` (``node``, and distinct lanes ``f0, ...``) within ``bits``."""
     names = [f"f{i}" for i in range(lanes)]
-    plan = key_plan(table.count(), bits, lanes)
+    plan = key_plan(table.count(), bits, lanes, width)
     rows = table.select("node", *names, F.explode(_keys(plan)).alias("k")).select("node", *names, "k.plan", "k.bits")
     rows, keys = meeting(rows, ["plan", "bits"], hot)
 
@@ -470,7 +472,7 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
     texts = keyed.select(F.col(row).alias("node"), F.col(f"`{text}`").alias("text"))
 
     one = cut(nodes.groupBy(*names).agg(F.min("node").alias("node")), "prints")
-    near_prints = cut(links(one, int((1 - similarity) * 64 * lanes), lanes, hot, True), "near_prints")
+    near_prints = cut(links(one, int((1 - similarity) * 64 * lanes), lanes, hot, True, NEAR_KEY), "near_prints")
     sure = cut(alike(near_prints, texts, words, similarity), "sure")
     member = cut(components(sure), "members")
     table = nodes.join(member.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"))
