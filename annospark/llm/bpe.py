@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -23,10 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import CACHE, CACHE_CHARS, DIGITS, LETTERS, NOT_PLAIN, PLAIN
 
 #: Texts of more characters are cut; characters in a leaf at most; tokens in the first window on each side.
 LONG, LEAF, WINDOW = 65_536, 16_384, 16
+#: Entries of a worker's cache of words; when full it starts anew.  Longer words are not cached.
+CACHE, CACHE_CHARS = 400_000, 64
+#: Characters whose classes the tokenizers library and this module agree on (a test goes through them all):
+#: printable ASCII, tab, line feed, carriage return, and the Latin letters and signs up to U+024F.
+PLAIN = [chr(c) for c in (9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x250))]
+LETTERS = "".join(c for c in PLAIN if unicodedata.category(c)[0] == "L")
+DIGITS = "".join(c for c in PLAIN if unicodedata.category(c)[0] == "N")
+NOT_PLAIN = re.compile(f"[^{re.escape(''.join(PLAIN))}]")
 #: The word pattern over lower-cased plain characters; whitespace belongs to no word.
 WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^ \t\n\r{LETTERS}{DIGITS}]+")
 #: Plain characters that lower-casing takes out of the plain ones, or makes longer.

@@ -1,142 +1,77 @@
 """Token counts by a two-tier lookup of pre-token lengths.
 
 A byte-level BPE never merges across pre-tokens, so a text's count is the sum of
-its pre-tokens' counts.  Tier one is a broadcast table of frequent pre-tokens and
-their lengths, bounded by ``FREQUENT`` entries; tier two is a cache in each worker
-process, which encodes what the table lacks.  Every text is counted where it was
-read: no pre-token is shuffled.
+its pre-tokens' counts.  Tier one is a broadcast hash table of frequent pre-tokens and
+their lengths, of a fixed size; tier two is a table in each worker process for what the
+first lacks, and what neither has is encoded and kept.  Every text is counted where it
+was read: no pre-token is shuffled.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from collections import Counter
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries of the broadcast table, at most, and characters in one.
-FREQUENT, FREQUENT_CHARS = 50_000, 32
-#: The table's pre-tokens come from about so many rows (those of small hash, twice as many at most) of at most so many characters.
-#: This bounds what reaches the driver and changes speed only, never a count.
-SAMPLE_ROWS, SAMPLE_CHARS = 512, 20_000
-#: Entries of a worker's cache; when full it starts anew.  Longer pre-tokens are not cached.
-CACHE, CACHE_CHARS = 400_000, 64
-
-#: Characters whose classes the tokenizers library and this module agree on (a test goes through them all):
-#: printable ASCII, tab, line feed, carriage return, and the Latin letters and signs up to U+024F.
-PLAIN = [chr(c) for c in (9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x250))]
-LETTERS = "".join(c for c in PLAIN if unicodedata.category(c)[0] == "L")
-DIGITS = "".join(c for c in PLAIN if unicodedata.category(c)[0] == "N")
-NOT_PLAIN = re.compile(f"[^{re.escape(''.join(PLAIN))}]")
-_L, _N, _S = f"[{LETTERS}]", f"[{DIGITS}]", r"[ \t\n\r]"
-#: The byte-level pre-tokenizer's pattern over PLAIN characters.
-PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_L}+| ?{_N}+| ?[^ \t\n\r{LETTERS}{DIGITS}]+|{_S}+(?![^ \t\n\r])|{_S}+")
-
-
-class _Lengths(dict):
-    """Token counts by pre-token; a miss is encoded and kept."""
-
-    def __init__(self, tokenizer, frequent):
-        super().__init__(frequent)
-        self.tokenizer, self.frequent = tokenizer, frequent
-
-    def __missing__(self, piece: str) -> int:
-        n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE + len(self.frequent):
-                self.clear()
-                self.update(self.frequent)
-            self[piece] = n
-        return n
-
-
-class _Mapped(dict):
-    """Token counts by pre-token as the library writes it, in its byte alphabet."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.model = tokenizer.model
-
-    def __missing__(self, piece: str) -> int:
-        n = len(self.model.tokenize(piece))
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE:
-                self.clear()
-            self[piece] = n
-        return n
-
-
-class TokenCounter:
-    """Counts as ``Tokenizer.encode(text, add_special_tokens=False)`` has them; one a worker process."""
+from .pieces import SENT_SLOTS, Pieces, Table, character_classes, frequent_pieces
 
-    _made: dict[str, TokenCounter] = {}
+#: Pre-tokens of the broadcast table at most.
+FREQUENT = 50_000
+#: They come from so many rows at most, of at most so many characters.  This bounds what reaches the driver and changes speed only.
+SAMPLE_ROWS, SAMPLE_CHARS = 512, 20_000
 
-    def __init__(self, path: str, frequent: dict[str, int]):
-        import json
 
-        from tokenizers import Tokenizer
+class TokenCounter(Pieces):
+    """Counts as ``Tokenizer.encode(text, add_special_tokens=False)`` has them; one a worker process."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        with open(path) as f:
-            added = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.plain, self.mapped = _Lengths(self.tokenizer, frequent), _Mapped(self.tokenizer)
+    _made: TokenCounter | None = None
 
     @classmethod
-    def of(cls, path: str, frequent: dict[str, int]) -> TokenCounter:
-        if path not in cls._made or cls._made[path].plain.frequent is not frequent:
-            cls._made[path] = cls(path, frequent)
-        return cls._made[path]
-
-    def pieces(self, text: str) -> list[str]:
-        return PIECES.findall(text)
-
-    def count(self, text: str) -> int:
-        if self.special and self.special.search(text):  # one token each; between them, texts of their own
-            parts = self.special.split(text)
-            return len(parts) - 1 + sum(map(self._count, parts))
-        return self._count(text)
-
-    def _count(self, text: str) -> int:
-        if NOT_PLAIN.search(text):
-            return sum(self.mapped[piece] for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
-        return sum(map(self.plain.__getitem__, PIECES.findall(text)))
+    def of(cls, path: str, parts: tuple[np.ndarray, Table]) -> TokenCounter:
+        """The worker's counter, made anew when other ``counter_parts`` come."""
+        if cls._made is None or cls._made.classes is not parts[0]:
+            cls._made = cls(path, *parts)
+        return cls._made
+
+    def work_out(self, pieces: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(len, self.encoded(pieces)), np.int64, len(pieces))
+
+    def count(self, texts: list[str]) -> np.ndarray:
+        out = [np.empty(0, np.int64)]
+        for values, pieces in self.blocks(texts):
+            ends, last = np.concatenate([[0], np.cumsum(values)]), np.cumsum(pieces)
+            out.append(ends[last] - ends[last - pieces])
+        found = np.concatenate(out)
+        if self.special:  # one token each
+            found += np.array([len(self.special.findall(t)) for t in texts], np.int64)
+        return found
+
+
+def sample_texts(docs: DataFrame, text: str = "text") -> list[str]:
+    """A few rows' texts, those that Spark reads first: one task reads them, however large the table is."""
+    column = F.col(f"`{text}`")
+    return [r[0] for r in docs.select(column).where(F.char_length(column).between(1, SAMPLE_CHARS)).limit(SAMPLE_ROWS).collect()]
 
 
-def frequent_lengths(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> dict[str, int]:
-    """The most frequent pre-tokens of a bounded sample of rows, with their token counts."""
-    column = F.col(f"`{text}`")
-    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(1 << 40)) < int(share * (1 << 40))
-    rows = docs.where(chosen & (F.char_length(column) <= SAMPLE_CHARS)).select(column.alias("t"))
-    found: Counter = Counter()
-    for row in rows.limit(2 * SAMPLE_ROWS).collect():
-        if not NOT_PLAIN.search(row["t"]):
-            found.update(p for p in PIECES.findall(row["t"]) if len(p) <= FREQUENT_CHARS)
-    counter = TokenCounter(path, {})
-    return {p: counter.count(p) for p, _ in found.most_common(FREQUENT)}
+def counter_parts(docs: DataFrame, path: str, text: str = "text") -> tuple[np.ndarray, Table]:
+    """The classes of characters, and the table of the most frequent pre-tokens of some rows with their token counts."""
+    counter = TokenCounter(path, character_classes(path))
+    *key, pieces = frequent_pieces(counter, sample_texts(docs, text), FREQUENT)
+    table = Table(SENT_SLOTS)
+    table.put(*key, counter.work_out(pieces))
+    return counter.classes, table
 
 
-def token_counts(spark: SparkSession, text: Column, path: str, frequent: dict[str, int]) -> Column:
-    """The tokens of each text as a long; null counts as empty."""
-    table = spark.sparkContext.broadcast(frequent)
+def token_length(docs: DataFrame, path: str, text: str = "text") -> Column:
+    """The tokens of each row's text as a long; null counts as empty."""
+    sent = docs.sparkSession.sparkContext.broadcast(counter_parts(docs, path, text))
 
     @F.arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
-        counter = TokenCounter.of(path, table.value)
-        return pa.array([counter.count(t) for t in texts.to_pylist()], pa.int64())
-
-    return count(F.coalesce(text, F.lit("")))
-
+        return pa.array(TokenCounter.of(path, sent.value).count(texts.to_pylist()), pa.int64())
 
-def token_length(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> Column:
-    """The tokens of each row's text, as ``count_tokens`` has them."""
-    return token_counts(docs.sparkSession, F.col(f"`{text}`"), path, frequent_lengths(docs, path, text, doc_id))
+    return count(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", limit: int = 512) -> DataFrame:
@@ -145,12 +80,12 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
     ``path``: a byte-level BPE of the tokenizers library.  Counts are those of its ``encode`` without added special
     tokens, special strings inside a text included.  A null or empty text has 0 bytes and 0 tokens, a null
     ``doc_id`` stays null, repeated rows give repeated rows, no rows give no rows; other columns are not read.
+    A text of any length is worked on in blocks of ``pieces.BLOCK`` characters, or up to the next space after them.
     """
-    frequent = frequent_lengths(docs, path, text, doc_id)
     column = F.col(f"`{text}`")
     out = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.coalesce(F.octet_length(column), F.lit(0)).cast("long").alias("n_bytes"),
-        token_counts(docs.sparkSession, column, path, frequent).alias("n_tokens"),
+        token_length(docs, path, text).alias("n_tokens"),
     )
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from annospark.llm import bpe, components, exact_dedup, lm_score, media, packing, queries, secret_scan, simhash, tokens, toxicity, url_filter
+from annospark.llm import bpe, components, exact_dedup, lm_score, media, packing, pieces, queries, secret_scan, simhash, tokens, toxicity, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, name string, level int, fp string, size long, kept string, words int, key string"
 BASE = "The quick brown fox jumps over the lazy dog while seven wizards brew a very strange potion in the old tower at night"
@@ -60,15 +60,50 @@ def test_token_counts(messy, nothing):
     assert tokens.count_tokens(nothing, path).count() == 0
 
 
-def test_plain_characters_are_cut_as_the_library_cuts_them():
-    for name, mine, change in (("byte_bpe_50k.json", tokens.PIECES, str), ("word_bpe_49k.json", bpe.WORDS, str.lower)):
-        t = library(name)
-        for c in tokens.PLAIN:
-            for text in (f"a{c}b", f" {c}{c} 1", f"{c}'s {c}", f"!{c}?\n", f"1{c}  {c}2"):
-                norm = t.normalizer.normalize_str(text) if t.normalizer else text
-                cut = [norm[a:b] for _, (a, b) in t.pre_tokenizer.pre_tokenize_str(norm)]
-                if not bpe.UNEVEN.search(text):
-                    assert mine.findall(change(text)) == cut, (name, hex(ord(c)), text)
+def pieces_of(counter, text):
+    out = []
+    for part in counter.parts(text):
+        data, start, size, _ = counter.cut([part])
+        out += [data[a : a + n].decode() for a, n in zip(start.tolist(), size.tolist(), strict=True)]
+    return out
+
+
+def test_pre_tokens_are_cut_as_the_library_cuts_them():
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    classes = pieces.character_classes(path)
+    counter = tokens.TokenCounter(path, classes)
+    library_cuts = lambda text: [text[a:b] for _, (a, b) in counter.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+    rng = np.random.default_rng(8)
+    points = [*range(0x3000), *rng.integers(0x3000, 0x110000, 6000).tolist()]
+    letters = [chr(c) for c in points if not 0xD800 <= c < 0xE000]
+    for text in ["".join(letters[i : i + 50]) for i in range(0, len(letters), 50)] + ["".join(f"a{c}b {c}{c} 1{c}'s {c}\n" for c in letters[i : i + 50]) for i in range(0, len(letters), 50)]:
+        assert pieces_of(counter, text) == library_cuts(text), text
+    for _ in range(3000):
+        text = "".join(rng.choice(list("ab'sretvlmd  \n\t1!é日\u3000\u0301😀\0"), rng.integers(0, 60)))
+        assert pieces_of(counter, text) == library_cuts(text), text
+
+
+def test_counts_of_long_texts_and_full_tables(monkeypatch):
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    t, rng = library("byte_bpe_50k.json"), np.random.default_rng(9)
+    monkeypatch.setattr(pieces, "BLOCK", 300)
+    monkeypatch.setattr(pieces, "OWN_SLOTS", 64)
+    monkeypatch.setattr(pieces, "LONGER", 5)
+    counter = tokens.TokenCounter(path, pieces.character_classes(path))
+    words = ["the", "l'été", "größer", "Привет", "你好世界", "😀😀", "antidisestablishmentarianism", "  ", "\n\n", "x" * 400, "<|endoftext|>", "1234567", "don't"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 300))) for _ in range(40)] + ["", " " * 2000, "a" * 3000]
+    for _ in range(2):
+        assert counter.count(texts).tolist() == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
+def test_word_characters_are_cut_as_the_library_cuts_them():
+    t = library("word_bpe_49k.json")
+    for c in bpe.PLAIN:
+        for text in (f"a{c}b", f" {c}{c} 1", f"{c}'s {c}", f"!{c}?\n", f"1{c}  {c}2"):
+            norm = t.normalizer.normalize_str(text)
+            cut = [norm[a:b] for _, (a, b) in t.pre_tokenizer.pre_tokenize_str(norm)]
+            if not bpe.UNEVEN.search(text):
+                assert bpe.WORDS.findall(text.lower()) == cut, (hex(ord(c)), text)
 
 
 # ---- 3 BPE
