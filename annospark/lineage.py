@@ -26,14 +26,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table.
+def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write ``df`` to the shared folder, partitioned by ``by``, and return the written table.
 
     The files go when the session ends, or before that through ``drop``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
