@@ -1,283 +1,407 @@
 """Masked pseudo-likelihood from a bidirectional window network.
 
 Every token of a text is predicted from the ``SIDE`` tokens on each side of it,
-never from itself, and the conditional log-probabilities are summed.  Tokens are
-the corpus's most frequent words and hashed buckets for all others.  The network
-adds an embedding for each place of the window, applies tanh, and has a softmax in
-two steps: the token's class (of neighbouring ranks), then the token in its class.
-
-Counts are partial sums in each task, then one aggregation over all words of the
-corpus.  Training is local SGD: each task trains on windows of all its own texts
-from the same start, and the parameters are averaged up a tree of groups of
-``FAN_IN``, weighted by windows.  The model that reaches the driver has a fixed size.
+never from itself, and the conditional log-probabilities are summed.  Tokens are those
+of a byte-level BPE, so each text is named whole and nothing is out of vocabulary.  The
+network adds the embeddings of the tokens around, scaled by their place, applies tanh, and
+has a softmax in two steps: the token's class, then the token in its class.  Tokens
+are numbered by their counts in the corpus; classes are runs of these numbers, long for rare
+tokens, so that both steps are short on average.
+
+Texts are encoded once, into a written table that is dealt into ``ROUNDS``.  Training is
+local SGD in rounds: each task trains on every token of its own texts of a round, from
+the same start, and the parameters are averaged before the next round.  They are averaged
+piece by piece: a group has one run of rows of the tables, so no task gets whole models of
+all others; a row weighs as much as its token was seen in a task.  The model that reaches the
+driver has a fixed size.  Which texts train together depends on how Spark deals them, so
+scores may differ slightly between runs with other partitions; for given ones they are the same.
 """
 
 from __future__ import annotations
 
 import io
-import re
-import zlib
-from collections import Counter
+from collections import deque
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.lineage import cut
 
-#: Classes and tokens in each; buckets for words beyond the frequent ones; tokens seen on each side; width.
-CLASSES, RARE, SIDE, WIDTH = 40, 64, 2, 16
-TOKENS = CLASSES * CLASSES
-#: Training takes each text's every STRIDE-th position, in batches; Adagrad's rate; seed.
-STRIDE, BATCH, RATE, SEED = 4, 4096, 0.15, 11
-#: Tokens scored at a time; models averaged together; distinct words that a task counts before it gives them out.
-CHUNK, FAN_IN, FLUSH = 1 << 16, 32, 400_000
-#: Entries of a worker's cache of words; when full it starts anew.
-CACHE = 500_000
+from .pieces import OWN_SLOTS, SENT_SLOTS, Pieces, Table, character_classes, frequent_pieces
+from .tokens import FREQUENT, sample_texts
 
-WORD = re.compile(r"\w+|[^\w\s]")
-_PLACES = [p for p in range(-SIDE, SIDE + 1) if p]
+#: Classes of the softmax; tokens seen on each side; width of the hidden layer, its constant included.
+CLASSES, SIDE, WIDTH = 32, 2, 16
+#: Rounds of training; tokens in a step; Adagrad's rate; seed; first sum of squares.
+ROUNDS, STEP, RATE, SEED, DAMPING = 3, 8192, 0.1, 11, 1e-4
+#: Tokens that a task trains on at least; tasks for each core at most.
+TASK_TOKENS, TASKS_A_CORE = 1 << 23, 4
+#: Rows of a table that are averaged together, and models; weight of a row whose token a task has not seen.
+RUN, FAN_IN, UNSEEN = 4096, 32, 1e-3
+#: Tokens that a worker's encoder keeps; when there are more it starts anew.
+KEPT = 1 << 22
 
 
-def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, count`` over all texts."""
+class Encoder(Pieces):
+    """The tokens of texts; one a worker process.  A pre-token's number is where its tokens are kept, and how many."""
 
-    def partial(batches):
-        kind = pa.schema([("word", pa.string()), ("count", pa.int64())])
-        found: Counter = Counter()
+    _made: Encoder | None = None
+
+    def __init__(self, path: str, classes: np.ndarray, frequent: Table | None = None, tokens: np.ndarray | None = None):
+        super().__init__(path, classes, frequent)
+        self.sent = np.empty(0, np.int32) if tokens is None else tokens
+        self.kept, self.used = np.concatenate([self.sent, np.empty(1 << 16, np.int32)]), len(self.sent)
+
+    @classmethod
+    def of(cls, path: str, parts: tuple) -> Encoder:
+        """The worker's encoder, made anew when other ``encoder_parts`` come."""
+        if cls._made is None or cls._made.classes is not parts[0]:
+            cls._made = cls(path, *parts)
+        return cls._made
+
+    def work_out(self, pieces: list[bytes]) -> np.ndarray:
+        found = self.encoded(pieces)
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        tokens = np.fromiter((t.id for f in found for t in f), np.int32, int(n.sum()))
+        if self.used + len(tokens) > len(self.kept):
+            self.kept = np.concatenate([self.kept[: self.used], np.empty(self.used + len(tokens), np.int32)])
+        self.kept[self.used : self.used + len(tokens)] = tokens
+        at = self.used + np.cumsum(n) - n
+        self.used += len(tokens)
+        return at << 24 | n
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The tokens of each text, as the library's ``encode`` without added special tokens has them."""
+        if self.special and any(map(self.special.search, texts)):
+            return [self._with_added(t) if self.special.search(t) else self.encode([t])[0] for t in texts]
+        out = []
+        for values, pieces in self.blocks(texts):
+            at, n = values >> 24, values & 0xFFFFFF
+            ends = np.cumsum(n)
+            tokens = self.kept[np.repeat(at - (ends - n), n) + np.arange(n.sum())]
+            last = np.concatenate([[0], ends])[np.cumsum(pieces)]
+            out += np.split(tokens, last[:-1])
+            if self.used - len(self.sent) > KEPT:
+                self.own, self.longer, self.used = Table(OWN_SLOTS), {}, len(self.sent)
+        return out
+
+    def _with_added(self, text: str) -> np.ndarray:
+        parts, added = self.special.split(text), self.special.findall(text)
+        tokens = self.encode(parts)
+        for i, token in enumerate(added):
+            tokens[i] = np.append(tokens[i], np.int32(self.tokenizer.token_to_id(token)))
+        return np.concatenate(tokens)
+
+
+def encoder_parts(docs: DataFrame, path: str, text: str = "text") -> tuple[np.ndarray, Table, np.ndarray]:
+    """The classes of characters, and the table of some rows' most frequent pre-tokens with their tokens."""
+    encoder = Encoder(path, character_classes(path))
+    *key, pieces = frequent_pieces(encoder, sample_texts(docs, text), FREQUENT)
+    table = Table(SENT_SLOTS)
+    table.put(*key, encoder.work_out(pieces))
+    return encoder.classes, table, encoder.kept[: encoder.used].copy()
+
+
+def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
+    """``doc_id, tokens, round``: the tokens (binary, unsigned little-endian 32-bit) of each row of ``docs``, a null text's as of an empty one."""
+    sent = docs.sparkSession.sparkContext.broadcast(encoder_parts(docs, path, text))
+
+    @F.arrow_udf("binary")
+    def tokens(texts: pa.Array) -> pa.Array:
+        return pa.array([t.astype("<u4").tobytes() for t in Encoder.of(path, sent.value).encode(texts.to_pylist())], pa.binary())
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], schema=kind)
+    column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), tokens(column).alias("tokens"), F.pmod(F.xxhash64(column), F.lit(rounds)).cast("int").alias("round"))
 
+
+def token_counts(rows: DataFrame, vocabulary: int) -> np.ndarray:
+    """How often each token of the vocabulary occurs in ``tokens``."""
+
+    def partial(batches):
+        found = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                found.update(WORD.findall((t or "").lower()))
-                if len(found) >= FLUSH:
-                    yield out()
-                    found.clear()
-        yield out()
+            for t in batch.column(0):
+                found += np.bincount(np.frombuffer(t.as_buffer(), "<u4"), minlength=vocabulary)
+        seen = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], ["token", "count"])
 
-    return docs.select(F.col(f"`{text}`")).mapInArrow(partial, "word string, count long").groupBy("word").agg(F.sum("count").alias("count"))
+    out = np.zeros(vocabulary, np.int64)
+    found = rows.select("tokens").mapInArrow(partial, "token long, count long").groupBy("token").agg(F.sum("count").alias("count")).toArrow()
+    out[found["token"].to_numpy()] = found["count"].to_numpy()  # a row for each token of the vocabulary at most
+    return out
 
 
 class Network:
-    """Parameters: ``near`` (place, token, width), ``shift``, ``kind`` (class, width), ``own`` (class, token, width), with biases."""
+    """Parameters by name, each a table of rows with a sum of squares in its last column.
 
-    NAMES = ("near", "shift", "kind", "kind_bias", "own", "own_bias")
+    ``seen`` (token and edge; for the left and the right side), ``own`` (token), ``kind`` (class), ``scale`` (place) and
+    ``shift`` (one row), each ``WIDTH`` wide; the hidden layer's last place is constant, for biases.  Tokens are numbered by rank.
+    """
 
-    def __init__(self, **parameters):
-        self.p = parameters
+    def __init__(self, rank: np.ndarray, first: np.ndarray, tables: dict[str, np.ndarray]):
+        self.rank, self.first, self.tables = rank, first, tables
+        self.edge = len(rank)
+        self.kind_of = np.repeat(np.arange(len(first) - 1), np.diff(first)).astype(np.uint8)
+        self.touched = {k: np.zeros(len(v)) for k, v in tables.items()}
 
     @classmethod
-    def start(cls) -> Network:
+    def start(cls, counts: np.ndarray, classes: int = CLASSES) -> Network:
+        """A network that gives each token its share of the corpus, whatever stands around it."""
+        order = np.lexsort((np.arange(len(counts)), -counts))
+        rank = np.empty(len(counts), np.int32)
+        rank[order] = np.arange(len(counts))
+        have = counts[order] + 1.0
+        # A class's part of the cost is its share times its length, so lengths go by the root of the share.
+        root = np.sqrt(counts[order]) + 0.25
+        number = np.minimum((np.cumsum(root) - root) * classes / root.sum(), classes - 1).astype(int)
+        first = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(counts))
+        kinds = np.add.reduceat(have, first[:-1])
         rng, f = np.random.default_rng(SEED), np.float32
-        return cls(
-            near=rng.normal(0, 0.1, (2 * SIDE, TOKENS + 1, WIDTH)).astype(f), shift=np.zeros(WIDTH, f),
-            kind=rng.normal(0, 0.1, (CLASSES, WIDTH)).astype(f), kind_bias=np.zeros(CLASSES, f),
-            own=rng.normal(0, 0.1, (CLASSES, CLASSES, WIDTH)).astype(f), own_bias=np.zeros((CLASSES, CLASSES), f),
-        )
+        table = lambda values: np.concatenate([values, np.full((len(values), 1), DAMPING)], axis=1).astype(f)
+        biased = lambda values, bias: np.concatenate([values[:, 1:], bias[:, None]], axis=1)
+        return cls(rank, first, {
+            "seen": table(rng.normal(0, 0.1, (len(counts) + 1, 2 * WIDTH))),
+            "own": table(biased(np.zeros((len(counts), WIDTH)), np.log(have / np.repeat(kinds, np.diff(first))))),
+            "kind": table(biased(rng.normal(0, 0.1, (len(kinds), WIDTH)), np.log(kinds / kinds.sum()))),
+            "scale": table(np.ones((2 * SIDE, WIDTH))), "shift": table(np.zeros((1, WIDTH))),
+        })
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, **self.p)
+        np.savez(out, rank=self.rank, first=self.first, **self.tables)
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> Network:
         with np.load(io.BytesIO(data)) as x:
-            return cls(**{k: x[k] for k in x.files})
-
-    def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-        near = self.p["near"]
-        total = near[0][stream[at + _PLACES[0]]]
-        for k, place in enumerate(_PLACES[1:], 1):
-            total = total + near[k][stream[at + place]]
-        return np.tanh(total + self.p["shift"])
-
-    @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        """Log-probabilities, in place."""
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+            return cls(x["rank"], x["first"], {k: x[k] for k in x.files if k not in ("rank", "first")})
+
+    def stream(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Ranks of the texts' tokens, with ``SIDE`` edges around each text."""
+        edge = np.full(SIDE, self.edge, np.int32)
+        parts = [edge]
+        for t in texts:
+            parts += [self.rank[t], edge]
+        return np.concatenate(parts)
+
+    def hidden(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hidden layer at each place of ``stream`` but the first and last ``SIDE``, and the embeddings of ``stream``."""
+        x, scale, n = self.tables["seen"][stream, :-1], self.tables["scale"], len(stream) - 2 * SIDE
+        total = np.tile(self.tables["shift"][:, :-1], (n, 1))
+        for d in range(1, SIDE + 1):
+            total += x[SIDE - d : SIDE - d + n, :WIDTH] * scale[d - 1, :-1]
+            total += x[SIDE + d : SIDE + d + n, WIDTH:] * scale[SIDE + d - 1, :-1]
+        np.tanh(total, out=total)
+        total[:, -1] = 1  # for the biases
+        return total, x
+
+    def _logits(self, h: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Of the rows of a softmax; they are kept from overflowing where the weights would let them, which is seldom."""
+        logits = h @ table[:, :-1].T
+        if np.abs(table[:, :-1]).sum(axis=1).max() > 80:
+            logits -= logits.max(axis=1, keepdims=True)
         return logits
 
-    def log_probabilities(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Of the tokens of ``stream`` at ``at``, each given its window."""
-        h, kind, own = self.hidden(stream, at), stream[at] // CLASSES, stream[at] % CLASSES
-        out = self._softmax(h @ self.p["kind"].T + self.p["kind_bias"])[np.arange(len(at)), kind]
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
-                out[rows] += self._softmax(h[rows] @ self.p["own"][c].T + self.p["own_bias"][c])[np.arange(len(rows)), own[rows]]
+    def _sorted(self, stream: np.ndarray):
+        """Of the places that are no edges, by class: places, tokens, classes, and where each class that occurs begins and ends."""
+        at = np.flatnonzero(stream[SIDE:-SIDE] != self.edge)
+        want = stream[SIDE:-SIDE][at]
+        order = np.argsort(self.kind_of[want], kind="stable")
+        at, want = at[order], want[order]
+        kind = self.kind_of[want]
+        ends = np.searchsorted(kind, np.arange(len(self.first)))
+        return at, want, kind, [(c, ends[c], ends[c + 1]) for c in np.flatnonzero(np.diff(ends)).tolist()]
+
+    def log_probabilities(self, stream: np.ndarray) -> np.ndarray:
+        """Of each token of ``stream`` but the first and last ``SIDE``, given those around it; 0 for edges."""
+        at, want, kind, runs = self._sorted(stream)
+        h, rows = self.hidden(stream)[0][at], np.arange(len(at))
+        out, each = np.zeros(len(stream) - 2 * SIDE), np.zeros(len(at))
+
+        def of(h, table, place, out):
+            logits = self._logits(h, table)
+            out += logits[rows[: len(place)], place]
+            np.exp(logits, out=logits)
+            out -= np.log(logits @ np.ones(len(table), np.float32))
+
+        of(h, self.tables["kind"], kind, each)
+        for c, a, b in runs:
+            if self.first[c + 1] - self.first[c] > 1:
+                of(h[a:b], self.tables["own"][self.first[c] : self.first[c + 1]], want[a:b] - self.first[c], each[a:b])
+        out[at] = each
         return out
 
-    def step(self, stream: np.ndarray, at: np.ndarray, sums: dict[str, np.ndarray]) -> None:
-        """One step of Adagrad down the mean loss of the windows at ``at``."""
-        p, n = self.p, len(at)
-        h, kind, own = self.hidden(stream, at), stream[at] // CLASSES, stream[at] % CLASSES
-        slope = {k: np.zeros_like(v) for k, v in p.items()}
-        error = np.exp(self._softmax(h @ p["kind"].T + p["kind_bias"]))
-        error[np.arange(n), kind] -= 1
-        error /= n
-        slope["kind"], slope["kind_bias"], back = error.T @ h, error.sum(axis=0), error @ p["kind"]
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
-                error = np.exp(self._softmax(h[rows] @ p["own"][c].T + p["own_bias"][c]))
-                error[np.arange(len(rows)), own[rows]] -= 1
-                error /= n
-                slope["own"][c], slope["own_bias"][c] = error.T @ h[rows], error.sum(axis=0)
-                back[rows] += error @ p["own"][c]
+    def _down(self, name: str, slope: np.ndarray, rows=slice(None), seen=1.0) -> None:
+        """Adagrad with one sum of squares a row."""
+        table = self.tables[name][rows]
+        table[:, -1] += np.einsum("ij,ij->i", slope, slope) * (1 / slope.shape[1])
+        table[:, :-1] -= slope * (RATE / np.sqrt(table[:, -1:]))
+        self.tables[name][rows] = table
+        self.touched[name][rows] += seen
+
+    def step(self, stream: np.ndarray) -> None:
+        """One step down the mean loss of the tokens of ``stream``, but the first and last ``SIDE``."""
+        at, want, kind, runs = self._sorted(stream)
+        n = len(at)
+        if not n:
+            return
+        whole, x = self.hidden(stream)
+        h, rows, part = whole[at], np.arange(n), np.float32(1 / n)
+
+        def error_of(h, table, place):
+            error = self._logits(h, table)
+            np.exp(error, out=error)
+            error *= (part / (error @ np.ones(len(table), np.float32)))[:, None]
+            error[rows[: len(place)], place] -= part
+            return error
+
+        error = error_of(h, self.tables["kind"], kind)
+        kinds, back = error.T @ h, error @ self.tables["kind"][:, :-1]
+        for c, a, b in runs:
+            run = slice(self.first[c], self.first[c + 1])
+            own, place = self.tables["own"][run], want[a:b] - self.first[c]
+            if len(own) > 1:
+                error = error_of(h[a:b], own, place)
+                back[a:b] += error @ own[:, :-1]
+                self._down("own", error.T @ h[a:b], run, np.bincount(place, minlength=len(own)))
+        self._down("kind", kinds, seen=n)
         back *= 1 - h * h
-        slope["shift"] = back.sum(axis=0)
-        for k, place in enumerate(_PLACES):
-            tokens = stream[at + place]
-            for d in range(WIDTH):
-                slope["near"][k][:, d] = np.bincount(tokens, back[:, d], TOKENS + 1)
-        for k, s in slope.items():
-            sums[k] += s * s
-            p[k] -= RATE * s / np.sqrt(sums[k])
-
-
-class Encoder:
-    """Token numbers of words: rank for the frequent ones, a bucket behind them for all others."""
-
-    def __init__(self, vocabulary: list[str]):
-        self.ranks = {w: i for i, w in enumerate(vocabulary[: TOKENS - RARE])}
-        self.known = dict(self.ranks)
-
-    def number(self, word: str) -> int:
-        if len(self.known) >= CACHE + len(self.ranks):
-            self.known = dict(self.ranks)
-        self.known[word] = found = TOKENS - RARE + zlib.crc32(word.encode()) % RARE
-        return found
-
-    def encode(self, text: str | None) -> list[int]:
-        out, get = [], self.known.get
-        for w in WORD.findall((text or "").lower()):
-            n = get(w)
-            if n is None:
-                n = self.number(w)
-                get = self.known.get
-            out.append(n)
-        return out
+        back[:, -1] = 0  # of the constant
+        full = np.zeros_like(whole)
+        full[at] = back
+        scale, to_x, scales = self.tables["scale"], np.zeros_like(x), np.empty((2 * SIDE, WIDTH), np.float32)
+        m = len(full)
+        for d in range(1, SIDE + 1):
+            for k, begin, half in ((d - 1, SIDE - d, slice(0, WIDTH)), (SIDE + d - 1, SIDE + d, slice(WIDTH, 2 * WIDTH))):
+                scales[k] = np.einsum("ij,ij->j", full, x[begin : begin + m, half])
+                to_x[begin : begin + m, half] += full * scale[k, :-1]
+        self._down("scale", scales, seen=n)
+        self._down("shift", full.sum(axis=0)[None], seen=n)
+        order = np.argsort(stream.astype(np.uint16) if self.edge < 1 << 16 else stream, kind="stable")
+        begins = np.flatnonzero(np.diff(stream[order], prepend=-1))
+        self._down("seen", np.add.reduceat(to_x[order], begins), stream[order[begins]], np.diff(np.append(begins, len(order))))
+
+
+def segments(network: Network, batches, column: int = 0):
+    """Streams of about ``STEP`` tokens over the texts of ``batches``; a long text is several, which overlap by what a window sees."""
+    waiting, have = [], 0
+    for batch in batches:
+        for t in batch.column(column):
+            tokens = np.frombuffer(t.as_buffer(), "<u4")
+            waiting.append(tokens)
+            have += len(tokens)
+            if have >= STEP:
+                yield from _cut(network.stream(waiting))
+                waiting, have = [], 0
+    if have:
+        yield from _cut(network.stream(waiting))
 
 
-def stream_of(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts with ``SIDE`` edge tokens around each, and where each text's tokens begin."""
-    edge, parts, begins, at = [TOKENS] * SIDE, [], [], 0
-    for ids in texts:
-        parts += edge
-        begins.append(at + SIDE)
-        parts += ids
-        at += SIDE + len(ids)
-    return np.array(parts + edge, np.int32), np.array(begins, np.int64)
+def _cut(stream: np.ndarray, step: int | None = None):
+    n, step = len(stream) - 2 * SIDE, step or STEP
+    parts = max(1, round(n / step))
+    ends = np.linspace(0, n, parts + 1).astype(int).tolist()
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        yield stream[a : b + 2 * SIDE]
 
 
-def train(docs: DataFrame, vocabulary: list[str], text: str = "text") -> Network:
-    """Train on windows of every text, task by task, and average."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(vocabulary)
+def train(rows: DataFrame, network: Network, tasks: int) -> Network:
+    """``network`` after one round over ``tokens``: every task trains on its own texts, then rows are averaged."""
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(network.dump())
 
     def local(batches):
-        encoder, network, windows = Encoder(sent.value), Network.start(), 0
-        sums = {k: np.full_like(v, 1e-6) for k, v in network.p.items()}
-        stream, have = [], 0
-        rng = np.random.default_rng(SEED)
-
-        def learn():
-            nonlocal windows
-            line, begins = stream_of(stream)
-            places = np.concatenate([b + np.arange(i % STRIDE, len(ids), STRIDE) for i, (b, ids) in enumerate(zip(begins.tolist(), stream, strict=True))])
-            places = rng.permutation(places)
-            for first in range(0, len(places), BATCH):
-                network.step(line, places[first : first + BATCH], sums)
-            windows += len(places)
-
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                stream.append(encoder.encode(t))
-                have += len(stream[-1])
-                if have >= 16 * BATCH:
-                    learn()
-                    stream, have = [], 0
-        if have:
-            learn()
-        if windows:
-            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "windows": [windows], "model": [network.dump()]})
-
-    def average(rows: pd.DataFrame) -> pd.DataFrame:
-        share = rows["windows"].to_numpy(np.float64) / rows["windows"].sum()
-        models = [Network.load(m) for m in rows["model"]]
-        mean = {k: sum(w * m.p[k] for w, m in zip(share, models, strict=True)).astype(np.float32) for k in Network.NAMES}
-        return pd.DataFrame({"part": [int(rows["part"].min()) // FAN_IN], "windows": [int(rows["windows"].sum())], "model": [Network(**mean).dump()]})
-
-    kind = "part long, windows long, model binary"
-    models = cut(docs.select(F.col(f"`{text}`")).mapInArrow(local, kind), "models")
-    parts = models.agg(F.max("part")).first()[0]
-    while parts:  # groups of FAN_IN, then groups of those
-        models = models.groupBy(F.expr(f"part div {FAN_IN}")).applyInPandas(average, kind)
-        parts //= FAN_IN
-    found = models.collect()
-    return Network.load(bytes(found[0]["model"])) if found else Network.start()
-
-
-def vocabulary_of(docs: DataFrame, text: str = "text") -> list[str]:
-    """The most frequent words of the corpus, a fixed number of them; ties by the word."""
-    counts = count_words(docs, text).orderBy(F.desc("count"), "word").limit(TOKENS - RARE)
-    return [r["word"] for r in counts.collect()]
-
-
-def log_likelihood(spark: SparkSession, text: Column, vocabulary: list[str], network: Network) -> Column:
-    """``n_tokens, log_prob`` of each whole text."""
-    sent, made = spark.sparkContext.broadcast((vocabulary, network.dump())), []
-
-    @F.arrow_udf("struct<n_tokens:bigint,log_prob:double>")
-    def score(texts: pa.Array) -> pa.Array:
+        model, seen = Network.load(sent.value), False
+        for part in segments(model, batches):
+            model.step(part)
+            seen = True
+        part = TaskContext.get().partitionId()
+        for name, table in model.tables.items() if seen else ():
+            for k, first in enumerate(range(0, len(table), RUN)):
+                some, weight = table[first : first + RUN], UNSEEN + model.touched[name][first : first + RUN]
+                yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "run": [k], "weight": [weight.astype("<f8").tobytes()], "rows": [some.astype("<f4").tobytes()]})
+
+    def average(parts: pd.DataFrame) -> pd.DataFrame:
+        total = weights = 0.0
+        for weight, some in zip(parts["weight"], parts["rows"], strict=True):
+            weight = np.frombuffer(weight, "<f8")
+            total, weights = total + np.frombuffer(some, "<f4").reshape(len(weight), -1) * weight[:, None], weights + weight
+        mean = (total / weights[:, None]).astype("<f4")
+        out = {"part": int(parts["part"].min()) // FAN_IN, "name": parts["name"].iloc[0], "run": int(parts["run"].iloc[0])}
+        return pd.DataFrame([out | {"weight": weights.astype("<f8").tobytes(), "rows": mean.tobytes()}])
+
+    kind = "part long, name string, run long, weight binary, rows binary"
+    models = rows.select("tokens").coalesce(tasks).mapInArrow(local, kind)
+    while tasks > 1:
+        models = models.groupBy("name", "run", F.expr(f"part div {FAN_IN}")).applyInPandas(average, kind)
+        tasks = -(-tasks // FAN_IN)
+    tables = {k: v.copy() for k, v in network.tables.items()}
+    for r in models.collect():  # one model's rows
+        table = tables[r["name"]]
+        some = np.frombuffer(r["rows"], "<f4").reshape(-1, table.shape[1])
+        table[r["run"] * RUN : r["run"] * RUN + len(some)] = some
+    return Network(network.rank, network.first, tables)
+
+
+def fit(rows: DataFrame, vocabulary: int, rounds: int = ROUNDS) -> Network:
+    """A network trained on every token of ``tokens`` once, round by round."""
+    counts = token_counts(rows, vocabulary)
+    network = Network.start(counts)
+    wanted = max(1, int(counts.sum()) // rounds // TASK_TOKENS)
+    tasks = min(max(wanted, 1), TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+    for k in range(rounds):
+        network = train(rows.where(F.col("round") == k), network, tasks)
+    return network
+
+
+def log_likelihood(rows: DataFrame, network: Network) -> DataFrame:
+    """``doc_id, n_tokens, log_prob`` of the whole texts of ``doc_id, tokens``."""
+    sent, made = rows.sparkSession.sparkContext.broadcast(network.dump()), []
+
+    @F.arrow_udf("double")
+    def score(tokens: pa.Array) -> pa.Array:
         if not made:
-            made.extend([Encoder(sent.value[0]), Network.load(sent.value[1])])
-        encoder, model = made
-        counts, sums, waiting, have = [], [], [], 0
+            made.append(Network.load(sent.value))
+        model, out, queue = made[0], [], deque()
 
         def flush():
-            line, begins = stream_of(waiting)
-            sizes = np.array([len(w) for w in waiting], np.int64)
-            places = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            each = np.concatenate([model.log_probabilities(line, places[i : i + CHUNK]) for i in range(0, len(places), CHUNK)] or [np.empty(0, np.float32)])
-            ends = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
-            stop = np.cumsum(sizes)
-            counts.extend(sizes.tolist())
-            sums.extend((ends[stop] - ends[stop - sizes]).tolist())
-
-        for t in texts.to_pylist():
-            waiting.append(encoder.encode(t))
-            have += len(waiting[-1])
-            if have >= CHUNK:
+            texts = list(queue)
+            queue.clear()
+            each = np.concatenate([model.log_probabilities(part) for part in _cut(model.stream(texts))])
+            ends = np.concatenate([[0.0], np.cumsum(each)])
+            sizes = np.array([len(t) for t in texts])
+            begins = np.cumsum(sizes + SIDE) - sizes - SIDE
+            out.extend((ends[begins + sizes] - ends[begins]).tolist())
+
+        have = 0
+        for t in tokens:
+            queue.append(np.frombuffer(t.as_buffer(), "<u4"))
+            have += len(queue[-1])
+            if have >= STEP:
                 flush()
-                waiting, have = [], 0
-        if waiting:
+                have = 0
+        if queue:
             flush()
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], ["n_tokens", "log_prob"])
+        return pa.array(out, pa.float64())
 
-    return score(text)
+    return rows.select("doc_id", F.expr("cast(octet_length(tokens) div 4 as long)").alias("n_tokens"), score("tokens").alias("log_prob"))
 
 
-def score_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def score_documents(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_tokens, log_prob, mean_log_prob`` for each row of ``docs``, by a network trained on all its texts.
 
-    ``log_prob`` sums the log-probability of every token given both sides.  A null, empty or blank text has 0 tokens,
-    ``log_prob`` 0 and a null mean.  A null ``doc_id`` stays null, repeated rows give repeated rows of one score,
-    no rows give no rows; other columns are not read.
+    ``path``: a byte-level BPE of the tokenizers library.  ``log_prob`` sums the log-probability of every token of the whole text given both sides.
+    A null or empty text has 0 tokens, ``log_prob`` 0 and a null mean.  A null ``doc_id`` stays null, repeated rows give
+    repeated rows of one score but for the rounding of 32-bit sums, no rows give no rows; other columns are not read.  A text of
+    any length is trained on and scored in parts of about ``STEP`` tokens that overlap by a window.
     """
-    vocabulary = vocabulary_of(docs, text)
-    network = train(docs, vocabulary, text)
-    out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), log_likelihood(docs.sparkSession, F.col(f"`{text}`"), vocabulary, network).alias("s"))
-    mean = F.when(F.col("s.n_tokens") > 0, F.col("s.log_prob") / F.col("s.n_tokens"))
-    return out.select("doc_id", "s.n_tokens", "s.log_prob", mean.alias("mean_log_prob"))
+    from tokenizers import Tokenizer
+
+    rows = cut(encoded(docs, path, text, doc_id), "tokens", "round")
+    network = fit(rows, Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    return log_likelihood(rows, network).withColumn("mean_log_prob", mean)

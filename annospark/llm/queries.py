@@ -56,7 +56,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score_documents(read(spark, sf_dir, "documents"))
+    return lm_score.score_documents(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

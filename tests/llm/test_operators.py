@@ -378,45 +378,102 @@ def test_url_filter(spark, limit):
 # ---- 8 language model
 
 
-def test_pseudo_likelihood_learns_and_scores(spark, messy, nothing):
+LM = queries.tokenizer_file("byte_bpe_50k.json")
+
+
+def plain_log_prob(net, text_tokens):
+    """The summed log-probability of one text, token by token, from the parameters as they are defined."""
+    width, total = lm_score.WIDTH, 0.0
+    t = {k: v[:, :-1].astype(np.float64) for k, v in net.tables.items()}
+    line = [net.edge] * lm_score.SIDE + net.rank[text_tokens].tolist() + [net.edge] * lm_score.SIDE
+    for i in range(lm_score.SIDE, len(line) - lm_score.SIDE):
+        h = t["shift"][0].copy()
+        for d in range(1, lm_score.SIDE + 1):
+            h += t["seen"][line[i - d], :width] * t["scale"][d - 1] + t["seen"][line[i + d], width:] * t["scale"][lm_score.SIDE + d - 1]
+        h = np.tanh(h)
+        h[-1] = 1
+        c = int(np.searchsorted(net.first, line[i], "right")) - 1
+        kinds, own = t["kind"] @ h, t["own"][net.first[c] : net.first[c + 1]] @ h
+        total += kinds[c] - np.log(np.exp(kinds).sum()) + own[line[i] - net.first[c]] - np.log(np.exp(own).sum())
+    return total
+
+
+def test_pseudo_likelihood_is_that_of_the_whole_text(spark, messy, nothing):
+    t = library("byte_bpe_50k.json")
+    rows = lm_score.encoded(messy, LM).cache()
+    found = {r["doc_id"]: np.frombuffer(r["tokens"], "<u4").tolist() for r in rows.collect()}
+    assert all(found[i] == t.encode(x or "", add_special_tokens=False).ids for i, x in TEXTS if i not in (7, None))
+    net = lm_score.fit(rows, t.get_vocab_size(with_added_tokens=True))
+    got = {r["doc_id"]: r for r in lm_score.log_likelihood(rows, net).collect()}
+    for i, x in TEXTS:
+        if i not in (7, None):
+            ids = np.array(t.encode(x or "", add_special_tokens=False).ids, int)
+            assert got[i]["n_tokens"] == len(ids) and abs(got[i]["log_prob"] - plain_log_prob(net, ids)) < 1e-3 * max(1, len(ids)), x
+    out = {r["doc_id"]: r for r in lm_score.score_documents(messy, LM).collect()}
+    assert out[4]["n_tokens"] == 0 and out[4]["log_prob"] == 0 and out[4]["mean_log_prob"] is None and abs(out[1]["log_prob"] - out[2]["log_prob"]) < 1e-4 and out[1]["log_prob"] < 0
+    assert lm_score.score_documents(messy, LM).count() == len(TEXTS) and lm_score.score_documents(nothing, LM).count() == 0
+
+
+def test_long_texts_are_scored_in_parts_as_a_whole():
+    rng = np.random.default_rng(6)
+    net = lm_score.Network.start(rng.integers(0, 50, 500))
+    text = rng.integers(0, 500, 1000).astype(np.uint32)
+    whole = net.log_probabilities(net.stream([text]))
+    parts = np.concatenate([net.log_probabilities(p) for p in lm_score._cut(net.stream([text]), 64)])
+    assert np.allclose(whole, parts, atol=1e-5) and abs(whole.sum() - plain_log_prob(net, text)) < 1e-2
+
+
+def test_training_learns_what_stands_around(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("the cat sat on the mat and "), (F.col("id") % 3).cast("string"), F.lit(" . ")), 200).alias("text"))
-    vocabulary = lm_score.vocabulary_of(docs)
-    assert vocabulary[0] == "the" and len(vocabulary) == 10
-    network = lm_score.train(docs.repartition(2), vocabulary)
-    both = spark.createDataFrame([("the cat sat on the mat and 1 . the cat sat on the mat",), ("mat mat the the on . 2 sat on on the the and and",)], "text string")
-    got = both.select(lm_score.log_likelihood(spark, F.col("text"), vocabulary, network).alias("s")).select("s.*").collect()
+    rows = lm_score.encoded(docs.repartition(2), LM)
+    net = lm_score.fit(rows, 50257)
+    both = spark.createDataFrame([(0, "the cat sat on the mat and 1 . the cat sat on the mat"), (1, "mat mat the the on . 2 sat on on the the and and")], "doc_id long, text string")
+    got = sorted(lm_score.log_likelihood(lm_score.encoded(both, LM), net).collect())
     assert got[0]["log_prob"] / got[0]["n_tokens"] > got[1]["log_prob"] / got[1]["n_tokens"] + 1
-    out = {r["doc_id"]: r for r in lm_score.score_documents(messy).collect()}
-    assert out[4]["n_tokens"] == 0 and out[4]["log_prob"] == 0 and out[4]["mean_log_prob"] is None and out[1]["log_prob"] == out[2]["log_prob"] < 0
-    assert lm_score.score_documents(messy).count() == len(TEXTS) and lm_score.score_documents(nothing).count() == 0
+
+
+def test_tasks_average_what_they_saw(spark):
+    """One round in two tasks against the same steps and means in plain numpy."""
+    rng = np.random.default_rng(7)
+    net = lm_score.Network.start(rng.integers(0, 9, 300))
+    texts = [rng.integers(0, 200, 400).astype("<u4") for _ in range(2)]
+    rows = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "tokens binary").repartition(2).cache()
+    parts = [[np.frombuffer(r["tokens"], "<u4") for r in p] for p in rows.rdd.glom().collect()]
+    got = lm_score.train(rows, net, 2)
+    models = []
+    for part in filter(None, parts):
+        m = lm_score.Network.load(net.dump())
+        m.step(m.stream(part))
+        models.append(m)
+    for k in net.tables:
+        weights = [m.touched[k][:, None] + lm_score.UNSEEN for m in models]
+        want = sum(m.tables[k] * w for m, w in zip(models, weights, strict=True)) / sum(weights)
+        assert np.allclose(got.tables[k], want, atol=1e-5), k
 
 
 def test_slopes_are_those_of_the_loss():
     rng = np.random.default_rng(0)
-    net = lm_score.Network.start()
-    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    line, begins = lm_score.stream_of([rng.integers(0, lm_score.TOKENS, 30).tolist()])
-    at = begins[0] + np.arange(30)
-    loss = lambda: -net.log_probabilities(line, at).mean()
-    sums, before = {k: np.full_like(v, 1e-30) for k, v in net.p.items()}, {k: v.copy() for k, v in net.p.items()}
-    net.step(line, at, sums)
-    slopes, net.p = {k: np.sqrt(s) * np.sign(before[k] - net.p[k]) for k, s in sums.items()}, before
-    for k, s in slopes.items():
-        at_most = np.unravel_index(np.abs(s).argmax(), s.shape)
-        h, old = 1e-5, net.p[k][at_most]
-        net.p[k][at_most] = old + h
+    net = lm_score.Network.start(rng.integers(0, 30, 90))
+    net.tables = {k: np.concatenate([v[:, :-1] + rng.normal(0, 0.1, v[:, :-1].shape), np.zeros((len(v), 1))], axis=1) for k, v in net.tables.items()}
+    line = net.stream([rng.integers(0, 90, 30), rng.integers(0, 90, 9)])
+    loss = lambda: -net.log_probabilities(line).sum() / 39
+    before, found = {k: v.copy() for k, v in net.tables.items()}, {}
+    net._down = lambda name, slope, rows=slice(None), seen=1.0: found.setdefault(name, np.zeros_like(before[name][:, :-1])).__setitem__(rows, slope)
+    net.step(line)
+    for k, slope in found.items():
+        i, j = np.unravel_index(np.abs(slope).argmax(), slope.shape)
+        old, h = net.tables[k][i, j], 1e-5
+        net.tables[k][i, j] = old + h
         up = loss()
-        net.p[k][at_most] = old - h
-        assert abs((up - loss()) / (2 * h) - s[at_most]) < 1e-6, k
-        net.p[k][at_most] = old
+        net.tables[k][i, j] = old - h
+        assert abs((up - loss()) / (2 * h) - slope[i, j]) < 1e-5, k
+        net.tables[k][i, j] = old
 
 
 def test_likelihood_is_a_distribution_over_tokens():
-    net = lm_score.Network.start()
-    total = 0.0
-    for t in range(lm_score.TOKENS):
-        line, begins = lm_score.stream_of([[5, 6, t, 8, 9]])
-        total += float(np.exp(net.log_probabilities(line, begins[:1] + 2)[0]))
+    net, total = lm_score.Network.start(np.random.default_rng(1).integers(0, 99, 700)), 0.0
+    for t in range(700):
+        total += float(np.exp(net.log_probabilities(net.stream([np.array([5, 6, t, 8, 9])]))[2]))
     assert abs(total - 1) < 1e-3
 
 
@@ -446,19 +503,52 @@ def test_toxicity_finds_misspellings_on_held_out_rows(spark, nothing):
     assert toxicity.score_toxicity(nothing, labels.limit(0)).count() == 0
 
 
-def test_toxicity_reads_all_of_a_long_run():
-    for run in ("".join(chr(0x4E00 + i) for i in range(n)) for n in (64, 65, 68, 69, 124, 125, 500)):
-        rows = {r for w in toxicity.words_of(run) for r in toxicity.subwords(w)}
-        assert {zlib.crc32(g.encode()) % toxicity.BUCKETS for n in toxicity.GRAMS for i in range(len(run) - n + 1) for g in [run[i : i + n]]} <= rows
-        assert all(len(w) <= toxicity.LONGEST for w in toxicity.words_of(run)) and toxicity.words_of(f"a {run} b")[::len(toxicity.words_of(run)) + 1] == ["a", "b"]
+def plain_words(text):
+    """The words of a text as Python finds them, long runs in pieces that overlap."""
+    step = toxicity.LONGEST - max(toxicity.GRAMS) + 1
+    return [w[i : i + toxicity.LONGEST] for w in re.findall(r"\w+", (text or "").lower()) for i in ([0] if len(w) <= toxicity.LONGEST else range(0, len(w) - max(toxicity.GRAMS) + 1, step))]
+
+
+@pytest.mark.parametrize("chunk", [1 << 17, 150])
+def test_words_are_those_of_the_text_whatever_its_length(monkeypatch, chunk):
+    monkeypatch.setattr(toxicity, "CHUNK", chunk)
+    texts = [x or "" for _, x in TEXTS] + ["x" * n + t for n in (63, 64, 65, 68, 69, 124, 125, 2000) for t in ("", " y")] + ["日本" * 900 + "!" + "z" * 700, "İ ſ _a_ ²x"]
+    for text in texts:
+        bags, rows, count = toxicity.distinct_words([text])
+        words, same = plain_words(text), {}
+        assert len(words) == len(bags[0]) and all(same.setdefault(w, n) == n for w, n in zip(words, bags[0].tolist(), strict=True)) and len(set(same.values())) == len(same) == len(count)
+        ends = np.cumsum(count)
+        for w, n in same.items():
+            assert count[n] == 1 + sum(max(0, len(w) + 3 - k) for k in toxicity.GRAMS)
+            assert set(rows[ends[n] - count[n] : ends[n]].tolist()) == set(toxicity.Words([w]).rows().tolist())
+    # An n-gram has the same row in whatever word it stands.
+    assert {*toxicity.Words(["abcde"]).grams[0][1:4].tolist()} <= {*toxicity.Words(["xabcdex"]).grams[0].tolist()}
+
+
+def test_scores_are_the_worst_passage_of_each_text(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = toxicity.Model(rng.normal(0, 1, (toxicity.BUCKETS, toxicity.WIDTH)), rng.normal(0, 1, (2, toxicity.WIDTH)), np.array([0.1, 0.3]))
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 1000, i % 9)) for i in range(200)] + [x for _, x in TEXTS]
+    want = []
+    for text in texts:
+        vectors = [model.table[toxicity.Words([w]).rows()].mean(axis=0) for w in plain_words(text)]
+        k = toxicity.PASSAGE
+        bags = [np.mean(vectors[i : i + k], axis=0) for i in range(len(vectors) - k + 1)] or [sum(vectors, np.zeros(toxicity.WIDTH)) / toxicity.LEAST]
+        odds = [(b @ model.weight.T + model.bias) @ [-1, 1] for b in bags]
+        want.append(1 / (1 + np.exp(-max(odds))))
+    for chunk in (1 << 17, 100):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        assert np.allclose(model.scores(texts), want, atol=1e-9)
+        assert np.allclose([model.scores([t])[0] for t in texts], want, atol=1e-9)
 
 
 def test_a_word_before_a_text_cannot_hide_a_passage():
     rng = np.random.default_rng(4)
     model = toxicity.Model(rng.normal(0, 1, (toxicity.BUCKETS, toxicity.WIDTH)), rng.normal(0, 1, (2, toxicity.WIDTH)), np.zeros(2))
+    score = lambda t: model.scores([t])[0]
     for i in range(200):
         text = " ".join(f"w{k}" for k in rng.integers(0, 1000, 2 + i % 7))
-        assert model.score(f"before {text}") >= model.score(text) - 1e-12 and model.score(f"{text} after") >= model.score(text) - 1e-12
+        assert score(f"before {text}") >= score(text) - 1e-12 and score(f"{text} after") >= score(text) - 1e-12
 
 
 # ---- 10 secrets
