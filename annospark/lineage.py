@@ -9,27 +9,61 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from threading import local
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_open = local()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a local session may leave that unset, and gets a folder of its own; on a cluster a folder of the driver's
+    machine would not be seen by the executors, so that raises.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="annospark-")
     return _own[app]
 
 
+@contextmanager
+def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that are cut inside are dropped at the end, but for those given to the function that this yields.
+
+    What leaves the block must read kept tables only.
+    """
+    outer, mine, kept = getattr(_open, "tables", None), [], []
+    _open.tables = mine
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df._cut_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _open.tables = outer
+        for df in mine:
+            if df._cut_path not in kept:
+                drop(df)
+            elif outer is not None:
+                outer.append(df)
+
+
 def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Write ``df`` to the shared folder, partitioned by ``by``, and return the written table.
 
-    The files go when the session ends, or before that through ``drop``.
+    The files go when the session ends, or before that through ``scope`` or ``drop``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}/{name}"
@@ -38,6 +72,8 @@ def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
+    if getattr(_open, "tables", None) is not None:
+        _open.tables.append(out)
     return out
 
 

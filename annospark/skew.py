@@ -16,14 +16,15 @@ def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, ho
 
     Groups of over ``together`` rows are salted: their rows are dealt over ``size / together`` salts and the group's
     own row is repeated for each.  The ``most`` largest groups only are salted, so the broadcast table of salts has a
-    fixed bound; any other group is smaller than a ``most``-th of all rows.
+    fixed bound; any other group is smaller than a ``most``-th of all rows.  A row's salt depends on its columns alone, so a
+    task that runs again deals its rows as before; rows that are equal in all columns stay together, so give them a number.
     """
     hot = groups.where(F.col(size) > together).orderBy(F.desc(size)).limit(most)
     hot = hot.select(F.xxhash64(*keys).alias("_hot"), F.ceil(F.col(size) / together).cast("long").alias("_salts"))
     # A row that meets no key keeps the plan the same whether any group is hot or not.
     hot = hot.unionByName(groups.sparkSession.range(1).select(F.lit(None).cast("long").alias("_hot"), F.lit(1).cast("long").alias("_salts")))
     hot = F.broadcast(hot.groupBy("_hot").agg(F.max("_salts").alias("_salts")))
-    deal = F.pmod(F.xxhash64(*rows.columns, F.monotonically_increasing_id()), "_salts")
+    deal = F.pmod(F.xxhash64(*rows.columns), "_salts")
     left = rows.join(hot, F.xxhash64(*keys) == F.col("_hot"), "left").withColumn("_salt", F.coalesce(deal, F.lit(0))).drop("_hot", "_salts")
     right = groups.join(hot, F.xxhash64(*keys) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1)))
     return left.join(right.drop("_hot", "_salts", size), [*keys, "_salt"], how).drop("_salt")
