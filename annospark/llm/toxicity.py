@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import io
 import re
-import zlib
-from array import array
 
 import numpy as np
 import pandas as pd
@@ -33,33 +31,111 @@ BUCKETS, WIDTH, GRAMS = 1 << 16, 8, (3, 4, 5)
 PASSAGE, LEAST = 2, 2
 #: Characters in a word.
 LONGEST = 64
-#: Labelled rows in the training sample, at most, of each class (those of least hash), and characters in one.
-POSITIVE, NEGATIVE, TRAIN_CHARS = 2000, 4000, 60_000
+#: Labelled rows in the training sample, at most, of each class (those of least hash), and characters in all of them.
+POSITIVE, NEGATIVE, TRAIN_CHARS = 2000, 4000, 30_000_000
 #: Passes over the sample, texts in a step, Adagrad's rate, seed.
 EPOCHS, BATCH, RATE, SEED = 30, 100, 0.3, 7
 #: Texts that a row is imagined to have been seen in, in the classes' proportion; first sum of squares of its slopes.
 PRIOR, DAMPING = 30, 1e-3
-#: Entries of a worker's cache of words; when full it starts anew.
-CACHE = 200_000
 #: Rows of these remainders of crc32(doc_id as text) by 5 give labels; those of 0 are held out.
 FOLDS = 5
 
-WORD = re.compile(r"\w+")
-
-
-def words_of(text: str | None) -> list[str]:
-    found = WORD.findall((text or "").lower())
-    if max(map(len, found), default=0) <= LONGEST:
-        return found
-    step = LONGEST - max(GRAMS) + 1
-    return [w[i : i + LONGEST] for w in found for i in range(0, max(1, len(w) - max(GRAMS) + 1), step)]
-
+NOT_WORD = re.compile(r"\W")
+#: Characters of texts worked on together, about.
+CHUNK = 1 << 17
+_STEP = LONGEST - max(GRAMS) + 1
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
+_PLACES = np.random.default_rng(SEED).integers(0, 1 << 63, LONGEST + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_word: list[np.ndarray] = []
+
+
+def word_characters() -> np.ndarray:
+    """Of every code point, whether it is a letter, a digit or an underscore; made once a process."""
+    if not _word:
+        _word.append(np.array([chr(c).isalnum() or c == 95 for c in range(0x110000)]))
+    return _word[0]
+
+
+def chunks(text: str | None) -> list[str]:
+    """The lower-cased text in parts of about ``CHUNK`` characters that have the same words together, one part at least."""
+    text, at, out = (text or "").lower(), 0, []
+    while len(text) - at > CHUNK:
+        to = at + CHUNK
+        end = NOT_WORD.search(text, to, to + CHUNK)
+        if end:
+            out.append(text[at : end.start()])
+            at = end.start()
+            continue
+        begin = to  # inside a long run, which is cut where its next piece begins
+        while begin > at and not NOT_WORD.match(text, begin - 1):
+            begin -= 1
+        to = begin - (begin - to) // _STEP * _STEP
+        out.append(text[at : to + LONGEST - _STEP])
+        at = to
+    return [*out, text[at:]]
+
+
+class Words:
+    """The words of some texts, in order, as embedding rows.
+
+    ``rows``, ``first`` and ``count``: the rows of all words, one word after the other; ``name``, a 64-bit hash of each
+    word; ``sizes``, the words of each text.
+    """
 
-def subwords(word: str) -> list[int]:
-    """Embedding rows of a word: itself and its n-grams, with ends marked."""
-    marked = f"<{word}>"
-    grams = {marked} | {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    return sorted(zlib.crc32(g.encode()) % BUCKETS for g in grams)
+    def __init__(self, texts: list[str]):
+        whole = "\n".join(texts) + "\n"
+        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        inside = np.zeros(len(points) + 1, np.int8)
+        inside[1:] = word_characters()[points]
+        edge = np.diff(inside)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        # Long runs are several words that overlap, so that no n-gram is lost.
+        pieces = np.where(end - start > LONGEST, -(-(end - start - LONGEST + _STEP) // _STEP), 1)
+        if (pieces > 1).any():
+            number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            last = np.repeat(pieces, pieces) == number + 1
+            start, end = np.repeat(start, pieces) + number * _STEP, np.repeat(end, pieces)
+            end = np.where(last, end, start + LONGEST)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        self.sizes = np.diff(np.searchsorted(start, ends), prepend=0)
+        # All words between marks, one after the other.
+        size = end - start + 2
+        stop = np.cumsum(size)
+        self.begin = begin = stop - size
+        total = int(size.sum())
+        place = np.arange(total) - np.repeat(begin, size)
+        self.left = left = np.repeat(size, size) - place
+        marked = points[np.minimum(np.repeat(start - 1, size) + place, len(points) - 1)].astype(np.uint64)
+        marked[begin], marked[stop - 1] = 60, 62
+        ahead = np.concatenate([marked, np.zeros(max(GRAMS), np.uint64)])
+        self.count = 1 + sum(np.maximum(size - n + 1, 0) for n in GRAMS)
+        with np.errstate(over="ignore"):
+            self.name = np.add.reduceat(marked * _PLACES[place], begin) if total else np.empty(0, np.uint64)
+            self.name = (self.name ^ self.name >> np.uint64(31)) * _MIX[2]
+            h = marked * _MIX[0]
+            self.grams = []  # the row of the n-gram that begins at each place, where one does
+            for k in range(1, max(GRAMS)):
+                h = (h ^ h >> np.uint64(32)) * _MIX[1] + ahead[k : k + total] * _MIX[0]
+                if k + 1 in GRAMS:
+                    self.grams.append(((h ^ h >> np.uint64(29)) * _MIX[2] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32))
+        self.whole = (self.name >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
+
+    def rows(self) -> np.ndarray:
+        """The rows of all words, one word after the other: ``count`` of each."""
+        taken = np.stack([self.left >= n for n in GRAMS], axis=1)
+        owner = np.repeat(np.arange(len(self.begin)), np.diff(np.append(self.begin, len(self.left))))
+        grams, owners = np.stack(self.grams, axis=1)[taken], np.repeat(owner, taken.sum(axis=1))
+        order = np.argsort(np.concatenate([np.arange(len(self.whole)), owners]), kind="stable")
+        return np.concatenate([self.whole, grams])[order]
+
+    def means(self, part: np.ndarray) -> np.ndarray:
+        """The mean of ``part`` over each word's rows."""
+        if not len(self.begin):
+            return np.empty(0)
+        at = np.zeros(len(self.left))
+        for n, rows in zip(GRAMS, self.grams, strict=True):
+            at += np.where(self.left >= n, part[rows], 0)
+        return (np.add.reduceat(at, self.begin) + part[self.whole]) / self.count
 
 
 def passages(parts: np.ndarray) -> np.ndarray:
@@ -70,27 +146,29 @@ def passages(parts: np.ndarray) -> np.ndarray:
     return sum(parts[k : n - PASSAGE + 1 + k] for k in range(PASSAGE)) / max(PASSAGE, LEAST)
 
 
-class _Words(dict):
-    """The part of the log-odds of each word, worked out when first asked for."""
-
-    def __init__(self, part: np.ndarray):
-        super().__init__()
-        self.part = part
-
-    def __missing__(self, word: str) -> float:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = found = float(self.part[subwords(word)].mean())
-        return found
+def worst(parts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The largest passage of each text of ``sizes`` words; 0 for no words."""
+    out, ends = np.zeros(len(sizes)), np.cumsum(sizes)
+    long = np.flatnonzero(sizes >= PASSAGE)
+    if len(long):
+        every = np.full(len(parts), -np.inf)
+        every[: len(parts) - PASSAGE + 1] = passages(parts)
+        for k in range(1, PASSAGE):  # those that would end in the next text
+            every[ends[long] - k] = -np.inf
+        for i in np.flatnonzero((sizes > 0) & (sizes < PASSAGE)):
+            every[ends[i] - sizes[i] : ends[i]] = -np.inf
+        out[long] = np.maximum.reduceat(every, (ends - sizes)[long])
+    for i in np.flatnonzero((sizes > 0) & (sizes < PASSAGE)):
+        out[i] = passages(parts[ends[i] - sizes[i] : ends[i]])[0]
+    return out
 
 
 class Model:
     def __init__(self, table: np.ndarray, weight: np.ndarray, bias: np.ndarray):
         self.table, self.weight, self.bias = table, weight, bias
         # The log-odds are linear in the embeddings, so each row stands for one number when scoring.
-        self.part = table @ (weight[1] - weight[0])
+        self.part = (table @ (weight[1] - weight[0])).astype(np.float64)
         self.offset = float(bias[1] - bias[0])
-        self.words = _Words(self.part)
 
     def dump(self) -> bytes:
         out = io.BytesIO()
@@ -102,14 +180,57 @@ class Model:
         with np.load(io.BytesIO(data)) as x:
             return cls(x["table"], x["weight"], x["bias"])
 
-    def score(self, text: str | None) -> float:
-        """The probability of class 1 for the worst passage."""
-        words = words_of(text)
-        parts = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
-        worst = self.offset
-        if len(parts):
-            worst += passages(parts).max()
-        return float(1 / (1 + np.exp(-np.clip(worst, -60, 60))))
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """The probability of class 1 for the worst passage of each text."""
+        found, waiting, owners = [np.empty(0)], [], []
+        parts, sizes = [], np.zeros(len(texts), np.int64)
+
+        def look():
+            words = Words(waiting)
+            parts.append(words.means(self.part))
+            np.add.at(sizes, owners, words.sizes)
+            waiting.clear()
+            owners.clear()
+
+        first = have = 0
+        for i, text in enumerate(texts):
+            for chunk in chunks(text):
+                waiting.append(chunk)
+                owners.append(i)
+                have += len(chunk)
+                if have >= CHUNK:
+                    look()
+                    have = 0
+            if not waiting or i == len(texts) - 1:  # whole texts only
+                if waiting:
+                    look()
+                found.append(worst(np.concatenate(parts or [np.empty(0)]), sizes[first : i + 1]))
+                parts.clear()
+                first = i + 1
+        return 1 / (1 + np.exp(-np.clip(self.offset + np.concatenate(found), -60, 60)))
+
+
+def distinct_words(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The words of each text by number, and of each number's word the rows, one after the other, and their count."""
+    rows, counts, known = [], [], np.empty(0, np.uint64)
+    names: list[list[np.ndarray]] = [[] for _ in texts]
+    waiting = [(i, chunk) for i, text in enumerate(texts) for chunk in chunks(text)]
+    while waiting:
+        n = max(1, int(np.searchsorted(np.cumsum([len(c) for _, c in waiting]), 4 * CHUNK)))
+        now, waiting = waiting[:n], waiting[n:]
+        words = Words([c for _, c in now])
+        for (i, _), own in zip(now, np.split(words.name, np.cumsum(words.sizes)[:-1]), strict=True):
+            names[i].append(own)
+        _, at = np.unique(words.name, return_index=True)
+        at = at[~np.isin(words.name[at], known)]
+        if len(at):
+            first = np.cumsum(words.count) - words.count
+            rows.append(words.rows()[_ranges(first, words.count, at)])
+            counts.append(words.count[at])
+            known = np.concatenate([known, words.name[at]])
+    order = np.argsort(known)
+    bags = [order[np.searchsorted(known, np.concatenate(n), sorter=order)].astype(np.int32) for n in names]
+    return bags, np.concatenate(rows or [np.empty(0, np.int32)]), np.concatenate(counts or [np.empty(0, np.int64)])
 
 
 def _ranges(first: np.ndarray, count: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -127,17 +248,8 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     if not len(labels) or labels.min() == labels.max():
         bias[int(labels[0]) if len(labels) else 0] = 3
         return Model(np.zeros_like(table), weight, bias)
-    number: dict[str, int] = {}
-    bags = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t in texts]
-    # One flat array of all words' rows; an array a word would take several times as much memory.
-    grams, ends = array("i"), array("q")
-    for w in number:
-        grams.extend(subwords(w))
-        ends.append(len(grams))
-    flat = np.frombuffer(grams, np.int32)
-    count = np.diff(np.frombuffer(ends, np.int64), prepend=0)
+    bags, flat, count = distinct_words(texts)
     first = np.cumsum(count) - count
-    del number
     used = np.flatnonzero([len(b) > 0 for b in bags])
 
     # Embeddings start along the softmax's direction, by how much likelier the row is in texts of class 1.
@@ -154,10 +266,10 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
         rate = RATE * (1 - epoch / EPOCHS)
         # The worst passage of each text, by the log-odds of the model as it stands.
         odds = np.add.reduceat((table @ (weight[1] - weight[0]))[flat], first) / count
-        worst = {i: int(passages(odds[bags[i]]).argmax()) for i in used.tolist()}
+        at = {i: int(passages(odds[bags[i]]).argmax()) for i in used.tolist()}
         for batch in np.array_split(rng.permutation(used), max(1, len(used) // BATCH)):
             # Forward through those passages: rows to words, words to passages, passages to classes.
-            chosen = [bags[i][worst[i] :][:PASSAGE] for i in batch.tolist()]
+            chosen = [bags[i][at[i] :][:PASSAGE] for i in batch.tolist()]
             n = np.array([len(c) for c in chosen])
             words, size = np.concatenate(chosen), np.maximum(n, LEAST)
             grams = count[words]
@@ -188,21 +300,30 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``text, label`` of the bounded sample: labelled rows that are not held out, chosen by the hash of their id."""
+    """``_id, text, label`` of the bounded sample: labelled rows that are not held out, chosen by the hash of their id.
+
+    Whole texts of any length are taken while they fit in what is left of ``TRAIN_CHARS``.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("label")).where("_id is not null and label in (0, 1)")
     known = known.where(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("label").alias("label"))
     pick = lambda y, n: known.where(F.col("label") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     chosen = F.broadcast(pick(1, POSITIVE).unionByName(pick(0, NEGATIVE)))  # POSITIVE + NEGATIVE rows at most
-    column = F.col(f"`{text}`")
-    rows = docs.where(F.char_length(column) <= TRAIN_CHARS).select(F.col(f"`{doc_id}`").alias("_id"), column.alias("text"))
-    # A repeated id could exceed the bound; a limit keeps it.
-    return rows.join(chosen, "_id").orderBy(F.xxhash64("_id"), "_id", "text").limit(POSITIVE + NEGATIVE).select("text", "label")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    sizes = rows.join(chosen, "_id").groupBy("_id").agg(F.count("*").alias("rows"), F.sum(F.char_length("text")).alias("chars"))
+    taken, left, space = [], POSITIVE + NEGATIVE, TRAIN_CHARS
+    for r in sizes.orderBy(F.xxhash64("_id"), "_id").collect():  # a row for each chosen id
+        if r["rows"] <= left and r["chars"] <= space:
+            taken, left, space = [*taken, r["_id"]], left - r["rows"], space - r["chars"]
+    ids = docs.sparkSession.createDataFrame(pd.DataFrame({"_id": pd.Series(taken, dtype="int64")}), "_id long")
+    chosen = chosen.join(F.broadcast(ids), "_id", "left_semi")
+    return rows.join(F.broadcast(chosen), "_id").select("_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Model:
     """Train in one task on the bounded sample; the model comes back to the driver (its size is fixed)."""
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_id", "text"])
         return pd.DataFrame({"model": [train(rows["text"].tolist(), rows["label"].to_numpy(np.int64)).dump()]})
 
     found = training_rows(docs, labels, text, doc_id).groupBy().applyInPandas(one, "model binary").collect()
@@ -218,7 +339,7 @@ def toxicity(spark: SparkSession, text: Column, model: Model) -> Column:
     def score(texts: pa.Array) -> pa.Array:
         if not made:
             made.append(Model.load(sent.value))
-        return pa.array([made[0].score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array(made[0].scores(texts.to_pylist()), pa.float64())
 
     return score(text)
 
