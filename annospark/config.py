@@ -115,6 +115,10 @@ class DataConfig:
         if len(set(keys)) < len(keys):
             raise ValueError(f"relation keys collide: {keys}")
 
+    def relation(self, key: str) -> Relationship:
+        """The relation of a key, as directories and index rows name it; a KeyError for any other."""
+        return {r.key: r for r in self.relations}[key]
+
     @property
     def schema(self) -> T.StructType:
         return T._parse_datatype_string(", ".join(f"`{n}` {t}" for n, t in self.columns))

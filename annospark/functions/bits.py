@@ -96,6 +96,17 @@ def morton(x: Column, y: Column, z: Column, grid: tuple[int, int, int]) -> Colum
     return code
 
 
+def morton_of(cell: tuple[int, int, int], grid: tuple[int, int, int]) -> int:
+    """``morton`` of one cell on the driver, for the few cells that a lookup names."""
+    code = at = 0
+    for bit in range(max(grid).bit_length()):
+        for axis, size in zip(cell, grid, strict=True):
+            if 1 << bit < size:
+                code |= (axis >> bit & 1) << at
+                at += 1
+    return code
+
+
 def cell_grid(level: int) -> tuple[int, int, int]:
     return (1 << level,) * 3
 

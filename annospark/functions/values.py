@@ -40,6 +40,17 @@ def relation_ids_or_enum(text: Column, labels: list[str], values: list[int]) ->
     return F.coalesce(relation_ids(text), F.when(by_label.isNotNull(), F.array(by_label.cast("bigint"))))
 
 
+def bad_relation(text: Column, labels: list[str] = ()) -> Column:
+    """Whether a relation field is neither null or blank, nor ids, nor one of the labels."""
+    bare = F.trim(text.cast("string"))
+    return F.coalesce((bare != "") & relation_ids(text).isNull() & ~bare.isin(*labels), F.lit(False))
+
+
+def bad_colour(text: Column, channels: int = 3) -> Column:
+    """Whether a colour field is not null and not ``#`` with two hexadecimal digits a channel."""
+    return F.coalesce(~text.rlike(rf"^#[0-9a-fA-F]{{{2 * channels}}}$"), F.lit(False))
+
+
 def relation_key(label: Column) -> Column:
     """A relation's directory name: lower case, without ASCII punctuation, white space as underscores."""
     bare = F.regexp_replace(F.lower(label), r"\p{Punct}", "")

@@ -7,8 +7,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annospark.config import COLOURS, DataConfig
 from annospark.functions.geometry import Box, contains, in_bounds
-from annospark.functions.values import missing_labels
+from annospark.functions.values import bad_colour, bad_relation, missing_labels
 from annospark.operators.octree import CELL
 
 #: A cell of more rows than the limit by this factor is worth a warning.
@@ -38,6 +39,27 @@ def require_labels(df: DataFrame, column: str, labels: list[str]) -> DataFrame:
     return df
 
 
+def require_values(df: DataFrame, config: DataConfig) -> DataFrame:
+    """``df``, or a ValueError that names a relation field without ids or declared label, or a malformed colour."""
+    enums = {p.column: list(p.enum_labels) for p in config.properties if p.enum_labels}
+    wrong = {r.column: bad_relation(F.col(r.column), enums.get(r.column, [])) for r in config.relations}
+    wrong |= {p.column: bad_colour(F.col(p.column), len(p.type)) for p in config.properties if p.type in COLOURS}
+    if wrong:
+        some = [F.min(F.when(bad, F.col(c).cast("string"))).alias(c) for c, bad in wrong.items()]
+        found = {c: v for c, v in df.agg(*some).first().asDict().items() if v is not None}
+        if found:
+            raise ValueError(f"fields that can't be read: {found}")
+    return df
+
+
+def conserved(index: DataFrame, annotations: DataFrame) -> DataFrame:
+    """``rows, held, copies, lost``: annotations, distinct ones in a spatial index, further entries of them, and those that it hasn't."""
+    each = index.groupBy("id").agg(F.count("*").alias("entries"))
+    both = annotations.select(F.col("id").alias("_id")).join(each, F.col("_id") == F.col("id"), "left")
+    counts = both.agg(F.count("*").alias("rows"), F.count("id").alias("held"), F.coalesce(F.sum(F.col("entries") - 1), F.lit(0)).alias("copies"))
+    return counts.withColumn("lost", F.col("rows") - F.col("held"))
+
+
 def density(index: DataFrame, volume: float, per_volume: float, splits: int = 1) -> DataFrame:
     """``level, cx, cy, cz, rows, verdict``: ``error`` above the limit of a cell of ``volume``, ``warning`` near it, else ``ok``.
 

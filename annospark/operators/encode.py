@@ -1,27 +1,36 @@
-"""Binary shards of the indices, encoded shard by shard.
-
-Each task gets whole shards (their size is what the planner bounds) and packs
-their annotations with numpy; a shard comes out as one row with its bytes.
+"""Binary shards of the indices.
+
+Annotations are sorted by shard, minishard and chunk in range partitions, so a chunk of
+very many annotations (a related object with a third of all rows) is spread over tasks
+like any others.  Each task packs its Arrow batches with numpy into slices: bytes of
+annotations that follow each other in one shard.  Sizes of the slices give each shard's
+header.  Headers and slices are the pieces of the files; a task writes a file by streaming its
+pieces in order, so it never holds a whole one.
 """
 
 from __future__ import annotations
 
-import re
-import struct
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.config import PROPERTY_TYPES, DataConfig, PropertySpec, ShardingSpec
 from annospark.functions.bits import shard_hex
+from annospark.lineage import cut
+from annospark.sources.files import Output
 
 #: numpy types of the properties that are single numbers.
 NUMBERS = {"uint32": "<u4", "int32": "<i4", "float32": "<f4", "uint16": "<u2", "int16": "<i2", "uint8": "u1", "int8": "i1"}
 DEFAULT_COLOUR = {"rgb": (0, 0, 0), "rgba": (0, 0, 0, 255)}
-#: Row form of the index tables that are encoded: bodies need these columns.
-SHARDS = "shard long, name string, chunks long, content binary"
+#: Slices: runs of annotations of one minishard (of one chunk, where chunks are groups) as a task has sorted them.
+SLICES = "shard long, minishard long, chunk long, part int, seq long, n long, bodies binary, ids binary, sizes binary"
+#: Pieces of files; those of one shard follow each other by all columns between ``name`` and ``content``.
+PIECES = "shard long, minishard long, at long, kind int, part int, seq long, content binary"
+ORDER = ["shard", "minishard", "at", "kind", "part", "seq"]
 
 
 def property_order(specs) -> list[PropertySpec]:
@@ -30,80 +39,64 @@ def property_order(specs) -> list[PropertySpec]:
     return sorted(specs, key=lambda p: -size(p))
 
 
-def pack_property(spec: PropertySpec, value) -> bytes:
-    """One value; a missing one is 0, or black.  A value out of the type's range raises."""
+def _numbers(spec: PropertySpec, column: pa.Array) -> np.ndarray:
+    """A property's values, missing ones 0, or black.  A value out of the type's range raises."""
     if spec.type in DEFAULT_COLOUR:
         default = DEFAULT_COLOUR[spec.type]
-        return bytes(int(v) for v in (default if value is None else value)[: len(default)])
+        out, has = np.tile(np.array(default, np.uint8), (len(column), 1)), column.is_valid().to_numpy(zero_copy_only=False)
+        given = column.drop_null()
+        if len(given):
+            out[has] = given.flatten().to_numpy(zero_copy_only=False).reshape(len(given), -1)[:, : len(default)]
+        return out
     kind = np.dtype(NUMBERS[spec.type])
-    value = 0 if value is None or value != value else value
+    values = pc.fill_null(column, 0).to_numpy(zero_copy_only=False)
+    if values.dtype.kind == "f":
+        values = np.where(np.isnan(values), 0, values)
     if kind.kind != "f":
-        value, info = int(value), np.iinfo(kind)
-        if not info.min <= value <= info.max:
-            raise ValueError(f"{spec.id}: {value} doesn't fit {spec.type}")
-    return np.array(value, kind).tobytes()
-
-
-def pack_body(kind: str, points, properties: dict, specs: list[PropertySpec], relations: list | None = None) -> bytes:
-    """Geometry, properties padded to 4 bytes, and the lists of related ids if they are given."""
-    flat = np.array([[p["x"], p["y"], p["z"]] for p in points], "<f4").reshape(-1, 3)
-    want = {"POINT": 1, "LINE": 2}.get(kind, len(flat))
-    if len(flat) != want:
-        raise ValueError(f"{kind} with {len(flat)} points")
-    out = (struct.pack("<I", len(flat)) if kind == "POLYLINE" else b"") + flat.tobytes()
-    packed = b"".join(pack_property(s, properties.get(s.id)) for s in specs)
-    out += packed + b"\0" * (-len(packed) % 4)
-    for ids in relations or []:
-        ids = np.array([] if ids is None else list(ids), np.int64)
-        out += struct.pack("<I", len(ids)) + ids.astype("<i8").tobytes()
-    return out
-
-
-def pack_many(bodies: list[bytes], ids: list[int]) -> bytes:
-    """Several annotations: their number, bodies, ids."""
-    return struct.pack("<Q", len(bodies)) + b"".join(bodies) + np.array(ids, "<i8").tobytes()
-
-
-def pack_shard(chunks: dict[int, list[tuple[int, bytes]]], minishards: int) -> bytes:
-    """A shard file from the (id, data) chunks of each minishard.  Ids are unsigned; one that repeats raises."""
-    rows, data, indices = sum(map(len, chunks.values())), [], []
-    position = 24 * rows  # data follow the minishard indices: three 8-byte numbers a chunk
-    for m in range(minishards):
-        part = sorted((i % (1 << 64), d) for i, d in chunks.get(m, []))
-        ids = np.array([i for i, _ in part], np.uint64)
-        if len(ids) > 1 and (ids[1:] == ids[:-1]).any():
-            raise ValueError(f"repeated chunk id in minishard {m}")
-        sizes = np.array([len(d) for _, d in part], np.uint64)
-        steps = np.diff(ids, prepend=np.uint64(0)) if len(ids) else ids
-        gaps = np.zeros(len(ids), np.uint64)
-        gaps[:1] = position
-        position += int(sizes.sum())
-        indices.append(np.stack([steps, gaps, sizes]).astype("<u8").tobytes())
-        data += [d for _, d in part]
-    ends = np.cumsum([len(i) for i in indices])
-    starts = np.concatenate([[0], ends[:-1]])
-    return np.stack([starts, ends], axis=1).astype("<u8").tobytes() + b"".join(indices) + b"".join(data)
-
-
-def _bodies(rows: pd.DataFrame, kind: str, specs: list[PropertySpec], relations: list[str] | None) -> list[bytes]:
-    values = [rows[f"p_{s.id}"].tolist() for s in specs]
-    lists = [rows[f"r_{key}"].tolist() for key in relations] if relations is not None else None
-    return [
-        pack_body(kind, points, {s.id: v[i] for s, v in zip(specs, values, strict=True)}, specs, [x[i] for x in lists] if lists is not None else None)
-        for i, points in enumerate(rows["points"])
-    ]
-
-
-def _shards(table: DataFrame, sharding: ShardingSpec, chunks_of) -> DataFrame:
-    """One row a shard; ``chunks_of`` gives (id, data) of each minishard from a shard's rows."""
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        chunks = chunks_of(rows)
-        content = pack_shard(chunks, 1 << sharding.minishard_bits)
-        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "name": [rows["name"].iloc[0]], "chunks": [sum(map(len, chunks.values()))], "content": [content]})
-
-    named = table.withColumn("name", F.concat(shard_hex(F.col("shard"), sharding.shard_bits), F.lit(".shard")))
-    return named.groupBy("shard").applyInPandas(one, SHARDS)
+        bad = (values < np.iinfo(kind).min) | (values > np.iinfo(kind).max)
+        if bad.any():
+            raise ValueError(f"{spec.id}: {values[bad][0]} doesn't fit {spec.type}")
+    return values.astype(kind)
+
+
+def _bytes(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1)
+
+
+def pack_bodies(batch: pa.RecordBatch, kind: str, specs: list[PropertySpec], keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The bodies of a batch one after the other, and where each begins and the last one ends.
+
+    A body is the geometry, the properties padded to 4 bytes, and a list of related ids for each of ``keys``.
+    """
+    n, points = batch.num_rows, batch.column("points")
+    counts = pc.fill_null(pc.list_value_length(points), 0).to_numpy().astype(np.int64)
+    want = {"POINT": 1, "LINE": 2}.get(kind)
+    if want and (counts != want).any():
+        raise ValueError(f"{kind} with {counts[counts != want][0]} points")
+    flat = points.flatten()
+    xyz = np.stack([flat.field(a).to_numpy(zero_copy_only=False) for a in "xyz"], axis=1).astype("<f4")
+    parts = [] if want else [(np.full(n, 4), _bytes(counts.astype("<u4")))]
+    parts.append((12 * counts, _bytes(xyz)))
+    columns = [_bytes(_numbers(s, batch.column(f"p_{s.id}"))).reshape(n, PROPERTY_TYPES[s.type]) for s in specs]
+    size = sum(c.shape[1] for c in columns)
+    if size:
+        packed = np.concatenate([*columns, np.zeros((n, -size % 4), np.uint8)], axis=1)
+        parts.append((np.full(n, packed.shape[1]), packed.reshape(-1)))
+    for key in keys:
+        lists = batch.column(f"r_{key}")
+        length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+        parts += [(np.full(n, 4), _bytes(length.astype("<u4"))), (8 * length, _bytes(lists.flatten().to_numpy(zero_copy_only=False).astype("<i8")))]
+    sizes = sum(s for s, _ in parts)
+    ends = np.cumsum(sizes)
+    at, out = ends - sizes, np.empty(int(ends[-1]) if n else 0, np.uint8)
+    for size, data in parts:
+        out[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(len(data))] = data
+        at = at + size
+    return out, np.concatenate([[0], ends])
+
+
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
 
 
 def encodable(annotations: DataFrame, config: DataConfig, relations: bool = False) -> DataFrame:
@@ -113,81 +106,159 @@ def encodable(annotations: DataFrame, config: DataConfig, relations: bool = Fals
     return annotations.select("id", "points", *columns)
 
 
-def id_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec) -> DataFrame:
-    """Shards of an id index (``id, shard, minishard``): a chunk for each annotation, with its relations."""
-    specs, keys, kind = property_order(config.properties), [r.key for r in config.relations], config.annotation_type
+def _unsigned(chunk: Column) -> Column:
+    """A number whose signed order is the unsigned order of ``chunk``."""
+    return chunk.bitwiseXOR(F.lit(-(1 << 63)))
 
-    def chunks_of(rows: pd.DataFrame) -> dict:
-        out: dict[int, list] = {}
-        for m, i, body in zip(rows["minishard"], rows["id"], _bodies(rows, kind, specs, keys), strict=True):
-            out.setdefault(int(m), []).append((int(i), body))
-        return out
 
-    return _shards(index.select("id", "shard", "minishard").join(encodable(annotations, config, True), "id"), sharding, chunks_of)
-
-
-def _grouped_shards(table: DataFrame, chunk: str, order: list[str], config: DataConfig, sharding: ShardingSpec) -> DataFrame:
+def _slices(rows: DataFrame, chunk: str, order: list[str], config: DataConfig, keys: list[str], grouped: bool) -> DataFrame:
+    """The slices of ``rows`` (``shard, minishard``, ``chunk``, ``order`` and what ``encodable`` gives), written."""
     specs, kind = property_order(config.properties), config.annotation_type
+    by = [F.col("shard"), F.col("minishard"), _unsigned(F.col(chunk)), *map(F.col, order)]
+    rows = rows.withColumn("_chunk", F.col(chunk)).repartitionByRange(*by).sortWithinPartitions(*by)
+
+    def each(batches):
+        part, seq = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shard, minishard, chunks, ids = (batch.column(c).to_numpy() for c in ("shard", "minishard", "_chunk", "id"))
+            data, offsets = pack_bodies(batch, kind, specs, keys)
+            same = (shard[1:] == shard[:-1]) & (minishard[1:] == minishard[:-1]) & ((chunks[1:] == chunks[:-1]) | (not grouped))
+            first = np.flatnonzero(np.concatenate([[True], ~same]))
+            ends = np.append(first, len(ids))
+            n = np.diff(ends)
+            own = [pa.array(x[first]) for x in (shard, minishard, chunks)]
+            own += [pa.array(np.full(len(first), part, np.int32)), pa.array(seq + np.arange(len(first))), pa.array(n), _binary(data, offsets[ends])]
+            lists = [_binary(_bytes(x.astype("<i8")), 8 * ends) for x in (ids, np.diff(offsets))]
+            yield pa.RecordBatch.from_arrays([*own, *lists], ["shard", "minishard", "chunk", "part", "seq", "n", "bodies", "ids", "sizes"])
+            seq += len(first)
+
+    return cut(rows.mapInArrow(each, SLICES), "slices")
+
+
+def header(minishard: np.ndarray, ids: np.ndarray, sizes: np.ndarray, minishards: int) -> bytes:
+    """The offsets of the minishard indices, and the indices, of chunks that come in the order of their bytes.  An id that repeats in a minishard raises."""
+    ids, indices, position = ids.astype(np.uint64), [], 24 * len(ids)  # data follow the indices: three 8-byte numbers a chunk
+    ends = np.searchsorted(minishard, np.arange(minishards + 1))
+    for m, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        own, size = ids[a:b], sizes[a:b].astype(np.uint64)
+        if len(own) > 1 and (own[1:] <= own[:-1]).any():
+            raise ValueError(f"repeated chunk id in minishard {m}")
+        gaps = np.zeros(len(own), np.uint64)
+        gaps[:1] = position
+        position += int(size.sum())
+        indices.append(np.stack([np.diff(own, prepend=np.uint64(0)), gaps, size]).astype("<u8").tobytes())
+    stop = np.cumsum([len(i) for i in indices])
+    return np.stack([np.concatenate([[0], stop[:-1]]), stop], axis=1).astype("<u8").tobytes() + b"".join(indices)
+
+
+def _pieces(slices: DataFrame, sharding: ShardingSpec | None, grouped: bool) -> DataFrame:
+    """``shard, name`` and the rest of ``PIECES``; without ``sharding`` a file has no header and its number for a name."""
+    at = _unsigned(F.col("chunk"))
+    lead = ["shard", "minishard", at.alias("at")]
+    data = slices.select(*lead, F.lit(1).alias("kind"), "part", "seq", F.col("bodies").alias("content"))
+    if grouped:
+        data = data.unionByName(slices.select(*lead, F.lit(2).alias("kind"), "part", "seq", F.col("ids").alias("content")))
+        chunks = slices.groupBy("shard", "minishard", "chunk").agg(F.sum("n").alias("n"), F.sum(F.octet_length("bodies")).alias("bytes"))
+        swapped = F.array_join(F.transform(F.sequence(F.lit(7), F.lit(0)), lambda i: F.substring(F.lpad(F.hex("n"), 16, "0"), 2 * i + 1, F.lit(2))), "")
+        count = F.unhex(swapped)  # little-endian
+        data = data.unionByName(chunks.select(*lead, F.lit(0).alias("kind"), F.lit(0).alias("part"), F.lit(0).cast("long").alias("seq"), count.alias("content")))
+        known = chunks.select("shard", "minishard", at.alias("at"), F.col("chunk").alias("id"), (F.col("bytes") + 8 + 8 * F.col("n")).alias("size"))
+    if sharding is None:
+        name = F.when(F.col("shard") < 0, (F.col("shard").cast("decimal(20,0)") + F.lit(str(1 << 64)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string")).otherwise(F.col("shard").cast("string"))
+        return data.withColumn("name", name)
+    minishards = 1 << sharding.minishard_bits
+
+    def of_groups(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["minishard", "at"])
+        return _head(rows, rows["minishard"].to_numpy(), rows["id"].to_numpy(), rows["size"].to_numpy())
+
+    def of_single(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["minishard", "part", "seq"])
+        ids, sizes = (np.frombuffer(b"".join(rows[c]), "<i8") for c in ("ids", "sizes"))
+        return _head(rows, np.repeat(rows["minishard"].to_numpy(), rows["n"].to_numpy()), ids, sizes)
+
+    def _head(rows, minishard, ids, sizes) -> pd.DataFrame:
+        out = {"shard": int(rows["shard"].iloc[0]), "minishard": -1, "at": 0, "kind": 0, "part": 0, "seq": 0}
+        return pd.DataFrame([out | {"content": header(minishard, ids, sizes, minishards)}])
+
+    # A shard's header has 24 bytes a chunk; the planner bounds the chunks of a shard.
+    heads = known.groupBy("shard").applyInPandas(of_groups, PIECES) if grouped else slices.select("shard", "minishard", "part", "seq", "n", "ids", "sizes").groupBy("shard").applyInPandas(of_single, PIECES)
+    return heads.unionByName(data).withColumn("name", F.concat(shard_hex(F.col("shard"), sharding.shard_bits), F.lit(".shard")))
 
-    def chunks_of(rows: pd.DataFrame) -> dict:
-        out: dict[int, list] = {}
-        for (m, c), part in rows.sort_values(["minishard", chunk, *order]).groupby(["minishard", chunk], sort=False):
-            out.setdefault(int(m), []).append((int(c), pack_many(_bodies(part, kind, specs, None), part["id"].tolist())))
-        return out
 
-    return _shards(table, sharding, chunks_of)
+def id_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec) -> DataFrame:
+    """Pieces of the shards of an id index (``id, shard, minishard``): a chunk for each annotation, with its relations."""
+    rows = index.select("id", "shard", "minishard").join(encodable(annotations, config, True), "id")
+    return _pieces(_slices(rows, "id", [], config, [r.key for r in config.relations], False), sharding, False)
 
 
 def relation_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec, relation: str) -> DataFrame:
-    """Shards of one relation of a relation index: a chunk for each related id, annotations by id."""
-    rows = index.where(F.col("relation") == relation).select("rel_id", "shard", "minishard", "id")
-    return _grouped_shards(rows.join(encodable(annotations, config), "id"), "rel_id", ["id"], config, sharding)
+    """Pieces of the shards of one relation of a relation index: a chunk for each related id, annotations by id."""
+    rows = index.where(F.col("relation") == relation).select("rel_id", "shard", "minishard", "id").join(encodable(annotations, config), "id")
+    return _pieces(_slices(rows, "rel_id", ["id"], config, [], True), sharding, True)
 
 
 def spatial_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec, level: int) -> DataFrame:
-    """Shards of one level of a spatial index: a chunk for each cell, annotations in their random order."""
-    rows = index.where(F.col("level") == level).select("morton", "shard", "minishard", "id", "place")
-    return _grouped_shards(rows.join(encodable(annotations, config), "id"), "morton", ["place"], config, sharding)
+    """Pieces of the shards of one level of a spatial index: a chunk for each cell, annotations in their random order."""
+    rows = index.where(F.col("level") == level).select("morton", "shard", "minishard", "id", "place").join(encodable(annotations, config), "id")
+    return _pieces(_slices(rows, "morton", ["place"], config, [], True), sharding, True)
 
 
 def unsharded(annotations: DataFrame, config: DataConfig) -> DataFrame:
-    """``name, content`` of one file for each annotation, named by its id."""
+    """Pieces of one file for each annotation, named by its id."""
     specs, keys, kind = property_order(config.properties), [r.key for r in config.relations], config.annotation_type
 
     def each(batches):
-        for rows in batches:
-            yield pd.DataFrame({"name": [str(int(i) % (1 << 64)) for i in rows["id"]], "content": _bodies(rows, kind, specs, keys)})
+        for batch in batches:
+            n, ids = batch.num_rows, batch.column("id").to_numpy()
+            zero = [pa.array(np.zeros(n, t)) for t in (np.int64, np.int64, np.int32, np.int32, np.int64)]
+            names = pa.array([str(i % (1 << 64)) for i in ids.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *zero, _binary(*pack_bodies(batch, kind, specs, keys)), names], [*ORDER, "content", "name"])
 
-    return encodable(annotations, config, True).mapInPandas(each, "name string, content binary")
+    return encodable(annotations, config, True).mapInArrow(each, f"{PIECES}, name string")
 
 
 def unsharded_relation(index: DataFrame, annotations: DataFrame, config: DataConfig, relation: str) -> DataFrame:
-    """``name, content`` of one file for each related id of a relation."""
-    specs, kind = property_order(config.properties), config.annotation_type
+    """Pieces of one file for each related id of a relation."""
+    rows = index.where(F.col("relation") == relation).select("rel_id", F.col("rel_id").alias("shard"), F.lit(0).cast("long").alias("minishard"), "id")
+    return _pieces(_slices(rows.join(encodable(annotations, config), "id"), "rel_id", ["id"], config, [], True), None, True)
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id")
-        return pd.DataFrame({"name": [str(int(rows["rel_id"].iloc[0]) % (1 << 64))], "content": [pack_many(_bodies(rows, kind, specs, None), rows["id"].tolist())]})
 
-    rows = index.where(F.col("relation") == relation).select("rel_id", "id").join(encodable(annotations, config), "id")
-    return rows.groupBy("rel_id").applyInPandas(one, "name string, content binary")
+def whole(pieces: DataFrame) -> DataFrame:
+    """``shard, name, content`` of files that are small enough for a row."""
 
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(ORDER)
+        return pd.DataFrame({"shard": rows["shard"].iloc[:1].array, "name": rows["name"].iloc[:1].array, "content": [b"".join(rows["content"])]})
 
-def write_files(files: DataFrame, directory: str) -> int:
-    """Write ``name, content`` rows as files of a directory that all executors reach; returns their number."""
-    if re.match(r"[a-z0-9]+://", directory) and not directory.startswith("file://"):
-        raise ValueError("write to a mounted path, or keep the table and export from there")
-    root = directory.removeprefix("file://")
+    return pieces.groupBy("shard").applyInPandas(one, "shard long, name string, content binary")
 
-    def put(batches):
-        import os
 
-        for rows in batches:
-            for name, content in zip(rows["name"], rows["content"], strict=True):
-                os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
-                with open(f"{root}/.{name.replace('/', '_')}.part", "wb") as f:
-                    f.write(content)
-                os.replace(f.name, f"{root}/{name}")  # a task that runs twice leaves one whole file
-            yield pd.DataFrame({"n": [len(rows)]})
+def write_files(pieces: DataFrame, directory: str) -> int:
+    """Write the files of ``pieces`` to a directory that all executors reach, a path or a URI; returns their number.
+
+    A task streams the pieces of its files in order; a file appears when it is whole.
+    """
 
-    return files.select("name", "content").mapInPandas(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    def put(batches):
+        name, out, n = None, None, 0
+        try:
+            for batch in batches:
+                for own, content in zip(batch.column("name").to_pylist(), batch.column("content"), strict=True):
+                    if own != name:
+                        if out:
+                            out.close()
+                        name, out, n = own, Output(f"{directory}/{own}"), n + 1
+                    out.write(content.as_buffer())
+            if out:
+                out.close()
+                out = None
+        finally:
+            if out:
+                out.abort()
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    ordered = pieces.repartition("shard").sortWithinPartitions(*ORDER).select("name", "content")
+    return ordered.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from annospark.config import ShardingSpec
 from annospark.functions.bits import cell_grid, morton, shard_hex, with_shard
 from annospark.functions.geometry import Box
+from annospark.lineage import cut
 from annospark.operators import octree
 from annospark.plans.sharding import CELL_ROWS, MAX_LEVELS
+from annospark.skew import if_few
+
+#: Ids in one slice of a related object's list.
+SLICE_IDS = 100_000
 
 
 def id_index(annotations: DataFrame, sharding: ShardingSpec) -> DataFrame:
@@ -27,18 +32,30 @@ def relation_index(annotations: DataFrame, sharding: ShardingSpec, relations: st
 
 
 def related(index: DataFrame) -> DataFrame:
-    """``relation, rel_id, ids``: the annotations of each related object, ascending.
+    """``relation, rel_id, slice, ids``: the annotations of each related object, ascending within and across its slices.
 
-    An object with very many annotations has one long list; use the index itself where that is unwanted.
+    A slice has about ``SLICE_IDS`` ids; an object of few annotations has one.  Ids go to slices by ranges that
+    the object's own least and greatest ids and its number of annotations give, so no task gathers a whole large list.
     """
-    return index.groupBy("relation", "rel_id").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    sizes = index.groupBy("relation", "rel_id").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    large = cut(sizes.where(F.col("n") > SLICE_IDS).withColumn("parts", F.ceil(F.col("n") / SLICE_IDS)), "large")
+    width = (F.col("high").cast("double") - F.col("low").cast("double") + 1) / F.col("parts")
+    part = F.coalesce(F.least(F.floor((F.col("id").cast("double") - F.col("low").cast("double")) / width), F.col("parts") - 1), F.lit(0)).cast("int")
+    dealt = index.join(if_few(large, large.count()), ["relation", "rel_id"], "left").select("relation", "rel_id", "id", part.alias("slice"))
+    return dealt.groupBy("relation", "rel_id", "slice").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
 def spatial_index(annotations: DataFrame, bounds: Box, specs: list[ShardingSpec], cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "") -> DataFrame:
-    """``level, cx, cy, cz, morton, shard, minishard, id, place``; ``specs`` has the sharding of each level."""
-    index = octree.build(annotations, bounds, cell_rows, max_levels, seed)
+    """``level, cx, cy, cz, morton, shard, minishard, id, place, points``; ``specs`` has the sharding of each level.
+
+    Fewer specs than the octree has levels raise.  The points go along, so that a box is answered by its cells alone.
+    """
+    index = cut(octree.build(annotations, bounds, cell_rows, max_levels, seed, points=True), "octree")
+    deepest = index.agg(F.max("level")).first()[0]
+    if deepest is not None and deepest >= len(specs):
+        raise ValueError(f"{len(specs)} sharding specs for {deepest + 1} levels")
     levels = []
-    for level, spec in enumerate(specs[:max_levels]):
+    for level, spec in enumerate(specs[: 1 if deepest is None else deepest + 1]):
         at = index.where(F.col("level") == level).withColumn("morton", morton(F.col("cx"), F.col("cy"), F.col("cz"), cell_grid(level)))
         levels.append(with_shard(at, "morton", spec.shard_bits, spec.minishard_bits, spec.preshift_bits, spec.hash))
     return reduce(DataFrame.unionByName, levels)

@@ -83,8 +83,8 @@ def _last_held(rows: DataFrame, crowded: DataFrame, n_crowded: int, few: bool, k
         spare *= 8  # the keys of some cell lie so unevenly that it needs a larger share
 
 
-def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "") -> DataFrame:
-    """``level, cx, cy, cz, id, place`` of every held annotation; ``place`` counts from 1 in its cell.
+def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "", points: bool = False) -> DataFrame:
+    """``level, cx, cy, cz, id, place`` of every held annotation, and its ``points`` if wanted; ``place`` counts from 1 in its cell.
 
     ``annotations``: unique ``id`` and ``points``.  An annotation with no point in ``bounds``, or levels in excess
     of ``max_levels``, raise a RuntimeError.  A point annotation is held once, others at least once.
@@ -93,7 +93,8 @@ def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_l
     lost = rows.where(~F.exists("points", in_cell)).limit(1).collect()
     if lost:
         raise RuntimeError(f"annotation {lost[0]['id']} has no point inside the bounds")
-    columns = [F.col(c) for c in (*CELL, "id", "key")]
+    more = ["points"] if points else []
+    columns = [F.col(c) for c in (*CELL, "id", "key", *more)]
     while True:
         cells = cut(rows.groupBy(*CELL).agg(F.count("*").alias("n")), "cells")
         over = F.coalesce(F.sum((F.col("n") > cell_rows).cast("int")), F.lit(0))
@@ -114,7 +115,7 @@ def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_l
     every = reduce(DataFrame.unionByName, held)
     # A cell holds cell_rows at most, so this window's partitions are bounded.
     place = F.row_number().over(Window.partitionBy("level", *CELL).orderBy("key", "id"))
-    return every.select("level", *CELL, "id", place.alias("place"))
+    return every.select("level", *CELL, "id", place.alias("place"), *more)
 
 
 def cell_at(point: Column, bounds: Box, level: int) -> Column:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annospark.config import free_name
+from annospark.lineage import cut
 from annospark.operators.octree import hold_order
+from annospark.operators.splits import number_rows
 
 
 def sample(df: DataFrame, id: str, n: int, seed: str = "") -> DataFrame:
@@ -13,6 +16,11 @@ def sample(df: DataFrame, id: str, n: int, seed: str = "") -> DataFrame:
     return df.withColumn("_key", hold_order(F.col(id), seed)).orderBy("_key", id).limit(n).drop("_key")
 
 
-def without(df: DataFrame, taken: DataFrame, id: str) -> DataFrame:
-    """The rows whose id isn't among those taken."""
-    return df.join(taken.select(F.col(id).alias("_taken")), df[id] == F.col("_taken"), "left_anti")
+def split_sample(df: DataFrame, id: str, n: int, seed: str = "") -> tuple[DataFrame, DataFrame]:
+    """``n`` rows of ``df`` (all if there are fewer) and the others, row by row: repeated and null ids are rows like any others.
+
+    Rows are numbered in the order of their keys, ties by id, by range partitions, so no task holds the sample.
+    """
+    key, place = free_name("_key", df.columns), free_name("_place", df.columns)
+    ranked = cut(number_rows(df.withColumn(key, hold_order(F.col(id), seed)), [key, id], place, 0).drop(key), "ranked")
+    return ranked.where(F.col(place) < n).drop(place), ranked.where(F.col(place) >= n).drop(place)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from itertools import product
+from math import prod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.config import ShardingSpec
-from annospark.functions.bits import place
+from annospark.functions.bits import cell_grid, morton_of, place
 from annospark.functions.geometry import Box, in_bounds
 
 #: Cells of a box that are named one by one in the filter; a larger box is given as ranges.
@@ -62,20 +63,24 @@ def cells_in(box: Box, bounds: Box, level: int) -> list[tuple[int, int]]:
     return out
 
 
-def box_query(index: DataFrame, annotations: DataFrame, box: Box, bounds: Box, level: int, strict: bool = False) -> DataFrame:
-    """Annotations that levels 0 to ``level`` hold and that are in ``box``: ``id, level, points``."""
+def box_query(index: DataFrame, box: Box, bounds: Box, level: int, specs: list[ShardingSpec] | None = None, strict: bool = False) -> DataFrame:
+    """Annotations that levels 0 to ``level`` of a spatial index hold and that are in ``box``: ``id, level, points``.
+
+    Only the index is read.  Of a written one, partitioned by level and shard, only levels, shards (if ``specs`` gives the
+    levels' sharding) and cells are read that can hold an answer; a box of over ``NAMED_CELLS`` cells of a level reads that
+    level's shards and filters by ranges of cells.
+    """
     near = F.lit(False)
     for k in range(level + 1):
         axes = cells_in(box, bounds, k)
-        count = 1
-        for a, b in axes:
-            count *= b - a + 1
-        if count <= NAMED_CELLS:
-            cells = [x | y << 20 | z << 40 for x, y, z in product(*(range(a, b + 1) for a, b in axes))]
-            code = F.col("cx").cast("long").bitwiseOR(F.shiftleft(F.col("cy").cast("long"), 20)).bitwiseOR(F.shiftleft(F.col("cz").cast("long"), 40))
-            inside = code.isin(cells)
+        here = F.col("level") == k
+        if prod(b - a + 1 for a, b in axes) <= NAMED_CELLS:
+            cells = [morton_of(cell, cell_grid(k)) for cell in product(*(range(a, b + 1) for a, b in axes))]
+            here &= F.col("morton").isin(cells)
+            if specs:
+                here &= F.col("shard").isin(shards_of(cells, specs[k]))
         else:
-            inside = F.col("cx").between(*axes[0]) & F.col("cy").between(*axes[1]) & F.col("cz").between(*axes[2])
-        near = near | ((F.col("level") == k) & inside)
-    held = index.where(near).groupBy("id").agg(F.min("level").alias("level"))
-    return held.join(annotations.select("id", "points"), "id").where(in_bounds(F.col("points"), box, strict=strict)).select("id", "level", "points")
+            here &= F.col("cx").between(*axes[0]) & F.col("cy").between(*axes[1]) & F.col("cz").between(*axes[2])
+        near |= here
+    held = index.where(near & in_bounds(F.col("points"), box, strict=strict))
+    return held.groupBy("id").agg(F.min("level").alias("level"), F.first("points").alias("points"))

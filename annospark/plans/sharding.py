@@ -29,10 +29,10 @@ def plan_sharding(count: int, size: int, hash: str = HASHES[0], minishard_target
     return ShardingSpec(shards, max(0, parts - shards), 0, hash)
 
 
-def plan_level(level: int, rows: int, size: int, cell_rows: int = CELL_ROWS, hash: str = HASHES[0]) -> ShardingSpec:
+def plan_level(level: int, rows: int, size: int, cell_rows: int = CELL_ROWS, hash: str = HASHES[0], **targets: int) -> ShardingSpec:
     """Bits for an octree level of data of ``rows`` and ``size``: it holds ``cell_rows`` for each of its cells at most."""
     held = min(8**level * cell_rows, rows)
-    return plan_sharding(held, held * -(-size // max(1, rows)), hash)
+    return plan_sharding(held, held * -(-size // max(1, rows)), hash, **targets)
 
 
 def planned(spark: SparkSession, rows: int, size: int, levels: int = MAX_LEVELS, cell_rows: int = CELL_ROWS) -> DataFrame:

@@ -7,8 +7,6 @@ orders' parts, enums from ``part`` and ``events``.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +17,10 @@ from annospark.functions.geometry import Box, bounds_of, cell_volume, contains,
 from annospark.lineage import cut
 from annospark.operators import checks, encode, octree, splits
 from annospark.operators.indexes import id_index, related, relation_index, spatial_index
-from annospark.operators.sample import sample, without
+from annospark.operators.sample import split_sample
 from annospark.plans.build import info, plan
 from annospark.plans.lookup import box_query, lookup_id, lookup_relation
-from annospark.plans.sharding import planned
+from annospark.plans.sharding import plan_sharding, planned
 from annospark.sources.shards import decode_groups, decode_ids
 from annospark.sources.tables import union, volume_bounds
 
@@ -146,8 +144,8 @@ def union_splits(spark, sf_dir):
 def sample_rows(spark, sf_dir):
     """Whether each order is in a sample of 500."""
     rows = table(spark, sf_dir, "orders").select("o_orderkey")
-    taken = sample(rows, "o_orderkey", 500)
-    return taken.withColumn("taken", F.lit(True)).unionByName(without(rows, taken, "o_orderkey").withColumn("taken", F.lit(False)))
+    taken, others = split_sample(rows, "o_orderkey", 500)
+    return taken.withColumn("taken", F.lit(True)).unionByName(others.withColumn("taken", F.lit(False)))
 
 
 # ---- aggregates and checks
@@ -204,7 +202,7 @@ def relation_key(spark, sf_dir):
 
 def relation_explode_group(spark, sf_dir):
     index = relation_index(orders_of_parts(spark, sf_dir), BY_RELATION)
-    return related(index).select("relation", "rel_id", F.size("ids").alias("n"), F.array_join("ids", ",").alias("ids"))
+    return related(index).select("relation", "rel_id", "slice", F.size("ids").alias("n"), F.array_join("ids", ",").alias("ids"))
 
 
 def relation_enum_fallback(spark, sf_dir):
@@ -295,7 +293,7 @@ def lookup_relation_query(spark, sf_dir):
 def box_query_query(spark, sf_dir):
     p = points(spark, sf_dir)
     box = volume_bounds(p)
-    return box_query(octree.build(p, box, CELL_ROWS), p, BOX, box, 2).select("id", "level")
+    return box_query(spatial_index(p, box, [BY_CELL] * 8, CELL_ROWS, 8), BOX, box, 2, [BY_CELL] * 8).select("id", "level")
 
 
 def cells_per_shard(spark, sf_dir):
@@ -307,30 +305,55 @@ def cells_per_shard(spark, sf_dir):
 
 def id_shards_round_trip(spark, sf_dir):
     rows = annotations(spark, sf_dir)
-    back = decode_ids(encode.id_shards(id_index(rows, BY_ID), rows, CONFIG, BY_ID), CONFIG, BY_ID.minishard_bits)
+    spec = plan_sharding(n := rows.count(), n * ROW_BYTES)
+    back = decode_ids(encode.whole(encode.id_shards(id_index(rows, spec), rows, CONFIG, spec)), CONFIG, spec.minishard_bits)
     return back.select("id", *(c.cast("double").alias(n) for c, n in _decoded(2)), "properties.kind", "properties.user", F.col("relations")[USER_KEY][0].alias("rel_id"))
 
 
 def relation_shards_round_trip(spark, sf_dir):
     rows = annotations(spark, sf_dir)
-    index = relation_index(rows, BY_RELATION)
-    back = decode_groups(encode.relation_shards(index, rows, CONFIG, BY_RELATION, USER_KEY), CONFIG, BY_RELATION.minishard_bits)
+    spec = plan_sharding(rows.agg(F.approx_count_distinct("properties.user")).first()[0], rows.count() * ROW_BYTES)
+    index = relation_index(rows, spec)
+    back = decode_groups(encode.whole(encode.relation_shards(index, rows, CONFIG, spec, USER_KEY)), CONFIG, spec.minishard_bits)
     return back.select(F.col("chunk").alias("rel_id"), "place", "id", F.col("points")[0]["z"].cast("double").alias("z0"), "properties.kind")
 
 
 def spatial_shards_round_trip(spark, sf_dir):
     rows = annotations(spark, sf_dir)
-    index = spatial_index(rows, volume_bounds(rows), [BY_CELL] * 8, CELL_ROWS, 8)
-    back = decode_groups(encode.spatial_shards(index, rows, CONFIG, BY_CELL, 2), CONFIG, BY_CELL.minishard_bits)
-    return back.select(F.col("chunk").alias("morton"), "place", "id", "properties.user")
+    index = cut(spatial_index(rows, volume_bounds(rows), [BY_CELL] * 8, CELL_ROWS, 8), "spatial")
+    rows, levels, parts = cut(rows, "annotations"), index.agg(F.max("level")).first()[0], []
+    for level in range(levels + 1):
+        back = decode_groups(encode.whole(encode.spatial_shards(index, rows, CONFIG, BY_CELL, level)), CONFIG, BY_CELL.minishard_bits)
+        parts.append(back.select(F.lit(level).alias("level"), F.col("chunk").alias("morton"), "place", "id", "properties.user"))
+    return union(parts)
 
 
 def info_json(spark, sf_dir):
-    """The viewer's description of an index over the lines, as one JSON text a key."""
+    """Each level of the built index over the lines as the viewer's description has it."""
     rows = lines(spark, sf_dir)
-    n = rows.count()
-    text = json.dumps(info(CONFIG, volume_bounds(rows), plan(n, n * ROW_BYTES, CELL_ROWS), 3))
-    return spark.createDataFrame([(k, json.dumps(v)) for k, v in json.loads(text).items()], "key string, value string")
+    n, box = rows.count(), volume_bounds(rows)
+    made = plan(n, n * ROW_BYTES, CELL_ROWS)
+    levels = spatial_index(rows, box, list(made.levels), CELL_ROWS).agg(F.max("level")).first()[0] + 1
+    told = [
+        (s["key"], s["grid_shape"][0], *s["chunk_size"], s["limit"], s["sharding"]["shard_bits"], s["sharding"]["minishard_bits"])
+        for s in info(CONFIG, box, made, levels)["spatial"]
+    ]
+    return spark.createDataFrame(told, "key string, cells int, x double, y double, z double, most int, shard_bits int, minishard_bits int")
+
+
+def octree_conservation(spark, sf_dir):
+    """Annotations, those in the octree, copies, and lost ones."""
+    rows = lines(spark, sf_dir)
+    return checks.conserved(octree.build(rows, volume_bounds(rows), CELL_ROWS), rows)
+
+
+def unreadable_fields(spark, sf_dir):
+    """Events whose label is no declared one where ids or labels are expected, and parts whose colour is malformed."""
+    labels = [k for k, _ in EVENTS]
+    events = table(spark, sf_dir, "events").where(V.bad_relation(F.col("event_type"), labels)).select(F.lit("relation").alias("field"), F.col("event_id").alias("id"))
+    text = F.concat(F.lit("#"), F.substring(F.md5(F.col("p_partkey").cast("string")), 1, (8 - F.col("p_partkey") % 3).cast("int")))
+    parts = table(spark, sf_dir, "part").where(V.bad_colour(text, 4)).select(F.lit("colour").alias("field"), F.col("p_partkey").alias("id"))
+    return events.unionByName(parts)
 
 
 def _decoded(n: int):
@@ -345,7 +368,7 @@ QUERIES = {
         relation_coerce, relation_key, relation_explode_group, relation_enum_fallback, hex_colour, polyline_vector, point_list_parse, point_in_box,
         segment_intersects_box, polyline_in_bounds, convert_coordinates, octree_cell_by_level, morton_cells, cell_shard_hex, octree_points,
         octree_lines, octree_counts, lookup_id_query, lookup_relation_query, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
-        spatial_shards_round_trip, info_json,
+        spatial_shards_round_trip, info_json, octree_conservation, unreadable_fields,
     )
 }
 QUERIES["box_query"] = box_query_query
@@ -484,7 +507,7 @@ ORACLE_SQL = {
         SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 3 THEN NULL ELSE 2 END AS n,
                CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 3 THEN NULL ELSE o_orderkey || ',' || o_custkey END AS ids FROM orders""",
     "relation_key": r"SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || '  ' || p_brand || '  ' || p_type), '[!-/:-@\[-`{-~]', '', 'g'), '\s+', '_', 'g') AS key FROM part",
-    "relation_explode_group": f"SELECT 'part' AS relation, rel_id, CAST(count(*) AS INT) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM ({_PARTS}) GROUP BY rel_id",
+    "relation_explode_group": f"SELECT 'part' AS relation, rel_id, 0 AS slice, CAST(count(*) AS INT) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM ({_PARTS}) GROUP BY rel_id",
     "relation_enum_fallback": f"SELECT CAST(CASE event_type {_CASES} END AS BIGINT) AS rel_id, count(*) AS rows FROM events GROUP BY ALL",
     "hex_colour": "SELECT p_partkey, " + ", ".join(f"CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), {2 * i + 1}, 2)) AS INT) AS {n}" for i, n in enumerate(("red", "green", "blue", "alpha"))) + " FROM part",
     "polyline_vector": "SELECT vec_id AS id, " + ", ".join(f"round((embedding[{61 + k}]::DOUBLE - embedding[{1 + k}]::DOUBLE) / 20, 9) AS {a}" for k, a in enumerate("xyz")) + " FROM embeddings",
@@ -518,5 +541,17 @@ ORACLE_SQL = {
     "relation_shards_round_trip": f"""
         SELECT user_id AS rel_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY id) AS INT) AS place, id, CAST(CAST(z0 AS FLOAT) AS DOUBLE) AS z0,
                CAST(CASE event_type {_CASES} ELSE 0 END AS BIGINT) AS kind FROM ({LINE_SQL})""",
-    "spatial_shards_round_trip": f"WITH o AS ({octree_sql(ENDS_SQL)}) SELECT {morton_sql(2)} AS morton, place, o.id, user_id AS user FROM o JOIN events ON event_id = o.id WHERE level = 2",
+    "spatial_shards_round_trip": f"WITH o AS ({octree_sql(ENDS_SQL)}) SELECT level, CASE level {' '.join(f'WHEN {n} THEN {morton_sql(n)}' for n in range(8))} END AS morton, place, o.id, user_id AS user FROM o JOIN events ON event_id = o.id",
+    "info_json": f"""
+        WITH o AS ({octree_sql(ENDS_SQL)}), n AS (SELECT count(*) AS n FROM events),
+             e AS (SELECT max(x) - min(x) AS x, max(y) - min(y) AS y, max(z) - min(z) AS z FROM ({ENDS_SQL})),
+             l AS (SELECT DISTINCT level, CAST(pow(2, level) AS INT) AS cells, least(CAST(pow(8, level) AS BIGINT) * {CELL_ROWS}, n) AS held FROM o, n),
+             s AS (SELECT *, {_HALVINGS.format(f'(held * {ROW_BYTES})', 50_000_000)} AS shard_bits, {_HALVINGS.format('held', 1000)} AS parts FROM l)
+        SELECT 'spatial' || level AS key, cells, x / cells AS x, y / cells AS y, z / cells AS z, {CELL_ROWS} AS most, shard_bits, greatest(parts - shard_bits, 0) AS minishard_bits FROM s, e""",
+    "octree_conservation": f"""
+        WITH o AS ({octree_sql(ENDS_SQL)}), c AS (SELECT id, count(*) AS entries FROM o GROUP BY id)
+        SELECT (SELECT count(*) FROM events) AS rows, count(*) AS held, CAST(sum(entries - 1) AS BIGINT) AS copies, (SELECT count(*) FROM events) - count(*) AS lost FROM c""",
+    "unreadable_fields": f"""
+        SELECT 'relation' AS field, event_id AS id FROM events WHERE event_type NOT IN ({_LABELS})
+        UNION ALL SELECT 'colour', p_partkey FROM part WHERE p_partkey % 3 <> 0""",
 }

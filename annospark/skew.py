@@ -11,6 +11,15 @@ MOST_SPLIT = 1024
 TOGETHER = 256
 
 
+#: Rows of a table that is sent to all tasks, at most.
+SENT_ROWS = 200_000
+
+
+def if_few(df: DataFrame, rows: int, most: int = SENT_ROWS) -> DataFrame:
+    """``df``, to be broadcast if its ``rows`` are few."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner", most: int = MOST_SPLIT, together: int = TOGETHER) -> DataFrame:
     """``rows`` joined with ``groups`` (one row a key, ``size`` rows of it each) on ``keys``.
 

@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from annospark.config import DataConfig, free_name
 from annospark.functions.geometry import Box, bounds_of
 from annospark.functions.values import POINTS, colour, enum_value, key_of, mean_step, parse_points, relation_ids_or_enum
+from annospark.operators.checks import require_rows
 from annospark.operators.splits import number_rows
+from annospark.sources.files import listed
 
 #: Columns of an SWC file, and those of the table of polylines that files become.
 SWC = ("id", "type", "x", "y", "z", "r", "pid")
@@ -36,12 +38,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=header, enforceSchema=True, mode="FAILFAST")
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     return df.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in schema)) if schema else df
 
 
-def read_swc(spark: SparkSession, path: str) -> DataFrame:
+def read_swc(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``ID, Points`` of SWC files: a file is a polyline, its id the file's name, its points in the order of the lines.
 
     Lines hold space-separated numbers, point number first; the first line, after ``#``, names the columns.
@@ -93,7 +95,7 @@ def discover(paths: list[str]) -> tuple[str, list[str]]:
 
 def rows_named(path: str) -> int | None:
     """The row count that a file's name claims, as in ``synapses__2108-rows.csv``."""
-    found = re.search(r"(\d+)-rows", os.path.basename(path))
+    found = re.search(r"(\d+)-rows", os.path.basename(path.rstrip("/")))
     return int(found[1]) if found else None
 
 
@@ -106,6 +108,28 @@ def read_table(spark: SparkSession, path: str, config: DataConfig) -> DataFrame:
     return read_csv(spark, path, config.schema)
 
 
+def read_input(spark: SparkSession, path: str, config: DataConfig, unpacked: str | None = None) -> DataFrame:
+    """A table, a file, or a folder of files: archives are unpacked to ``unpacked``, then CSV files are read if there are any, else Parquet, else SWC.
+
+    Where all names claim a number of rows, the rows are counted and must be as many.
+    """
+    if path.rstrip("/").endswith((".parquet", ".csv", ".swc")):
+        files = [path]
+    else:
+        files = listed(path)
+        if any(f.endswith((".zip", ".tgz", ".gz", ".tar")) for f in files):
+            files = unpack(path.removeprefix("file://"), unpacked.removeprefix("file://"))
+    kind, files = discover(files)
+    if kind == "swc":
+        df = read_swc(spark, files)
+    elif kind == "parquet":
+        df = union([read_parquet(spark, f, config.schema) for f in files]) if len(files) < 8 else read_parquet(spark, files, config.schema)
+    else:
+        df = union([read_csv(spark, f, config.schema) for f in files])
+    claimed = [rows_named(f) for f in files]
+    return df if None in claimed else require_rows(df, sum(claimed))
+
+
 def with_id(df: DataFrame, order: list[str] | None = None, wanted: str = "id") -> tuple[DataFrame, str]:
     """``df`` with synthesized ids from 1 in the order of ``order`` (all columns), and the new column's name."""
     name = free_name(wanted, df.columns)

@@ -2,9 +2,13 @@ import gzip
 import json
 import os
 import random
+import re
 import struct
+import tarfile
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_bits_and_plans import CONFIG
@@ -12,8 +16,9 @@ from test_bits_and_plans import CONFIG
 from annospark.config import DataConfig, PropertySpec, Relationship, ShardingSpec
 from annospark.functions import values as V
 from annospark.functions.geometry import Box, convert, in_bounds
-from annospark.operators import checks, encode, octree
+from annospark.operators import checks, encode, indexes, octree
 from annospark.operators.indexes import id_index, relation_index
+from annospark.operators.sample import split_sample
 from annospark.plans import build
 from annospark.plans.lookup import box_query, lookup_id, write_csv
 from annospark.sources import tables
@@ -158,23 +163,133 @@ def test_octree_limits(spark):
     assert octree.build(same.limit(0), Box.of((0, 0, 0), (2, 2, 2)), 2).count() == 0
 
 
+def packed(rows, kind, specs, keys=()):
+    """Bodies of rows of (points, properties, related ids)."""
+    types = {"rgb": pa.list_(pa.int16()), "rgba": pa.list_(pa.int16()), "float32": pa.float32()}
+    point = pa.list_(pa.struct([(a, pa.float64()) for a in "xyz"]))
+    columns = {"points": pa.array([[dict(zip("xyz", p, strict=True)) for p in points] for points, *_ in rows], point)}
+    columns |= {f"p_{s.id}": pa.array([r[1].get(s.id) for r in rows], types.get(s.type, pa.int64())) for s in specs}
+    columns |= {f"r_{k}": pa.array([r[2].get(k) for r in rows], pa.list_(pa.int64())) for k in keys}
+    data, at = encode.pack_bodies(pa.RecordBatch.from_pydict(columns), kind, specs, list(keys))
+    return [data[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def test_bodies_byte_for_byte():
     specs = encode.property_order([PropertySpec("c", "rgb", "c"), PropertySpec("b", "uint16", "b"), PropertySpec("f", "float32", "f"), PropertySpec("s", "int8", "s")])
     assert [p.id for p in specs] == ["f", "b", "c", "s"]
-    point = [{"x": 1, "y": 2, "z": 3}]
-    body = encode.pack_body("POINT", point, {"c": [1, 2, 3], "b": 513, "f": 0.5, "s": -1}, specs, [[7, 8]])
-    assert body == struct.pack("<3ffH3Bbxx", 1, 2, 3, 0.5, 513, 1, 2, 3, -1) + struct.pack("<IQQ", 2, 7, 8)
-    assert encode.pack_body("POLYLINE", point * 2, {}, [])[:4] == struct.pack("<I", 2)
+    given = {"c": [1, 2, 3], "b": 513, "f": 0.5, "s": -1}
+    rows = [([(1, 2, 3)], given, {"k": [7, 8], "l": None}), ([(4, 5, 6)], {"f": float("nan")}, {"k": [], "l": [-1]})]
+    assert packed(rows, "POINT", specs, ["k", "l"]) == [
+        struct.pack("<3ffH3Bbxx", 1, 2, 3, 0.5, 513, 1, 2, 3, -1) + struct.pack("<IQQI", 2, 7, 8, 0),
+        struct.pack("<3ffH3Bbxx", 4, 5, 6, 0, 0, 0, 0, 0, 0) + struct.pack("<IIq", 0, 1, -1),
+    ]
+    assert packed([([(1, 2, 3)] * 2, {}, {}), ([], {}, {})], "POLYLINE", []) == [struct.pack("<I6f", 2, *(1, 2, 3) * 2), struct.pack("<I", 0)]
+    assert packed([], "LINE", specs) == []
     with pytest.raises(ValueError):
-        encode.pack_body("LINE", point, {}, specs)
+        packed(rows, "LINE", specs)
     with pytest.raises(ValueError):
-        encode.pack_property(PropertySpec("s", "int8", "s"), 200)
-    assert encode.pack_many([b"ab"], [9]) == struct.pack("<Q", 1) + b"ab" + struct.pack("<Q", 9)
-    shard = encode.pack_shard({1: [(2**63 + 5 - 2**64, b"yy"), (3, b"x")]}, 2)
-    assert shard[:32] == struct.pack("<4Q", 0, 0, 0, 48) and struct.unpack("<6Q", shard[32:80]) == (3, 2**63 + 2, 48, 0, 1, 2) and shard[80:] == b"xyy"
-    assert chunks_of(shard, 1) == [(1, 3, b"x"), (1, 2**63 + 5, b"yy")]
+        packed([([(1, 2, 3)], {"s": 200}, {})], "POINT", specs)
+
+
+def test_headers_byte_for_byte():
+    head = encode.header(np.array([1, 1]), np.array([3, 2**63 + 5 - 2**64]), np.array([1, 2]), 2)
+    assert head[:32] == struct.pack("<4Q", 0, 0, 0, 48) and struct.unpack("<6Q", head[32:]) == (3, 2**63 + 2, 48, 0, 1, 2)
+    assert chunks_of(head + b"xyy", 1) == [(1, 3, b"x"), (1, 2**63 + 5, b"yy")]
     with pytest.raises(ValueError):
-        encode.pack_shard({0: [(1, b""), (1, b"")]}, 1)
+        encode.header(np.array([0, 0]), np.array([1, 1]), np.array([1, 1]), 1)
+
+
+def test_shards_of_a_hot_relation_are_spread_and_whole(spark):
+    """Two thirds of all annotations belong to one object; ids are negative too, and order is unsigned."""
+    df, points = some_lines(spark, 900, 8)
+    rows = df.select((F.col("id") - 300).alias("id"), "points", F.lit(None).cast("struct<none:int>").alias("properties"), F.create_map(F.lit("r"), F.array(F.when(F.col("id") % 3 > 0, -5).otherwise(F.col("id")))).alias("relations")).cache()
+    config, spec = DataConfig((), "id", "LINE", (), (), (Relationship("r", "r"),)), ShardingSpec(1, 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with tables that aren't small
+    pieces = encode.relation_shards(relation_index(rows, spec), rows, config, spec, "r")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert pieces.where("kind = 1").groupBy("part").count().count() > 2
+    got = sorted((x["chunk"], x["place"], x["id"]) for x in decode_groups(encode.whole(pieces), config, 2).collect())
+    want = {}
+    for i in range(900):
+        want.setdefault(-5 if i % 3 else i, []).append(i - 300)
+    assert got == sorted((c, n + 1, i) for c, ids in want.items() for n, i in enumerate(sorted(ids)))
+    assert encode.whole(encode.id_shards(id_index(rows, spec), rows, config, spec)).count() == 2
+    with pytest.raises(Exception, match="repeated chunk id"):
+        encode.whole(encode.id_shards(id_index(rows.unionByName(rows), spec), rows, config, spec)).count()
+
+
+def test_related_ids_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(indexes, "SLICE_IDS", 10)
+    rows = spark.range(100).select("id", F.create_map(F.lit("r"), F.array(F.when(F.col("id") < 70, 1).otherwise(F.col("id")))).alias("relations"))
+    got = indexes.related(relation_index(rows, ShardingSpec(0, 0))).orderBy("rel_id", "slice").collect()
+    hot = [r["ids"] for r in got if r["rel_id"] == 1]
+    assert len(hot) == 7 and sum(hot, []) == list(range(70)) and len(got) == 7 + 30
+
+
+def test_a_level_without_sharding_raises(spark):
+    df, _ = some_lines(spark, 60)
+    box = Box.of((0, 0, 0), (10, 10, 10))
+    with pytest.raises(ValueError, match="sharding"):
+        indexes.spatial_index(df, box, [ShardingSpec(0, 0)] * 2, 5)
+    assert indexes.spatial_index(df, box, [ShardingSpec(0, 0)] * 9, 5).select("id").distinct().count() == 60
+
+
+def test_samples_are_of_rows(spark):
+    df = spark.createDataFrame([(7, "a"), (7, "b"), (None, "c"), (8, "d"), (8, "d")], "id long, v string")
+    for n in range(7):
+        taken, others = split_sample(df, "id", n)
+        assert taken.count() == min(n, 5) and sorted(map(repr, taken.unionByName(others).collect())) == sorted(map(repr, df.collect()))
+
+
+def test_fields_that_cannot_be_read_raise(spark):
+    c = DataConfig.from_json(CONFIG)
+    good = {"cell_a": "5, 6", "kind": "p", "tint": "#0a0b0c"}
+    columns = {r.key: r.column for r in c.relations} | {p.id: p.column for p in c.properties if p.type == "rgb"}
+    for name, bad in ((None, None), ("cell_a", "1.5"), ("cell_a", "abc"), ("tint", "0a0b0c"), ("tint", "#0a0b0")):
+        values = {col: good[k] for k, col in columns.items()} | ({columns[name]: bad} if name else {})
+        df = spark.createDataFrame([tuple(values.values()), (None,) * len(values)], ", ".join(f"`{k}` string" for k in values))
+        if name:
+            with pytest.raises(ValueError, match="can't be read"):
+                checks.require_values(df, c)
+        else:
+            checks.require_values(df, c)
+
+
+def test_sharding_that_is_given(spark):
+    given = build.Given(by_id=ShardingSpec(3, 1), targets={"minishard_target": 10})
+    made = build.plan(5000, 50_000, related=(100, 9000), given=given)
+    assert made.by_id == ShardingSpec(3, 1) and made.relation.minishard_bits == 4 and made.levels[0].minishard_bits > build.plan(5000, 50_000).levels[0].minishard_bits
+    with pytest.raises(ValueError, match="preshift"):
+        build.plan(5, 5, given=build.Given(by_id=ShardingSpec(3, 1, 1)))
+    c = DataConfig.from_json(CONFIG)
+    assert c.relation("cell_a").key == "cell_a"
+
+
+def test_folders_of_files_as_input(spark, tmp_path):
+    c = DataConfig.from_json(CONFIG)
+    row = '{},0,0,0,1,1,2,p,"5,6",#0a0b0c\n'
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a__2-rows.csv", row.format(1) + row.format(2))
+    write(tmp_path / "in" / "b__1-rows.csv", ",".join(CONFIG["columns"]) + "\n" + row.format(3))
+    for path in (f"{tmp_path}/in", f"file://{tmp_path}/in"):
+        assert sorted(r[0] for r in tables.read_input(spark, path, c).collect()) == [1, 2, 3]
+    write(tmp_path / "in" / "b__1-rows.csv", row.format(3) + row.format(4))
+    with pytest.raises(ValueError, match="4 rows"):
+        tables.read_input(spark, f"{tmp_path}/in", c)
+    for kind in ("tar.gz", "tar", "gz"):
+        packed_in = tmp_path / kind
+        packed_in.mkdir()
+        if kind == "gz":
+            with gzip.open(packed_in / "x.csv.gz", "wt") as f:
+                f.write(row.format(9))
+        else:
+            with tarfile.open(packed_in / f"x.{kind}", "w:gz" if kind == "tar.gz" else "w") as f:
+                f.add(write(tmp_path / "x.csv", row.format(9)), "x.csv")
+        assert [r[0] for r in tables.read_input(spark, str(packed_in), c, f"{tmp_path}/out-{kind}").collect()] == [9]
+    swc = tmp_path / "swc"
+    swc.mkdir()
+    write(swc / "17.swc", "# id,type,x,y,z,r,pid\n1 0 1.5 2 3 1 -1\n")
+    assert tables.read_input(spark, str(swc), c).collect()[0][:] == (17, "1.5,2,3")
 
 
 def test_run_writes_tables_shards_and_info(spark, tmp_path):
@@ -200,7 +315,11 @@ def test_run_writes_tables_shards_and_info(spark, tmp_path):
     stored = spark.read.parquet(f"{out}/tables/by_id")
     assert [x["id"] for x in lookup_id(stored, [7, 999], made.plan.by_id).collect()] == [7]
     box = Box.of((10, 10, 10), (60, 60, 60))
-    deep = box_query(spark.read.parquet(f"{out}/tables/spatial"), made.annotations, box, made.bounds, made.levels - 1)
+    deep = box_query(spark.read.parquet(f"{out}/tables/spatial"), box, made.bounds, made.levels - 1, made.plan.levels)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    scan = box_query(spark.read.parquet(f"{out}/tables/spatial"), box, made.bounds, made.levels - 1, made.plan.levels)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "shard" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scan)[1] and scan.count("FileScan") == 1
     ends = {i for i, x in want.items() if any(all(10 <= p[a] <= 60 for a in "xyz") for p in x["points"])}
     assert ends <= {x["id"] for x in deep.collect()}
 
