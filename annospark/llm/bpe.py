@@ -3,7 +3,7 @@
 Texts of up to ``LONG`` characters are encoded where they were read, through a
 worker's cache of words.  A longer text is cut into leaves of up to ``LEAF``
 characters wherever the cuts fall, words or not; the leaves are rows of their own
-and encoded in parallel.  Neighbours are then concatenated up a tree: a window of
+and encoded in parallel.  Neighbours are then concatenated up a tree, all pairs of a level at once: a window of
 tokens around each join is encoded again, and grows until it shares a token (same
 id, same characters) with the left side and one with the right.  A sequence of BPE
 tokens is the encoding of its text exactly if each adjacent pair is that of its own
@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annospark.lineage import cut
+
 
 #: Texts of more characters are cut; characters in a leaf at most; tokens in the first window on each side.
-LONG, LEAF, WINDOW = 65_536, 16_384, 16
+LONG, LEAF, WINDOW = 32_768, 8_192, 16
 #: Entries of a worker's cache of words; when full it starts anew.  Longer words are not cached.
 CACHE, CACHE_CHARS = 400_000, 64
 #: Characters whose classes the tokenizers library and this module agree on (a test goes through them all):
@@ -122,8 +124,8 @@ def _shared(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([x for x, _ in both], np.int64), np.array([y for _, y in both], np.int64)
 
 
-def concatenate(bpe: WordBpe, text: str, left: np.ndarray, right: np.ndarray, start: int, cut: int, window: int = WINDOW) -> np.ndarray:
-    """Tokens of ``left`` and ``right`` joined; ``text`` begins at ``start`` and ``right`` at ``cut``."""
+def concatenate(bpe: WordBpe, text: str, left: np.ndarray, right: np.ndarray, start: int, seam: int, window: int = WINDOW) -> np.ndarray:
+    """Tokens of ``left`` and ``right`` joined; ``text`` begins at ``start`` and ``right`` at ``seam``."""
     n = window
     while True:
         all_left, all_right = n >= len(left), n >= len(right)
@@ -146,18 +148,10 @@ def concatenate(bpe: WordBpe, text: str, left: np.ndarray, right: np.ndarray, st
         n *= 2
 
 
-def encode_tree(bpe: WordBpe, leaves: list[tuple[str, np.ndarray]], window: int = WINDOW) -> np.ndarray:
-    """The encoding of the leaves' whole text from those of the leaves, pair by pair up the tree."""
-    nodes, at = [], 0
-    for text, spans in leaves:
-        nodes.append((at, text, spans + [0, at, at]))
-        at += len(text)
-    while len(nodes) > 1:
-        up = []
-        for (s, t, x), (c, u, y) in zip(nodes[::2], nodes[1::2], strict=False):
-            up.append((s, t + u, concatenate(bpe, t + u, x, y, s, c, window)))
-        nodes = up + (nodes[-1:] if len(nodes) % 2 else [])
-    return nodes[0][2][:, 0]
+def join_halves(bpe: WordBpe, left: tuple[str, np.ndarray], right: tuple[str, np.ndarray], window: int = WINDOW) -> tuple[str, np.ndarray]:
+    """Text and tokens (offsets from its beginning) of two neighbours as one."""
+    (a, x), (b, y) = left, right
+    return a + b, concatenate(bpe, a + b, x, y + [0, len(a), len(a)], 0, len(a), window)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", long: int = LONG, leaf: int = LEAF) -> DataFrame:
@@ -166,7 +160,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
     ``ids`` (binary) are those of the tokenizers file ``path`` without added special tokens, as little-endian
     unsigned 32-bit integers; ``decoded`` is what decoding them gives.  A null or empty text has no ids and
     decodes to an empty text; a null ``doc_id`` stays null, repeated rows give repeated rows, no rows give no
-    rows; other columns are not read.  A text longer than ``long`` is encoded in leaves, whose cuts may fall anywhere.
+    rows; other columns are not read.  A text longer than ``long`` is encoded in leaves, whose cuts may fall anywhere, and
+    its halves are joined level by level in tasks of their own; only its last join has it whole.
     """
 
     @F.arrow_udf("struct<ids:binary,decoded:string>")
@@ -180,17 +175,28 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
         bpe = WordBpe.of(path)
         return pa.array([bpe.spans(t).astype("<i4").tobytes() for t in texts.to_pylist()], pa.binary())
 
+    @F.arrow_udf("struct<ids:binary,decoded:string>")
+    def finished(spans: pa.Array) -> pa.Array:
+        bpe = WordBpe.of(path)
+        ids = [np.ascontiguousarray(np.frombuffer(s, "<i4").reshape(-1, 3)[:, 0]).astype("<u4").tobytes() for s in spans.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())], ["ids", "decoded"])
+
+    kind = f"row long, part int, doc_id {dict(docs.dtypes)[doc_id]}, leaf string, spans binary"
+
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
         bpe, rows = WordBpe.of(path), rows.sort_values("part")
-        leaves = [(t, np.frombuffer(s, "<i4").reshape(-1, 3).astype(np.int64)) for t, s in zip(rows["leaf"], rows["spans"], strict=True)]
-        ids = encode_tree(bpe, leaves).astype("<u4").tobytes()
-        return pd.DataFrame({"doc_id": rows["doc_id"].iloc[:1].array, "ids": [ids], "decoded": [bpe.decode(ids)]})
+        halves = [(t, np.frombuffer(s, "<i4").reshape(-1, 3)) for t, s in zip(rows["leaf"], rows["spans"], strict=True)]
+        whole_text, spans = join_halves(bpe, *halves) if len(halves) == 2 else halves[0]
+        first = rows.iloc[:1]
+        return pd.DataFrame({"row": first["row"].array, "part": first["part"].array // 2, "doc_id": first["doc_id"].array, "leaf": [whole_text], "spans": [spans.astype("<i4").tobytes()]})
 
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     short = rows.where(F.char_length("text") <= long).select("doc_id", whole("text").alias("x")).select("doc_id", "x.ids", "x.decoded")
     cuts = F.expr(f"transform(sequence(0, cast(ceil(char_length(text) / {leaf}) as int) - 1), i -> substring(text, i * {leaf} + 1, {leaf}))")
-    parts = rows.where(F.char_length("text") > long).withColumn("row", F.monotonically_increasing_id())
-    parts = parts.select("row", "doc_id", F.posexplode(cuts).alias("part", "leaf"))
-    parts = parts.repartition(F.col("row"), F.col("part")).withColumn("spans", leaf_spans("leaf"))
-    kind = dict(docs.dtypes)[doc_id]
-    return short.unionByName(parts.groupBy("row").applyInPandas(joined, f"doc_id {kind}, ids binary, decoded string"))
+    leaves = rows.where(F.char_length("text") > long).withColumn("row", F.monotonically_increasing_id())
+    leaves = cut(leaves.select("row", "doc_id", F.posexplode(cuts).alias("part", "leaf")), "leaves")
+    width = (leaves.agg(F.max("part")).first()[0] or 0) + 1
+    nodes = leaves.repartition(F.col("row"), F.col("part")).select("row", "part", "doc_id", "leaf", leaf_spans("leaf").alias("spans"))
+    while width > 1:
+        nodes, width = nodes.groupBy("row", F.expr("part div 2")).applyInPandas(joined, kind), (width + 1) // 2
+    return short.unionByName(nodes.select("doc_id", finished("spans").alias("x")).select("doc_id", "x.ids", "x.decoded"))
