@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -190,7 +191,7 @@ def to_pcm(files: list[bytes | None], rate: int = STORED_RATE) -> list[bytes | N
     return out
 
 
-def in_groups(files: list[bytes | None]):
+def in_groups(files: Iterable[bytes | None]):
     """Files in runs of about ``GROUP_BYTES``, so that a batch of long ones isn't decoded at once."""
     group, size = [], 0
     for f in files:
@@ -218,48 +219,41 @@ def pcm_column(media: Column, rate: int = STORED_RATE) -> Column:
     return convert(media)
 
 
-def media_column(text: Column) -> Column:
-    """Texts as telephony files, each of the coding that ``coding_of`` gives; null counts as empty."""
+#: What a stored file holds, read back from its bytes, and the PCM file that is stored beside it.
+HOLDS = {
+    "media": "binary", "pcm": "binary", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long",
+    "media_sha256": "string", "feature": "string", "coding": "string", "pcm_sha256": "string",
+}
 
-    @F.arrow_udf("binary")
-    def files(texts: pa.Array) -> pa.Array:
-        payloads = [padded(t.encode()) for t in texts.to_pylist()]
-        return pa.array([store(p, coding_of(p)) for p in payloads], pa.binary())
-
-    return files(F.coalesce(text, F.lit("")))
-
-
-DIGEST = "struct<payload_bytes:bigint,payload_sha256:string,tail_crc32:bigint,media_bytes:bigint,media_sha256:string,feature:string,coding:string,pcm_sha256:string>"
 
-
-def media_digest(media: Column) -> Column:
-    """What a column of telephony files holds, read back from their bytes, with the PCM that is stored of it."""
-
-    @F.arrow_udf(DIGEST)
-    def digest(files: pa.Array) -> pa.Array:
-        out = []
-        for group in in_groups(files.to_pylist()):
-            for f, pcm in zip(group, to_pcm(group), strict=True):
-                if pcm is None:
-                    out.append(None)
-                    continue
-                payload = stored(f)
-                out.append({
-                    "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-32:]),
-                    "media_bytes": len(f), "media_sha256": hashlib.sha256(f).hexdigest(), "feature": features(samples(*read_wave(pcm)[::2])),
-                    "coding": read_wave(f)[0], "pcm_sha256": hashlib.sha256(pcm).hexdigest(),
-                })
-        return pa.array(out, pa.struct([(n, pa.int64() if n in ("payload_bytes", "tail_crc32", "media_bytes") else pa.string()) for n in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "coding", "pcm_sha256")]))
-
-    return digest(media)
+def held(media: bytes, pcm: bytes) -> dict:
+    payload = stored(media)
+    return {
+        "media": media, "pcm": pcm, "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-32:]),
+        "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest(), "feature": features(samples(*read_wave(pcm)[::2])),
+        "coding": read_wave(media)[0], "pcm_sha256": hashlib.sha256(pcm).hexdigest(),
+    }
 
 
 def text_media(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, n_bytes`` and what ``media_digest`` gives for each row of ``docs``.
+    """``doc_id, n_bytes``, the columns ``media`` (the telephony file) and ``pcm`` (the resampled one), and what ``held`` reads from them.
 
     A null or empty text is one unit of padding with ``n_bytes`` 0.  A null ``doc_id`` stays null, repeated rows
-    give repeated rows, equal texts equal values, no rows give no rows; other columns are not read.
+    give repeated rows, equal texts equal values, no rows give no rows; other columns are not read.  Texts are worked on about
+    ``GROUP_BYTES`` at a time, a longer text by itself in about 30 bytes of memory for each of its bytes.
     """
-    column = F.col(f"`{text}`")
-    out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.octet_length(column), F.lit(0)).cast("long").alias("n_bytes"), media_digest(media_column(column)).alias("d"))
-    return out.select("doc_id", "n_bytes", "d.*")
+
+    def each(batches):
+        for batch in batches:
+            ids, at = batch.column(0), 0
+            payloads = (padded((t or "").encode()) for t in batch.column(1).to_pylist())
+            for group in in_groups(store(p, coding_of(p)) for p in payloads):
+                found = [held(f, pcm) for f, pcm in zip(group, to_pcm(group), strict=True)]
+                columns = [pa.array([x[name] for x in found], {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}[kind]) for name, kind in HOLDS.items()]
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(found)), *columns], ["doc_id", *HOLDS])
+                at += len(found)
+
+    column, kind = F.col(f"`{text}`"), dict(docs.dtypes)[doc_id]
+    rows = docs.select(F.struct(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.octet_length(column), F.lit(0)).cast("long").alias("n_bytes")).alias("id"), column.alias("text"))
+    schema = f"doc_id struct<doc_id:{kind},n_bytes:long>, {', '.join(f'{n} {t}' for n, t in HOLDS.items())}"
+    return rows.mapInArrow(each, schema).select("doc_id.*", *HOLDS)
