@@ -3,8 +3,7 @@
 Every token of a text is predicted from the ``SIDE`` tokens on each side of it,
 never from itself, and the conditional log-probabilities are summed.  Tokens are those
 of a byte-level BPE, so each text is named whole and nothing is out of vocabulary.  The
-network adds the embeddings of the tokens around, scaled by their place, applies tanh, and
-has a softmax in two steps: the token's class, then the token in its class.  Tokens
+network adds an embedding for each place of the window, applies tanh, and has a softmax in two steps: the token's class, then the token in its class.  Tokens
 are numbered by their counts in the corpus; classes are runs of these numbers, long for rare
 tokens, so that both steps are short on average.
 
@@ -35,11 +34,14 @@ from .pieces import OWN_SLOTS, SENT_SLOTS, Pieces, Table, character_classes, fre
 from .tokens import FREQUENT, sample_texts
 
 #: Classes of the softmax; tokens seen on each side; width of the hidden layer, its constant included.
-CLASSES, SIDE, WIDTH = 32, 2, 16
+CLASSES, SIDE, WIDTH = 32, 2, 12
+PLACES = [p for p in range(-SIDE, SIDE + 1) if p]
 #: Rounds of training; tokens in a step; Adagrad's rate; seed; first sum of squares.
 ROUNDS, STEP, RATE, SEED, DAMPING = 3, 8192, 0.1, 11, 1e-4
 #: Tokens that a task trains on at least; tasks for each core at most.
-TASK_TOKENS, TASKS_A_CORE = 1 << 23, 4
+TASK_TOKENS, TASKS_A_CORE = 1 << 24, 4
+#: The least exponent that has a logarithm.
+TINY = np.float32(1e-45)
 #: Rows of a table that are averaged together, and models; weight of a row whose token a task has not seen.
 RUN, FAN_IN, UNSEEN = 4096, 32, 1e-3
 #: Tokens that a worker's encoder keeps; when there are more it starts anew.
@@ -106,13 +108,25 @@ def encoder_parts(docs: DataFrame, path: str, text: str = "text") -> tuple[np.nd
     return encoder.classes, table, encoder.kept[: encoder.used].copy()
 
 
+def stored_as(vocabulary: int) -> str:
+    """How tokens are stored: unsigned little-endian numbers of 16 bits if they fit, else of 32."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def vocabulary_of(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+
+
 def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
-    """``doc_id, tokens, round``: the tokens (binary, unsigned little-endian 32-bit) of each row of ``docs``, a null text's as of an empty one."""
+    """``doc_id, tokens, round``: the tokens (binary, as ``stored_as`` has it) of each row of ``docs``, a null text's as of an empty one."""
+    kind = stored_as(vocabulary_of(path))
     sent = docs.sparkSession.sparkContext.broadcast(encoder_parts(docs, path, text))
 
     @F.arrow_udf("binary")
     def tokens(texts: pa.Array) -> pa.Array:
-        return pa.array([t.astype("<u4").tobytes() for t in Encoder.of(path, sent.value).encode(texts.to_pylist())], pa.binary())
+        return pa.array([t.astype(kind).tobytes() for t in Encoder.of(path, sent.value).encode(texts.to_pylist())], pa.binary())
 
     column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), tokens(column).alias("tokens"), F.pmod(F.xxhash64(column), F.lit(rounds)).cast("int").alias("round"))
@@ -121,11 +135,13 @@ def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_i
 def token_counts(rows: DataFrame, vocabulary: int) -> np.ndarray:
     """How often each token of the vocabulary occurs in ``tokens``."""
 
+    kind = stored_as(vocabulary)
+
     def partial(batches):
         found = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for t in batch.column(0):
-                found += np.bincount(np.frombuffer(t.as_buffer(), "<u4"), minlength=vocabulary)
+                found += np.bincount(np.frombuffer(t.as_buffer(), kind), minlength=vocabulary)
         seen = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], ["token", "count"])
 
@@ -136,14 +152,14 @@ def token_counts(rows: DataFrame, vocabulary: int) -> np.ndarray:
 
 
 class Network:
-    """Parameters by name, each a table of rows with a sum of squares in its last column.
+    """Parameters by name, each a table of rows, with a sum of squares for each row in ``sums``.
 
-    ``seen`` (token and edge; for the left and the right side), ``own`` (token), ``kind`` (class), ``scale`` (place) and
-    ``shift`` (one row), each ``WIDTH`` wide; the hidden layer's last place is constant, for biases.  Tokens are numbered by rank.
+    ``near0`` ... (a place of the window each; tokens and the edge), ``own`` (token), ``kind`` (class) and ``shift`` (one
+    row), each ``WIDTH`` wide; the hidden layer's last place is constant, for biases.  Tokens are numbered by rank.
     """
 
-    def __init__(self, rank: np.ndarray, first: np.ndarray, tables: dict[str, np.ndarray]):
-        self.rank, self.first, self.tables = rank, first, tables
+    def __init__(self, rank: np.ndarray, first: np.ndarray, tables: dict[str, np.ndarray], sums: dict[str, np.ndarray]):
+        self.rank, self.first, self.tables, self.sums = rank, first, tables, sums
         self.edge = len(rank)
         self.kind_of = np.repeat(np.arange(len(first) - 1), np.diff(first)).astype(np.uint8)
         self.touched = {k: np.zeros(len(v)) for k, v in tables.items()}
@@ -156,29 +172,30 @@ class Network:
         rank[order] = np.arange(len(counts))
         have = counts[order] + 1.0
         # A class's part of the cost is its share times its length, so lengths go by the root of the share.
-        root = np.sqrt(counts[order]) + 0.25
-        number = np.minimum((np.cumsum(root) - root) * classes / root.sum(), classes - 1).astype(int)
+        # Tokens that don't occur are a class by themselves, so that no softmax over occurring ones holds them.
+        root = np.sqrt(counts[order])
+        number = np.minimum((np.cumsum(root) - root) * (classes - 1) / max(root.sum(), 1), classes - 2).astype(int)
+        number[counts[order] == 0] = classes - 1
         first = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(counts))
         kinds = np.add.reduceat(have, first[:-1])
         rng, f = np.random.default_rng(SEED), np.float32
-        table = lambda values: np.concatenate([values, np.full((len(values), 1), DAMPING)], axis=1).astype(f)
-        biased = lambda values, bias: np.concatenate([values[:, 1:], bias[:, None]], axis=1)
-        return cls(rank, first, {
-            "seen": table(rng.normal(0, 0.1, (len(counts) + 1, 2 * WIDTH))),
-            "own": table(biased(np.zeros((len(counts), WIDTH)), np.log(have / np.repeat(kinds, np.diff(first))))),
-            "kind": table(biased(rng.normal(0, 0.1, (len(kinds), WIDTH)), np.log(kinds / kinds.sum()))),
-            "scale": table(np.ones((2 * SIDE, WIDTH))), "shift": table(np.zeros((1, WIDTH))),
-        })
+        biased = lambda values, bias: np.concatenate([values[:, 1:], bias[:, None]], axis=1).astype(f)
+        tables = {f"near{k}": rng.normal(0, 0.1, (len(counts) + 1, WIDTH)).astype(f) for k in range(len(PLACES))}
+        tables["own"] = biased(np.zeros((len(counts), WIDTH)), np.log(have / np.repeat(kinds, np.diff(first))))
+        tables["kind"] = biased(rng.normal(0, 0.1, (len(kinds), WIDTH)), np.log(kinds / kinds.sum()))
+        tables["shift"] = np.zeros((1, WIDTH), f)
+        return cls(rank, first, tables, {k: np.full(len(v), DAMPING, f) for k, v in tables.items()})
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, rank=self.rank, first=self.first, **self.tables)
+        np.savez(out, rank=self.rank, first=self.first, **self.tables, **{f"sums_{k}": v for k, v in self.sums.items()})
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> Network:
         with np.load(io.BytesIO(data)) as x:
-            return cls(x["rank"], x["first"], {k: x[k] for k in x.files if k not in ("rank", "first")})
+            tables = {k: x[k] for k in x.files if k not in ("rank", "first") and not k.startswith("sums_")}
+            return cls(x["rank"], x["first"], tables, {k: x[f"sums_{k}"] for k in tables})
 
     def stream(self, texts: list[np.ndarray]) -> np.ndarray:
         """Ranks of the texts' tokens, with ``SIDE`` edges around each text."""
@@ -188,59 +205,57 @@ class Network:
             parts += [self.rank[t], edge]
         return np.concatenate(parts)
 
-    def hidden(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The hidden layer at each place of ``stream`` but the first and last ``SIDE``, and the embeddings of ``stream``."""
-        x, scale, n = self.tables["seen"][stream, :-1], self.tables["scale"], len(stream) - 2 * SIDE
-        total = np.tile(self.tables["shift"][:, :-1], (n, 1))
-        for d in range(1, SIDE + 1):
-            total += x[SIDE - d : SIDE - d + n, :WIDTH] * scale[d - 1, :-1]
-            total += x[SIDE + d : SIDE + d + n, WIDTH:] * scale[SIDE + d - 1, :-1]
+    def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The hidden layer at the places ``at`` of ``stream``, counted behind its first ``SIDE``."""
+        total = np.repeat(self.tables["shift"], len(at), axis=0)
+        for k, place in enumerate(PLACES):
+            total += self.tables[f"near{k}"].take(stream.take(at + (SIDE + place)), axis=0)
         np.tanh(total, out=total)
         total[:, -1] = 1  # for the biases
-        return total, x
-
-    def _logits(self, h: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """Of the rows of a softmax; they are kept from overflowing where the weights would let them, which is seldom."""
-        logits = h @ table[:, :-1].T
-        if np.abs(table[:, :-1]).sum(axis=1).max() > 80:
-            logits -= logits.max(axis=1, keepdims=True)
-        return logits
+        return total
+
+    @staticmethod
+    def _exponents(h: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the rows of a softmax: exponents and their sums; the largest logit is taken off first where they would overflow."""
+        logits = h @ table.T
+        out, ones = np.exp(logits), np.ones(len(table), np.float32)
+        total = out @ ones
+        if np.isfinite(total).all():
+            return out, total
+        np.exp(logits - logits.max(axis=1, keepdims=True), out=out)
+        return out, out @ ones
 
     def _sorted(self, stream: np.ndarray):
         """Of the places that are no edges, by class: places, tokens, classes, and where each class that occurs begins and ends."""
         at = np.flatnonzero(stream[SIDE:-SIDE] != self.edge)
-        want = stream[SIDE:-SIDE][at]
-        order = np.argsort(self.kind_of[want], kind="stable")
-        at, want = at[order], want[order]
-        kind = self.kind_of[want]
+        want = stream[SIDE:-SIDE].take(at)
+        order = np.argsort(self.kind_of.take(want), kind="stable")
+        at, want = at.take(order), want.take(order)
+        kind = self.kind_of.take(want)
         ends = np.searchsorted(kind, np.arange(len(self.first)))
         return at, want, kind, [(c, ends[c], ends[c + 1]) for c in np.flatnonzero(np.diff(ends)).tolist()]
 
     def log_probabilities(self, stream: np.ndarray) -> np.ndarray:
         """Of each token of ``stream`` but the first and last ``SIDE``, given those around it; 0 for edges."""
         at, want, kind, runs = self._sorted(stream)
-        h, rows = self.hidden(stream)[0][at], np.arange(len(at))
+        h, rows = self.hidden(stream, at), np.arange(len(at))
         out, each = np.zeros(len(stream) - 2 * SIDE), np.zeros(len(at))
 
-        def of(h, table, place, out):
-            logits = self._logits(h, table)
-            out += logits[rows[: len(place)], place]
-            np.exp(logits, out=logits)
-            out -= np.log(logits @ np.ones(len(table), np.float32))
-
-        of(h, self.tables["kind"], kind, each)
-        for c, a, b in runs:
-            if self.first[c + 1] - self.first[c] > 1:
-                of(h[a:b], self.tables["own"][self.first[c] : self.first[c + 1]], want[a:b] - self.first[c], each[a:b])
+        with np.errstate(over="ignore"):
+            exps, total = self._exponents(h, self.tables["kind"])
+            each += np.log(np.maximum(exps[rows, kind], TINY)) - np.log(total)
+            for c, a, b in runs:
+                if self.first[c + 1] - self.first[c] > 1:
+                    exps, total = self._exponents(h[a:b], self.tables["own"][self.first[c] : self.first[c + 1]])
+                    each[a:b] += np.log(np.maximum(exps[rows[: b - a], want[a:b] - self.first[c]], TINY)) - np.log(total)
         out[at] = each
         return out
 
     def _down(self, name: str, slope: np.ndarray, rows=slice(None), seen=1.0) -> None:
         """Adagrad with one sum of squares a row."""
-        table = self.tables[name][rows]
-        table[:, -1] += np.einsum("ij,ij->i", slope, slope) * (1 / slope.shape[1])
-        table[:, :-1] -= slope * (RATE / np.sqrt(table[:, -1:]))
-        self.tables[name][rows] = table
+        sums = self.sums[name][rows] + np.einsum("ij,ij->i", slope, slope) * np.float32(1 / WIDTH)
+        self.sums[name][rows] = sums
+        self.tables[name][rows] -= slope * (np.float32(RATE) / np.sqrt(sums))[:, None]
         self.touched[name][rows] += seen
 
     def step(self, stream: np.ndarray) -> None:
@@ -249,49 +264,44 @@ class Network:
         n = len(at)
         if not n:
             return
-        whole, x = self.hidden(stream)
-        h, rows, part = whole[at], np.arange(n), np.float32(1 / n)
+        h, rows, part = self.hidden(stream, at), np.arange(n), np.float32(1 / n)
 
         def error_of(h, table, place):
-            error = self._logits(h, table)
-            np.exp(error, out=error)
-            error *= (part / (error @ np.ones(len(table), np.float32)))[:, None]
+            error, total = self._exponents(h, table)
+            error *= (part / total)[:, None]
             error[rows[: len(place)], place] -= part
             return error
 
-        error = error_of(h, self.tables["kind"], kind)
-        kinds, back = error.T @ h, error @ self.tables["kind"][:, :-1]
-        for c, a, b in runs:
-            run = slice(self.first[c], self.first[c + 1])
-            own, place = self.tables["own"][run], want[a:b] - self.first[c]
-            if len(own) > 1:
-                error = error_of(h[a:b], own, place)
-                back[a:b] += error @ own[:, :-1]
-                self._down("own", error.T @ h[a:b], run, np.bincount(place, minlength=len(own)))
+        with np.errstate(over="ignore"):
+            error = error_of(h, self.tables["kind"], kind)
+            kinds, back = error.T @ h, error @ self.tables["kind"]
+            to_own = np.zeros((int(self.first[runs[-1][0] + 1]), WIDTH), np.float32)
+            for c, a, b in runs:
+                run = slice(self.first[c], self.first[c + 1])
+                if run.stop - run.start > 1:
+                    error = error_of(h[a:b], self.tables["own"][run], want[a:b] - run.start)
+                    back[a:b] += error @ self.tables["own"][run]
+                    np.matmul(error.T, h[a:b], out=to_own[run])
+        self._down("own", to_own, slice(0, len(to_own)), np.bincount(want, minlength=len(to_own)))
         self._down("kind", kinds, seen=n)
-        back *= 1 - h * h
-        back[:, -1] = 0  # of the constant
-        full = np.zeros_like(whole)
-        full[at] = back
-        scale, to_x, scales = self.tables["scale"], np.zeros_like(x), np.empty((2 * SIDE, WIDTH), np.float32)
-        m = len(full)
-        for d in range(1, SIDE + 1):
-            for k, begin, half in ((d - 1, SIDE - d, slice(0, WIDTH)), (SIDE + d - 1, SIDE + d, slice(WIDTH, 2 * WIDTH))):
-                scales[k] = np.einsum("ij,ij->j", full, x[begin : begin + m, half])
-                to_x[begin : begin + m, half] += full * scale[k, :-1]
-        self._down("scale", scales, seen=n)
-        self._down("shift", full.sum(axis=0)[None], seen=n)
-        order = np.argsort(stream.astype(np.uint16) if self.edge < 1 << 16 else stream, kind="stable")
-        begins = np.flatnonzero(np.diff(stream[order], prepend=-1))
-        self._down("seen", np.add.reduceat(to_x[order], begins), stream[order[begins]], np.diff(np.append(begins, len(order))))
+        np.multiply(h, h, out=h)
+        np.subtract(1, h, out=h)  # 0 for the constant
+        back *= h
+        self._down("shift", back.sum(axis=0)[None], seen=n)
+        for k, place in enumerate(PLACES):
+            tokens = stream.take(at + (SIDE + place))
+            order = np.argsort(tokens.astype(np.uint16) if self.edge < 1 << 16 else tokens, kind="stable")
+            tokens = tokens.take(order)
+            begins = np.flatnonzero(np.diff(tokens, prepend=-1))
+            self._down(f"near{k}", np.add.reduceat(back.take(order, axis=0), begins), tokens[begins], np.diff(np.append(begins, n)))
 
 
 def segments(network: Network, batches, column: int = 0):
     """Streams of about ``STEP`` tokens over the texts of ``batches``; a long text is several, which overlap by what a window sees."""
-    waiting, have = [], 0
+    waiting, have, kind = [], 0, stored_as(network.edge)
     for batch in batches:
         for t in batch.column(column):
-            tokens = np.frombuffer(t.as_buffer(), "<u4")
+            tokens = np.frombuffer(t.as_buffer(), kind)
             waiting.append(tokens)
             have += len(tokens)
             if have >= STEP:
@@ -321,30 +331,30 @@ def train(rows: DataFrame, network: Network, tasks: int) -> Network:
             seen = True
         part = TaskContext.get().partitionId()
         for name, table in model.tables.items() if seen else ():
+            table = np.concatenate([table, model.sums[name][:, None]], axis=1)
             for k, first in enumerate(range(0, len(table), RUN)):
                 some, weight = table[first : first + RUN], UNSEEN + model.touched[name][first : first + RUN]
-                yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "run": [k], "weight": [weight.astype("<f8").tobytes()], "rows": [some.astype("<f4").tobytes()]})
+                yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "run": [k], "weight": [weight.astype("<f4").tobytes()], "rows": [some.astype("<f4").tobytes()]})
 
     def average(parts: pd.DataFrame) -> pd.DataFrame:
         total = weights = 0.0
         for weight, some in zip(parts["weight"], parts["rows"], strict=True):
-            weight = np.frombuffer(weight, "<f8")
+            weight = np.frombuffer(weight, "<f4").astype(np.float64)
             total, weights = total + np.frombuffer(some, "<f4").reshape(len(weight), -1) * weight[:, None], weights + weight
         mean = (total / weights[:, None]).astype("<f4")
         out = {"part": int(parts["part"].min()) // FAN_IN, "name": parts["name"].iloc[0], "run": int(parts["run"].iloc[0])}
-        return pd.DataFrame([out | {"weight": weights.astype("<f8").tobytes(), "rows": mean.tobytes()}])
+        return pd.DataFrame([out | {"weight": weights.astype("<f4").tobytes(), "rows": mean.tobytes()}])
 
     kind = "part long, name string, run long, weight binary, rows binary"
     models = rows.select("tokens").coalesce(tasks).mapInArrow(local, kind)
     while tasks > 1:
         models = models.groupBy("name", "run", F.expr(f"part div {FAN_IN}")).applyInPandas(average, kind)
         tasks = -(-tasks // FAN_IN)
-    tables = {k: v.copy() for k, v in network.tables.items()}
+    tables, sums = ({k: v.copy() for k, v in of.items()} for of in (network.tables, network.sums))
     for r in models.collect():  # one model's rows
-        table = tables[r["name"]]
-        some = np.frombuffer(r["rows"], "<f4").reshape(-1, table.shape[1])
-        table[r["run"] * RUN : r["run"] * RUN + len(some)] = some
-    return Network(network.rank, network.first, tables)
+        some, first = np.frombuffer(r["rows"], "<f4").reshape(-1, WIDTH + 1), r["run"] * RUN
+        tables[r["name"]][first : first + len(some)], sums[r["name"]][first : first + len(some)] = some[:, :-1], some[:, -1]
+    return Network(network.rank, network.first, tables, sums)
 
 
 def fit(rows: DataFrame, vocabulary: int, rounds: int = ROUNDS) -> Network:
@@ -366,7 +376,7 @@ def log_likelihood(rows: DataFrame, network: Network) -> DataFrame:
     def score(tokens: pa.Array) -> pa.Array:
         if not made:
             made.append(Network.load(sent.value))
-        model, out, queue = made[0], [], deque()
+        model, out, queue, kind = made[0], [], deque(), stored_as(made[0].edge)
 
         def flush():
             texts = list(queue)
@@ -379,7 +389,7 @@ def log_likelihood(rows: DataFrame, network: Network) -> DataFrame:
 
         have = 0
         for t in tokens:
-            queue.append(np.frombuffer(t.as_buffer(), "<u4"))
+            queue.append(np.frombuffer(t.as_buffer(), kind))
             have += len(queue[-1])
             if have >= STEP:
                 flush()
@@ -388,7 +398,7 @@ def log_likelihood(rows: DataFrame, network: Network) -> DataFrame:
             flush()
         return pa.array(out, pa.float64())
 
-    return rows.select("doc_id", F.expr("cast(octet_length(tokens) div 4 as long)").alias("n_tokens"), score("tokens").alias("log_prob"))
+    return rows.select("doc_id", F.expr(f"cast(octet_length(tokens) div {np.dtype(stored_as(network.edge)).itemsize} as long)").alias("n_tokens"), score("tokens").alias("log_prob"))
 
 
 def score_documents(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -399,9 +409,7 @@ def score_documents(docs: DataFrame, path: str, text: str = "text", doc_id: str
     repeated rows of one score but for the rounding of 32-bit sums, no rows give no rows; other columns are not read.  A text of
     any length is trained on and scored in parts of about ``STEP`` tokens that overlap by a window.
     """
-    from tokenizers import Tokenizer
-
     rows = cut(encoded(docs, path, text, doc_id), "tokens", "round")
-    network = fit(rows, Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True))
+    network = fit(rows, vocabulary_of(path))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
     return log_likelihood(rows, network).withColumn("mean_log_prob", mean)
