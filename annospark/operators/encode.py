@@ -10,6 +10,8 @@ pieces in order, so it never holds a whole one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.config import PROPERTY_TYPES, DataConfig, PropertySpec, ShardingSpec
-from annospark.functions.bits import shard_hex
+from annospark.functions.bits import shard_hex, unsigned
 from annospark.lineage import cut
 from annospark.sources.files import Output
 
@@ -30,6 +32,8 @@ DEFAULT_COLOUR = {"rgb": (0, 0, 0), "rgba": (0, 0, 0, 255)}
 SLICES = "shard long, minishard long, chunk long, part int, seq long, n long, bodies binary, ids binary, sizes binary"
 #: Pieces of files; those of one shard follow each other by all columns between ``name`` and ``content``.
 PIECES = "shard long, minishard long, at long, kind int, part int, seq long, content binary"
+#: Bits of a shard's number below the level, where levels are encoded together.
+LEVEL_BITS = 40
 ORDER = ["shard", "minishard", "at", "kind", "part", "seq"]
 
 
@@ -153,8 +157,8 @@ def header(minishard: np.ndarray, ids: np.ndarray, sizes: np.ndarray, minishards
     return np.stack([np.concatenate([[0], stop[:-1]]), stop], axis=1).astype("<u8").tobytes() + b"".join(indices)
 
 
-def _pieces(slices: DataFrame, sharding: ShardingSpec | None, grouped: bool) -> DataFrame:
-    """``shard, name`` and the rest of ``PIECES``; without ``sharding`` a file has no header and its number for a name."""
+def _pieces(slices: DataFrame, grouped: bool, name: Column, minishards: Callable[[int], int] | None) -> DataFrame:
+    """``name`` and ``PIECES``; ``minishards`` tells those of a shard, and without it files have no header."""
     at = _unsigned(F.col("chunk"))
     lead = ["shard", "minishard", at.alias("at")]
     data = slices.select(*lead, F.lit(1).alias("kind"), "part", "seq", F.col("bodies").alias("content"))
@@ -165,10 +169,8 @@ def _pieces(slices: DataFrame, sharding: ShardingSpec | None, grouped: bool) ->
         count = F.unhex(swapped)  # little-endian
         data = data.unionByName(chunks.select(*lead, F.lit(0).alias("kind"), F.lit(0).alias("part"), F.lit(0).cast("long").alias("seq"), count.alias("content")))
         known = chunks.select("shard", "minishard", at.alias("at"), F.col("chunk").alias("id"), (F.col("bytes") + 8 + 8 * F.col("n")).alias("size"))
-    if sharding is None:
-        name = F.when(F.col("shard") < 0, (F.col("shard").cast("decimal(20,0)") + F.lit(str(1 << 64)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string")).otherwise(F.col("shard").cast("string"))
+    if minishards is None:
         return data.withColumn("name", name)
-    minishards = 1 << sharding.minishard_bits
 
     def of_groups(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["minishard", "at"])
@@ -181,29 +183,42 @@ def _pieces(slices: DataFrame, sharding: ShardingSpec | None, grouped: bool) ->
 
     def _head(rows, minishard, ids, sizes) -> pd.DataFrame:
         out = {"shard": int(rows["shard"].iloc[0]), "minishard": -1, "at": 0, "kind": 0, "part": 0, "seq": 0}
-        return pd.DataFrame([out | {"content": header(minishard, ids, sizes, minishards)}])
+        return pd.DataFrame([out | {"content": header(minishard, ids, sizes, minishards(out["shard"]))}])
 
     # A shard's header has 24 bytes a chunk; the planner bounds the chunks of a shard.
     heads = known.groupBy("shard").applyInPandas(of_groups, PIECES) if grouped else slices.select("shard", "minishard", "part", "seq", "n", "ids", "sizes").groupBy("shard").applyInPandas(of_single, PIECES)
-    return heads.unionByName(data).withColumn("name", F.concat(shard_hex(F.col("shard"), sharding.shard_bits), F.lit(".shard")))
+    return heads.unionByName(data).withColumn("name", name)
+
+
+def _name(sharding: ShardingSpec, shard: Column) -> Column:
+    return F.concat(shard_hex(shard, sharding.shard_bits), F.lit(".shard"))
 
 
 def id_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec) -> DataFrame:
     """Pieces of the shards of an id index (``id, shard, minishard``): a chunk for each annotation, with its relations."""
     rows = index.select("id", "shard", "minishard").join(encodable(annotations, config, True), "id")
-    return _pieces(_slices(rows, "id", [], config, [r.key for r in config.relations], False), sharding, False)
+    slices = _slices(rows, "id", [], config, [r.key for r in config.relations], False)
+    return _pieces(slices, False, _name(sharding, F.col("shard")), lambda _: 1 << sharding.minishard_bits)
 
 
 def relation_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec, relation: str) -> DataFrame:
     """Pieces of the shards of one relation of a relation index: a chunk for each related id, annotations by id."""
     rows = index.where(F.col("relation") == relation).select("rel_id", "shard", "minishard", "id").join(encodable(annotations, config), "id")
-    return _pieces(_slices(rows, "rel_id", ["id"], config, [], True), sharding, True)
+    return _pieces(_slices(rows, "rel_id", ["id"], config, [], True), True, _name(sharding, F.col("shard")), lambda _: 1 << sharding.minishard_bits)
 
 
-def spatial_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, sharding: ShardingSpec, level: int) -> DataFrame:
-    """Pieces of the shards of one level of a spatial index: a chunk for each cell, annotations in their random order."""
-    rows = index.where(F.col("level") == level).select("morton", "shard", "minishard", "id", "place").join(encodable(annotations, config), "id")
-    return _pieces(_slices(rows, "morton", ["place"], config, [], True), sharding, True)
+def spatial_shards(index: DataFrame, annotations: DataFrame, config: DataConfig, specs: list[ShardingSpec]) -> DataFrame:
+    """Pieces of the shards of all levels of a spatial index, in one pass: a chunk for each cell, annotations in their random order.
+
+    Files are named ``spatial<level>/<shard>``; ``shard`` has the level above ``LEVEL_BITS`` bits of the shard's own number.
+    """
+    shard = F.shiftleft(F.col("level").cast("long"), LEVEL_BITS).bitwiseOR(F.col("shard"))
+    rows = index.select("morton", shard.alias("shard"), "minishard", "id", "place").join(encodable(annotations, config), "id")
+    name, level = None, F.shiftright("shard", LEVEL_BITS)
+    for k, spec in enumerate(specs):
+        own = F.concat(F.lit(f"spatial{k}/"), _name(spec, F.col("shard").bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))))
+        name = F.when(level == k, own) if name is None else name.when(level == k, own)
+    return _pieces(_slices(rows, "morton", ["place"], config, [], True), True, name, lambda s: 1 << specs[s >> LEVEL_BITS].minishard_bits)
 
 
 def unsharded(annotations: DataFrame, config: DataConfig) -> DataFrame:
@@ -223,7 +238,7 @@ def unsharded(annotations: DataFrame, config: DataConfig) -> DataFrame:
 def unsharded_relation(index: DataFrame, annotations: DataFrame, config: DataConfig, relation: str) -> DataFrame:
     """Pieces of one file for each related id of a relation."""
     rows = index.where(F.col("relation") == relation).select("rel_id", F.col("rel_id").alias("shard"), F.lit(0).cast("long").alias("minishard"), "id")
-    return _pieces(_slices(rows.join(encodable(annotations, config), "id"), "rel_id", ["id"], config, [], True), None, True)
+    return _pieces(_slices(rows.join(encodable(annotations, config), "id"), "rel_id", ["id"], config, [], True), True, unsigned(F.col("shard")).cast("string"), None)
 
 
 def whole(pieces: DataFrame) -> DataFrame:

@@ -143,8 +143,7 @@ def run(spark: SparkSession, path: str, config: DataConfig, out: str, size: int
         encode.write_files(encode.id_shards(made.by_id, made.annotations, config, made.plan.by_id), f"{out}/by_id")
         for r in config.relations:
             encode.write_files(encode.relation_shards(made.relation, made.annotations, config, made.plan.relation, r.key), f"{out}/{r.key}")
-        for k in range(made.levels):
-            encode.write_files(encode.spatial_shards(made.spatial, made.annotations, config, made.plan.levels[k], k), f"{out}/spatial{k}")
+        encode.write_files(encode.spatial_shards(made.spatial, made.annotations, config, list(made.plan.levels)), out)
         for name, what in (("info", info(config, made.bounds, made.plan, made.levels)), ("config.json", asdict(config))):
             write_text(f"{out}/{name}", json.dumps(what, indent=2))
     return made

@@ -84,21 +84,21 @@ def decode_ids(shards: DataFrame, config: DataConfig, minishard_bits: int) -> Da
 
 
 def decode_groups(shards: DataFrame, config: DataConfig, minishard_bits: int) -> DataFrame:
-    """``chunk, place, id, points, properties`` of the annotations in shards of a relation or spatial index."""
+    """``name, chunk, place, id, points, properties`` of the annotations in shards (``name, content``) of a relation or spatial index."""
     specs, kind = property_order(config.properties), config.annotation_type
 
     def each(batches):
         for rows in batches:
             out = []
-            for content in rows["content"]:
+            for name, content in zip(rows["name"], rows["content"], strict=True):
                 for _, chunk, data in chunks_of(content, minishard_bits):
                     r = Reader(data, kind, specs)
                     bodies = [r.body() for _ in range(r.take("<Q")[0])]
                     for place, ((points, properties), i) in enumerate(zip(bodies, r.take(f"<{len(bodies)}q"), strict=True), 1):
-                        out.append((_signed(chunk), place, i, [dict(zip("xyz", p, strict=True)) for p in points], properties or None))
-            yield pd.DataFrame(out, columns=["chunk", "place", "id", "points", "properties"])
+                        out.append((name, _signed(chunk), place, i, [dict(zip("xyz", p, strict=True)) for p in points], properties or None))
+            yield pd.DataFrame(out, columns=["name", "chunk", "place", "id", "points", "properties"])
 
-    return shards.select("content").mapInPandas(each, f"chunk long, place int, id long, points {POINTS}, properties struct<{_property_fields(specs)}>")
+    return shards.select("name", "content").mapInPandas(each, f"name string, chunk long, place int, id long, points {POINTS}, properties struct<{_property_fields(specs)}>")
 
 
 def _property_fields(specs: list[PropertySpec]) -> str:
