@@ -19,10 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annospark.config import free_name
-from annospark.lineage import cut
+from annospark.lineage import cut, scope
 from annospark.skew import join_back
 
+from .keep import without
+
 #: Bytes in a block.
 BLOCK = 4096
 
@@ -116,7 +117,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", blo
     also of one ``doc_id``, are separate members and exactly one row of a group stays.  A text of any
     length is one more level at most for each doubling.  No rows give no rows; other columns are not read.
     """
-    rows = cut(identities(docs, text, doc_id, block, row), "identities")
+    with scope() as keep:
+        rows = keep(cut(identities(docs, text, doc_id, block, row), "identities"))
     groups = rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
     groups = cut(groups.withColumn("size", F.col("group_size")), "groups")
     out = join_back(rows, groups, ["level", "name"], "size")
@@ -133,9 +135,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", blo
 def drop_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of equal texts, one of the largest ``doc_id``.
 
-    All columns of ``docs`` stay as they are.  Rows that share a ``doc_id``, or have none, are decided on one by one.
+    All columns of ``docs`` stay as they are.  A null text is an empty text; rows that share a ``doc_id``, or have none, are
+    members of their groups like any others, and of rows with equal ids and texts exactly one can stay.
     """
-    row = free_name("row", docs.columns)
-    keyed = cut(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
-    keep = exact_dedup(keyed, text, doc_id, row=row).where("kept").select(F.col("row").alias("_kept_row"))
-    return keyed.join(keep, keyed[row] == keep["_kept_row"], "left_semi").drop(row)
+    with scope() as keep:
+        keys = exact_dedup(docs, text, doc_id).groupBy("doc_id", F.unhex("text_sha256").alias("sha")).agg(F.count("*").alias("rows"), F.max("kept").alias("stays"))
+        gone = keep(cut(keys.where("rows > 1 or not stays").drop("rows"), "gone"))
+    sha = F.unhex(F.sha2(ascii_lower(F.col(f"`{text}`")).cast("binary"), 256))
+    return without(docs, {"doc_id": F.col(f"`{doc_id}`"), "sha": sha}, gone)

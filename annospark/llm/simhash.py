@@ -18,10 +18,10 @@ of all shingles in one order, common ones last, two sets that are alike share on
 among the first ``n - ceil(similarity * n) + 1``.  This holds at any corpus size and
 for any order, so no link is lost; every such pair is verified before it joins classes.
 
-For each fingerprint the Hamming distances to ``PIVOTS`` fixed reference
-fingerprints are tabulated.  By the triangle inequality linked fingerprints differ
-by ``bits`` at most in every coordinate: pairs that differ by more are discarded,
-and the rest verified by their exact distance.
+The Hamming distances of each fingerprint to ``PIVOTS`` fixed reference fingerprints are
+tabulated once, before rows meet, and go with it as two longs.  By the triangle inequality
+linked fingerprints differ by ``bits`` at most in every coordinate: pairs whose largest
+difference is more are discarded, and the rest verified by their exact distance.
 
 A key with more than ``HOT`` fingerprints is split into chunks that meet pairwise
 in groups of their own, so no task holds an unbounded group and no pair is lost.
@@ -31,26 +31,28 @@ A group gives the links of a spanning forest only, never all pairs.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annospark.config import free_name
-from annospark.lineage import cut
-from annospark.skew import join_back
+from annospark.lineage import cut, scope
+from annospark.skew import if_few, join_back
 
 from .components import components
+from .keep import without
 
 SEED = 42
 PIVOTS = 16
 #: A key's fingerprints in one group at most; more are split into chunks of half as many.
 HOT = 2048
-#: Nodes whose ids are sent to all tasks at most; a longer list is joined.
-SENT_NODES = 200_000
+#: Distinct shingles, about, of the sets that one group of pairs is verified with.
+GROUP_SHINGLES = 1 << 21
 #: Fingerprints that a key should have at most on average; the least bits of a key with several lanes.
 PER_KEY, LEAST_KEY = 64, 12
 #: Bits of a SimHash key in ``near_dedup``, at any corpus size.
@@ -115,14 +117,23 @@ def pivots(lanes: int) -> np.ndarray:
         return (x * np.uint64(0xBF58476D1CE4E5B9)).reshape(PIVOTS, lanes)
 
 
-def distance_table(fp: np.ndarray) -> np.ndarray:
-    """Hamming distances of each fingerprint (a row of lanes) to each pivot."""
-    out = np.zeros((len(fp), PIVOTS), np.int16)
-    for lane, of in enumerate(pivots(fp.shape[1]).T):
-        out += np.bitwise_count(fp[:, lane, None] ^ of[None, :])
+def pivot_columns(lanes: int) -> dict[str, Column]:
+    """``p0, p1``: the Hamming distances of ``f0, ...`` to the pivots, a byte each (255 for more), eight in a long."""
+    out = {}
+    for name, part in (("p0", pivots(lanes)[:8]), ("p1", pivots(lanes)[8:])):
+        value = F.lit(0).cast("long")
+        for k, pivot in enumerate(part.view(np.int64).tolist()):
+            apart = sum((F.bit_count(F.col(f"f{i}").bitwiseXOR(F.lit(x))).cast("long") for i, x in enumerate(pivot)), F.lit(0).cast("long"))
+            value = value.bitwiseOR(F.shiftleft(F.least(apart, F.lit(255).cast("long")), 8 * k))
+        out[name] = value
     return out
 
 
+def distance_table(p0: np.ndarray, p1: np.ndarray) -> np.ndarray:
+    """The distances to each pivot from ``pivot_columns``."""
+    return np.stack([p0, p1], axis=1).astype("<i8").view(np.uint8).astype(np.int16)
+
+
 def key_plan(distinct: int, bits: int, lanes: int = 1, width: int | None = None) -> list[tuple[tuple[int, int, int], ...]]:
     """Blocks (lane, shift, width) of each key: ``width`` bits, or enough that ``distinct`` fingerprints have few to a key."""
     if lanes > 1:
@@ -173,11 +184,7 @@ class _Forest:
 
 def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, bits: int) -> np.ndarray:
     """Which pairs (i, j) are within ``bits``: pivot coordinates discard, exact distances verify."""
-    at = np.arange(len(i))
-    for p in range(PIVOTS if bits < 8 * fp.shape[1] else 1):  # of a large distance a coordinate tells little
-        at = at[np.abs(table[i[at], p] - table[j[at], p]) <= bits]
-        if not len(at):
-            return at
+    at = np.flatnonzero(np.abs(table[i] - table[j]).max(axis=1) <= bits)
     apart = np.zeros(len(at), np.int16)
     for lane in range(fp.shape[1]):
         apart += np.bitwise_count(fp[i[at], lane] ^ fp[j[at], lane])
@@ -271,67 +278,60 @@ def whole_groups(batches, keys: list[str]):
         yield numbered(pa.Table.from_batches(left))
 
 
-def meeting(rows: DataFrame, keys: list[str], hot: int) -> tuple[DataFrame, list[str]]:
-    """``rows`` (``node``, ``keys`` and more) that share their keys with others, sorted by group; and what names a group.
+def meeting(rows: DataFrame, keys: list[str], hot: int, expected: int) -> tuple[DataFrame, list[str]]:
+    """``rows`` (``node``, ``keys`` and more; about ``expected``) that share their keys with others, sorted by group; and what names a group.
 
-    A key of over ``hot`` rows is split into chunks, and each pair of chunks is a group.
+    A key of over ``hot`` rows is split into chunks, and each pair of chunks is a group.  Keys are counted by buckets first,
+    where few rows come together, and by themselves only in buckets that have so many.
     """
     more = [c for c in rows.columns if c not in keys]
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1")
-    # A join drops the keys of one row, and tells the size of each other key, which is split if it is hot.
-    rows = join_back(rows, sizes.withColumn("rows", F.col("size")), keys, "rows").withColumn("chunks", F.when(F.col("size") > hot, F.ceil(F.col("size") * 2 / hot)).otherwise(1).cast("int"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(max(1024, 8 * expected // hot)))
+    crowded = cut(rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("size")).where(F.col("size") > hot).select("bucket"), "crowded")
+    chunks, n = F.lit(1), crowded.count()
+    if n:
+        sizes = rows.join(if_few(crowded, n), bucket == F.col("bucket"), "left_semi").groupBy(*keys).agg(F.count("*").alias("size"))
+        sizes = cut(sizes.where(F.col("size") > hot), "hot")
+        if n := sizes.count():
+            rows = rows.join(if_few(sizes, n), keys, "left")
+            chunks = F.coalesce(F.ceil(F.col("size") * 2 / hot), F.lit(1)).cast("int")
+    rows = rows.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     group = [*keys, "low", "high"]
-    rows = rows.select(*keys, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), *more)
-    return rows.repartition(*group).sortWithinPartitions(*group), group
+    rows = rows.select(*keys, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), *more).repartition(*group)
+    alone = F.count("*").over(Window.partitionBy(*group))  # a group is bounded, so is this window's partition
+    return rows.withColumn("together", alone).where("together > 1").drop("together").sortWithinPartitions(*group), group
 
 
 def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT, nearest: bool = False, width: int | None = None) -> DataFrame:
     """Links ``u, v`` that connect all nodes of ``table`` (``node``, and distinct lanes ``f0, ...``) within ``bits``."""
     names = [f"f{i}" for i in range(lanes)]
-    plan = key_plan(table.count(), bits, lanes, width)
-    rows = table.select("node", *names, F.explode(_keys(plan)).alias("k")).select("node", *names, "k.plan", "k.bits")
-    rows, keys = meeting(rows, ["plan", "bits"], hot)
+    n = table.count()
+    plan = key_plan(n, bits, lanes, width)
+    # The pivot table is worked out once for each fingerprint; the keys are unfolded after that.
+    known = cut(table.select("node", *names, *(c.alias(p) for p, c in pivot_columns(lanes).items())), "pivots")
+    rows = known.select("*", F.explode(_keys(plan)).alias("k")).select("node", *names, "p0", "p1", "k.plan", "k.bits")
+    rows, keys = meeting(rows, ["plan", "bits"], hot, n * len(plan))
 
     def compare(batches):
         for part, group in whole_groups(batches, keys):
             fp = np.stack([part[n].to_numpy() for n in names], axis=1).view(np.uint64)
-            i, j = group_links(group, fp, distance_table(fp), bits, nearest)
+            i, j = group_links(group, fp, distance_table(part["p0"].to_numpy(), part["p1"].to_numpy()), bits, nearest)
             node = part["node"].to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["u", "v"])
 
     return rows.mapInArrow(compare, "u long, v long").distinct()
 
 
-def sketches(text: Column, words: int, lanes: int) -> Column:
-    """``f0, ...``, the fingerprint of each text, ``d0, d1``, a digest of its set of distinct shingles, and ``n``, their number."""
-    names = [*(f"f{i}" for i in range(lanes)), "d0", "d1", "n"]
-
-    @F.arrow_udf(f"struct<{','.join(f'{n}:bigint' for n in names)}>")
-    def of(texts: pa.Array) -> pa.Array:
-        found = np.zeros((len(texts), lanes + 3), np.uint64)
-        for i, t in enumerate(texts.to_pylist()):
-            hashes = shingle_hashes(t, words)
-            own = np.unique(hashes)
-            found[i, :lanes] = lanes_of(hashes, lanes)
-            found[i, lanes : lanes + 2] = np.frombuffer(xxhash.xxh3_128_digest(own.astype("<u8").tobytes(), SEED), "<u8")
-            found[i, lanes + 2] = len(own)
-        found = found.view(np.int64)
-        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(found[:, i])) for i in range(lanes + 3)], names)
-
-    return of(F.coalesce(text, F.lit("")))
-
-
-def common_shingles(texts: DataFrame, text: str, row: str, words: int) -> np.ndarray:
+def common_shingles(docs: DataFrame, text: str, words: int) -> np.ndarray:
     """The shingles that several of about ``SAMPLE`` rows hold, rarest first, ``COMMON`` at most.  They change speed only."""
-    share = max(1, texts.count() // SAMPLE)
+    share, column = max(1, docs.count() // SAMPLE), F.col(f"`{text}`")
 
     def of(batches):
         for batch in batches:
             sets = [np.unique(shingle_hashes(t, words)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets or [np.empty(0, np.uint64)]).view(np.int64))], ["shingle"])
 
-    chosen = texts.where(F.pmod(F.xxhash64(row), F.lit(share)) == 0).select(F.col(f"`{text}`"))
+    chosen = docs.select(column).where(F.pmod(F.xxhash64(column), F.lit(share)) == 0)
     counts = chosen.mapInArrow(of, "shingle long").groupBy("shingle").agg(F.count("*").alias("rows")).where("rows > 1")
     found = counts.orderBy(F.desc("rows"), "shingle").limit(COMMON).select("shingle").toArrow()
     return found["shingle"].to_numpy().view(np.uint64)[::-1]
@@ -347,15 +347,27 @@ def head(own: np.ndarray, known: np.ndarray, rank: np.ndarray, similarity: float
     return own[order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]] if len(own) else own
 
 
-def heads(text: Column, words: int, similarity: float, common: np.ndarray, spark: SparkSession) -> Column:
-    """The head of each text's shingles in their order, ``common`` (in its order) last."""
+def sketches(text: Column, words: int, lanes: int, similarity: float, common: np.ndarray, spark: SparkSession) -> Column:
+    """``f0, ...``, the fingerprint of each text, ``d0, d1``, a digest of its set of distinct shingles, ``n``, their number, and ``head``, the first
+    of them in their order, ``common`` (in its order) last."""
+    names = [*(f"f{i}" for i in range(lanes)), "d0", "d1", "n"]
     order = np.argsort(common)
     sent = spark.sparkContext.broadcast((common[order], (order + 1).astype(np.int64)))
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf(f"struct<{','.join(f'{n}:bigint' for n in names)},head:array<bigint>>")
     def of(texts: pa.Array) -> pa.Array:
-        found = [head(np.unique(shingle_hashes(t, words)), *sent.value, similarity) for t in texts.to_pylist()]
-        return pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))
+        found, first = np.zeros((len(texts), lanes + 3), np.uint64), []
+        for i, t in enumerate(texts.to_pylist()):
+            hashes = shingle_hashes(t, words)
+            own = np.unique(hashes)
+            found[i, :lanes] = lanes_of(hashes, lanes)
+            found[i, lanes : lanes + 2] = np.frombuffer(xxhash.xxh3_128_digest(own.astype("<u8").tobytes(), SEED), "<u8")
+            found[i, lanes + 2] = len(own)
+            first.append(head(own, *sent.value, similarity).view(np.int64))
+        found = found.view(np.int64)
+        ends = pa.array(np.cumsum([0, *map(len, first)]), pa.int32())
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *first])))
+        return pa.StructArray.from_arrays([*(pa.array(np.ascontiguousarray(found[:, i])) for i in range(lanes + 3)), lists], [*names, "head"])
 
     return of(F.coalesce(text, F.lit("")))
 
@@ -382,8 +394,9 @@ def may_be_alike(group: np.ndarray, at: np.ndarray, n: np.ndarray, member: np.nd
 
 def candidates(table: DataFrame, similarity: float, hot: int = HOT) -> DataFrame:
     """All pairs ``u, v`` of nodes of different ``member`` that may have that Jaccard similarity, from ``node, member, n, head``."""
+    expected = table.agg(F.coalesce(F.sum(F.size("head")), F.lit(0))).first()[0]
     rows = table.select("node", "member", "n", F.posexplode("head").alias("at", "shingle"))
-    rows, keys = meeting(rows, ["shingle"], hot)
+    rows, keys = meeting(rows, ["shingle"], hot, expected)
 
     def compare(batches):
         for part, group in whole_groups(batches, keys):
@@ -416,20 +429,63 @@ def shingle_sets(text: Column, words: int) -> Column:
     return of(F.coalesce(text, F.lit("")))
 
 
-def alike(found: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs of ``found`` whose texts (``node, text`` of ``texts``) share ``similarity`` of their distinct shingles (Jaccard), exactly.
+def grouped_pairs(found: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``found`` with ``gid``, the group that verifies a pair, and ``node, gids`` of all nodes in pairs.
 
-    The texts of linked nodes are fetched in a broadcast join while they are few.
+    Nodes whose least partner is the same lie together, so a node is sent to few groups however many pairs it has; where the sets of
+    such nodes exceed ``GROUP_SHINGLES`` they are dealt into parts, and each pair of parts that has pairs is a group.
     """
-    ends = found.select(F.col("u").alias("_end")).unionByName(found.select(F.col("v").alias("_end"))).groupBy("_end").agg(F.count("*").alias("size"))
-    ends = cut(ends, "ends")
-    few = F.broadcast(ends) if ends.count() <= SENT_NODES else ends
-    sets = cut(texts.join(few, F.col("node") == F.col("_end")).select("node", "size", shingle_sets(F.col("text"), words).alias("set")), "sets")
-    pairs = found.select("u", "v")
+    ends = found.select(F.col("u").alias("node"), F.col("v").alias("other")).unionByName(found.select(F.col("v").alias("node"), F.col("u").alias("other")))
+    lead = ends.groupBy("node").agg(F.least("node", F.min("other")).alias("lead")).join(nodes.select("node", "n"), "node")
+    lead = cut(lead, "lead")
+    size = cut(lead.groupBy("lead").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).alias("parts")).where("parts > 1"), "size")
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), "parts"))
+    place = cut(lead.join(if_few(size, size.count()), "lead", "left").select("node", F.struct("lead", part.cast("long").alias("part")).alias("place")), "place")
+    n, out = place.count(), found
     for end in ("u", "v"):
-        pairs = join_back(pairs, sets.select(F.col("node").alias(end), "size", F.col("set").alias(f"set_{end}")), [end], "size")
-    both = F.size(F.array_intersect("set_u", "set_v"))
-    return pairs.where(both >= similarity * (F.size("set_u") + F.size("set_v") - both) - 1e-9).select("u", "v")
+        out = out.join(if_few(place.select(F.col("node").alias(end), F.col("place").alias(f"at_{end}")), n), end)
+    out = cut(out.select(*found.columns, F.xxhash64(F.least("at_u", "at_v"), F.greatest("at_u", "at_v")).alias("gid")), "grouped")
+    sent = out.select("gid", F.col("u").alias("node")).unionByName(out.select("gid", F.col("v").alias("node"))).groupBy("node").agg(F.collect_set("gid").alias("gids"))
+    return out, cut(sent, "sent")
+
+
+def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Column], text: str, words: int, similarity: float) -> DataFrame:
+    """Links ``u, v`` that connect what the pairs of ``found`` connect whose texts share ``similarity`` of their distinct shingles (Jaccard), exactly.
+
+    ``nodes`` has the shingles ``n`` and the ``key`` of the row of ``docs`` that stands for each ``node``; ``found`` may have ``mu, mv``, classes
+    that are connected already.  A set of shingles moves once for each group that needs it, and pairs whose classes a group has connected
+    are not looked at again.
+    """
+    if "mu" not in found.columns:
+        found = found.withColumns({"mu": F.col("u"), "mv": F.col("v")})
+    pairs, sent = grouped_pairs(found, nodes)
+    ends = cut(nodes.select("node", *(F.col(k).alias(f"_{k}") for k in key)).join(sent, "node"), "ends")
+    rows = docs.select(F.col(f"`{text}`").alias("text"), *(c.alias(k) for k, c in key.items()))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key))
+    sets = rows.join(if_few(ends, ends.count()), same).select("node", "gids", shingle_sets(F.col("text"), words).alias("set"))
+    none = F.lit(None).cast("long")
+    sets = sets.select(F.explode("gids").alias("gid"), F.col("node").alias("u"), none.alias("v"), none.alias("mu"), none.alias("mv"), "set")
+    both = sets.unionByName(pairs.select("gid", "u", "v", "mu", "mv", F.lit(None).cast("array<bigint>").alias("set")))
+
+    def verify(batches):
+        for part, group in whole_groups(batches, ["gid"]):
+            u, v, mu, mv = (part[c].to_pylist() for c in ("u", "v", "mu", "mv"))
+            rows, out, forest, now, have = part["set"].combine_chunks(), [], _Forest(), None, {}
+            for i in range(part.num_rows):  # of each group, sets come first
+                if group[i] != now:
+                    now, have, forest = group[i], {}, _Forest()
+                if v[i] is None:
+                    have[u[i]] = rows[i].values.to_numpy()
+                elif forest.root(mu[i]) != forest.root(mv[i]):
+                    a, b = have[u[i]], have[v[i]]
+                    n = len(np.intersect1d(a, b, assume_unique=True)) if min(len(a), len(b)) >= similarity * max(len(a), len(b)) - 1e-9 else -1
+                    if n >= similarity * (len(a) + len(b) - n) - 1e-9:
+                        forest.join(mu[i], mv[i])
+                        out.append((u[i], v[i]))
+            found = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in (0, 1)], ["u", "v"])
+
+    return both.repartition("gid").sortWithinPartitions("gid", F.col("v").isNotNull(), "u", "v").mapInArrow(verify, "u long, v long")
 
 
 def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
@@ -442,7 +498,7 @@ def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     names = [f"f{i}" for i in range(lanes)]
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words, lanes).alias("fp"))
-    rows = cut(rows.select("doc_id", "fp.*"), "fingerprints")
+    rows = cut(rows.select("doc_id", "fp.*").withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("least"), F.count("*").alias("size"))
     distinct = cut(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
     found = links(distinct.select("node", *names), bits, lanes, hot)
@@ -458,29 +514,40 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
     """``docs`` with one row of each class of near-duplicates, one of the least ``doc_id``; all columns stay.
 
     Two texts are linked exactly if the Jaccard similarity of their distinct shingles of ``words`` words is ``similarity``
-    or more; texts without words are alike.  Rows that repeat an id and a text are rows like any others: one row of a
-    class stays, one with a null ``doc_id`` only if no row of the class has another.
+    or more; texts without words are alike, null ones too.  Rows that repeat an id and a text are rows like any others: one row of a
+    class stays, one with a null ``doc_id`` only if no row of the class has another.  No rows give no rows.
     """
     names = [f"f{i}" for i in range(lanes)]
-    row, sketch = free_name("row", docs.columns), free_name("sketch", docs.columns)
-    keyed = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(sketch, sketches(F.col(f"`{text}`"), words, lanes))
-    keyed = cut(keyed, "keyed")
-    # A node is one set of shingles; its number is the row that would stay.
-    best = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.col(row).alias("row"))
-    nodes = keyed.select(best.alias("best"), f"{sketch}.*").groupBy("d0", "d1").agg(F.min_by(F.struct(*names, "n"), "best").alias("x"), F.min("best").alias("best"))
-    nodes = cut(nodes.select(F.col("best.row").alias("node"), "best", "x.*"), "nodes")
-    texts = keyed.select(F.col(row).alias("node"), F.col(f"`{text}`").alias("text"))
-
-    one = cut(nodes.groupBy(*names).agg(F.min("node").alias("node")), "prints")
-    near_prints = cut(links(one, int((1 - similarity) * 64 * lanes), lanes, hot, True, NEAR_KEY), "near_prints")
-    sure = cut(alike(near_prints, texts, words, similarity), "sure")
-    member = cut(components(sure), "members")
-    table = nodes.join(member.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"))
-    first = texts.select(F.col("node").alias("_node"), heads(F.col("text"), words, similarity, common_shingles(texts, "text", "node", words), docs.sparkSession).alias("head"))
-    found = cut(candidates(first.join(table, F.col("node") == F.col("_node")).select("node", "member", "n", "head"), similarity, hot), "candidates")
-    sure = sure.unionByName(alike(found, texts, words, similarity))
-
-    member = components(sure).withColumnRenamed("node", "_node")
-    named = nodes.join(member, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("component", "node").alias("class")).agg(F.min("best").alias("best"))
-    keep = named.select(F.col("best.row").alias("_kept_row"))
-    return keyed.join(keep, keyed[row] == keep["_kept_row"], "left_semi").drop(row, sketch)
+    column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    # Equal ids and texts, by 128 bits of hash, are one row for all decisions.
+    key = {"id": F.col(f"`{doc_id}`"), "k0": F.xxhash64(column), "k1": F.xxhash64(F.lit(1), column)}
+    with scope() as keep:
+        sketch = sketches(column, words, lanes, similarity, common_shingles(docs, text, words), docs.sparkSession)
+        rows = cut(docs.select(*(c.alias(k) for k, c in key.items()), sketch.alias("x")).select(*key, "x.*"), "rows")
+        # A node is one set of shingles; the row that would stay stands for it.
+        best = F.struct(F.col("id").isNull().alias("none"), *key)
+        nodes = rows.select(*names, "d0", "d1", "n", best.alias("best")).groupBy("d0", "d1").agg(F.min("best").alias("best"), *(F.first(c).alias(c) for c in (*names, "n")))
+        nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "best", *(F.col(f"best.{k}").alias(k) for k in key), "d0", "d1", *names, "n"), "nodes")
+
+        with scope() as keep_links:
+            one = cut(nodes.groupBy(*names).agg(F.min("node").alias("node")), "prints")
+            near_prints = cut(links(one, int((1 - similarity) * 64 * lanes), lanes, hot, True, NEAR_KEY), "near_prints")
+            sure = keep_links(cut(alike(near_prints, nodes, docs, key, text, words, similarity), "sure"))
+        with scope() as keep_links:
+            member = cut(components(sure).withColumnRenamed("node", "_node"), "members")
+            table = nodes.join(member, F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"), "d0", "d1", F.col("best").alias("_best"))
+            first = rows.select(best.alias("best"), F.col("d0").alias("_d0"), F.col("d1").alias("_d1"), "head")
+            # Only a node's own row gives its head, and equal rows give it once more, which changes nothing.
+            first = first.join(table, (F.col("d0") == F.col("_d0")) & (F.col("d1") == F.col("_d1")) & F.col("best").eqNullSafe(F.col("_best")))
+            found = cut(candidates(first.select("node", "member", "n", "head"), similarity, hot), "candidates")
+            for end in ("u", "v"):
+                found = found.join(table.select(F.col("node").alias(end), F.col("member").alias(f"m{end}")), end)
+            more = keep_links(cut(alike(found, nodes, docs, key, text, words, similarity), "more"))
+        member = components(sure.unionByName(more)).withColumnRenamed("node", "_node")
+        stay = nodes.join(member, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best"))
+        stay = stay.select(*(F.col(f"best.{k}").alias(f"_{k}") for k in key), F.lit(True).alias("stays"))
+        each = rows.groupBy(*key).agg(F.count("*").alias("rows"))
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key))
+        each = each.join(stay, same, "left").select(*key, "rows", F.coalesce("stays", F.lit(False)).alias("stays"))
+        gone = keep(cut(each.where("rows > 1 or not stays").drop("rows"), "gone"))
+    return without(docs, key, gone)

@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on every row that its predecessor
 kept and returns the columns of ``documents``; the last returns the packing.
 Filtering stages drop rows and never change one; the secrets stage keeps every row
-and replaces the secrets in its text.
+and replaces the secrets in its text.  Further columns, whatever their names, pass through all stages but
+the last, and no rows give no rows.
 """
 
 from __future__ import annotations
@@ -19,23 +20,37 @@ from annospark.llm.queries import tokenizer_file
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text the model, fitted on the labels of ``labels``, gives a toxicity under one half."""
+    """Rows whose text the model, fitted on the labels of ``labels``, gives a toxicity under one half.
+
+    A null or empty text counts as no words, and stays unless most labelled rows are toxic.  Ids play no part in the verdict, so rows
+    with a null id, and repeated rows, stay or go by their texts.  A long text is judged by all its passages.
+    """
     model = tox.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(tox.toxicity(spark, F.col("text"), model) < 0.5)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, letter case aside, the row with the largest id."""
+    """Of equal texts, letter case of A-Z aside, the row with the largest id.
+
+    A null text is an empty one; a null id is less than any other; of rows with equal ids and texts exactly one can stay.
+    """
     return exact_dedup.drop_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the row with the least id; five-word shingles, similarity 0.8."""
+    """Of each class of near-duplicates the row with the least id; five-word shingles, similarity 0.8.
+
+    Texts without words, null ones too, are one class; a null id stays only if its class has no other; of rows with equal ids
+    and texts exactly one can stay.
+    """
     return simhash.near_dedup(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, each secret in a text replaced by its kind, and ``n_chars`` brought up to date where the text has changed."""
+    """All rows, each secret in a text replaced by its kind, and ``n_chars`` brought up to date where the text has changed.
+
+    Null and empty texts, null ids and repeated rows stay as they are; a null ``n_chars`` stays null.
+    """
     columns, before = docs.columns, free_name("before", docs.columns)
     out = secret_scan.redact(docs.withColumn(before, F.char_length("text")))
     if "n_chars" in columns:
@@ -45,7 +60,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bucket, batch and slot of every row; lengths are the token counts of op 1."""
+    """The bucket, batch and slot of every row; lengths are the token counts of op 1.
+
+    Null and empty texts have length 0; ties in length are told apart by id; null and repeated ids are rows like any others.
+    """
     return packing.pack(docs, length=tokens.token_length(docs, tokenizer_file("byte_bpe_50k.json")))
 
 

@@ -128,8 +128,10 @@ def test_joined_halves_of_unsplit_text_are_the_whole_text():
             text = "".join(rng.choice(list(alphabet), n))
             for leaf in (1, 5, 64):
                 parts = [text[i : i + leaf] for i in range(0, n, leaf)]
-                got = bpe.encode_tree(made, [(p, made.spans(p)) for p in parts], window=2)
-                assert got.tolist() == made.library(text).ids, (alphabet, n, leaf)
+                nodes = [(p, made.spans(p)) for p in parts]
+                while len(nodes) > 1:
+                    nodes = [bpe.join_halves(made, *pair, window=2) if len(pair) == 2 else pair[0] for pair in (nodes[i : i + 2] for i in range(0, len(nodes), 2))]
+                assert nodes[0][0] == text and nodes[0][1][:, 0].tolist() == made.library(text).ids, (alphabet, n, leaf)
 
 
 # ---- 2 exact duplicates
@@ -216,7 +218,8 @@ def test_nearest_links_are_a_minimum_spanning_forest():
         for row in fp:
             for b in rng.choice(252, rng.integers(0, 40), replace=False).tolist():
                 row[b // 63] ^= np.uint64(1 << b % 63)
-        i, j = simhash.group_links(np.zeros(n, np.int64), fp, simhash.distance_table(fp), 51, True)
+        far = np.minimum(np.bitwise_count(fp[:, None] ^ simhash.pivots(4)[None]).sum(axis=2), 255).astype(np.int16)
+        i, j = simhash.group_links(np.zeros(n, np.int64), fp, far, 51, True)
         every = sorted((int(np.bitwise_count(fp[a] ^ fp[b]).sum()), a, b) for a, b in itertools.combinations(range(n), 2))
         want, forest = 0, simhash._Forest()
         for d, a, b in every:
@@ -263,6 +266,14 @@ def test_media(messy, nothing):
         r = by_id[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
         assert r["tail_crc32"] == zlib.crc32(payload[-32:]) and r["media_bytes"] > len(payload)
+        # The stored columns themselves, sample by sample.
+        assert media.stored(bytes(r["media"])) == payload and r["media_sha256"] == hashlib.sha256(r["media"]).hexdigest() and r["pcm_sha256"] == hashlib.sha256(r["pcm"]).hexdigest()
+        coding, _, data = media.read_wave(bytes(r["media"]))
+        x, pcm = media.samples(coding, data).astype(int).tolist(), np.frombuffer(media.read_wave(bytes(r["pcm"]))[2], "<i2").astype(int).tolist()
+        assert coding == r["coding"] == media.coding_of(payload) and pcm == [v for a, b in zip(x, [*x[1:], x[-1]], strict=True) for v in (a, (a + b) >> 1)]
+        size = [abs(v) for v in pcm]
+        changes = sum((a < 0) != (b < 0) for a, b in itertools.pairwise(pcm))
+        assert r["feature"] == f"samples={len(pcm)};peak={max(size)};mean={sum(size) // len(pcm)};changes={changes};clipped={sum(v >= 32767 for v in size)}"
     assert by_id[1]["media_sha256"] == by_id[2]["media_sha256"] and by_id[4]["feature"] == by_id[5]["feature"]
     assert media.text_media(nothing).count() == 0
 
@@ -383,13 +394,10 @@ LM = queries.tokenizer_file("byte_bpe_50k.json")
 
 def plain_log_prob(net, text_tokens):
     """The summed log-probability of one text, token by token, from the parameters as they are defined."""
-    width, total = lm_score.WIDTH, 0.0
-    t = {k: v[:, :-1].astype(np.float64) for k, v in net.tables.items()}
+    total, t = 0.0, {k: v.astype(np.float64) for k, v in net.tables.items()}
     line = [net.edge] * lm_score.SIDE + net.rank[text_tokens].tolist() + [net.edge] * lm_score.SIDE
     for i in range(lm_score.SIDE, len(line) - lm_score.SIDE):
-        h = t["shift"][0].copy()
-        for d in range(1, lm_score.SIDE + 1):
-            h += t["seen"][line[i - d], :width] * t["scale"][d - 1] + t["seen"][line[i + d], width:] * t["scale"][lm_score.SIDE + d - 1]
+        h = t["shift"][0] + sum(t[f"near{k}"][line[i + place]] for k, place in enumerate(lm_score.PLACES))
         h = np.tanh(h)
         h[-1] = 1
         c = int(np.searchsorted(net.first, line[i], "right")) - 1
@@ -401,7 +409,7 @@ def plain_log_prob(net, text_tokens):
 def test_pseudo_likelihood_is_that_of_the_whole_text(spark, messy, nothing):
     t = library("byte_bpe_50k.json")
     rows = lm_score.encoded(messy, LM).cache()
-    found = {r["doc_id"]: np.frombuffer(r["tokens"], "<u4").tolist() for r in rows.collect()}
+    found = {r["doc_id"]: np.frombuffer(r["tokens"], "<u2").tolist() for r in rows.collect()}
     assert all(found[i] == t.encode(x or "", add_special_tokens=False).ids for i, x in TEXTS if i not in (7, None))
     net = lm_score.fit(rows, t.get_vocab_size(with_added_tokens=True))
     got = {r["doc_id"]: r for r in lm_score.log_likelihood(rows, net).collect()}
@@ -436,9 +444,9 @@ def test_tasks_average_what_they_saw(spark):
     """One round in two tasks against the same steps and means in plain numpy."""
     rng = np.random.default_rng(7)
     net = lm_score.Network.start(rng.integers(0, 9, 300))
-    texts = [rng.integers(0, 200, 400).astype("<u4") for _ in range(2)]
+    texts = [rng.integers(0, 200, 400).astype("<u2") for _ in range(2)]
     rows = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "tokens binary").repartition(2).cache()
-    parts = [[np.frombuffer(r["tokens"], "<u4") for r in p] for p in rows.rdd.glom().collect()]
+    parts = [[np.frombuffer(r["tokens"], "<u2") for r in p] for p in rows.rdd.glom().collect()]
     got = lm_score.train(rows, net, 2)
     models = []
     for part in filter(None, parts):
@@ -448,17 +456,18 @@ def test_tasks_average_what_they_saw(spark):
     for k in net.tables:
         weights = [m.touched[k][:, None] + lm_score.UNSEEN for m in models]
         want = sum(m.tables[k] * w for m, w in zip(models, weights, strict=True)) / sum(weights)
-        assert np.allclose(got.tables[k], want, atol=1e-5), k
+        sums = sum(m.sums[k] * w[:, 0] for m, w in zip(models, weights, strict=True)) / sum(weights)[:, 0]
+        assert np.allclose(got.tables[k], want, atol=1e-5) and np.allclose(got.sums[k], sums, atol=1e-5), k
 
 
 def test_slopes_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     net = lm_score.Network.start(rng.integers(0, 30, 90))
-    net.tables = {k: np.concatenate([v[:, :-1] + rng.normal(0, 0.1, v[:, :-1].shape), np.zeros((len(v), 1))], axis=1) for k, v in net.tables.items()}
+    net.tables = {k: v + rng.normal(0, 0.1, v.shape) for k, v in net.tables.items()}
     line = net.stream([rng.integers(0, 90, 30), rng.integers(0, 90, 9)])
     loss = lambda: -net.log_probabilities(line).sum() / 39
     before, found = {k: v.copy() for k, v in net.tables.items()}, {}
-    net._down = lambda name, slope, rows=slice(None), seen=1.0: found.setdefault(name, np.zeros_like(before[name][:, :-1])).__setitem__(rows, slope)
+    net._down = lambda name, slope, rows=slice(None), seen=1.0: found.setdefault(name, np.zeros_like(before[name])).__setitem__(rows, slope)
     net.step(line)
     for k, slope in found.items():
         i, j = np.unravel_index(np.abs(slope).argmax(), slope.shape)
