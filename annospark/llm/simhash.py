@@ -449,6 +449,50 @@ def grouped_pairs(found: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFr
     return out, cut(sent, "sent")
 
 
+def in_groups(pairs: DataFrame, sets: DataFrame, decide, kind: str):
+    """What ``decide`` gives for the pairs of each group (``gid, u, v, mu, mv``), which has the ``set`` of each of its nodes (``gid, u``)."""
+    none = F.lit(None).cast("long")
+    sets = sets.select("gid", "u", none.alias("v"), none.alias("mu"), none.alias("mv"), "n", "set")
+    both = sets.unionByName(pairs.select("gid", "u", "v", "mu", "mv", none.alias("n"), F.lit(None).cast("array<bigint>").alias("set")))
+
+    def verify(batches):
+        for part, group in whole_groups(batches, ["gid"]):
+            u, v, mu, mv, n = (part[c].to_pylist() for c in ("u", "v", "mu", "mv", "n"))
+            rows, out, forest, now, have = part["set"].combine_chunks(), [], _Forest(), None, {}
+            for i in range(part.num_rows):  # of each group, sets come first
+                if group[i] != now:
+                    now, have, forest = group[i], {}, _Forest()
+                if v[i] is None:
+                    have[u[i]] = rows[i].values.to_numpy(), n[i]
+                elif decide(forest, mu[i], mv[i], *have[u[i]], *have[v[i]]):
+                    out.append((u[i], v[i], mu[i], mv[i]))
+            found = np.array(out, np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in range(4)], ["u", "v", "mu", "mv"])
+
+    return both.repartition("gid").sortWithinPartitions("gid", F.col("v").isNotNull(), "u", "v").mapInArrow(verify, kind)
+
+
+PAIRS = "u long, v long, mu long, mv long"
+
+
+def may_share(found: DataFrame, nodes: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+    """The pairs of ``found`` (``u, v, mu, mv``) that share enough of their heads to have that similarity, of ``node, n, head``.
+
+    Of two sets that share ``c`` shingles of their heads, take the one whose head ends first in the order.  What it shares of its
+    head with the other set is in the other's head too, so they share ``c`` and what is behind its head at most, ``ceil(similarity * n) - 1``.
+    """
+    pairs, sent = grouped_pairs(found, nodes)
+    sets = heads.join(if_few(sent, sent.count()), "node").select(F.explode("gids").alias("gid"), F.col("node").alias("u"), "n", F.array_sort("head").alias("set"))
+
+    def decide(forest, mu, mv, a, n, b, m):
+        if min(n, m) < similarity * max(n, m) - 1e-9:
+            return False
+        need = math.ceil(similarity / (1 + similarity) * (n + m) - 1e-9) - (math.ceil(similarity * max(n, m) - 1e-9) - 1)
+        return need <= 1 or len(np.intersect1d(a, b, assume_unique=True)) >= need
+
+    return in_groups(pairs, sets, decide, PAIRS)
+
+
 def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Column], text: str, words: int, similarity: float) -> DataFrame:
     """Links ``u, v`` that connect what the pairs of ``found`` connect whose texts share ``similarity`` of their distinct shingles (Jaccard), exactly.
 
@@ -459,33 +503,19 @@ def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Co
     if "mu" not in found.columns:
         found = found.withColumns({"mu": F.col("u"), "mv": F.col("v")})
     pairs, sent = grouped_pairs(found, nodes)
-    ends = cut(nodes.select("node", *(F.col(k).alias(f"_{k}") for k in key)).join(sent, "node"), "ends")
+    ends = cut(nodes.select("node", "n", *(F.col(k).alias(f"_{k}") for k in key)).join(sent, "node"), "ends")
     rows = docs.select(F.col(f"`{text}`").alias("text"), *(c.alias(k) for k, c in key.items()))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key))
-    sets = rows.join(if_few(ends, ends.count()), same).select("node", "gids", shingle_sets(F.col("text"), words).alias("set"))
-    none = F.lit(None).cast("long")
-    sets = sets.select(F.explode("gids").alias("gid"), F.col("node").alias("u"), none.alias("v"), none.alias("mu"), none.alias("mv"), "set")
-    both = sets.unionByName(pairs.select("gid", "u", "v", "mu", "mv", F.lit(None).cast("array<bigint>").alias("set")))
+    sets = rows.join(if_few(ends, ends.count()), same).select("node", "n", "gids", shingle_sets(F.col("text"), words).alias("set"))
+    sets = sets.select(F.explode("gids").alias("gid"), F.col("node").alias("u"), "n", "set")
 
-    def verify(batches):
-        for part, group in whole_groups(batches, ["gid"]):
-            u, v, mu, mv = (part[c].to_pylist() for c in ("u", "v", "mu", "mv"))
-            rows, out, forest, now, have = part["set"].combine_chunks(), [], _Forest(), None, {}
-            for i in range(part.num_rows):  # of each group, sets come first
-                if group[i] != now:
-                    now, have, forest = group[i], {}, _Forest()
-                if v[i] is None:
-                    have[u[i]] = rows[i].values.to_numpy()
-                elif forest.root(mu[i]) != forest.root(mv[i]):
-                    a, b = have[u[i]], have[v[i]]
-                    n = len(np.intersect1d(a, b, assume_unique=True)) if min(len(a), len(b)) >= similarity * max(len(a), len(b)) - 1e-9 else -1
-                    if n >= similarity * (len(a) + len(b) - n) - 1e-9:
-                        forest.join(mu[i], mv[i])
-                        out.append((u[i], v[i]))
-            found = np.array(out, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in (0, 1)], ["u", "v"])
+    def decide(forest, mu, mv, a, n, b, m):
+        if forest.root(mu) == forest.root(mv) or min(n, m) < similarity * max(n, m) - 1e-9:
+            return False
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return both >= similarity * (n + m - both) - 1e-9 and forest.join(mu, mv)
 
-    return both.repartition("gid").sortWithinPartitions("gid", F.col("v").isNotNull(), "u", "v").mapInArrow(verify, "u long, v long")
+    return in_groups(pairs, sets, decide, PAIRS).select("u", "v")
 
 
 def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
@@ -539,9 +569,11 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
             first = rows.select(best.alias("best"), F.col("d0").alias("_d0"), F.col("d1").alias("_d1"), "head")
             # Only a node's own row gives its head, and equal rows give it once more, which changes nothing.
             first = first.join(table, (F.col("d0") == F.col("_d0")) & (F.col("d1") == F.col("_d1")) & F.col("best").eqNullSafe(F.col("_best")))
-            found = cut(candidates(first.select("node", "member", "n", "head"), similarity, hot), "candidates")
+            heads = cut(first.select("node", "member", "n", "head"), "heads")
+            found = cut(candidates(heads, similarity, hot), "candidates")
             for end in ("u", "v"):
                 found = found.join(table.select(F.col("node").alias(end), F.col("member").alias(f"m{end}")), end)
+            found = cut(may_share(found, nodes, heads.select("node", "n", "head"), similarity), "may_share")
             more = keep_links(cut(alike(found, nodes, docs, key, text, words, similarity), "more"))
         member = components(sure.unionByName(more)).withColumnRenamed("node", "_node")
         stay = nodes.join(member, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best"))

@@ -216,7 +216,7 @@ def distinct_words(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.n
     names: list[list[np.ndarray]] = [[] for _ in texts]
     waiting = [(i, chunk) for i, text in enumerate(texts) for chunk in chunks(text)]
     while waiting:
-        n = max(1, int(np.searchsorted(np.cumsum([len(c) for _, c in waiting]), 4 * CHUNK)))
+        n = max(1, int(np.searchsorted(np.cumsum([len(c) for _, c in waiting[:4096]]), CHUNK)))
         now, waiting = waiting[:n], waiting[n:]
         words = Words([c for _, c in now])
         for (i, _), own in zip(now, np.split(words.name, np.cumsum(words.sizes)[:-1]), strict=True):
@@ -249,6 +249,7 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
         bias[int(labels[0]) if len(labels) else 0] = 3
         return Model(np.zeros_like(table), weight, bias)
     bags, flat, count = distinct_words(texts)
+    texts.clear()  # the words are all that is needed
     first = np.cumsum(count) - count
     used = np.flatnonzero([len(b) > 0 for b in bags])
 
