@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm_score, media, packing, secret_scan, simhash, tokens, toxicity, turn_repair, url_filter, vector_codes
+from . import bpe, exact_dedup, lm_score, media, packing, quality, secret_scan, simhash, tokens, toxicity, turn_repair, url_filter, vector_codes
 
 
 def tokenizer_file(name: str) -> str:
@@ -75,6 +75,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair(read(spark, sf_dir, "conversations"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read(spark, sf_dir, "embeddings"))
 
@@ -83,7 +87,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_exact_dedup, op3_bpe_round_trip, op4_simhash, op5_telephony, op6_packing, op7_url_filter,
-        op8_lm_score, op9_toxicity, op10_secret_scan, op11_turn_repair, op13_vector_codes,
+        op8_lm_score, op9_toxicity, op10_secret_scan, op11_turn_repair, op12_quality, op13_vector_codes,
     )
 }
 
