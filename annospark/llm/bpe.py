@@ -1,13 +1,15 @@
-"""BPE encoding and decoding; long texts by tree concatenation.
-
-Texts of up to ``LONG`` characters are encoded where they were read, through a
-worker's cache of words.  A longer text is cut into leaves of up to ``LEAF``
-characters wherever the cuts fall, words or not; the leaves are rows of their own
-and encoded in parallel.  Neighbours are then concatenated up a tree, all pairs of a level at once: a window of
-tokens around each join is encoded again, and grows until it shares a token (same
-id, same characters) with the left side and one with the right.  A sequence of BPE
-tokens is the encoding of its text exactly if each adjacent pair is that of its own
-text; with a shared token on both sides, every pair comes from a real encoding.
+"""BPE encoding and decoding; long unsplit text by tree concatenation.
+
+A tokenizer splits a normalised text into runs (words, digits, other signs), and BPE works on each run by itself.  Runs of
+up to ``LONG`` characters are encoded where the text was read, through a worker's cache of words.  A longer
+run is cut into leaves of up to ``LEAF`` characters, which are rows of their own and encoded in parallel.
+Neighbours are then concatenated up a tree, all pairs of a level at once: a window of tokens around each join is encoded again,
+and grows until it shares a token (same id, same characters) with the left side and one with the right.  A sequence of BPE
+tokens is the encoding of its run exactly if each adjacent pair is that of its own text; with a shared token on both
+sides, every pair comes from a real encoding.
+
+Texts are normalised whole before they are cut, and leaves and windows are encoded without the normalizer, so a cut
+may fall anywhere, between a letter and its combining mark too.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ from pyspark.sql import functions as F
 
 from annospark.lineage import cut
 
-
-#: Texts of more characters are cut; characters in a leaf at most; tokens in the first window on each side.
-LONG, LEAF, WINDOW = 32_768, 8_192, 16
+#: Runs of more characters are cut; characters in a leaf at most; tokens in the first window on each side.
+LONG, LEAF, WINDOW = 8_192, 4_096, 16
+#: Characters that normalising can make of one, at most.
+GROWTH = 4
 #: Entries of a worker's cache of words; when full it starts anew.  Longer words are not cached.
 CACHE, CACHE_CHARS = 400_000, 64
 #: Characters whose classes the tokenizers library and this module agree on (a test goes through them all):
@@ -49,11 +52,13 @@ class WordBpe:
     _made: dict[str, WordBpe] = {}
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer, self.normalised = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tokenizer, self.normalised):
+            t.no_truncation()
+            t.no_padding()
+        self.normalised.normalizer = normalizers.Sequence([])  # takes normalised text as it is
         with open(path) as f:
             self.config = json.load(f)
         added = [t["content"] for t in self.config["added_tokens"]]
@@ -76,7 +81,7 @@ class WordBpe:
         return self.tokenizer.encode(text, add_special_tokens=False)
 
     def _word(self, word: str) -> bytes:
-        ids = self.library(word).ids
+        ids = self.normalised.encode(word, add_special_tokens=False).ids
         out = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= CACHE_CHARS:
             if len(self.words) >= CACHE:
@@ -92,6 +97,26 @@ class WordBpe:
         get = self.words.get
         return b"".join([get(w) or self._word(w) for w in WORDS.findall(text.lower())])
 
+    def parts(self, text: str, long: int = LONG) -> list[tuple[bytes | None, str | None]]:
+        """The text as (ids, None) for what is short, and (None, run) for each normalised run of over ``long`` characters, in order."""
+        if not self.known:
+            return [(self.encode(text), None)]
+        out, short, at = [], [], 0
+        marks = [(m.start(), m.end()) for m in self.special.finditer(text)] if self.special else []
+        for start, end in [*marks, (len(text), len(text))]:
+            # Special strings are found before anything is normalised, and what is between them is normalised by itself.
+            norm = self.tokenizer.normalizer.normalize_str(text[at:start])
+            for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(norm):
+                if b - a > long:
+                    out += [(b"".join(short), None), (None, norm[a:b])]
+                    short = []
+                else:
+                    short.append(self.words.get(norm[a:b]) or self._word(norm[a:b]))
+            if end > start:
+                short.append(struct.pack("<I", self.tokenizer.token_to_id(text[start:end])))
+            at = end
+        return [*out, (b"".join(short), None)]
+
     def decode(self, ids: bytes) -> str:
         """As the library's ``decode(ids, skip_special_tokens=False)``."""
         ids = np.frombuffer(ids, "<u4").tolist()
@@ -101,8 +126,8 @@ class WordBpe:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
     def spans(self, text: str, at: int = 0) -> np.ndarray:
-        """(id, start, end) of each token, in characters of the text that begins at ``at``."""
-        e = self.library(text)
+        """(id, start, end) of each token of normalised text, in characters of the text that begins at ``at``."""
+        e = self.normalised.encode(text, add_special_tokens=False)
         out = np.empty((len(e.ids), 3), np.int64)
         if len(out):
             out[:, 0] = e.ids
@@ -160,8 +185,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
     ``ids`` (binary) are those of the tokenizers file ``path`` without added special tokens, as little-endian
     unsigned 32-bit integers; ``decoded`` is what decoding them gives.  A null or empty text has no ids and
     decodes to an empty text; a null ``doc_id`` stays null, repeated rows give repeated rows, no rows give no
-    rows; other columns are not read.  A text longer than ``long`` is encoded in leaves, whose cuts may fall anywhere, and
-    its halves are joined level by level in tasks of their own; only its last join has it whole.
+    rows; other columns are not read.  A run of more than ``long`` characters that the tokenizer doesn't split is encoded in
+    leaves, whose cuts may fall anywhere, and its halves are joined level by level in tasks of their own; only its last join
+    has it whole.  A very long text of short runs stays in the task that reads it.
     """
 
     @F.arrow_udf("struct<ids:binary,decoded:string>")
@@ -170,33 +196,51 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
         ids = [bpe.encode(t) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())], ["ids", "decoded"])
 
+    @F.arrow_udf("array<struct<ids:binary,run:string>>")
+    def parts(texts: pa.Array) -> pa.Array:
+        bpe = WordBpe.of(path)
+        kind = pa.list_(pa.struct([("ids", pa.binary()), ("run", pa.string())]))
+        return pa.array([[{"ids": i, "run": r} for i, r in bpe.parts(t, long)] for t in texts.to_pylist()], kind)
+
     @F.arrow_udf("binary")
     def leaf_spans(texts: pa.Array) -> pa.Array:
         bpe = WordBpe.of(path)
         return pa.array([bpe.spans(t).astype("<i4").tobytes() for t in texts.to_pylist()], pa.binary())
 
+    @F.arrow_udf("binary")
+    def ids_of(spans: pa.Array) -> pa.Array:
+        return pa.array([np.ascontiguousarray(np.frombuffer(s, "<i4").reshape(-1, 3)[:, 0]).astype("<u4").tobytes() for s in spans.to_pylist()], pa.binary())
+
     @F.arrow_udf("struct<ids:binary,decoded:string>")
-    def finished(spans: pa.Array) -> pa.Array:
+    def finished(pieces: pa.Array) -> pa.Array:
         bpe = WordBpe.of(path)
-        ids = [np.ascontiguousarray(np.frombuffer(s, "<i4").reshape(-1, 3)[:, 0]).astype("<u4").tobytes() for s in spans.to_pylist()]
+        ids = [b"".join(p) for p in pieces.to_pylist()]
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())], ["ids", "decoded"])
 
-    kind = f"row long, part int, doc_id {dict(docs.dtypes)[doc_id]}, leaf string, spans binary"
-
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
         bpe, rows = WordBpe.of(path), rows.sort_values("part")
         halves = [(t, np.frombuffer(s, "<i4").reshape(-1, 3)) for t, s in zip(rows["leaf"], rows["spans"], strict=True)]
         whole_text, spans = join_halves(bpe, *halves) if len(halves) == 2 else halves[0]
         first = rows.iloc[:1]
-        return pd.DataFrame({"row": first["row"].array, "part": first["part"].array // 2, "doc_id": first["doc_id"].array, "leaf": [whole_text], "spans": [spans.astype("<i4").tobytes()]})
+        return pd.DataFrame({"row": first["row"].array, "piece": first["piece"].array, "part": first["part"].array // 2, "leaf": [whole_text], "spans": [spans.astype("<i4").tobytes()]})
 
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    short = rows.where(F.char_length("text") <= long).select("doc_id", whole("text").alias("x")).select("doc_id", "x.ids", "x.decoded")
-    cuts = F.expr(f"transform(sequence(0, cast(ceil(char_length(text) / {leaf}) as int) - 1), i -> substring(text, i * {leaf} + 1, {leaf}))")
-    leaves = rows.where(F.char_length("text") > long).withColumn("row", F.monotonically_increasing_id())
-    leaves = cut(leaves.select("row", "doc_id", F.posexplode(cuts).alias("part", "leaf")), "leaves")
+    # Whitespace ends a run, so only texts with a long stretch without any can have a long run.
+    stretch = F.array_max(F.transform(F.split("text", r"\s+"), F.char_length))
+    maybe = (F.char_length("text") > long // GROWTH) & (F.coalesce(stretch, F.lit(0)) > long // GROWTH)
+    short = rows.where(~maybe).select("doc_id", whole("text").alias("x")).select("doc_id", "x.ids", "x.decoded")
+    pieces = rows.where(maybe).withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", F.posexplode(parts("text")).alias("piece", "x"))
+    pieces = cut(pieces.select("row", "doc_id", "piece", "x.ids", "x.run"), "pieces")
+    cuts = F.expr(f"transform(sequence(0, cast(ceil(char_length(run) / {leaf}) as int) - 1), i -> substring(run, i * {leaf} + 1, {leaf}))")
+    leaves = pieces.where("run is not null").select("row", "piece", F.posexplode(cuts).alias("part", "leaf"))
     width = (leaves.agg(F.max("part")).first()[0] or 0) + 1
-    nodes = leaves.repartition(F.col("row"), F.col("part")).select("row", "part", "doc_id", "leaf", leaf_spans("leaf").alias("spans"))
+    nodes = leaves.repartition("row", "piece", "part").select("row", "piece", "part", "leaf", leaf_spans("leaf").alias("spans"))
     while width > 1:
-        nodes, width = nodes.groupBy("row", F.expr("part div 2")).applyInPandas(joined, kind), (width + 1) // 2
-    return short.unionByName(nodes.select("doc_id", finished("spans").alias("x")).select("doc_id", "x.ids", "x.decoded"))
+        nodes = nodes.groupBy("row", "piece", F.expr("part div 2")).applyInPandas(joined, "row long, piece int, part int, leaf string, spans binary")
+        width = (width + 1) // 2
+    ready = pieces.where("run is null").select("row", "doc_id", "piece", "ids")
+    runs = nodes.select("row", F.lit(None).cast(dict(docs.dtypes)[doc_id]).alias("doc_id"), "piece", ids_of("spans").alias("ids"))
+    # Every text has a last piece of ids, so its doc_id is there.
+    own = F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda p: p["ids"])
+    texts = ready.unionByName(runs).groupBy("row").agg(F.max("doc_id").alias("doc_id"), own.alias("pieces"))
+    return short.unionByName(texts.select("doc_id", finished("pieces").alias("x")).select("doc_id", "x.ids", "x.decoded"))

@@ -120,18 +120,56 @@ def test_bpe_round_trip(messy, nothing):
     assert bpe.encode(nothing, path).count() == 0
 
 
+def decomposed(rng, kind, n):
+    """Unsplit text of ``n`` code points that compose under NFC."""
+    import unicodedata
+
+    if kind == "korean":
+        text = "".join(chr(c) for c in rng.integers(0xAC00, 0xD7A4, n))
+    elif kind == "vietnamese":
+        text = "".join(rng.choice(list("ấềộứỳđăơưặẫễổữàáâãèéêìíòóôõùúýAẤỀ"), n))
+    elif kind == "hindi":
+        text = "".join(rng.choice(list("कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसहािीुूेैोौं़्ऩऱक़"), n))
+    else:
+        text = "".join(rng.choice(list("aeiouHTWYsnzAEO\u0301\u0300\u0302\u0308\u0323\u0331\u030a\u0307\u0344\u0958\u0130"), n))
+    return unicodedata.normalize("NFD", text)[:n]
+
+
+KINDS = ("korean", "vietnamese", "hindi", "marks")
+
+
 def test_joined_halves_of_unsplit_text_are_the_whole_text():
     rng = np.random.default_rng(3)
     made = bpe.WordBpe.of(queries.tokenizer_file("word_bpe_49k.json"))
-    for alphabet in ("ab", "aeinrst", "!?'-", "es'!1", "日本é "):
+
+    def tree(run, leaf):
+        nodes = [(p, made.spans(p)) for p in (run[i : i + leaf] for i in range(0, len(run), leaf))]
+        while len(nodes) > 1:
+            nodes = [bpe.join_halves(made, *pair, window=2) if len(pair) == 2 else pair[0] for pair in (nodes[i : i + 2] for i in range(0, len(nodes), 2))]
+        assert nodes[0][0] == run
+        return np.ascontiguousarray(nodes[0][1][:, 0]).astype("<u4").tobytes()
+
+    makers = [lambda n, a=a: "".join(rng.choice(list(a), n)) for a in ("ab", "aeinrst", "!?'-", "es'!1", "日本é ", "a!<|endoftext|>")]
+    makers += [lambda n, k=k: decomposed(rng, k, n) for k in KINDS]
+    for make in makers:
         for n in (40, 300, 2000):
-            text = "".join(rng.choice(list(alphabet), n))
+            text = make(n)
             for leaf in (1, 5, 64):
-                parts = [text[i : i + leaf] for i in range(0, n, leaf)]
-                nodes = [(p, made.spans(p)) for p in parts]
-                while len(nodes) > 1:
-                    nodes = [bpe.join_halves(made, *pair, window=2) if len(pair) == 2 else pair[0] for pair in (nodes[i : i + 2] for i in range(0, len(nodes), 2))]
-                assert nodes[0][0] == text and nodes[0][1][:, 0].tolist() == made.library(text).ids, (alphabet, n, leaf)
+                ids = b"".join(tree(run, leaf) if run else own for own, run in made.parts(text, leaf))
+                assert np.frombuffer(ids, "<u4").tolist() == made.library(text).ids, (text[:50], n, leaf)
+
+
+def test_registered_sizes_on_long_unsplit_runs(spark):
+    rng, path = np.random.default_rng(4), queries.tokenizer_file("word_bpe_49k.json")
+    t = library("word_bpe_49k.json")
+    texts = [decomposed(rng, k, n) for k in KINDS for n in (30_000, 71_257)] + ["".join(rng.choice(list("ab"), 30_000)), "!" * 50_001, "x" * 8193, "ab " * 9000, "a" * 100_000 + "<|endoftext|>" + "B" * 9_000 + "  tail's"]
+    texts += [" ".join(decomposed(rng, k, int(m)) for m in rng.integers(1, 20_000, 6)) for k in KINDS] + ["İ" * 9000 + "H\u0331" * 9000]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in bpe.encode(df, path).collect()}
+    assert len(got) == len(texts)
+    for i, x in enumerate(texts):
+        e = t.encode(x, add_special_tokens=False).ids
+        assert np.frombuffer(got[i]["ids"], "<u4").tolist() == e and got[i]["decoded"] == t.decode(e, skip_special_tokens=False), (i, x[:40])
 
 
 # ---- 2 exact duplicates
