@@ -1,22 +1,22 @@
 """Exact duplicates by deterministic block naming.
 
 A text, lower-cased in A-Z only, is cut into blocks of ``BLOCK`` bytes.  All
-distinct blocks are sorted and numbered: equal blocks share a name, different
-blocks never do.  Then adjacent names are paired and the distinct pairs sorted
+distinct blocks are sorted and numbered from 0 in that order: equal blocks share a name, different
+blocks never do, and names don't depend on how rows are dealt to tasks.  Then adjacent names are paired and the distinct pairs sorted
 and numbered in turn, until each document has a single name.  No hash decides
 equality anywhere, so identities are free of collisions.
 
 Everything is DataFrame operations.  Each naming is an aggregation with map-side
 combining (a block that a third of all rows share arrives as one row per task), a
-sort of the distinct keys, and a salted join back.  Text moves once, in the first
+sort of the distinct keys by ranges, and a salted join back.  Text moves once, in the first
 naming; after it a block is fetched by a pair of hashes that are checked to be
-unique among all distinct blocks.  The levels above move integers, half as many
+unique among all distinct blocks, and that blocks are sorted by.  The levels above move integers, half as many
 each time, and their number is the logarithm of the longest text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.lineage import cut, scope
@@ -39,12 +39,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def _names(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The distinct ``keys`` of ``rows`` with ``name``, their number in sorted order, and ``size``, their rows.
+def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct ``keys`` of ``rows``, and ``size``, the rows that have them."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("size"))
 
-    Numbers ascend in each partition of the distinct keys; they need to be unique, not dense.
-    """
-    return rows.groupBy(*keys).agg(F.count("*").alias("size")).sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
+
+def _numbered(distinct: DataFrame, keys: list[str]) -> DataFrame:
+    """``distinct`` with ``name``, the place from 0 in the order of ``keys``, whatever the partitions."""
+    placed = cut(distinct.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("at", 33)  # the number of a row's partition; below it is its place there
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    starts = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("start"))  # a row for each partition
+    name = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(starts), part == F.col("part")).withColumn("name", name).drop("at", "part", "start")
 
 
 def _hashes(seed: int) -> list[Column]:
@@ -54,14 +61,14 @@ def _hashes(seed: int) -> list[Column]:
 def _block_names(blocks: DataFrame) -> tuple[DataFrame, int]:
     """``h0, h1, name, size`` of each distinct block, and the seed of the two hashes.
 
-    The hashes stand for the block when its name is fetched, so that text moves once only.  They decide nothing:
-    should two different blocks share both, another seed is taken.
+    The hashes stand for the block when it is sorted and when its name is fetched, so that text moves once only.  They decide
+    nothing: should two different blocks share both, another seed is taken.
     """
     seed = 0
     while True:
-        names = cut(_names(blocks.select("block"), ["block"]).select(*_hashes(seed), "name", "size"), "names")
-        if names.groupBy("h0", "h1").count().where("count > 1").isEmpty():
-            return names, seed
+        distinct = cut(_counted(blocks.select("block"), ["block"]).select(*_hashes(seed), "size"), "distinct")
+        if distinct.groupBy("h0", "h1").count().where("count > 1").isEmpty():
+            return cut(_numbered(distinct, ["h0", "h1"]), "names"), seed
         seed += 2
 
 
@@ -97,7 +104,7 @@ def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bloc
         pairs = pairs.agg(side(0).alias("left"), F.coalesce(side(1), F.lit(-1)).alias("right"))
         pairs = pairs.select("row", F.col("at").alias("pos"), F.col("wide").alias("width"), "left", "right")
         pairs = cut(pairs, f"pairs{level}")
-        names = cut(_names(pairs, ["left", "right"]), f"names{level}")
+        names = cut(_numbered(_counted(pairs, ["left", "right"]), ["left", "right"]), f"names{level}")
         here = cut(join_back(pairs, names, ["left", "right"], "size").select("row", "pos", "width", "name"), f"level{level}")
         parts.append(here.where("width = 1").select("row", F.lit(level).alias("level"), "name"))
         here = here.where("width > 1")
