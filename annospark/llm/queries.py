@@ -38,7 +38,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.text_media(read(spark, sf_dir, "documents")).drop("media", "pcm")
+    """The stored files go along: ``media``, and the resampled ``pcm``."""
+    return media.text_media(read(spark, sf_dir, "documents"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
