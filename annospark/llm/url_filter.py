@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annospark.config import free_name
 from annospark.lineage import cut
 
 from .exact_dedup import LOWER, UPPER
@@ -142,7 +143,8 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "url
     if cascade:
         bad = F.exists(suffixes(F.col("host")), cascade.contains)
         return pages.withColumns({"rule": name, "verdict": F.coalesce(ruled, F.when(bad, "block").otherwise("allow"))})
-    hosts = pages.select("host").distinct().select("host", F.explode(suffixes(F.col("host"))).alias("key"))
-    bad = hosts.join(keys.where("listed"), "key", "left_semi").select("host", F.lit(True).alias("_bad")).distinct()
-    out = pages.join(bad, "host", "left").withColumns({"rule": name, "verdict": F.coalesce(ruled, F.when(F.col("_bad"), "block").otherwise("allow"))})
-    return out.drop("_bad")
+    flag, own = free_name("bad", pages.columns), free_name("bad_host", pages.columns)
+    hosts = pages.select("host").distinct().select(F.col("host").alias(own), F.explode(suffixes(F.col("host"))).alias("key"))
+    bad = hosts.join(keys.where("listed"), "key", "left_semi").select(own, F.lit(True).alias(flag)).distinct()
+    out = pages.join(bad, pages["host"] == bad[own], "left").withColumns({"rule": name, "verdict": F.coalesce(ruled, F.when(F.col(flag), "block").otherwise("allow"))})
+    return out.drop(flag, own)
