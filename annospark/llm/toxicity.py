@@ -31,8 +31,9 @@ BUCKETS, WIDTH, GRAMS = 1 << 16, 8, (3, 4, 5)
 PASSAGE, LEAST = 2, 2
 #: Characters in a word.
 LONGEST = 64
-#: Labelled rows in the training sample, at most, of each class (those of least hash), and characters in all of them.
-POSITIVE, NEGATIVE, TRAIN_CHARS = 2000, 4000, 30_000_000
+#: Labelled rows in the training sample, at most, of each class (those of least hash); characters of a longer text that are
+#: learnt from, and evenly spaced stretches that they are taken in.
+POSITIVE, NEGATIVE, TRAIN_CHARS, STRETCHES = 2000, 4000, 32_768, 8
 #: Passes over the sample, texts in a step, Adagrad's rate, seed.
 EPOCHS, BATCH, RATE, SEED = 30, 100, 0.3, 7
 #: Texts that a row is imagined to have been seen in, in the classes' proportion; first sum of squares of its slopes.
@@ -300,24 +301,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def stretches(text: Column) -> Column:
+    """A text of up to ``TRAIN_CHARS`` characters whole, else evenly spaced parts of it from its beginning to its end."""
+    part, n = TRAIN_CHARS // STRETCHES, F.char_length(text)
+    at = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda i: F.substring(text, F.floor(i * (n - part) / (STRETCHES - 1)).cast("int") + 1, F.lit(part)))
+    return F.when(n > TRAIN_CHARS, F.array_join(at, " ")).otherwise(text)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``_id, text, label`` of the bounded sample: labelled rows that are not held out, chosen by the hash of their id.
 
-    Whole texts of any length are taken while they fit in what is left of ``TRAIN_CHARS``.
+    Texts of any length are taken, very long ones in ``stretches``.  An id with several labels has the largest, and with several texts the least.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("label")).where("_id is not null and label in (0, 1)")
     known = known.where(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("label").alias("label"))
     pick = lambda y, n: known.where(F.col("label") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     chosen = F.broadcast(pick(1, POSITIVE).unionByName(pick(0, NEGATIVE)))  # POSITIVE + NEGATIVE rows at most
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    sizes = rows.join(chosen, "_id").groupBy("_id").agg(F.count("*").alias("rows"), F.sum(F.char_length("text")).alias("chars"))
-    taken, left, space = [], POSITIVE + NEGATIVE, TRAIN_CHARS
-    for r in sizes.orderBy(F.xxhash64("_id"), "_id").collect():  # a row for each chosen id
-        if r["rows"] <= left and r["chars"] <= space:
-            taken, left, space = [*taken, r["_id"]], left - r["rows"], space - r["chars"]
-    ids = docs.sparkSession.createDataFrame(pd.DataFrame({"_id": pd.Series(taken, dtype="int64")}), "_id long")
-    chosen = chosen.join(F.broadcast(ids), "_id", "left_semi")
-    return rows.join(F.broadcast(chosen), "_id").select("_id", "text", "label")
+    return rows.join(chosen, "_id").groupBy("_id").agg(F.min(stretches(F.col("text"))).alias("text"), F.first("label").alias("label"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Model:
@@ -351,7 +352,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     Labels (``doc_id, toxic`` of ``labels``) are learnt only from rows whose crc32(doc_id as text) mod 5 is not 0.
     A null or empty text scores what the softmax gives to no words at all.  A null ``doc_id`` stays null and is not
     held out; repeated rows give repeated rows of one score; no rows give no rows; without labels, or with one
-    label only, all texts score alike.  Other columns are not read.
+    label only, all texts score alike.  Very long texts are scored by all their passages, ``CHUNK`` characters at a time.  Ids may be of any type;
+    other columns are not read.
     """
     model = fit(docs, labels, text, doc_id)
     out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(F.col(f"`{doc_id}`")).alias("held_out"), toxicity(docs.sparkSession, F.col(f"`{text}`"), model).alias("score"))
