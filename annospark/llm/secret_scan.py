@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 #: Strings that one run of a pattern may stand for; beyond that the run ends.
 MOST_STRINGS = 64
-#: Bytes of text indexed at a time.
-BLOCK_BYTES = 2 << 20
+#: Bytes of text in a block, about, and of a block that are looked at together.
+BLOCK_BYTES, INDEX_BYTES = 2 << 20, 1 << 20
 
 
 def _any_case(word: str) -> str:
@@ -32,7 +32,8 @@ def _any_case(word: str) -> str:
 
 
 _NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token"))) + "|" + _any_case("api") + "_?" + _any_case("key")
-#: kind, expression, least characters, of which group.  The first three are the base.
+#: kind, expression, least characters, of which group.  The first three are the base.  Each expression reads a text of any
+#: length in proportional time: where a run could be entered at any of its characters, only its first is a start.
 RULES = (
     ("assign", rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
     ("access", r"AKIA[A-Z0-9]+", 18, 0),
@@ -41,7 +42,7 @@ RULES = (
     ("repo_token", r"gh[opsur]_[A-Za-z0-9]{36,}", 0, 0),
     ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("payment_key", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}", 0, 0),
-    ("signed_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 0),
+    ("signed_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 0),
     ("url_password", r"://[A-Za-z0-9._~-]+:[A-Za-z0-9._~%!$&*+=-]+@[A-Za-z0-9.-]+", 0, 0),
 )
 BASE = ("assign", "access", "hex")
@@ -135,10 +136,12 @@ class Scanner:
     def postings(self, texts: list[bytes]) -> dict[int, np.ndarray]:
         """Numbers of the texts that have each wanted trigram, ascending."""
         ends = np.cumsum([len(t) + 2 for t in texts])  # two zero bytes keep trigrams apart
-        folded = self.fold[np.frombuffer(b"\0\0".join(texts) + b"\0\0", np.uint8)]
-        found = self.wanted[folded[:-2] << 16 | folded[1:-1] << 8 | folded[2:]]
-        at = np.flatnonzero(found)
-        pairs = np.unique(found[at].astype(np.int64) << 40 | np.searchsorted(ends, at, "right"))
+        whole, pairs = np.frombuffer(b"\0\0".join(texts) + b"\0\0", np.uint8), np.empty(0, np.int64)
+        for start in range(0, len(whole), INDEX_BYTES):
+            folded = self.fold[whole[start : start + INDEX_BYTES + 2]]
+            found = self.wanted[folded[:-2] << 16 | folded[1:-1] << 8 | folded[2:]]
+            at = np.flatnonzero(found)
+            pairs = np.union1d(pairs, found[at].astype(np.int64) << 40 | np.searchsorted(ends, at + start, "right"))
         grams, starts = np.unique(pairs >> 40, return_index=True)
         return dict(zip(grams.tolist(), np.split(pairs & ((1 << 40) - 1), starts[1:]), strict=False)) if len(grams) else {}
 
@@ -199,10 +202,11 @@ def secret_spans(text: Column, rules=RULES) -> Column:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rules=RULES) -> DataFrame:
-    """``doc_id, spans`` for each row of ``docs``.
+    """``doc_id, spans`` for each row of ``docs``, spans by start, ties in the order of ``rules``.
 
     A null or empty text has no spans, a null ``doc_id`` stays null, repeated rows give repeated rows, no rows
-    give no rows; other columns are not read.
+    give no rows; other columns are not read.  A very long text is a block of its own, indexed ``INDEX_BYTES`` at a time and
+    searched whole in time proportional to its length.
     """
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), secret_spans(F.col(f"`{text}`"), rules).alias("spans"))
 
