@@ -75,7 +75,9 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: Co
     ``n_tokens`` is ``length``, or the words of the text.  ``bucket`` counts from 0 by length, ``padded`` is the length
     that rows of the bucket are padded to, ``batch`` counts from 0 in the bucket and ``slot`` in the batch.  A batch
     has ``budget`` padded tokens at most, or one row if that is longer.  A null or empty text has length 0; null,
-    equal and repeated ids are rows like any others; no rows give no rows; other columns are not read.
+    equal and repeated ids are rows like any others; no rows give no rows; other columns are not read.  Of very long texts only the
+    lengths move.  The driver gets the histogram, about 100 bytes for each different length: a million lengths, which is what token counts of
+    a hundred terabytes may have, are some 100 MB there and as many steps for each bucket.
     """
     length = words(F.col(f"`{text}`")) if length is None else F.greatest(F.coalesce(length, F.lit(0)).cast("long"), F.lit(0).cast("long"))
     rows = cut(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), length.alias("n_tokens")), "lengths")

@@ -524,7 +524,7 @@ def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Words are what stands between ASCII whitespace after lower-casing A-Z; a text of fewer than ``words`` words is one
     shingle, a null, empty or blank text has fingerprint zero and is linked like any other.  A null ``doc_id`` stays
     and names a class only if no other id can.  Repeated rows give repeated rows of one class; no rows give no rows;
-    other columns are not read.
+    other columns are not read.  A very long text is fingerprinted by the task that reads it, from all its shingles; only its fingerprint moves.
     """
     names = [f"f{i}" for i in range(lanes)]
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words, lanes).alias("fp"))
