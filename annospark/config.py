@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from annospark.functions.bits import HASHES
 from annospark.functions.values import key_of
+from annospark.names import free_name as free_name
 
 #: Property types of the format with their bytes, in the order that the encoder writes sizes.
 PROPERTY_TYPES = {"uint32": 4, "int32": 4, "float32": 4, "uint16": 2, "int16": 2, "uint8": 1, "int8": 1, "rgb": 3, "rgba": 4}
@@ -169,15 +170,6 @@ def merged(base: dict, over: dict) -> dict:
     return {**base, **both}
 
 
-def free_name(wanted: str, taken) -> str:
-    """``wanted``, or the first of ``wanted_1, wanted_2, ...`` that isn't taken."""
-    name, n = wanted, 0
-    while name in taken:
-        n += 1
-        name = f"{wanted}_{n}"
-    return name
-
-
 def run_label(debug: bool = False) -> str:
     """A name for a run from the time in UTC; always the same when debugging."""
     at = datetime(2000, 1, 1, tzinfo=timezone.utc) if debug else datetime.now(timezone.utc)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annospark.names import free_name
+
 #: Fixed values of MurmurHash3_x86_128 that an 8-byte key meets.
 C1, C2, C3 = 0x239B961B, 0xAB0E9789, 0x38B34AE5
 MIX1, MIX2 = 0x85EBCA6B, 0xC2B2AE35
@@ -36,33 +38,50 @@ def with_murmur(df: DataFrame, key: str, out: str = "hash", preshift: int = 0) -
 
     The steps are columns of their own, so that none is spelled out twice in a later one.
     """
-    v = F.col("_v")
-    step = df.withColumn("_v", F.shiftrightunsigned(F.col(key).cast("long"), preshift))
-    step = step.withColumns({"_a": _times(_low(v), C1), "_b": _times(F.shiftrightunsigned(v, 32), C2)})
-    step = step.withColumns({"_a": _times(_rotate(F.col("_a"), 15), C2).bitwiseXOR(F.lit(KEY_BYTES)), "_b": _times(_rotate(F.col("_b"), 16), C3).bitwiseXOR(F.lit(KEY_BYTES))})
+    v, a, b, c = (free_name(f"step_{n}", df.columns) for n in "vabc")
+    step = df.withColumn(v, F.shiftrightunsigned(F.col(key).cast("long"), preshift))
+    step = step.withColumns({a: _times(_low(F.col(v)), C1), b: _times(F.shiftrightunsigned(v, 32), C2)})
+    step = step.withColumns({a: _times(_rotate(F.col(a), 15), C2).bitwiseXOR(F.lit(KEY_BYTES)), b: _times(_rotate(F.col(b), 16), C3).bitwiseXOR(F.lit(KEY_BYTES))})
     # The third and fourth words never differ.
-    step = step.withColumn("_a", _low(F.col("_a") + F.col("_b") + 2 * KEY_BYTES))
-    step = step.withColumns({"_b": _low(F.col("_b") + F.col("_a")), "_c": _low(F.col("_a") + KEY_BYTES)})
+    step = step.withColumn(a, _low(F.col(a) + F.col(b) + 2 * KEY_BYTES))
+    step = step.withColumns({b: _low(F.col(b) + F.col(a)), c: _low(F.col(a) + KEY_BYTES)})
     for shift, factor in ((16, MIX1), (13, MIX2), (16, None)):
-        mixed = {n: F.col(n).bitwiseXOR(F.shiftrightunsigned(F.col(n), shift)) for n in ("_a", "_b", "_c")}
+        mixed = {n: F.col(n).bitwiseXOR(F.shiftrightunsigned(F.col(n), shift)) for n in (a, b, c)}
         step = step.withColumns(mixed)
         if factor:
-            step = step.withColumns({n: _times(F.col(n), factor) for n in ("_a", "_b", "_c")})
-    step = step.withColumn("_a", _low(F.col("_a") + F.col("_b") + 2 * F.col("_c")))
-    whole = F.shiftleft(_low(F.col("_b") + F.col("_a")), 32).bitwiseOR(F.col("_a"))
-    return step.withColumn(out, whole).drop("_v", "_a", "_b", "_c")
+            step = step.withColumns({n: _times(F.col(n), factor) for n in (a, b, c)})
+    step = step.withColumn(a, _low(F.col(a) + F.col(b) + 2 * F.col(c)))
+    whole = F.shiftleft(_low(F.col(b) + F.col(a)), 32).bitwiseOR(F.col(a))
+    return step.withColumn(out, whole).drop(v, a, b, c)
 
 
-def with_shard(df: DataFrame, key: str, shard_bits: int, minishard_bits: int, preshift: int = 0, hash: str = HASHES[0]) -> DataFrame:
-    """``df`` with ``shard`` and ``minishard`` of each ``key``."""
+def _with_hash(df: DataFrame, key: str, preshift: int, hash: str) -> tuple[DataFrame, str]:
     if hash not in HASHES:
         raise ValueError(f"unknown hash {hash!r}")
+    name = free_name("hash", df.columns)
     if hash == "identity":
-        df = df.withColumn("_hash", F.shiftrightunsigned(F.col(key).cast("long"), preshift))
-    else:
-        df = with_murmur(df, key, "_hash", preshift)
-    part = lambda down, bits: F.shiftrightunsigned(F.col("_hash"), down).bitwiseAND(F.lit((1 << bits) - 1)).cast("long")
-    return df.withColumns({"shard": part(minishard_bits, shard_bits), "minishard": part(0, minishard_bits)}).drop("_hash")
+        return df.withColumn(name, F.shiftrightunsigned(F.col(key).cast("long"), preshift)), name
+    return with_murmur(df, key, name, preshift), name
+
+
+def with_shard(df: DataFrame, key: str, shard_bits: int, minishard_bits: int, preshift: int = 0, hash: str = HASHES[0]) -> DataFrame:
+    """``df`` with ``shard`` and ``minishard`` of each ``key``."""
+    df, name = _with_hash(df, key, preshift, hash)
+    part = lambda down, bits: F.shiftrightunsigned(F.col(name), down).bitwiseAND(F.lit((1 << bits) - 1)).cast("long")
+    return df.withColumns({"shard": part(minishard_bits, shard_bits), "minishard": part(0, minishard_bits)}).drop(name)
+
+
+def with_level_shard(df: DataFrame, key: str, level: Column, specs: list) -> DataFrame:
+    """``df`` with ``shard`` and ``minishard`` of each ``key`` by the spec of its ``level``; one hash serves all levels of equal hash and preshift."""
+    kinds = {(s.preshift_bits, s.hash) for s in specs}
+    if len(kinds) > 1:
+        raise ValueError("levels with different hashes")
+    df, name = _with_hash(df, key, *(kinds.pop() if kinds else (0, HASHES[0])))
+    bits = lambda of: F.get(F.array(*(F.lit(of(s)) for s in specs)), level)
+    m, n = free_name("minishard_bits", df.columns), free_name("shard_bits", df.columns)
+    df = df.withColumns({m: bits(lambda s: s.minishard_bits), n: bits(lambda s: s.shard_bits)})
+    df = df.withColumns({"shard": F.expr(f"shiftrightunsigned(`{name}`, `{m}`) & (shiftleft(1L, `{n}`) - 1L)"), "minishard": F.expr(f"`{name}` & (shiftleft(1L, `{m}`) - 1L)")})
+    return df.drop(name, m, n)
 
 
 def place(key: int, shard_bits: int, minishard_bits: int, preshift: int = 0, hash: str = HASHES[0]) -> tuple[int, int]:

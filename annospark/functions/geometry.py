@@ -31,9 +31,13 @@ class Box:
         return tuple(h - w for w, h in zip(self.low, self.high, strict=True))
 
 
+def _side(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def contains(point: Column, box: Box, resolution=(1, 1, 1)) -> Column:
-    """Whether a point, scaled by ``resolution``, is in ``box``."""
-    inside = [(point[a] * F.lit(float(r))).between(F.lit(box.low[i]), F.lit(box.high[i])) for i, (a, r) in enumerate(zip(AXES, resolution, strict=True))]
+    """Whether a point, scaled by ``resolution``, is in ``box``, whose sides may be columns."""
+    inside = [(point[a] * F.lit(float(r))).between(_side(box.low[i]), _side(box.high[i])) for i, (a, r) in enumerate(zip(AXES, resolution, strict=True))]
     return reduce(and_, inside)
 
 
@@ -41,7 +45,7 @@ def segment_meets(start: Column, end: Column, box: Box, resolution=(1, 1, 1)) ->
     """Whether the segment meets ``box``: its share inside each axis's slab is an interval, and the three overlap."""
     enter, leave, beside = [F.lit(0.0)], [F.lit(1.0)], []
     for i, (a, r) in enumerate(zip(AXES, resolution, strict=True)):
-        s, low, high = start[a] * F.lit(float(r)), F.lit(box.low[i]), F.lit(box.high[i])
+        s, low, high = start[a] * F.lit(float(r)), _side(box.low[i]), _side(box.high[i])
         step = end[a] * F.lit(float(r)) - s
         flat = F.abs(step) < PARALLEL
         one, two = ((edge - s) / F.when(~flat, step) for edge in (low, high))
@@ -60,10 +64,15 @@ def segments(points: Column) -> Column:
 
 
 def in_bounds(points: Column, box: Box, resolution=(1, 1, 1), strict: bool = False) -> Column:
-    """Whether an annotation is in ``box``: all its points if ``strict``, else its point or any segment of it."""
+    """Whether an annotation is in ``box``: all its points if ``strict``, else its point or any segment of it.  One without points isn't."""
     if strict:
-        return F.forall(points, lambda p: contains(p, box, resolution))
-    return F.exists(segments(points), lambda s: segment_meets(s["a"], s["b"], box, resolution))
+        return F.coalesce(F.forall(points, lambda p: contains(p, box, resolution)) & (F.size(points) > 0), F.lit(False))
+    return F.coalesce(F.exists(segments(points), lambda s: segment_meets(s["a"], s["b"], box, resolution)), F.lit(False))
+
+
+def any_inside(points: Column, box: Box, resolution=(1, 1, 1)) -> Column:
+    """Whether any point is in ``box``; not so for null points, or none."""
+    return F.coalesce(F.exists(points, lambda p: contains(p, box, resolution)), F.lit(False))
 
 
 def convert(points: Column, have, want) -> Column:

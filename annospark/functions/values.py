@@ -22,11 +22,6 @@ def enum_value(label: Column, labels: list[str], values: list[int], missing: int
     return F.coalesce(F.element_at(table, label.cast("string")), F.lit(missing).cast("int"))
 
 
-def missing_labels(label: Column, labels: list[str]) -> Column:
-    """Aggregate: the labels that occur but aren't declared, sorted.  Their number is bounded by the label column's."""
-    return F.array_sort(F.collect_set(F.when(~label.isin(labels), label)))
-
-
 def relation_ids(text: Column) -> Column:
     """Ids of a relation field: ``5``, ``1,2`` or ``[1,2]``; null if it holds anything else, such as a label."""
     inner = F.regexp_replace(F.trim(text.cast("string")), r"^[\[(]\s*(.*?)\s*,?\s*[\])]$", "$1")

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.config import COLOURS, DataConfig
-from annospark.functions.geometry import Box, contains, in_bounds
-from annospark.functions.values import bad_colour, bad_relation, missing_labels
+from annospark.functions.geometry import Box, any_inside, in_bounds
+from annospark.functions.values import bad_colour, bad_relation
 from annospark.operators.octree import CELL
 
 #: A cell of more rows than the limit by this factor is worth a warning.
 SPARE = 1.2
+#: Undeclared labels that an error names.
+NAMED = 100
 
 
 def duplicate_ids(df: DataFrame, *ids: str) -> DataFrame:
@@ -31,9 +33,15 @@ def require_unique(df: DataFrame, *ids: str) -> DataFrame:
     return df
 
 
+def undeclared(df: DataFrame, column: str, labels: list[str]) -> DataFrame:
+    """``label``: each value of a column that isn't among ``labels``, once."""
+    value = F.col(f"`{column}`").cast("string")
+    return df.where(value.isNotNull() & ~value.isin(labels)).select(value.alias("label")).distinct()
+
+
 def require_labels(df: DataFrame, column: str, labels: list[str]) -> DataFrame:
-    """``df``, or a ValueError that names the labels that occur but aren't declared."""
-    found = df.agg(missing_labels(F.col(column), labels).alias("missing")).first()["missing"]
+    """``df``, or a ValueError that names labels that occur but aren't declared, ``NAMED`` at most."""
+    found = sorted(r[0] for r in undeclared(df, column, labels).limit(NAMED).collect())
     if found:
         raise ValueError(f"{column} has undeclared labels: {found}")
     return df
@@ -72,13 +80,13 @@ def density(index: DataFrame, volume: float, per_volume: float, splits: int = 1)
 
 
 def outside(annotations: DataFrame, box: Box, resolution=(1, 1, 1)) -> DataFrame:
-    """The annotations none of whose points is in ``box``."""
-    return annotations.where(~F.exists("points", lambda p: contains(p, box, resolution)))
+    """The annotations none of whose points is in ``box``, those without points included."""
+    return annotations.where(~any_inside(F.col("points"), box, resolution))
 
 
 def misplaced(annotations: DataFrame, kind: str, box: Box, resolution=(1, 1, 1)) -> DataFrame:
     """Annotations that ``box`` shouldn't hold: a point outside it, or a line with both ends outside it."""
-    held = in_bounds(F.col("points"), box, resolution, strict=True) if kind == "POINT" else F.exists("points", lambda p: contains(p, box, resolution))
+    held = in_bounds(F.col("points"), box, resolution, strict=True) if kind == "POINT" else any_inside(F.col("points"), box, resolution)
     return annotations.where(~held) if kind != "POLYLINE" else annotations.limit(0)
 
 

@@ -100,6 +100,9 @@ def pack_bodies(batch: pa.RecordBatch, kind: str, specs: list[PropertySpec], key
 
 
 def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary values of ``data``; more than offsets of 32 bits can tell apart raise."""
+    if offsets[-1] >= 1 << 31:
+        raise OverflowError(f"{offsets[-1]} bytes in an Arrow batch: lower spark.sql.execution.arrow.maxRecordsPerBatch")
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.config import ShardingSpec
-from annospark.functions.bits import cell_grid, morton, shard_hex, with_shard
+from annospark.functions.bits import cell_grid, morton, shard_hex, with_level_shard, with_shard
 from annospark.functions.geometry import Box
 from annospark.lineage import cut
 from annospark.operators import octree
@@ -45,17 +43,16 @@ def related(index: DataFrame) -> DataFrame:
     return dealt.groupBy("relation", "rel_id", "slice").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def spatial_index(annotations: DataFrame, bounds: Box, specs: list[ShardingSpec], cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "") -> DataFrame:
+def spatial_index(annotations: DataFrame, bounds: Box, specs: list[ShardingSpec], cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "", crossing: bool = False) -> DataFrame:
     """``level, cx, cy, cz, morton, shard, minishard, id, place, points``; ``specs`` has the sharding of each level.
 
-    Fewer specs than the octree has levels raise.  The points go along, so that a box is answered by its cells alone.
+    Fewer specs than the octree has levels raise.  The points go along, so that a box is answered by its cells alone; for lines and
+    polylines that takes an index that enters them in every cell that they cross (``crossing``).
     """
-    index = cut(octree.build(annotations, bounds, cell_rows, max_levels, seed, points=True), "octree")
-    deepest = index.agg(F.max("level")).first()[0]
-    if deepest is not None and deepest >= len(specs):
+    index = cut(octree.build(annotations, bounds, cell_rows, max_levels, seed, points=True, crossing=crossing), "octree")
+    deepest = index.agg(F.max("level")).first()[0] or 0
+    if deepest >= len(specs):
         raise ValueError(f"{len(specs)} sharding specs for {deepest + 1} levels")
-    levels = []
-    for level, spec in enumerate(specs[: 1 if deepest is None else deepest + 1]):
-        at = index.where(F.col("level") == level).withColumn("morton", morton(F.col("cx"), F.col("cy"), F.col("cz"), cell_grid(level)))
-        levels.append(with_shard(at, "morton", spec.shard_bits, spec.minishard_bits, spec.preshift_bits, spec.hash))
-    return reduce(DataFrame.unionByName, levels)
+    # All axes of a level have as many bits, so the deepest level's code is that of each level.
+    index = index.withColumn("morton", morton(F.col("cx"), F.col("cy"), F.col("cz"), cell_grid(deepest)))
+    return with_level_shard(index, "morton", F.col("level"), specs[: deepest + 1])

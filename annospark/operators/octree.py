@@ -1,16 +1,18 @@
 """The level-of-detail octree.
 
 Each cell holds at most ``cell_rows`` annotations and hands the others to the
-children that their points lie in.  Which ones it holds is a fixed pseudo-random
+children that their points lie in, or, if ``crossing``, to all children that any of their segments meets.
+Which ones it holds is a fixed pseudo-random
 order, the MD5 of the id, so the sample is reproducible and any prefix of it is a
 fair sample.
 
 A level is planned so that no task holds a cell.  Cells are counted with map-side
-combining.  As the order's keys are uniform, a cell of ``n`` rows finds its
+combining, from the cells' columns alone.  As the order's keys are uniform, a cell of ``n`` rows finds its
 ``cell_rows`` least among the keys under a share slightly above ``cell_rows / n``;
 only those meet in a window, so a window's partition has a bounded size however
 many rows the cell has.  The last key held then splits the cell's rows, in a broadcast
-join while cells are few and a salted one beyond that.  Rows carry id, points and cell.
+join while cells are few and a salted one beyond that.  In that pass rows that aren't held go down, and a written table
+has both: what the level holds, and the next level's rows, whose geometry is so looked at once a level.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.functions.bits import cell_grid, morton
-from annospark.functions.geometry import AXES, Box
+from annospark.functions.geometry import AXES, PARALLEL, Box, any_inside, in_bounds, segment_meets, segments
 from annospark.lineage import cut
 from annospark.plans.sharding import CELL_ROWS, MAX_LEVELS
 from annospark.skew import join_back
@@ -31,6 +33,8 @@ from annospark.skew import join_back
 CELL = ["cx", "cy", "cz"]
 #: Hexadecimal digits of the order's key that serve as a uniform number; cells whose counts are sent to all tasks, at most.
 DIGITS, SENT_CELLS = 12, 50_000
+#: A cell takes segments that come this near, as a share of the bounds, so that rounding can't keep one from the cell of its point.
+NEAR = 1e-9
 
 
 def hold_order(id: Column, seed: str = "") -> Column:
@@ -51,17 +55,38 @@ def in_cell(point: Column) -> Column:
     return reduce(and_, (point[a].between(F.col(f"{a}0"), F.col(f"{a}1")) for a in AXES))
 
 
-def descend(rows: DataFrame) -> DataFrame:
-    """Rows one level down: a copy in each child that a point of theirs inside this cell lies in; ties go low."""
+def slack(bounds: Box) -> float:
+    """By how much cells are wider for segments than they are."""
+    return NEAR * max(bounds.shape) + PARALLEL
+
+
+def kids(bounds: Box, crossing: bool = False) -> Column:
+    """The children, as ``x, y, z`` of 0 or 1, that a row of a cell goes to.
+
+    That is one for each point inside the cell, ties going low; if ``crossing``, all that a segment meets, faces included.
+    """
+    middle = {a: (F.col(f"{a}0") + F.col(f"{a}1")) / 2 for a in AXES}
+    if not crossing:
+        octant = lambda p: F.struct(*((p[a] > middle[a]).cast("int").alias(a) for a in AXES))
+        return F.array_distinct(F.transform(F.filter("points", in_cell), octant))
+    spare, all_kids = slack(bounds), F.array(*(F.struct(*(F.lit(k >> i & 1).alias(a) for i, a in enumerate(AXES))) for k in range(8)))
+
+    def meets(kid: Column) -> Column:
+        low = tuple(F.when(kid[a] == 1, middle[a]).otherwise(F.col(f"{a}0")) - spare for a in AXES)
+        high = tuple(F.when(kid[a] == 1, F.col(f"{a}1")).otherwise(middle[a]) + spare for a in AXES)
+        return F.exists(segments(F.col("points")), lambda s: segment_meets(s["a"], s["b"], Box(low, high)))
+
+    return F.filter(all_kids, meets)
+
+
+def descend(rows: DataFrame, kid: Column) -> DataFrame:
+    """Rows in their child ``kid``; those without one stay as they are."""
     middle = {a: (F.col(f"{a}0") + F.col(f"{a}1")) / 2 for a in AXES}
-    octant = lambda p: F.struct(*((p[a] > middle[a]).cast("int").alias(a) for a in AXES))
-    kids = F.array_distinct(F.transform(F.filter("points", in_cell), octant))
-    out = rows.withColumn("kid", F.explode(kids))
-    high = {a: F.col(f"kid.{a}") == 1 for a in AXES}
-    cells = {c: F.col(c) * 2 + F.col(f"kid.{a}") for c, a in zip(CELL, AXES, strict=True)}
+    high, stays = {a: kid[a] == 1 for a in AXES}, kid.isNull()
+    cells = {c: F.when(stays, F.col(c)).otherwise(F.col(c) * 2 + kid[a]) for c, a in zip(CELL, AXES, strict=True)}
     lows = {f"{a}0": F.when(high[a], middle[a]).otherwise(F.col(f"{a}0")) for a in AXES}
-    highs = {f"{a}1": F.when(high[a], F.col(f"{a}1")).otherwise(middle[a]) for a in AXES}
-    return out.withColumns(cells | lows | highs).drop("kid")
+    highs = {f"{a}1": F.when(stays | high[a], F.col(f"{a}1")).otherwise(middle[a]) for a in AXES}
+    return rows.withColumns(cells | lows | highs)
 
 
 def _with_cells(rows: DataFrame, cells: DataFrame, few: bool) -> DataFrame:
@@ -83,16 +108,18 @@ def _last_held(rows: DataFrame, crowded: DataFrame, n_crowded: int, few: bool, k
         spare *= 8  # the keys of some cell lie so unevenly that it needs a larger share
 
 
-def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "", points: bool = False) -> DataFrame:
+def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "", points: bool = False, crossing: bool = False) -> DataFrame:
     """``level, cx, cy, cz, id, place`` of every held annotation, and its ``points`` if wanted; ``place`` counts from 1 in its cell.
 
-    ``annotations``: unique ``id`` and ``points``.  An annotation with no point in ``bounds``, or levels in excess
-    of ``max_levels``, raise a RuntimeError.  A point annotation is held once, others at least once.
+    ``annotations``: unique ``id`` and ``points``.  An annotation with no id or no point in ``bounds`` (if ``crossing``, one that doesn't
+    meet them), null or empty points included, or levels in excess of ``max_levels``, raise a RuntimeError.  A point annotation is held
+    once, others at least once; if ``crossing``, every cell that an annotation meets, or a cell above it, holds it.  No rows give no rows.
     """
     rows, held, level = cut(start(annotations, bounds, seed), "level0"), [], 0
-    lost = rows.where(~F.exists("points", in_cell)).limit(1).collect()
+    inside = in_bounds(F.col("points"), bounds) if crossing else any_inside(F.col("points"), bounds)
+    lost = rows.where(F.col("id").isNull() | ~inside).select("id").limit(1).collect()
     if lost:
-        raise RuntimeError(f"annotation {lost[0]['id']} has no point inside the bounds")
+        raise RuntimeError("an annotation has no id" if lost[0]["id"] is None else f"annotation {lost[0]['id']} has no point inside the bounds")
     more = ["points"] if points else []
     columns = [F.col(c) for c in (*CELL, "id", "key", *more)]
     while True:
@@ -108,9 +135,10 @@ def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_l
         last = _last_held(rows, cells.where(F.col("n") > cell_rows), n_crowded, few, cell_rows)
         split = _with_cells(rows, cells.join(last, CELL, "left"), few)
         split = split.withColumn("holds", F.col("last").isNull() | (F.struct("key", "id") <= F.col("last"))).drop("last", "n")
-        split = cut(split, f"split{level}")
+        kid = F.explode(F.when(F.col("holds"), F.array(F.lit(None).cast("struct<x:int,y:int,z:int>"))).otherwise(kids(bounds, crossing)))
+        split = cut(descend(split.withColumn("kid", kid), F.col("kid")).drop("kid"), f"split{level}", "holds")
         held.append(split.where("holds").select(F.lit(level).alias("level"), *columns))
-        rows = descend(split.where("not holds").drop("holds"))
+        rows = split.where("not holds").drop("holds")
         level += 1
     every = reduce(DataFrame.unionByName, held)
     # A cell holds cell_rows at most, so this window's partitions are bounded.

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.config import free_name
 from annospark.lineage import cut
+from annospark.names import free_name
 from annospark.operators.octree import hold_order
 from annospark.operators.splits import number_rows
 
 
 def sample(df: DataFrame, id: str, n: int, seed: str = "") -> DataFrame:
     """``n`` rows, or all if there are fewer: those of least key, ties by id.  Repeated ids count as rows."""
-    return df.withColumn("_key", hold_order(F.col(id), seed)).orderBy("_key", id).limit(n).drop("_key")
+    key = free_name("key", df.columns)
+    return df.withColumn(key, hold_order(F.col(id), seed)).orderBy(key, id).limit(n).drop(key)
 
 
 def split_sample(df: DataFrame, id: str, n: int, seed: str = "") -> tuple[DataFrame, DataFrame]:

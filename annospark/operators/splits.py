@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annospark.lineage import cut
+from annospark.names import free_name
 
 
 def split_sizes(rows: int, wanted: int) -> tuple[int, int]:
@@ -34,18 +35,19 @@ def number_rows(df: DataFrame, order: list[str], out: str = "id", start: int = 1
     Rows are sorted by range partitions, each numbers its own, and the partitions' sizes, summed up, are added: no
     task holds more than its partition.
     """
-    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranged")
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
-    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part, at, first, before = (free_name(n, df.columns) for n in ("part", "at", "first", "before"))
+    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}), "ranged")
+    sizes = ranged.groupBy(part).agg(F.count("*").alias("rows"), F.min(at).alias(first))
+    earlier = F.coalesce(F.sum("rows").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # One row a partition, so the table is as small as the number of tasks and is sent to all.
-    sizes = F.broadcast(sizes.select("_part", "_first", before.alias("_before")))
-    return ranged.join(sizes, "_part").withColumn(out, F.col("_before") + F.col("_at") - F.col("_first") + start).drop("_part", "_at", "_first", "_before", "_rows")
+    sizes = F.broadcast(sizes.select(part, first, earlier.alias(before)))
+    return ranged.join(sizes, part).withColumn(out, F.col(before) + F.col(at) - F.col(first) + start).drop(part, at, first, before)
 
 
 def rows_between(df: DataFrame, order: list[str], start: int, end: int) -> DataFrame:
     """The rows at places ``start`` to ``end`` (from 0, exclusive) of the order."""
-    place = number_rows(df, order, "_place", 0)
-    return place.where(F.col("_place").between(start, end - 1)).drop("_place")
+    name = free_name("place", df.columns)
+    return number_rows(df, order, name, 0).where(F.col(name).between(start, end - 1)).drop(name)
 
 
 def worker_of(shard: Column, workers: int) -> Column:

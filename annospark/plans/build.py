@@ -98,8 +98,8 @@ class Indices:
     levels: int
 
 
-def index(rows: DataFrame, config: DataConfig, size: int | None = None, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, strict: bool = True, given: Given | None = None) -> Indices:
-    """All indices of a configured table.
+def index(rows: DataFrame, config: DataConfig, size: int | None = None, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, strict: bool = True, given: Given | None = None, crossing: bool = False) -> Indices:
+    """All indices of a configured table; ``crossing`` enters lines and polylines in every octree cell that they cross.
 
     ``strict``: repeated ids, undeclared enum labels, relation fields without ids or label, malformed colours, annotations
     outside the bounds, entries lost on the way down the octree, and cells denser than the configuration allows raise.
@@ -120,7 +120,7 @@ def index(rows: DataFrame, config: DataConfig, size: int | None = None, cell_row
     n_related = table.agg(F.coalesce(F.sum(entries), F.lit(0))).first()[0]
     n_ids = table.select(F.explode("relations").alias("relation", "ids")).select(F.explode("ids").alias("id")).agg(F.approx_count_distinct("id")).first()[0]
     made = plan(count, size if size is not None else 64 * count, cell_rows, max_levels, (n_ids, n_related), given)
-    spatial = cut(spatial_index(table, bounds, list(made.levels), cell_rows, max_levels), "spatial")
+    spatial = cut(spatial_index(table, bounds, list(made.levels), cell_rows, max_levels, crossing=crossing), "spatial")
     levels = (spatial.agg(F.max("level")).first()[0] or 0) + 1
     if strict:
         if conserved(spatial, table).first()["lost"]:
@@ -130,12 +130,12 @@ def index(rows: DataFrame, config: DataConfig, size: int | None = None, cell_row
     return Indices(table, id_index(table, made.by_id), relation_index(table, made.relation), spatial, bounds, made, levels)
 
 
-def run(spark: SparkSession, path: str, config: DataConfig, out: str, size: int | None = None, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, shards: bool = True, given: Given | None = None) -> Indices:
+def run(spark: SparkSession, path: str, config: DataConfig, out: str, size: int | None = None, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, shards: bool = True, given: Given | None = None, crossing: bool = False) -> Indices:
     """Index the table, the file or the folder of files at ``path`` into the folder ``out``: tables, and binary shards with ``info`` for viewers.
 
     Both may be paths that all executors reach or URIs of a store; a folder with archives must be a path.
     """
-    made = index(read_input(spark, path, config, f"{out}/unpacked"), config, size, cell_rows, max_levels, given=given)
+    made = index(read_input(spark, path, config, f"{out}/unpacked"), config, size, cell_rows, max_levels, given=given, crossing=crossing)
     write_index(made.by_id.select("id", "points", "properties", "relations", "shard", "minishard"), f"{out}/tables/by_id", "shard")
     write_index(made.relation, f"{out}/tables/relation", "relation", "shard")
     write_index(made.spatial, f"{out}/tables/spatial", "level", "shard")

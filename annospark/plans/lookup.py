@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from itertools import product
-from math import prod
+from math import floor, prod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from annospark.functions.geometry import Box, in_bounds
 
 #: Cells of a box that are named one by one in the filter; a larger box is given as ranges.
 NAMED_CELLS = 512
+#: Share of a cell by which a box is widened when its cells are told, so that rounding can't lose one.
+EDGE = 1e-6
 
 
 def write_index(index: DataFrame, path: str, *by: str) -> None:
@@ -51,23 +53,25 @@ def cells_in(box: Box, bounds: Box, level: int) -> list[tuple[int, int]]:
     """For each axis the first and last cell of ``level`` that ``box`` may meet.
 
     A point on the edge of two cells belongs to the lower one, but copies of other points' annotations may lie in
-    either, so the range is wide by a cell at an exact edge.
+    either, so at an edge the range takes both.
     """
     out = []
     for low, high, first, last in zip(box.low, box.high, bounds.low, bounds.high, strict=True):
         width = (last - first) / (1 << level)
         at = lambda v, width=width, first=first: (v - first) / width if width else 0.0
         top = (1 << level) - 1
-        a, b = at(low), at(high)
-        out.append((max(0, min(top, int(a) - (a == int(a)))), max(0, min(top, int(b)))))
+        out.append((max(0, min(top, floor(at(low) - EDGE))), max(0, min(top, floor(at(high) + EDGE)))))
     return out
 
 
 def box_query(index: DataFrame, box: Box, bounds: Box, level: int, specs: list[ShardingSpec] | None = None, strict: bool = False) -> DataFrame:
     """Annotations that levels 0 to ``level`` of a spatial index hold and that are in ``box``: ``id, level, points``.
 
-    Only the index is read.  Of a written one, partitioned by level and shard, only levels, shards (if ``specs`` gives the
-    levels' sharding) and cells are read that can hold an answer; a box of over ``NAMED_CELLS`` cells of a level reads that
+    With its deepest ``level`` an index of points has all answers; one of lines and polylines has them if it was made with ``crossing``, and
+    else only those that have a point in a cell that the box meets.
+
+    ``index`` is a written one, partitioned by level and shard (``write_index``): nothing else is read, and of it only levels, shards (if ``specs``
+    gives the levels' sharding) and cells that can hold an answer; a box of over ``NAMED_CELLS`` cells of a level reads that
     level's shards and filters by ranges of cells.
     """
     near = F.lit(False)

@@ -163,6 +163,13 @@ def bounds_audit(spark, sf_dir):
     return checks.outside(lines(spark, sf_dir), BOX).select("id")
 
 
+def outside_with_nulls(spark, sf_dir):
+    """The same where every seventh line has no points, and every eleventh null ones."""
+    rows = lines(spark, sf_dir)
+    none = F.when(F.col("id") % 7 == 0, F.slice("points", 1, 0)).when(F.col("id") % 11 != 0, F.col("points"))
+    return checks.outside(rows.withColumn("points", none), BOX).select("id")
+
+
 def location_check(spark, sf_dir):
     return checks.misplaced(lines(spark, sf_dir), "LINE", BOX).select("id")
 
@@ -184,8 +191,7 @@ def enum_encode(spark, sf_dir):
 
 
 def missing_enum_labels(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return events.agg(V.missing_labels(F.col("event_type"), [k for k, _ in EVENTS]).alias("labels")).select(F.explode("labels").alias("label"))
+    return checks.undeclared(table(spark, sf_dir, "events"), "event_type", [k for k, _ in EVENTS])
 
 
 def relation_coerce(spark, sf_dir):
@@ -290,10 +296,23 @@ def lookup_relation_query(spark, sf_dir):
     return lookup_relation(index, "part", [5, 77, 150], BY_RELATION).select("rel_id", "id")
 
 
+def written_index(rows, box, crossing=False):
+    """A spatial index, written by level and shard."""
+    index = spatial_index(rows, box, [BY_CELL] * 8, CELL_ROWS, 8, crossing=crossing)
+    return cut(index.repartition("level", "shard"), "spatial", "level", "shard")
+
+
 def box_query_query(spark, sf_dir):
     p = points(spark, sf_dir)
     box = volume_bounds(p)
-    return box_query(spatial_index(p, box, [BY_CELL] * 8, CELL_ROWS, 8), BOX, box, 2, [BY_CELL] * 8).select("id", "level")
+    return box_query(written_index(p, box), BOX, box, 2, [BY_CELL] * 8).select("id", "level")
+
+
+def box_query_lines(spark, sf_dir):
+    """All lines that meet the box, from an index of the cells that they cross."""
+    rows = lines(spark, sf_dir)
+    box = volume_bounds(rows)
+    return box_query(written_index(rows, box, True), BOX, box, 7, [BY_CELL] * 8).select("id")
 
 
 def cells_per_shard(spark, sf_dir):
@@ -362,10 +381,10 @@ QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
         shard_histogram_identity, shard_histogram_murmur, murmur_hash, shard_worker_assignment, split_ranges, split_sizes, synth_id, row_range,
-        sharding_spec_levels, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, location_check, density_check, enum_encode, missing_enum_labels,
+        sharding_spec_levels, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, outside_with_nulls, location_check, density_check, enum_encode, missing_enum_labels,
         relation_coerce, relation_key, relation_explode_group, relation_enum_fallback, hex_colour, polyline_vector, point_list_parse, point_in_box,
         segment_intersects_box, polyline_in_bounds, convert_coordinates, octree_cell_by_level, morton_cells, cell_shard_hex, octree_points,
-        octree_lines, octree_counts, lookup_id_query, lookup_relation_query, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
+        octree_lines, octree_counts, lookup_id_query, lookup_relation_query, box_query_lines, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
         spatial_shards_round_trip, info_json, octree_conservation, unreadable_fields,
     )
 }
@@ -494,6 +513,7 @@ ORACLE_SQL = {
         SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct, CAST(sum(n) - count(*) AS BIGINT) AS duplicates
         FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
     "bounds_audit": f"SELECT id FROM ({LINE_SQL}) WHERE NOT ({inside_sql(BOX, 'x0', 'y0', 'z0')}) AND NOT ({inside_sql(BOX, 'x1', 'y1', 'z1')})",
+    "outside_with_nulls": f"SELECT id FROM ({LINE_SQL}) WHERE id % 7 = 0 OR id % 11 = 0 OR (NOT ({inside_sql(BOX, 'x0', 'y0', 'z0')}) AND NOT ({inside_sql(BOX, 'x1', 'y1', 'z1')}))",
     "location_check": f"SELECT id FROM ({LINE_SQL}) WHERE NOT (({inside_sql(BOX, 'x0', 'y0', 'z0')}) OR ({inside_sql(BOX, 'x1', 'y1', 'z1')}))",
     "density_check": f"""
         WITH o AS ({octree_sql(POINT_SQL)}), c AS (SELECT level, cx, cy, cz, count(*) AS rows FROM o GROUP BY ALL),
@@ -529,6 +549,7 @@ ORACLE_SQL = {
     "lookup_id": f"SELECT id, shard, minishard, {name_sql(BY_ID.shard_bits)} AS shard_hex FROM ({placed_sql('SELECT event_id AS id FROM events WHERE event_id IN (7, 63, 99, 1000000000000)', 'id', BY_ID)})",
     "lookup_relation": f"SELECT rel_id, id FROM ({_PARTS}) WHERE rel_id IN (5, 77, 150)",
     "box_query": f"WITH o AS ({octree_sql(POINT_SQL)}) SELECT o.id, o.level FROM o JOIN ({POINT_SQL}) p ON p.id = o.id WHERE level <= 2 AND {inside_sql(BOX)}",
+    "box_query_lines": f"SELECT id FROM ({LINE_SQL}) WHERE {meets_sql(BOX, ('x0', 'y0', 'z0'), ('x1', 'y1', 'z1'))}",
     "cells_per_shard": "WITH o AS ("
     + octree_sql(POINT_SQL)
     + "), c AS (SELECT DISTINCT level, "

@@ -146,8 +146,9 @@ def annotations(df: DataFrame, config: DataConfig) -> DataFrame:
         points = parse_points(F.col(config.points))
     else:
         points = F.array(*(F.struct(*(F.col(c).cast("double").alias(a) for a, c in zip("xyz", p, strict=True))) for p in config.points)).cast(POINTS)
-    df = df.withColumn("_points", points)
-    step = mean_step(F.col("_points"))
+    own = free_name("points", df.columns)
+    df = df.withColumn(own, points)
+    step = mean_step(F.col(own))
     values = []
     for p in config.properties:
         if p.column not in df.columns and re.fullmatch(r".*_[xyz]", p.column):  # a part of the mean step
@@ -167,16 +168,20 @@ def annotations(df: DataFrame, config: DataConfig) -> DataFrame:
     none = F.create_map().cast("map<string,array<bigint>>")
     return df.select(
         F.col(name).cast("bigint").alias("id"),
-        F.col("_points").alias("points"),
+        F.col(own).alias("points"),
         (F.struct(*values) if values else F.lit(None).cast("struct<none:int>")).alias("properties"),
         (F.create_map(*related) if related else none).alias("relations"),
     )
 
 
 def volume_bounds(df: DataFrame) -> Box:
-    """The least box around all points."""
+    """The least box around all points, its sides rounded where that doesn't cut points off; without any points, the box at the origin."""
     found = df.agg(*bounds_of("points")).first()
-    return Box.of(*([found[f"{a}_{end}"] for a in "xyz"] for end in ("low", "high")))
+    if found["x_low"] is None:
+        return Box((0.0,) * 3, (0.0,) * 3)
+    low, high = ([found[f"{a}_{end}"] for a in "xyz"] for end in ("low", "high"))
+    box = Box.of(low, high)
+    return Box(tuple(map(min, box.low, low)), tuple(map(max, box.high, high)))
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
