@@ -60,16 +60,24 @@ def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
                 outer.append(df)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one; it goes when the session ends."""
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(at)
+    system.deleteOnExit(at)
+    return path
+
+
 def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Write ``df`` to the shared folder, partitioned by ``by``, and return the written table.
 
     The files go when the session ends, or before that through ``scope`` or ``drop``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}/{name}"
+    path = f"{new_folder(spark)}/{name}"
     df.write.partitionBy(*by).parquet(path)
-    at = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     if getattr(_open, "tables", None) is not None:

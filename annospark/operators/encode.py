@@ -10,6 +10,8 @@ pieces in order, so it never holds a whole one.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from annospark.config import PROPERTY_TYPES, DataConfig, PropertySpec, ShardingSpec
 from annospark.functions.bits import shard_hex, unsigned
 from annospark.lineage import cut
-from annospark.sources.files import Output
+from annospark.sources.files import Output, can_move, names_in, put_in_place, remove_files, remove_folder
 
 #: numpy types of the properties that are single numbers.
 NUMBERS = {"uint32": "<u4", "int32": "<i4", "float32": "<f4", "uint16": "<u2", "int16": "<i2", "uint8": "u1", "int8": "i1"}
@@ -254,21 +256,27 @@ def whole(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("shard").applyInPandas(one, "shard long, name string, content binary")
 
 
-def write_files(pieces: DataFrame, directory: str) -> int:
+def write_files(pieces: DataFrame, directory: str, stale: str = r"[0-9a-f]+\.shard") -> int:
     """Write the files of ``pieces`` to a directory that all executors reach, a path or a URI; returns their number.
 
-    A task streams the pieces of its files in order; a file appears when it is whole.
+    A task streams the pieces of its files in order, into a folder beside the directory.  When all are written, tasks move them to their
+    places, and files there whose names match ``stale`` and that weren't written go; if the writing fails, the directory is as it was.
+    On an object store, which can't move, a file takes its place as soon as it is whole, and only stale ones wait for the end.
     """
+    directory = directory.rstrip("/")
+    parent, _, base = directory.rpartition("/")
+    staged = f"{parent}/.{base}.{uuid.uuid4().hex}" if can_move(directory) else directory
 
     def put(batches):
-        name, out, n = None, None, 0
+        name, out, names = None, None, []
         try:
             for batch in batches:
                 for own, content in zip(batch.column("name").to_pylist(), batch.column("content"), strict=True):
                     if own != name:
                         if out:
                             out.close()
-                        name, out, n = own, Output(f"{directory}/{own}"), n + 1
+                        name, out = own, Output(f"{staged}/{own}")
+                        names.append(own)
                     out.write(content.as_buffer())
             if out:
                 out.close()
@@ -276,7 +284,25 @@ def write_files(pieces: DataFrame, directory: str) -> int:
         finally:
             if out:
                 out.abort()
-        yield pa.RecordBatch.from_pydict({"n": [n]})
+        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
+
+    def move(batches):
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                put_in_place(f"{staged}/{name}", f"{directory}/{name}")
+            yield batch
 
     ordered = pieces.repartition("shard").sortWithinPartitions(*ORDER).select("name", "content")
-    return ordered.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    try:
+        names = cut(ordered.mapInArrow(put, "name string"), "names")
+        if staged != directory:
+            names = cut(names.mapInArrow(move, "name string"), "moved")
+    finally:
+        if staged != directory:
+            remove_folder(staged)
+    folders = [r[0] for r in names.select(F.regexp_extract("name", "^(.*?)[^/]*$", 1)).distinct().collect()]  # one, or one a level
+    there = [f"{folder}{name}" for folder in folders for name in names_in(f"{directory}/{folder}") if re.fullmatch(stale, name)]
+    if there:
+        old = names.sparkSession.createDataFrame([(n,) for n in there], "name string").join(names, "name", "left_anti")
+        remove_files([f"{directory}/{r['name']}" for r in old.collect()])
+    return names.count()

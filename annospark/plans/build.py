@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from annospark.operators import encode
 from annospark.operators.checks import conserved, density, outside, require_labels, require_unique, require_values
 from annospark.operators.indexes import id_index, relation_index, spatial_index
 from annospark.plans.lookup import write_index
-from annospark.plans.sharding import CELL_ROWS, MAX_LEVELS, plan_level, plan_sharding
+from annospark.plans.sharding import CELL_ROWS, MAX_LEVELS, plan_level, plan_measured, plan_sharding
 from annospark.sources.files import write_text
 from annospark.sources.tables import annotations as annotations_of
 from annospark.sources.tables import read_input, volume_bounds
@@ -31,12 +31,16 @@ class Plan:
 
 @dataclass(frozen=True)
 class Given:
-    """Sharding that isn't to be planned, and what planning aims at (``hash, minishard_target, shard_target``)."""
+    """Sharding that isn't to be planned, and what planning aims at (``hash, minishard_target, shard_target``).
+
+    ``measured``: the relation index is planned from the sizes of its lists instead of their mean.
+    """
 
     by_id: ShardingSpec | None = None
     relation: ShardingSpec | None = None
     levels: tuple[ShardingSpec, ...] | None = None
     targets: dict = field(default_factory=dict, hash=False)
+    measured: bool = False
 
 
 def plan(rows: int, size: int, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, related: tuple[int, int] | None = None, given: Given | None = None) -> Plan:
@@ -119,6 +123,10 @@ def index(rows: DataFrame, config: DataConfig, size: int | None = None, cell_row
     entries = F.aggregate(F.map_values("relations"), F.lit(0).cast("long"), lambda n, ids: n + F.coalesce(F.size(ids), F.lit(0)))
     n_related = table.agg(F.coalesce(F.sum(entries), F.lit(0))).first()[0]
     n_ids = table.select(F.explode("relations").alias("relation", "ids")).select(F.explode("ids").alias("id")).agg(F.approx_count_distinct("id")).first()[0]
+    if given and given.measured and not given.relation:
+        lists = table.select(F.explode("relations").alias("relation", "ids")).select("relation", F.explode("ids").alias("id"))
+        each = -(-(size if size is not None else 64 * count) // max(1, count))
+        given = replace(given, relation=plan_measured(lists, "id", F.lit(each), **given.targets).spec)
     made = plan(count, size if size is not None else 64 * count, cell_rows, max_levels, (n_ids, n_related), given)
     spatial = cut(spatial_index(table, bounds, list(made.levels), cell_rows, max_levels, crossing=crossing), "spatial")
     levels = (spatial.agg(F.max("level")).first()[0] or 0) + 1

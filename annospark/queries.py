@@ -14,14 +14,14 @@ from annospark.config import DataConfig, PropertySpec, Relationship, ShardingSpe
 from annospark.functions import values as V
 from annospark.functions.bits import cell_grid, morton, shard_hex, with_murmur, with_shard
 from annospark.functions.geometry import Box, bounds_of, cell_volume, contains, convert, in_bounds, segment_meets
-from annospark.lineage import cut
+from annospark.lineage import cut, new_folder
 from annospark.operators import checks, encode, octree, splits
 from annospark.operators.indexes import id_index, related, relation_index, spatial_index
 from annospark.operators.sample import split_sample
 from annospark.plans.build import info, plan
 from annospark.plans.lookup import box_query, lookup_id, lookup_relation
-from annospark.plans.sharding import plan_sharding, planned
-from annospark.sources.shards import decode_groups, decode_ids
+from annospark.plans.sharding import plan_measured, plan_sharding, planned
+from annospark.sources import shards
 from annospark.sources.tables import union, volume_bounds
 
 #: Rows in an octree cell, level of single-level queries, and bits of the shards.
@@ -136,6 +136,17 @@ def sharding_spec_levels(spark, sf_dir):
     return planned(spark, n * 5000, n * 5000 * ROW_BYTES)
 
 
+MEASURED = {"minishard_target": 20, "shard_target": 60_000}
+
+
+def sharding_measured(spark, sf_dir):
+    """Sharding of a relation to suppliers, every tenth of whose lines is said to be very long, by its measured sizes."""
+    size = F.when(F.col("l_partkey") % 10 == 0, 20 * ROW_BYTES).otherwise(ROW_BYTES)
+    made = plan_measured(table(spark, sf_dir, "lineitem"), "l_partkey", size, **MEASURED)
+    told = [(made.spec.shard_bits, made.spec.minishard_bits, made.largest, len(made.hot))]
+    return spark.createDataFrame(told, "shard_bits int, minishard_bits int, largest long, hot int")
+
+
 def union_splits(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return union([rows.where(F.col("o_orderkey") % 3 == k) for k in range(3)])
@@ -322,27 +333,45 @@ def cells_per_shard(spark, sf_dir):
     return cells.groupBy("level", "shard").agg(F.count("*").alias("cells"))
 
 
+def files(pieces: DataFrame) -> str:
+    """A new folder with the files of ``pieces``, which all executors reach and which goes with the session."""
+    folder = new_folder(pieces.sparkSession)
+    encode.write_files(pieces, f"{folder}/shards")
+    return f"{folder}/shards"
+
+
 def id_shards_round_trip(spark, sf_dir):
     rows = annotations(spark, sf_dir)
     spec = plan_sharding(n := rows.count(), n * ROW_BYTES)
-    back = decode_ids(encode.whole(encode.id_shards(id_index(rows, spec), rows, CONFIG, spec)), CONFIG, spec.minishard_bits)
+    back = shards.ids(spark, files(encode.id_shards(id_index(rows, spec), rows, CONFIG, spec)), CONFIG, spec)
     return back.select("id", *(c.cast("double").alias(n) for c, n in _decoded(2)), "properties.kind", "properties.user", F.col("relations")[USER_KEY][0].alias("rel_id"))
 
 
 def relation_shards_round_trip(spark, sf_dir):
     rows = annotations(spark, sf_dir)
     spec = plan_sharding(rows.agg(F.approx_count_distinct("properties.user")).first()[0], rows.count() * ROW_BYTES)
-    index = relation_index(rows, spec)
-    back = decode_groups(encode.whole(encode.relation_shards(index, rows, CONFIG, spec, USER_KEY)), CONFIG, spec.minishard_bits)
+    back = shards.groups(spark, files(encode.relation_shards(relation_index(rows, spec), rows, CONFIG, spec, USER_KEY)), CONFIG, spec)
     return back.select(F.col("chunk").alias("rel_id"), "place", "id", F.col("points")[0]["z"].cast("double").alias("z0"), "properties.kind")
 
 
 def spatial_shards_round_trip(spark, sf_dir):
     rows = annotations(spark, sf_dir)
-    index = cut(spatial_index(rows, volume_bounds(rows), [BY_CELL] * 8, CELL_ROWS, 8), "spatial")
-    back = decode_groups(encode.whole(encode.spatial_shards(index, rows, CONFIG, [BY_CELL] * 8)), CONFIG, BY_CELL.minishard_bits)
-    level = F.regexp_extract("name", r"^spatial(\d+)/", 1).cast("int")
-    return back.select(level.alias("level"), F.col("chunk").alias("morton"), "place", "id", "properties.user")
+    n = rows.count()
+    specs = list(plan(n, n * ROW_BYTES, CELL_ROWS, 8).levels)
+    index = cut(spatial_index(rows, volume_bounds(rows), specs, CELL_ROWS, 8), "spatial")
+    folder = files(encode.spatial_shards(index, rows, CONFIG, specs))
+    levels = [r[0] for r in index.select("level").distinct().collect()]
+    back = [shards.groups(spark, f"{folder}/spatial{k}", CONFIG, specs[k]).withColumn("level", F.lit(k)) for k in levels]
+    return union(back).select("level", F.col("chunk").alias("morton"), "place", "id", "properties.user")
+
+
+def shard_lookup(spark, sf_dir):
+    """Some ids and the lines of some users, read from the shard files alone."""
+    rows = annotations(spark, sf_dir)
+    by_id, by_user = (plan_sharding(n, rows.count() * ROW_BYTES, minishard_target=50, shard_target=100_000) for n in (rows.count(), rows.agg(F.approx_count_distinct("properties.user")).first()[0]))
+    one = shards.ids(spark, files(encode.id_shards(id_index(rows, by_id), rows, CONFIG, by_id)), CONFIG, by_id).where(F.col("id").isin(7, 63, 99, 10**12))
+    many = shards.groups(spark, files(encode.relation_shards(relation_index(rows, by_user), rows, CONFIG, by_user, USER_KEY)), CONFIG, by_user).where(F.col("chunk").isin(3, 8))
+    return one.select(F.lit("id").alias("index"), F.col("id").alias("key"), "id", "properties.kind").unionByName(many.select(F.lit("user").alias("index"), F.col("chunk").alias("key"), "id", "properties.kind"))
 
 
 def info_json(spark, sf_dir):
@@ -381,11 +410,11 @@ QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
         shard_histogram_identity, shard_histogram_murmur, murmur_hash, shard_worker_assignment, split_ranges, split_sizes, synth_id, row_range,
-        sharding_spec_levels, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, outside_with_nulls, location_check, density_check, enum_encode, missing_enum_labels,
+        sharding_spec_levels, sharding_measured, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, outside_with_nulls, location_check, density_check, enum_encode, missing_enum_labels,
         relation_coerce, relation_key, relation_explode_group, relation_enum_fallback, hex_colour, polyline_vector, point_list_parse, point_in_box,
         segment_intersects_box, polyline_in_bounds, convert_coordinates, octree_cell_by_level, morton_cells, cell_shard_hex, octree_points,
         octree_lines, octree_counts, lookup_id_query, lookup_relation_query, box_query_lines, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
-        spatial_shards_round_trip, info_json, octree_conservation, unreadable_fields,
+        spatial_shards_round_trip, shard_lookup, info_json, octree_conservation, unreadable_fields,
     )
 }
 QUERIES["box_query"] = box_query_query
@@ -506,6 +535,16 @@ ORACLE_SQL = {
              b AS (SELECT *, held * {ROW_BYTES} AS bytes FROM l),
              s AS (SELECT *, {_HALVINGS.format('bytes', 50_000_000)} AS shard_bits, {_HALVINGS.format('held', 1000)} AS parts FROM b)
         SELECT level, held, bytes, shard_bits, greatest(parts - shard_bits, 0) AS minishard_bits FROM s""",
+    "sharding_measured": f"""
+        WITH p AS (SELECT l_partkey, CAST(sum(CASE WHEN l_partkey % 10 = 0 THEN 20 ELSE 1 END * {ROW_BYTES}) AS BIGINT) AS bytes FROM lineitem GROUP BY ALL),
+             n AS (SELECT count(*) AS held, CAST(sum(bytes) AS BIGINT) AS bytes FROM p),
+             f AS (SELECT {_HALVINGS.format('bytes', MEASURED['shard_target'])} AS shards, greatest({_HALVINGS.format('held', MEASURED['minishard_target'])}, {_HALVINGS.format('bytes', MEASURED['shard_target'])}) AS parts FROM n),
+             h AS ({murmur_sql('SELECT l_partkey, bytes FROM p', 'l_partkey', 'bytes')}),
+             c AS (SELECT CAST(shards + i AS INT) AS bits, CAST(parts AS INT) AS parts FROM f, range(30) r(i) WHERE shards + i <= greatest(parts, shards + 8)),
+             o AS (SELECT bits, parts, (h % (1::UBIGINT << greatest(bits, parts))) // (1::UBIGINT << greatest(parts - bits, 0)) AS shard, sum(bytes) AS bytes FROM h, c WHERE bytes <= {MEASURED['shard_target']} GROUP BY ALL),
+             m AS (SELECT bits, parts, CAST(max(bytes) AS BIGINT) AS largest FROM o GROUP BY ALL)
+        SELECT bits AS shard_bits, greatest(parts - bits, 0) AS minishard_bits, largest, (SELECT CAST(least(count(*), 100) AS INT) FROM p WHERE bytes > {MEASURED['shard_target']}) AS hot
+        FROM m WHERE bits = coalesce((SELECT min(bits) FROM m WHERE largest <= {MEASURED['shard_target']}), (SELECT max(bits) FROM m))""",
     "sample_rows": "SELECT o_orderkey, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 500 AS taken FROM orders",
     "union_splits": "SELECT o_orderkey, o_custkey FROM orders",
     "bounds": f"SELECT min(x) AS x_low, max(x) AS x_high, min(y) AS y_low, max(y) AS y_high, min(z) AS z_low, max(z) AS z_high FROM ({ENDS_SQL})",
@@ -561,6 +600,9 @@ ORACLE_SQL = {
         SELECT user_id AS rel_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY id) AS INT) AS place, id, CAST(CAST(z0 AS FLOAT) AS DOUBLE) AS z0,
                CAST(CASE event_type {_CASES} ELSE 0 END AS BIGINT) AS kind FROM ({LINE_SQL})""",
     "spatial_shards_round_trip": f"WITH o AS ({octree_sql(ENDS_SQL)}) SELECT level, CASE level {' '.join(f'WHEN {n} THEN {morton_sql(n)}' for n in range(8))} END AS morton, place, o.id, user_id AS user FROM o JOIN events ON event_id = o.id",
+    "shard_lookup": f"""
+        WITH k AS (SELECT id, user_id, CAST(CASE event_type {_CASES} ELSE 0 END AS BIGINT) AS kind FROM ({LINE_SQL}))
+        SELECT 'id' AS index, id AS key, id, kind FROM k WHERE id IN (7, 63, 99, 1000000000000) UNION ALL SELECT 'user', user_id, id, kind FROM k WHERE user_id IN (3, 8)""",
     "info_json": f"""
         WITH o AS ({octree_sql(ENDS_SQL)}), n AS (SELECT count(*) AS n FROM events),
              e AS (SELECT max(x) - min(x) AS x, max(y) - min(y) AS y, max(z) - min(z) AS z FROM ({ENDS_SQL})),

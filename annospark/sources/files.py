@@ -16,13 +16,50 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
 
 
+def can_move(path: str) -> bool:
+    """Whether the path's file system moves files without copying them."""
+    return isinstance(filesystem(path)[0], fs.LocalFileSystem | fs.HadoopFileSystem)
+
+
+def put_in_place(source: str, target: str) -> None:
+    """Move a file, over one that is there; if it has gone there already, all is well."""
+    system, at = filesystem(source)
+    _, to = filesystem(target)
+    if system.get_file_info(at).type == fs.FileType.NotFound:
+        if system.get_file_info(to).type != fs.FileType.File:
+            raise FileNotFoundError(source)
+        return
+    system.create_dir(to.rpartition("/")[0], recursive=True)
+    if not isinstance(system, fs.LocalFileSystem) and system.get_file_info(to).type == fs.FileType.File:
+        system.delete_file(to)
+    system.move(at, to)
+
+
+def names_in(folder: str) -> list[str]:
+    """Names of the files of a folder."""
+    system, root = filesystem(folder.rstrip("/"))
+    return [f.base_name for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.type == fs.FileType.File]
+
+
+def remove_files(paths: list[str]) -> None:
+    for p in paths:
+        system, at = filesystem(p)
+        system.delete_file(at)
+
+
+def remove_folder(path: str) -> None:
+    system, root = filesystem(path)
+    if system.get_file_info(root).type == fs.FileType.Directory:
+        system.delete_dir(root)
+
+
 class Output:
     """A file being written; it appears under its name when it is closed, so a task that runs twice leaves one whole file."""
 
     def __init__(self, path: str):
         self.system, self.path = filesystem(path)
         # An object store shows an object when it is whole, and renaming one there copies it.
-        self.renames = isinstance(self.system, fs.LocalFileSystem | fs.HadoopFileSystem)
+        self.renames = can_move(path)
         folder, _, name = self.path.rpartition("/")
         if self.renames:
             self.system.create_dir(folder, recursive=True)

@@ -85,3 +85,21 @@ def test_config_from_json():
     assert [p.id for p in c.properties] == ["kind_of", "tint", "way_x", "way_y", "way_z"] and c.properties[0].missing == -1
     with pytest.raises(ValueError):
         DataConfig.from_json(CONFIG, {"relations": {"cell a!": {"id": "rel"}}})
+
+
+def test_measured_shards_are_within_their_target_and_hot_keys_are_named(spark):
+    from pyspark.sql import functions as F
+
+    from annospark.functions.bits import with_shard
+    from annospark.plans.sharding import plan_measured, plan_sharding
+
+    rows = spark.range(4000).select((F.col("id") % 997).alias("key"), F.when(F.col("id") % 50 == 0, 900).otherwise(10).alias("bytes"))
+    rows = rows.unionByName(spark.range(600).select(F.lit(10_000_000).cast("long").alias("key"), F.lit(100).alias("bytes")))
+    total = rows.agg(F.sum("bytes")).first()[0]
+    plain, made = plan_sharding(998, total, minishard_target=10, shard_target=4000), plan_measured(rows, "key", F.col("bytes"), minishard_target=10, shard_target=4000)
+    assert made.hot == ((10_000_000, 60_000),) and made.largest <= 4000 and made.spec.shard_bits >= plain.shard_bits
+    sizes = lambda spec: with_shard(rows.where("key < 1000"), "key", spec.shard_bits, spec.minishard_bits).groupBy("shard").agg(F.sum("bytes").alias("b")).agg(F.max("b")).first()[0]
+    assert sizes(made.spec) == made.largest and sizes(plain) > 4000
+    assert plan_measured(rows.limit(0), "key", F.col("bytes")).spec == ShardingSpec(0, 0)
+    even = spark.range(70_000).withColumn("bytes", F.lit(1000))
+    assert plan_measured(even, "id", F.col("bytes")).spec == plan_sharding(70_000, 70_000_000)

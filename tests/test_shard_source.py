@@ -104,3 +104,19 @@ def test_a_folder_without_shards_has_no_rows(spark, tmp_path):
     (tmp_path / "note.txt").write_text("x")
     for load in (shards.ids, shards.groups):
         assert load(spark, str(tmp_path), config, ShardingSpec(1, 1)).count() == 0
+
+
+def test_a_failed_write_leaves_the_old_files_and_stale_ones_go(spark, tmp_path):
+    config, folder = DataConfig((), "id", "LINE", (), PROPERTIES, RELATIONS), tmp_path / "ids"
+    rows = annotations(spark, 300, "LINE")
+    wide, narrow = ShardingSpec(4, 1), ShardingSpec(1, 1)
+    assert encode.write_files(encode.id_shards(id_index(rows, wide), rows, config, wide), str(folder)) == 16
+    (folder / "info").write_text("kept")
+    before = {f.name: f.read_bytes() for f in folder.iterdir()}
+    twice = rows.unionByName(rows)
+    with pytest.raises(Exception, match="repeated chunk id"):
+        encode.write_files(encode.id_shards(id_index(twice, narrow), twice, config, narrow), str(folder))
+    assert {f.name: f.read_bytes() for f in folder.iterdir()} == before and [f.name for f in tmp_path.iterdir()] == ["ids"]
+    assert encode.write_files(encode.id_shards(id_index(rows, narrow), rows, config, narrow), str(folder)) == 2
+    assert sorted(f.name for f in folder.iterdir()) == ["0.shard", "1.shard", "info"] and [f.name for f in tmp_path.iterdir()] == ["ids"]
+    assert shards.ids(spark, str(folder), config, narrow).count() == 300

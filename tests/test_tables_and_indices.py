@@ -265,6 +265,16 @@ def test_sharding_that_is_given(spark):
     assert c.relation("cell_a").key == "cell_a"
 
 
+def test_a_measured_relation_index(spark):
+    """One cell has a third of all lines; no shard but its own is larger than wanted."""
+    df = spark.range(3000).select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.lit(3.0).alias("z"), F.when(F.col("id") < 1000, 5).otherwise(F.col("id")).cast("string").alias("cell"))
+    config = DataConfig((), "id", "POINT", (("x", "y", "z"),), (), (Relationship("Cell", "cell"),))
+    targets = {"shard_target": 20_000, "minishard_target": 50}
+    made = build.index(df, config, 64 * 3000, 3000, given=build.Given(targets=targets, measured=True))
+    assert made.plan.relation.shard_bits >= build.index(df, config, 64 * 3000, 3000, given=build.Given(targets=targets)).plan.relation.shard_bits
+    assert made.relation.where("rel_id <> 5").groupBy("shard").count().agg(F.max("count")).first()[0] * 64 <= 20_000
+
+
 def test_folders_of_files_as_input(spark, tmp_path):
     c = DataConfig.from_json(CONFIG)
     row = '{},0,0,0,1,1,2,p,"5,6",#0a0b0c\n'
