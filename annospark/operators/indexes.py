@@ -50,9 +50,15 @@ def spatial_index(annotations: DataFrame, bounds: Box, specs: list[ShardingSpec]
     polylines that takes an index that enters them in every cell that they cross (``crossing``).
     """
     index = cut(octree.build(annotations, bounds, cell_rows, max_levels, seed, points=True, crossing=crossing), "octree")
-    deepest = index.agg(F.max("level")).first()[0] or 0
+    return with_cell_shard(index, specs)
+
+
+def with_cell_shard(held: DataFrame, specs: list[ShardingSpec]) -> DataFrame:
+    """What an octree holds, a written table, with ``morton, shard, minishard`` of the cells."""
+    deepest = held.agg(F.max("level")).first()[0] or 0
     if deepest >= len(specs):
         raise ValueError(f"{len(specs)} sharding specs for {deepest + 1} levels")
     # All axes of a level have as many bits, so the deepest level's code is that of each level.
-    index = index.withColumn("morton", morton(F.col("cx"), F.col("cy"), F.col("cz"), cell_grid(deepest)))
-    return with_level_shard(index, "morton", F.col("level"), specs[: deepest + 1])
+    held = held.withColumn("morton", morton(F.col("cx"), F.col("cy"), F.col("cz"), cell_grid(deepest)))
+    columns = ["level", *octree.CELL, "morton", "shard", "minishard", "id", "place", "points"]
+    return with_level_shard(held, "morton", F.col("level"), specs[: deepest + 1]).select(*columns)

@@ -28,7 +28,7 @@ from annospark.functions.bits import cell_grid, morton
 from annospark.functions.geometry import AXES, PARALLEL, Box, any_inside, in_bounds, segment_meets, segments
 from annospark.lineage import cut
 from annospark.plans.sharding import CELL_ROWS, MAX_LEVELS
-from annospark.skew import join_back
+from annospark.skew import if_few, join_back
 
 CELL = ["cx", "cy", "cz"]
 #: Hexadecimal digits of the order's key that serve as a uniform number; cells whose counts are sent to all tasks, at most.
@@ -115,15 +115,39 @@ def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_l
     meet them), null or empty points included, or levels in excess of ``max_levels``, raise a RuntimeError.  A point annotation is held
     once, others at least once; if ``crossing``, every cell that an annotation meets, or a cell above it, holds it.  No rows give no rows.
     """
+    held, _ = insert(None, annotations, bounds, cell_rows, max_levels, seed, crossing)
+    return placed(held).select("level", *CELL, "id", "place", *(["points"] if points else []))
+
+
+def placed(held: DataFrame) -> DataFrame:
+    """``held`` (with the order's ``key``) with ``place``."""
+    # A cell holds cell_rows at most, so this window's partitions are bounded.
+    return held.withColumn("place", F.row_number().over(Window.partitionBy("level", *CELL).orderBy("key", "id")).cast("int"))
+
+
+def insert(
+    index: DataFrame | None, annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_levels: int = MAX_LEVELS, seed: str = "", crossing: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Annotations put into an octree: what the cells that change hold then (``level, cx, cy, cz, id, key, points``), and those cells (``level, cx, cy, cz``).
+
+    ``index``: what is held already (``level, cx, cy, cz, id, points``), built with the same settings, or None.  On each level the new rows and
+    those that their cells hold choose again who stays, and the displaced go down with the others.  As a cell holds the least keys of all that ever came to it,
+    the outcome is that of building all at once, whatever the order and size of the batches.  Only cells that a new or displaced row comes to are read.
+    """
     rows, held, level = cut(start(annotations, bounds, seed), "level0"), [], 0
     inside = in_bounds(F.col("points"), bounds) if crossing else any_inside(F.col("points"), bounds)
     lost = rows.where(F.col("id").isNull() | ~inside).select("id").limit(1).collect()
     if lost:
         raise RuntimeError("an annotation has no id" if lost[0]["id"] is None else f"annotation {lost[0]['id']} has no point inside the bounds")
-    more = ["points"] if points else []
-    columns = [F.col(c) for c in (*CELL, "id", "key", *more)]
+    columns, touched = [F.col(c) for c in (*CELL, "id", "key", "points")], []
     while True:
+        if index is not None:
+            came = cut(rows.select(*CELL).distinct(), "came")
+            own = index.where(F.col("level") == level)
+            own = own.join(if_few(came, came.count()), CELL, "left_semi").withColumns({"key": hold_order(F.col("id"), seed)} | edges(bounds, level))
+            rows = cut(rows.unionByName(own.select(*rows.columns)), f"both{level}")
         cells = cut(rows.groupBy(*CELL).agg(F.count("*").alias("n")), "cells")
+        touched.append(cells.select(F.lit(level).alias("level"), *CELL))
         over = F.coalesce(F.sum((F.col("n") > cell_rows).cast("int")), F.lit(0))
         n_cells, n_crowded = cells.agg(F.count("*"), over).first()
         if n_cells and level >= max_levels:
@@ -140,10 +164,23 @@ def build(annotations: DataFrame, bounds: Box, cell_rows: int = CELL_ROWS, max_l
         held.append(split.where("holds").select(F.lit(level).alias("level"), *columns))
         rows = split.where("not holds").drop("holds")
         level += 1
-    every = reduce(DataFrame.unionByName, held)
-    # A cell holds cell_rows at most, so this window's partitions are bounded.
-    place = F.row_number().over(Window.partitionBy("level", *CELL).orderBy("key", "id"))
-    return every.select("level", *CELL, "id", place.alias("place"), *more)
+    return reduce(DataFrame.unionByName, held), reduce(DataFrame.unionByName, touched)
+
+
+def edges(bounds: Box, level: int) -> dict[str, Column]:
+    """The sides of a row's cell, by the halvings that lead to it."""
+
+    def sides(i: int, c: str) -> Column:
+        zero = F.struct(F.lit(float(bounds.low[i])).alias("low"), F.lit(float(bounds.high[i])).alias("high"))
+
+        def halve(s: Column, bit: Column) -> Column:
+            middle, up = (s["low"] + s["high"]) / 2, F.call_function("shiftright", F.col(c), bit) % 2 == 1
+            return F.struct(F.when(up, middle).otherwise(s["low"]).alias("low"), F.when(up, s["high"]).otherwise(middle).alias("high"))
+
+        return F.aggregate(F.sequence(F.lit(level - 1), F.lit(0)), zero, halve) if level else zero
+
+    each = {a: sides(i, c) for i, (a, c) in enumerate(zip(AXES, CELL, strict=True))}
+    return {f"{a}{end}": s[side] for a, s in each.items() for end, side in (("0", "low"), ("1", "high"))}
 
 
 def cell_at(point: Column, bounds: Box, level: int) -> Column:

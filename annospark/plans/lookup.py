@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import product
 from math import floor, prod
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annospark.config import ShardingSpec
@@ -18,9 +18,21 @@ NAMED_CELLS = 512
 EDGE = 1e-6
 
 
-def write_index(index: DataFrame, path: str, *by: str) -> None:
-    """Write an index partitioned by ``by``, each partition's rows in one file (or few, if it is large)."""
-    index.repartition(*by).sortWithinPartitions(*by).write.partitionBy(*by).parquet(path, mode="overwrite")
+def write_index(index: DataFrame, path: str, *by: str, overwrite: str = "static") -> None:
+    """Write an index partitioned by ``by``, each partition's rows in one file (or few, if it is large); ``dynamic`` overwrites only partitions that have rows now."""
+    index.repartition(*by).sortWithinPartitions(*by).write.partitionBy(*by).option("partitionOverwriteMode", overwrite).parquet(path, mode="overwrite")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any file system that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, in any file system that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def write_csv(index: DataFrame, path: str, *by: str) -> None:

@@ -23,6 +23,7 @@ from annospark.plans.lookup import box_query, lookup_id, lookup_relation
 from annospark.plans.sharding import plan_measured, plan_sharding, planned
 from annospark.sources import shards
 from annospark.sources.tables import union, volume_bounds
+from annospark.streaming.append import Spatial, grown
 
 #: Rows in an octree cell, level of single-level queries, and bits of the shards.
 CELL_ROWS, LEVEL = 200, 4
@@ -290,6 +291,14 @@ def octree_lines(spark, sf_dir):
     return octree.build(p, volume_bounds(p), CELL_ROWS)
 
 
+def octree_grown(spark, sf_dir):
+    """The same octree, grown by five batches of events."""
+    p = points(spark, sf_dir).select("id", "points")
+    settings = Spatial(volume_bounds(p), (BY_CELL,) * 8, CELL_ROWS, 8)
+    index = grown(spark, [p.where(F.pmod("id", F.lit(5)) == k) for k in range(5)], f"{new_folder(spark)}/spatial", settings)
+    return index.select(F.col("level").cast("int").alias("level"), "cx", "cy", "cz", "id", "place")
+
+
 def octree_counts(spark, sf_dir):
     return octree.counts(octree_lines(spark, sf_dir))
 
@@ -413,7 +422,7 @@ QUERIES = {
         sharding_spec_levels, sharding_measured, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, outside_with_nulls, location_check, density_check, enum_encode, missing_enum_labels,
         relation_coerce, relation_key, relation_explode_group, relation_enum_fallback, hex_colour, polyline_vector, point_list_parse, point_in_box,
         segment_intersects_box, polyline_in_bounds, convert_coordinates, octree_cell_by_level, morton_cells, cell_shard_hex, octree_points,
-        octree_lines, octree_counts, lookup_id_query, lookup_relation_query, box_query_lines, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
+        octree_lines, octree_grown, octree_counts, lookup_id_query, lookup_relation_query, box_query_lines, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
         spatial_shards_round_trip, shard_lookup, info_json, octree_conservation, unreadable_fields,
     )
 }
@@ -584,6 +593,7 @@ ORACLE_SQL = {
         FROM ({placed_sql(f'SELECT DISTINCT {morton_sql(LEVEL)} AS morton FROM ({cell_sql(LEVEL)})', 'morton', BY_CELL)})""",
     "octree_points": octree_sql(POINT_SQL),
     "octree_lines": octree_sql(ENDS_SQL),
+    "octree_grown": octree_sql(POINT_SQL),
     "octree_counts": f"WITH o AS ({octree_sql(ENDS_SQL)}) SELECT level, count(*) AS cells, CAST(sum(n) AS BIGINT) AS held FROM (SELECT level, cx, cy, cz, count(*) AS n FROM o GROUP BY ALL) GROUP BY level",
     "lookup_id": f"SELECT id, shard, minishard, {name_sql(BY_ID.shard_bits)} AS shard_hex FROM ({placed_sql('SELECT event_id AS id FROM events WHERE event_id IN (7, 63, 99, 1000000000000)', 'id', BY_ID)})",
     "lookup_relation": f"SELECT rel_id, id FROM ({_PARTS}) WHERE rel_id IN (5, 77, 150)",

@@ -11,6 +11,7 @@ from annospark.operators import checks, octree
 from annospark.operators.indexes import spatial_index
 from annospark.plans import build, lookup
 from annospark.sources.tables import volume_bounds
+from annospark.streaming import append
 
 SCHEMA = "id long, points array<struct<x:double,y:double,z:double>>"
 SPECS = [ShardingSpec(2, 1)] * 8
@@ -96,3 +97,48 @@ def test_a_box_query_reads_the_partitions_of_its_cells_only(spark):
     scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     filters = scan.split("PartitionFilters: [")[1].split("]")[0]
     assert "level#" in filters and "shard#" in filters and len(plan) < 20_000
+
+
+@pytest.mark.parametrize("crossing", [False, True])
+def test_batches_grow_the_index_that_one_build_makes(spark, tmp_path, crossing):
+    rows = table(spark, random_lines(9, 90, 2, 6)).cache()
+    bounds, settings = volume_bounds(rows), dict(cell_rows=15, max_levels=8)
+    spatial = append.Spatial(bounds, tuple(SPECS), crossing=crossing, **settings)
+    want = sorted(map(tuple, spatial_index(rows, bounds, SPECS, crossing=crossing, **settings).drop("points").collect()))
+    path, batches = str(tmp_path / "spatial"), [rows.where(F.pmod("id", F.lit(3)) == k) for k in (2, 0, 1)]
+    columns = ["level", "cx", "cy", "cz", "morton", "shard", "minishard", "id", "place"]
+    index = append.grown(spark, [*batches, rows.limit(0), batches[1]], path, spatial)  # the last one comes twice
+    assert sorted(map(tuple, index.select(columns).collect())) == want
+    assert {r["id"]: r["points"] for r in index.collect()} == {r["id"]: r["points"] for r in rows.collect()}
+
+
+def test_a_batch_leaves_partitions_without_changed_cells_alone(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = table(spark, [(i, [rng.random(3).tolist()]) for i in range(300)] + [(1000, [[0, 0, 0]]), (1001, [[1, 1, 1]])])
+    spatial, path = append.Spatial(volume_bounds(rows), tuple([ShardingSpec(3, 0)] * 8), 20, 8), tmp_path / "spatial"
+    append.append_spatial(rows, str(path), spatial)
+    files = lambda: {str(f.relative_to(path)) for f in path.rglob("*.parquet")}
+    before = files()
+    append.append_spatial(table(spark, [(5000, [[0.9, 0.9, 0.9]])]), str(path), spatial)
+    after = files()
+    assert len(before & after) > len(before) / 2 and before != after
+    assert spark.read.parquet(str(path)).count() == 303
+
+
+def test_an_append_that_ends_halfway_is_brought_to_its_end(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = table(spark, [(i, [rng.random(3).tolist()]) for i in range(60)])
+    spatial, path = append.Spatial(volume_bounds(rows), tuple(SPECS), 10, 8), str(tmp_path / "spatial")
+    append.append_spatial(rows.where("id < 40"), path, spatial)
+
+    def some(spark, pending, path):
+        lookup.write_index(spark.read.parquet(pending).where("level = 0"), path, "level", "shard", overwrite="dynamic")
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="lost"):
+        patched.setattr(append, "_put_in", some)
+        append.append_spatial(rows.where("id >= 40"), path, spatial)
+    append.append_spatial(rows.where("id >= 40"), path, spatial)
+    want = spatial_index(rows, spatial.bounds, SPECS, 10, 8)
+    same = lambda df: sorted(map(tuple, df.select("level", "morton", "id", "place").collect()))
+    assert same(spark.read.parquet(path)) == same(want) and not (tmp_path / "spatial.pending").exists()

@@ -23,7 +23,7 @@ from annospark.plans import build
 from annospark.plans.lookup import box_query, lookup_id, write_csv
 from annospark.sources import tables
 from annospark.sources.shards import chunks_of, decode_groups, decode_ids, read_shards
-from annospark.streaming.append import append_stream
+from annospark.streaming.append import Spatial, append_stream
 
 POINTS = "id long, points array<struct<x:double,y:double,z:double>>"
 
@@ -347,10 +347,12 @@ def test_appending_a_stream(spark, tmp_path):
     df, _ = some_lines(spark, 40)
     rows = df.select("id", "points", F.create_map(F.lit("r"), F.array(F.col("id") % 3)).alias("relations"))
     spec = ShardingSpec(2, 1)
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source, out, spatial = str(tmp_path / "in"), str(tmp_path / "out"), Spatial(tables.volume_bounds(rows), (spec,) * 6, 8, 6)
     for part in (rows.where("id < 20"), rows.where("id >= 20")):
         part.write.mode("append").parquet(source)
-        append_stream(spark.readStream.schema(rows.schema).parquet(source), out, str(tmp_path / "state"), spec, spec).awaitTermination()
+        append_stream(spark.readStream.schema(rows.schema).parquet(source), out, str(tmp_path / "state"), spec, spec, spatial).awaitTermination()
     assert spark.read.parquet(f"{out}/by_id").select("id").distinct().count() == 40
     assert spark.read.parquet(f"{out}/relation").groupBy("rel_id").count().count() == 3
     assert id_index(rows, spec).count() == 40
+    same = lambda df: sorted(map(tuple, df.select("level", "morton", "id", "place").collect()))
+    assert same(spark.read.parquet(f"{out}/spatial")) == same(indexes.spatial_index(rows, spatial.bounds, [spec] * 6, 8, 6))
