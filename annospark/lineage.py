@@ -7,6 +7,7 @@ growing with each round.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -40,7 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Tables that are cut inside are dropped at the end, but for those given to the function that this yields.
 
-    What leaves the block must read kept tables only.
+    What leaves the block must read kept tables only.  Plans of the block hold its shuffles and broadcasts; they are let go too,
+    as Spark removes those only when the driver's memory is collected.
     """
     outer, mine, kept = getattr(_open, "tables", None), [], []
     _open.tables = mine
@@ -58,6 +60,9 @@ def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
                 drop(df)
             elif outer is not None:
                 outer.append(df)
+        if mine:
+            gc.collect()
+            mine[0].sparkSession._jvm.System.gc()
 
 
 def new_folder(spark: SparkSession) -> str:

@@ -1,14 +1,14 @@
-"""Annotation tables from CSV, Parquet, SWC and archives."""
+"""Annotation tables from CSV, Parquet and SWC, single files and folders, packed or not."""
 
 from __future__ import annotations
 
 import os
 import re
-import shutil
-import tarfile
-import zipfile
+from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +18,14 @@ from annospark.functions.geometry import Box, bounds_of
 from annospark.functions.values import POINTS, colour, enum_value, key_of, mean_step, parse_points, relation_ids_or_enum
 from annospark.operators.checks import require_rows
 from annospark.operators.splits import number_rows
-from annospark.sources.files import listed
+from annospark.sources.archives import ENDINGS, unpack
+from annospark.sources.files import filesystem, listed
 
 #: Columns of an SWC file, and those of the table of polylines that files become.
 SWC = ("id", "type", "x", "y", "z", "r", "pid")
 POLYLINES = (("ID", "bigint"), ("Points", "string"))
+#: Files that a task looks into, about.
+FILES_TOGETHER = 64
 
 
 def has_header(first: str, columns: list[str]) -> bool:
@@ -31,16 +34,62 @@ def has_header(first: str, columns: list[str]) -> bool:
     return any(f == c for f, c in zip(fields[:2], columns[:2], strict=False))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with or without a header, by its first line; a field that doesn't fit its type raises."""
-    first = spark.read.text(path).limit(1).collect()
-    header = bool(first) and has_header(first[0][0], schema.names)
-    return spark.read.schema(schema).csv(path, header=header, enforceSchema=True, mode="FAILFAST")
+def first_lines(files: list[str]) -> list[str]:
+    """The first line of each file."""
+    out = []
+    for f in files:
+        system, at = filesystem(f)
+        with system.open_input_stream(at) as stream:
+            line = b""
+            while b"\n" not in line and (more := stream.read(1 << 16)):
+                line += more
+        out.append(line.partition(b"\n")[0].decode("utf-8-sig").rstrip("\r"))
+    return out
+
+
+def by_what(spark: SparkSession, files: list[str], tell: Callable[[list[str]], list[str]]) -> dict[str, list[str]]:
+    """``files`` by what ``tell`` says of them; tasks look into the files."""
+
+    def each(batches):
+        for batch in batches:
+            own = batch.column("file")
+            yield pa.RecordBatch.from_arrays([own, pa.array(tell(own.to_pylist()), pa.string())], ["file", "what"])
+
+    rows = spark.createDataFrame([(f,) for f in files], "file string").repartition(-(-len(files) // FILES_TOGETHER))
+    out: dict[str, list[str]] = {}
+    for r in rows.mapInArrow(each, "file string, what string").orderBy("what", "file").collect():  # a row for each file that the caller names
+        out.setdefault(r["what"], []).append(r["file"])
+    return out
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV files, each with or without a header by its own first line; a field that doesn't fit its type raises.
+
+    Tasks look at the first lines; then there is one scan of all files with headers and one of all without.
+    """
+    files = listed(path) if isinstance(path, str) else path
+    columns = schema.names
+    headed = by_what(spark, files, lambda own: [str(has_header(line, columns)) for line in first_lines(own)]) if files else {}
+    read = spark.read.schema(schema)
+    return union([read.csv(own, header=head == "True", enforceSchema=True, mode="FAILFAST") for head, own in headed.items()] or [spark.createDataFrame([], schema)])
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    return df.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in schema)) if schema else df
+    """Parquet files; with ``schema`` those of a folder may store its columns in different types, and each kind of file is one scan."""
+    if schema is None or isinstance(path, str):
+        parts = [spark.read.parquet(*([path] if isinstance(path, str) else path))]
+    else:
+        parts = [spark.read.parquet(*own) for own in by_what(spark, path, stored_types).values()]
+    return union([df.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in schema)) if schema else df for df in parts])
+
+
+def stored_types(files: list[str]) -> list[str]:
+    """The columns of Parquet files with their types, as text."""
+    out = []
+    for f in files:
+        system, at = filesystem(f)
+        out.append(str(pq.read_schema(at, filesystem=system).remove_metadata()))
+    return out
 
 
 def read_swc(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -55,34 +104,6 @@ def read_swc(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return joined.select(F.regexp_extract("file", r"^(.*)\.[^.]*$", 1).cast("bigint").alias("ID"), F.array_join(F.col("points.p"), ";").alias("Points"))
 
 
-def unpack(source: str, target: str) -> list[str]:
-    """Files of the archives in a directory, or one level deep in it: zip, tar.gz, gz or tar, the first kind found.
-
-    Names that begin with ``disabled`` are left out.  Runs where the files are, before Spark reads them.
-    """
-    places = [source, *(f"{source}/{d}" for d in sorted(os.listdir(source)) if os.path.isdir(f"{source}/{d}"))]
-    files = [(p, f) for p in places for f in sorted(os.listdir(p)) if os.path.isfile(f"{p}/{f}") and not f.startswith("disabled")]
-    kinds = (lambda f: f.endswith(".zip"), lambda f: f.endswith((".tar.gz", ".tgz")), lambda f: f.endswith(".gz"), lambda f: f.endswith(".tar"))
-    os.makedirs(target, exist_ok=True)
-    for is_kind in kinds:
-        found = [(p, f) for p, f in files if is_kind(f)]
-        for p, f in found:
-            if f.endswith(".zip"):
-                with zipfile.ZipFile(f"{p}/{f}") as z:
-                    z.extractall(target)
-            elif f.endswith((".tar.gz", ".tgz", ".tar")):
-                with tarfile.open(f"{p}/{f}") as t:
-                    t.extractall(target, filter="data")
-            else:
-                import gzip
-
-                with gzip.open(f"{p}/{f}") as a, open(f"{target}/{f[:-3]}", "wb") as b:
-                    shutil.copyfileobj(a, b)
-        if found:
-            break
-    return sorted(os.path.join(d, f) for d, _, names in os.walk(target) for f in names)
-
-
 def discover(paths: list[str]) -> tuple[str, list[str]]:
     """(kind, paths): the CSV files if there are any, else Parquet, else SWC; those that lie highest only."""
     for kind in ("csv", "parquet", "swc"):
@@ -117,15 +138,15 @@ def read_input(spark: SparkSession, path: str, config: DataConfig, unpacked: str
         files = [path]
     else:
         files = listed(path)
-        if any(f.endswith((".zip", ".tgz", ".gz", ".tar")) for f in files):
-            files = unpack(path.removeprefix("file://"), unpacked.removeprefix("file://"))
+        if any(f.endswith(ENDINGS) for f in files):
+            files = unpack(spark, path, unpacked)
     kind, files = discover(files)
     if kind == "swc":
         df = read_swc(spark, files)
     elif kind == "parquet":
-        df = union([read_parquet(spark, f, config.schema) for f in files]) if len(files) < 8 else read_parquet(spark, files, config.schema)
+        df = read_parquet(spark, files, config.schema)
     else:
-        df = union([read_csv(spark, f, config.schema) for f in files])
+        df = read_csv(spark, [f for path in files for f in listed(path)], config.schema)
     claimed = [rows_named(f) for f in files]
     return df if None in claimed else require_rows(df, sum(claimed))
 

@@ -21,7 +21,7 @@ from annospark.operators.indexes import id_index, relation_index
 from annospark.operators.sample import split_sample
 from annospark.plans import build
 from annospark.plans.lookup import box_query, lookup_id, write_csv
-from annospark.sources import tables
+from annospark.sources import archives, tables
 from annospark.sources.shards import chunks_of, decode_groups, decode_ids, read_shards
 from annospark.streaming.append import Spatial, append_stream
 
@@ -65,7 +65,7 @@ def test_swc_files_become_polylines(spark, tmp_path):
     assert got == {17: "1.5,2,3;4,5,6", 4: "9,9,9"}
 
 
-def test_unpack_and_discover(tmp_path):
+def test_unpack_and_discover(spark, tmp_path):
     source = tmp_path / "in" / "deep"
     source.mkdir(parents=True)
     with zipfile.ZipFile(source / "a.zip", "w") as z:
@@ -73,10 +73,63 @@ def test_unpack_and_discover(tmp_path):
     with gzip.open(source / "b.csv.gz", "wt") as f:
         f.write("9\n")
     (tmp_path / "in" / "disabled.zip").write_bytes(b"")
-    kind, found = tables.discover(tables.unpack(str(tmp_path / "in"), str(tmp_path / "out")))
+    kind, found = tables.discover(archives.unpack(spark, str(tmp_path / "in"), str(tmp_path / "out")))
     assert kind == "csv" and len(found) == 1 and tables.rows_named(found[0]) == 2
 
 
+def test_archives_are_unpacked_by_tasks(spark, tmp_path, monkeypatch):
+    source, big = tmp_path / "in", "".join(f"{i},x\n" for i in range(50_000))
+    source.mkdir()
+    for k in range(3):
+        with zipfile.ZipFile(source / f"{k}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"d{k}/a.csv", f"{k}\n")
+            z.writestr(f"b{k}.csv", big)
+    (source / "disabled-x.zip").write_bytes(b"no zip")
+    members = archives.member_table(spark, archives.chosen(str(source)))
+    assert sorted((r["member"], r["size"]) for r in members.collect()) == sorted((m, n) for k in range(3) for m, n in ((f"d{k}/a.csv", 2), (f"b{k}.csv", len(big))))
+    for out in (f"{tmp_path}/out", f"file://{tmp_path}/out2"):
+        files = archives.unpack(spark, f"file://{source}" if out.startswith("file") else str(source), out)
+        assert files == sorted(f"{out}/{m}" for k in range(3) for m in (f"b{k}.csv", f"d{k}/a.csv"))
+        assert open(files[0].removeprefix("file://")).read() == big
+    assert not [f for f in os.listdir(".") if f.startswith("file:")] and sorted(os.listdir(tmp_path)) == ["in", "out", "out2"]
+    # Of a tar each member is read by its offset alone.
+    with tarfile.open(tmp_path / "x.tar", "w") as t:
+        for k in range(3):
+            t.add(f"{tmp_path}/out/b{k}.csv", f"t/{k}.csv")
+    rows = list(archives.members_of(str(tmp_path / "x.tar")))
+    assert [n for n, _, _ in rows] == ["t/0.csv", "t/1.csv", "t/2.csv"]
+    read = []
+    real = archives._Opened.readinto
+    monkeypatch.setattr(archives._Opened, "readinto", lambda self, b: read.append(n := real(self, b)) or n)
+    assert list(archives.extracted(str(tmp_path / "x.tar"), *rows[1], f"{tmp_path}/out")) == [f"{tmp_path}/out/t/1.csv"]
+    assert open(f"{tmp_path}/out/t/1.csv").read() == big and sum(read) < len(big) + (1 << 17)
+    for bad in ("../x", "/etc/x", "a/../../x"):
+        with pytest.raises(ValueError, match="leads out"):
+            archives.safe(bad)
+
+
+def test_many_csv_files_with_and_without_headers(spark, tmp_path):
+    c = DataConfig.from_json(CONFIG)
+    row, head = '{},0,0,0,1,1,2,p,"5,6",#0a0b0c\n', ",".join(CONFIG["columns"]) + "\n"
+    (tmp_path / "in").mkdir()
+    for k in range(300):
+        write(tmp_path / "in" / f"{k}.csv", head * (k % 3 == 0) + row.format(k) if k % 7 else head * (k % 2))
+    df = tables.read_input(spark, str(tmp_path / "in"), c)
+    assert sorted(r[0] for r in df.collect()) == [k for k in range(300) if k % 7]
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+
+
+def test_parquet_files_that_store_different_types(spark, tmp_path):
+    c = DataConfig.from_json(CONFIG)
+    row = spark.createDataFrame([(1, *[0.0] * 6, "p", "5", "#0a0b0c")], c.schema)
+    for k, kind in enumerate(("int", "bigint", "int")):
+        one = row.withColumn(c.schema.names[0], F.lit(k).cast(kind)).toPandas()
+        (tmp_path / "in").mkdir(exist_ok=True)
+        one[c.schema.names[0]] = one[c.schema.names[0]].astype("int32" if kind == "int" else "int64")
+        one.to_parquet(tmp_path / "in" / f"{k}.parquet")
+    assert sorted(r[0] for r in tables.read_input(spark, str(tmp_path / "in"), c).collect()) == [0, 1, 2]
+
+
 def test_synthesized_ids_count_from_one(spark):
     df, name = tables.with_id(spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "id string, v int"), ["id"])
     assert name == "id_1" and [r[name] for r in df.orderBy("id").collect()] == [1, 2, 3]
