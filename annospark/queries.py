@@ -15,13 +15,15 @@ from annospark.functions import values as V
 from annospark.functions.bits import cell_grid, morton, shard_hex, with_murmur, with_shard
 from annospark.functions.geometry import Box, bounds_of, cell_volume, contains, convert, in_bounds, segment_meets
 from annospark.lineage import cut, new_folder
-from annospark.operators import checks, encode, octree, splits
+from annospark.operators import checks, encode, octree, splits, zones
 from annospark.operators.indexes import id_index, related, relation_index, spatial_index
 from annospark.operators.sample import split_sample
 from annospark.plans.build import info, plan
 from annospark.plans.lookup import box_query, lookup_id, lookup_relation
 from annospark.plans.sharding import plan_measured, plan_sharding, planned
 from annospark.sources import shards
+from annospark.sources.rows import index_rows
+from annospark.sources.rows import rows_between as rows_of
 from annospark.sources.tables import union, volume_bounds
 from annospark.streaming.append import Spatial, grown
 
@@ -132,6 +134,15 @@ def row_range(spark, sf_dir):
     return splits.rows_between(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], n // 4, n // 2)
 
 
+def csv_row_range(spark, sf_dir):
+    """The second quarter of the orders as CSV files that are sorted by key, read by an index of the files' blocks."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    folder = f"{new_folder(spark)}/orders"
+    rows.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").write.csv(folder, header=True)
+    index = index_rows(spark, folder, rows.schema, 1 << 16)
+    return rows_of(index, index.rows // 4, index.rows // 2)
+
+
 def sharding_spec_levels(spark, sf_dir):
     n = table(spark, sf_dir, "lineitem").count()
     return planned(spark, n * 5000, n * 5000 * ROW_BYTES)
@@ -335,6 +346,13 @@ def box_query_lines(spark, sf_dir):
     return box_query(written_index(rows, box, True), BOX, box, 7, [BY_CELL] * 8).select("id")
 
 
+def zone_box(spark, sf_dir):
+    """The lines that meet the box, from clustered files of which only some are opened."""
+    rows, folder = lines(spark, sf_dir).select("id", "points"), new_folder(spark)
+    zones.write_zones(rows, folder, volume_bounds(rows), 500)
+    return zones.read_box(spark, folder, BOX).select("id")
+
+
 def cells_per_shard(spark, sf_dir):
     p = points(spark, sf_dir)
     index = spatial_index(p, volume_bounds(p), [BY_CELL] * 8, CELL_ROWS, 8)
@@ -418,11 +436,11 @@ def _decoded(n: int):
 QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
-        shard_histogram_identity, shard_histogram_murmur, murmur_hash, shard_worker_assignment, split_ranges, split_sizes, synth_id, row_range,
+        shard_histogram_identity, shard_histogram_murmur, murmur_hash, shard_worker_assignment, split_ranges, split_sizes, synth_id, row_range, csv_row_range,
         sharding_spec_levels, sharding_measured, union_splits, sample_rows, bounds, duplicate_ids, bounds_audit, outside_with_nulls, location_check, density_check, enum_encode, missing_enum_labels,
         relation_coerce, relation_key, relation_explode_group, relation_enum_fallback, hex_colour, polyline_vector, point_list_parse, point_in_box,
         segment_intersects_box, polyline_in_bounds, convert_coordinates, octree_cell_by_level, morton_cells, cell_shard_hex, octree_points,
-        octree_lines, octree_grown, octree_counts, lookup_id_query, lookup_relation_query, box_query_lines, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
+        octree_lines, octree_grown, octree_counts, lookup_id_query, lookup_relation_query, box_query_lines, zone_box, cells_per_shard, id_shards_round_trip, relation_shards_round_trip,
         spatial_shards_round_trip, shard_lookup, info_json, octree_conservation, unreadable_fields,
     )
 }
@@ -538,6 +556,9 @@ ORACLE_SQL = {
     "row_range": """
         SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)
         WHERE place >= n // 4 AND place < n // 2""",
+    "csv_row_range": """
+        SELECT o_orderkey, o_custkey, o_orderpriority FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)
+        WHERE place >= n // 4 AND place < n // 2""",
     "sharding_spec_levels": f"""
         WITH n AS (SELECT count(*) * 5000 AS n FROM lineitem),
              l AS (SELECT CAST(i AS INT) AS level, least(CAST(pow(8, i) AS BIGINT) * 10000, n) AS held FROM n, range(10) r(i)),
@@ -598,6 +619,7 @@ ORACLE_SQL = {
     "lookup_id": f"SELECT id, shard, minishard, {name_sql(BY_ID.shard_bits)} AS shard_hex FROM ({placed_sql('SELECT event_id AS id FROM events WHERE event_id IN (7, 63, 99, 1000000000000)', 'id', BY_ID)})",
     "lookup_relation": f"SELECT rel_id, id FROM ({_PARTS}) WHERE rel_id IN (5, 77, 150)",
     "box_query": f"WITH o AS ({octree_sql(POINT_SQL)}) SELECT o.id, o.level FROM o JOIN ({POINT_SQL}) p ON p.id = o.id WHERE level <= 2 AND {inside_sql(BOX)}",
+    "zone_box": f"SELECT id FROM ({LINE_SQL}) WHERE {meets_sql(BOX, ('x0', 'y0', 'z0'), ('x1', 'y1', 'z1'))}",
     "box_query_lines": f"SELECT id FROM ({LINE_SQL}) WHERE {meets_sql(BOX, ('x0', 'y0', 'z0'), ('x1', 'y1', 'z1'))}",
     "cells_per_shard": "WITH o AS ("
     + octree_sql(POINT_SQL)

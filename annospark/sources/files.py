@@ -87,10 +87,11 @@ def write_text(path: str, text: str) -> None:
 
 
 def listed(path: str) -> list[str]:
-    """All files below a folder, or the file itself, as paths of the same form."""
+    """All files below a folder, or the file itself, as paths of the same form; as in Spark, names that begin with ``.`` or ``_`` are hidden."""
     system, root = filesystem(path)
     found = system.get_file_info([root])[0]
     if found.type == fs.FileType.File:
         return [path]
     below = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-    return sorted(f"{path.rstrip('/')}/{f.path.removeprefix(root.rstrip('/') + '/')}" for f in below if f.type == fs.FileType.File)
+    names = (f.path.removeprefix(root.rstrip("/") + "/") for f in below if f.type == fs.FileType.File)
+    return sorted(f"{path.rstrip('/')}/{n}" for n in names if not re.search(r"(^|/)[._]", n))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from annospark.config import DataConfig, ShardingSpec
 from annospark.functions.geometry import Box, in_bounds
 from annospark.lineage import cut
-from annospark.operators import checks, octree
+from annospark.operators import checks, octree, zones
 from annospark.operators.indexes import spatial_index
 from annospark.plans import build, lookup
 from annospark.sources.tables import volume_bounds
@@ -142,3 +142,18 @@ def test_an_append_that_ends_halfway_is_brought_to_its_end(spark, tmp_path, monk
     want = spatial_index(rows, spatial.bounds, SPECS, 10, 8)
     same = lambda df: sorted(map(tuple, df.select("level", "morton", "id", "place").collect()))
     assert same(spark.read.parquet(path)) == same(want) and not (tmp_path / "spatial.pending").exists()
+
+
+def test_a_box_opens_only_the_files_that_it_meets(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    rows = table(spark, [(i, [(a := rng.random(3) * 100).tolist(), (a + rng.random(3)).tolist()]) for i in range(2000)] + [(5000, None), (5001, [])])
+    path = str(tmp_path / "zoned")
+    zones.write_zones(rows.withColumns({"code": F.lit(1), "cell": F.lit("c"), "file": F.lit("f")}), path, volume_bounds(rows), 100)
+    assert spark.read.parquet(f"{path}/rows").count() == 2002 and spark.read.parquet(f"{path}/zones").count() > 15
+    for box in (Box((10.0,) * 3, (25.0,) * 3), Box((50.0,) * 3, (50.1,) * 3), Box((-9.0,) * 3, (-1.0,) * 3)):
+        found = zones.read_box(spark, path, box)
+        assert sorted(r["id"] for r in found.collect()) == sorted(r["id"] for r in rows.where(in_bounds(F.col("points"), box)).collect())
+        assert found.columns == ["id", "points", "code", "cell", "file"] and len(found.inputFiles()) < 8
+    none = str(tmp_path / "none")
+    zones.write_zones(rows.limit(0), none, Box((0.0,) * 3, (1.0,) * 3))
+    assert zones.read_box(spark, none, Box((0.0,) * 3, (1.0,) * 3)).count() == 0

@@ -22,6 +22,7 @@ from annospark.operators.sample import split_sample
 from annospark.plans import build
 from annospark.plans.lookup import box_query, lookup_id, write_csv
 from annospark.sources import archives, tables
+from annospark.sources import rows as row_ranges
 from annospark.sources.shards import chunks_of, decode_groups, decode_ids, read_shards
 from annospark.streaming.append import Spatial, append_stream
 
@@ -119,6 +120,28 @@ def test_many_csv_files_with_and_without_headers(spark, tmp_path):
     assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
 
 
+def test_row_ranges_of_csv_files_read_their_blocks(spark, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("text", T.StringType())])
+    (tmp_path / "in").mkdir()
+    texts = [f"{i},t{'x' * (i % 37)}é" for i in range(900)] + ["900," + "long" * 500, "901,end"]
+    for k, (a, b, head, end) in enumerate(((0, 300, True, "\n"), (300, 301, False, ""), (301, 301, True, "\n"), (301, 902, False, "\r\n\n"))):
+        lines = ["n,text"] * head + texts[a:b]
+        (tmp_path / "in" / f"{k}.csv").write_bytes(("\n".join(lines) + end).replace("\n", "\r\n" if k == 3 else "\n").encode() if lines else b"")
+    want = [(int(t.split(",")[0]), t.split(",")[1]) for t in texts]
+    for block in (1 << 20, 100, 7):
+        index = row_ranges.index_rows(spark, str(tmp_path / "in"), schema, block)
+        assert index.rows == 902
+        for a, b in ((0, 902), (299, 302), (300, 301), (895, 902), (5, 5)):
+            assert sorted(map(tuple, row_ranges.rows_between(index, a, b).collect())) == want[a:b], (block, a, b)
+    some = index.blocks.where((F.col("first") < 310) & (F.col("first") + F.col("lines") > 305) & (F.col("lines") > 0))
+    assert some.count() <= 6
+    (tmp_path / "in" / "0.csv").write_text("x,1\n")
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        row_ranges.rows_between(row_ranges.index_rows(spark, str(tmp_path / "in"), schema), 0, 1).collect()
+
+
 def test_parquet_files_that_store_different_types(spark, tmp_path):
     c = DataConfig.from_json(CONFIG)
     row = spark.createDataFrame([(1, *[0.0] * 6, "p", "5", "#0a0b0c")], c.schema)
