@@ -32,7 +32,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, letter case of A-Z aside, the row with the largest id.
 
-    A null text is an empty one; a null id is less than any other; of rows with equal ids and texts exactly one can stay.
+    A null text is an empty one; a null id is less than any other; of rows with equal ids and texts exactly one can stay.  A very long
+    text is a few levels of names more.
     """
     return exact_dedup.drop_duplicates(docs)
 
@@ -41,7 +42,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the row with the least id; five-word shingles, similarity 0.8.
 
     Texts without words, null ones too, are one class; a null id stays only if its class has no other; of rows with equal ids
-    and texts exactly one can stay.
+    and texts exactly one can stay.  Of a very long text all shingles count; one task at a time has its set of them, eight bytes each.
     """
     return simhash.near_dedup(docs)
 
@@ -49,7 +50,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, each secret in a text replaced by its kind, and ``n_chars`` brought up to date where the text has changed.
 
-    Null and empty texts, null ids and repeated rows stay as they are; a null ``n_chars`` stays null.
+    Null and empty texts, null ids and repeated rows stay as they are; a null ``n_chars`` stays null.  A very long text is searched
+    whole, in time proportional to its length.
     """
     columns, before = docs.columns, free_name("before", docs.columns)
     out = secret_scan.redact(docs.withColumn(before, F.char_length("text")))
@@ -62,7 +64,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The bucket, batch and slot of every row; lengths are the token counts of op 1.
 
-    Null and empty texts have length 0; ties in length are told apart by id; null and repeated ids are rows like any others.
+    Null and empty texts have length 0; ties in length are told apart by id; null and repeated ids are rows like any others.  A very
+    long text that exceeds the budget is a batch of its own.
     """
     return packing.pack(docs, length=tokens.token_length(docs, tokenizer_file("byte_bpe_50k.json")))
 
