@@ -90,6 +90,15 @@ def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
     return out
 
 
+def written_bytes(df: DataFrame) -> int | None:
+    """The bytes of a table that ``cut`` wrote; None for any other."""
+    if not hasattr(df, "_cut_path"):
+        return None
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def drop(df: DataFrame) -> None:
     """Remove a table that ``cut`` wrote and nothing reads any more."""
     spark = df.sparkSession

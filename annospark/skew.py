@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annospark.lineage import written_bytes
+
 #: Groups that may be split: the largest ones.  This bounds what is broadcast (two longs for each).
 MOST_SPLIT = 1024
 #: Rows of a split group that go to one task together.
 TOGETHER = 256
 
 
-#: Rows of a table that is sent to all tasks, at most.
-SENT_ROWS = 200_000
+#: Rows of a table that is sent to all tasks, at most, and its bytes as it is written.
+SENT_ROWS, SENT_BYTES = 200_000, 16 << 20
 
 
 def if_few(df: DataFrame, rows: int, most: int = SENT_ROWS) -> DataFrame:
-    """``df``, to be broadcast if its ``rows`` are few."""
-    return F.broadcast(df) if rows <= most else df
+    """``df``, to be broadcast if its ``rows`` are few and, if it is a written table, which may have lists or texts, its bytes too."""
+    return F.broadcast(df) if rows <= most and (written_bytes(df) or 0) <= SENT_BYTES else df
 
 
 def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner", most: int = MOST_SPLIT, together: int = TOGETHER) -> DataFrame:

@@ -157,3 +157,13 @@ def test_a_box_opens_only_the_files_that_it_meets(spark, tmp_path):
     none = str(tmp_path / "none")
     zones.write_zones(rows.limit(0), none, Box((0.0,) * 3, (1.0,) * 3))
     assert zones.read_box(spark, none, Box((0.0,) * 3, (1.0,) * 3)).count() == 0
+
+
+def test_tables_are_sent_to_all_tasks_by_rows_and_bytes(spark, monkeypatch):
+    from annospark import skew
+
+    rows = cut(spark.range(1000).select("id", F.expr("sequence(1, 50)").alias("list")), "rows")
+    sent = lambda df, n=1000: "ResolvedHint" in skew.if_few(df, n)._jdf.queryExecution().analyzed().toString()
+    assert sent(rows) and not sent(rows, skew.SENT_ROWS + 1)
+    monkeypatch.setattr(skew, "SENT_BYTES", 100)
+    assert not sent(rows) and sent(spark.range(5), 5)
