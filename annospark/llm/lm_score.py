@@ -74,7 +74,7 @@ class Encoder(Pieces):
         self.kept[self.used : self.used + len(tokens)] = tokens
         at = self.used + np.cumsum(n) - n
         self.used += len(tokens)
-        return at << 24 | n
+        return at << 32 | n  # a pre-token has fewer tokens than a text can have bytes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The tokens of each text, as the library's ``encode`` without added special tokens has them."""
@@ -82,7 +82,7 @@ class Encoder(Pieces):
             return [self._with_added(t) if self.special.search(t) else self.encode([t])[0] for t in texts]
         out = []
         for values, pieces in self.blocks(texts):
-            at, n = values >> 24, values & 0xFFFFFF
+            at, n = values >> 32, values & 0xFFFFFFFF
             ends = np.cumsum(n)
             tokens = self.kept[np.repeat(at - (ends - n), n) + np.arange(n.sum())]
             last = np.concatenate([[0], ends])[np.cumsum(pieces)]
