@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm_score, media, packing, quality, secret_scan, simhash, tokens, toxicity, turn_repair, url_filter, vector_codes
+from . import bpe, exact_dedup, lm_score, media, oracles, packing, quality, secret_scan, simhash, tokens, toxicity, turn_repair, url_filter, vector_codes
 
 
 def tokenizer_file(name: str) -> str:
@@ -93,6 +93,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op11_turn_repair": oracles.repair_sql(),
+    "op13_vector_codes": oracles.codes_sql(),
     "op2_exact_dedup": """
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
