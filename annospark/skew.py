@@ -17,9 +17,14 @@ TOGETHER = 256
 SENT_ROWS, SENT_BYTES = 200_000, 16 << 20
 
 
-def if_few(df: DataFrame, rows: int, most: int = SENT_ROWS) -> DataFrame:
-    """``df``, to be broadcast if its ``rows`` are few and, if it is a written table, which may have lists or texts, its bytes too."""
-    return F.broadcast(df) if rows <= most and (written_bytes(df) or 0) <= SENT_BYTES else df
+def few(df: DataFrame, rows: int) -> bool:
+    """Whether a table may be sent to all tasks: its ``rows`` are few and, if it is a written table, which may have lists or texts, its bytes too."""
+    return rows <= SENT_ROWS and (written_bytes(df) or 0) <= SENT_BYTES
+
+
+def if_few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be broadcast if it may be sent to all tasks."""
+    return F.broadcast(df) if few(df, rows) else df
 
 
 def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner", most: int = MOST_SPLIT, together: int = TOGETHER) -> DataFrame:
