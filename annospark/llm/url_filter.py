@@ -17,6 +17,7 @@ each task; a longer list is joined instead, with the same results.
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from annospark.config import free_name
 from annospark.lineage import cut
 
-from .exact_dedup import LOWER, UPPER
+UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 #: Above so many bytes of filters the list is joined, not sent to each task.
 MAX_FILTER_BYTES = 32 << 20
