@@ -71,12 +71,15 @@ def kids(bounds: Box, crossing: bool = False) -> Column:
         return F.array_distinct(F.transform(F.filter("points", in_cell), octant))
     spare, all_kids = slack(bounds), F.array(*(F.struct(*(F.lit(k >> i & 1).alias(a) for i, a in enumerate(AXES))) for k in range(8)))
 
-    def meets(kid: Column) -> Column:
-        low = tuple(F.when(kid[a] == 1, middle[a]).otherwise(F.col(f"{a}0")) - spare for a in AXES)
-        high = tuple(F.when(kid[a] == 1, F.col(f"{a}1")).otherwise(middle[a]) + spare for a in AXES)
-        return F.exists(segments(F.col("points")), lambda s: segment_meets(s["a"], s["b"], Box(low, high)))
+    def met(segment: Column) -> Column:
+        def meets(kid: Column) -> Column:
+            low = tuple(F.when(kid[a] == 1, middle[a]).otherwise(F.col(f"{a}0")) - spare for a in AXES)
+            high = tuple(F.when(kid[a] == 1, F.col(f"{a}1")).otherwise(middle[a]) + spare for a in AXES)
+            return segment_meets(segment["a"], segment["b"], Box(low, high))
 
-    return F.filter(all_kids, meets)
+        return F.filter(all_kids, meets)
+
+    return F.array_distinct(F.flatten(F.transform(segments(F.col("points")), met)))
 
 
 def descend(rows: DataFrame, kid: Column) -> DataFrame:
