@@ -68,7 +68,7 @@ def _block_names(blocks: DataFrame) -> tuple[DataFrame, int]:
     while True:
         distinct = cut(_counted(blocks.select("block"), ["block"]).select(*_hashes(seed), "size"), "distinct")
         if distinct.groupBy("h0", "h1").count().where("count > 1").isEmpty():
-            return cut(_numbered(distinct, ["h0", "h1"]), "names"), seed
+            return _numbered(distinct, ["h0", "h1"]), seed
         seed += 2
 
 
@@ -104,7 +104,7 @@ def identities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bloc
         pairs = pairs.agg(side(0).alias("left"), F.coalesce(side(1), F.lit(-1)).alias("right"))
         pairs = pairs.select("row", F.col("at").alias("pos"), F.col("wide").alias("width"), "left", "right")
         pairs = cut(pairs, f"pairs{level}")
-        names = cut(_numbered(_counted(pairs, ["left", "right"]), ["left", "right"]), f"names{level}")
+        names = _numbered(_counted(pairs, ["left", "right"]), ["left", "right"])
         here = cut(join_back(pairs, names, ["left", "right"], "size").select("row", "pos", "width", "name"), f"level{level}")
         parts.append(here.where("width = 1").select("row", F.lit(level).alias("level"), "name"))
         here = here.where("width > 1")
