@@ -42,7 +42,9 @@ def components(links: DataFrame) -> DataFrame:
     links = now.where("u <> v")
     had = state(links)
     while had[0]:
-        step = cut(_star(_star(links, True), False), "stars")
+        large = cut(_star(links, True), "large_stars")
+        step = cut(_star(large, False), "stars")
+        drop(large)
         has = state(step)
         if before is not None:
             drop(before)

@@ -42,10 +42,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annospark.lineage import cut, scope
-from annospark.skew import if_few, join_back
+from annospark.skew import few, if_few, join_back
 
 from .components import components
-from .keep import without
+from .keep import among, without
 
 SEED = 42
 PIVOTS = 16
@@ -59,8 +59,8 @@ PER_KEY, LEAST_KEY = 64, 12
 NEAR_KEY = 32
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
 SMALL = 128
-#: Rows, about, whose shingles are counted for the order of shingles, and shingles at most that the order puts last.
-SAMPLE, COMMON = 4096, 1 << 18
+#: Bits of the buckets that all shingles are counted in for their order, and bits of the buckets that are added up together.
+CROWD_BITS, PART_BITS = 21, 13
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -322,37 +322,52 @@ def links(table: DataFrame, bits: int = 4, lanes: int = 1, hot: int = HOT, neare
     return rows.mapInArrow(compare, "u long, v long").distinct()
 
 
-def common_shingles(docs: DataFrame, text: str, words: int) -> np.ndarray:
-    """The shingles that several of about ``SAMPLE`` rows hold, rarest first, ``COMMON`` at most.  They change speed only."""
-    share, column = max(1, docs.count() // SAMPLE), F.col(f"`{text}`")
+def crowds(docs: DataFrame, text: str, words: int) -> np.ndarray:
+    """How crowded each bucket of shingle hashes is: eight times the binary logarithm of the shingles that all rows have in it.
 
-    def of(batches):
+    All shingles of all rows are counted, in a table of fixed size; a shingle that is common in the corpus makes its bucket stand out.  Tasks
+    send their counts in parts, and a part is added up as it streams by.
+    """
+    width, parts = 1 << PART_BITS, 1 << (CROWD_BITS - PART_BITS)
+
+    def count(batches):
+        found = np.zeros(1 << CROWD_BITS, np.uint32)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                at, n = np.unique(shingle_hashes(t, words) >> np.uint64(64 - CROWD_BITS), return_counts=True)
+                found[at.astype(np.int64)] += n.astype(np.uint32)
+        if found.any():
+            yield pa.RecordBatch.from_pydict({"part": pa.array(np.arange(parts)), "counts": pa.array([x.astype("<u4").tobytes() for x in found.reshape(parts, width)], pa.binary())})
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets or [np.empty(0, np.uint64)]).view(np.int64))], ["shingle"])
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
+        levels = [np.round(8 * np.log2(x + 1)).astype(np.uint16).tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_pydict({"part": pa.array(list(total), pa.int64()), "levels": pa.array(levels, pa.binary())})
 
-    chosen = docs.select(column).where(F.pmod(F.xxhash64(column), F.lit(share)) == 0)
-    counts = chosen.mapInArrow(of, "shingle long").groupBy("shingle").agg(F.count("*").alias("rows")).where("rows > 1")
-    found = counts.orderBy(F.desc("rows"), "shingle").limit(COMMON).select("shingle").toArrow()
-    return found["shingle"].to_numpy().view(np.uint64)[::-1]
+    counts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit(""))).mapInArrow(count, "part long, counts binary")
+    out = np.zeros((parts, width), np.uint16)
+    for r in counts.repartition(parts, "part").mapInArrow(add, "part long, levels binary").collect():  # the table's parts, 4 MB in all
+        out[r["part"]] = np.frombuffer(bytes(r["levels"]), np.uint16)
+    return out.reshape(-1)
 
 
-def head(own: np.ndarray, known: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+def head(own: np.ndarray, crowd: np.ndarray, similarity: float) -> np.ndarray:
     """The first of the distinct shingles ``own``, of which a set of that Jaccard similarity must hold one.
 
-    The order is by ``rank`` of the shingles in ``known`` (ascending), after all that aren't in it, then by value.
+    The order, the same for all sets, is by the ``crowd`` of the shingle's bucket, then by value, so that what many texts share comes last.
     """
-    at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-    order = np.lexsort((own, np.where(known[at] == own, rank[at], 0) if len(known) else np.zeros(len(own))))
+    order = np.lexsort((own, crowd[(own >> np.uint64(64 - CROWD_BITS)).astype(np.int64)]))
     return own[order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]] if len(own) else own
 
 
-def sketches(text: Column, words: int, lanes: int, similarity: float, common: np.ndarray, spark: SparkSession) -> Column:
+def sketches(text: Column, words: int, lanes: int, similarity: float, crowd: np.ndarray, spark: SparkSession) -> Column:
     """``f0, ...``, the fingerprint of each text, ``d0, d1``, a digest of its set of distinct shingles, ``n``, their number, and ``head``, the first
-    of them in their order, ``common`` (in its order) last."""
+    of them in the order by ``crowd``."""
     names = [*(f"f{i}" for i in range(lanes)), "d0", "d1", "n"]
-    order = np.argsort(common)
-    sent = spark.sparkContext.broadcast((common[order], (order + 1).astype(np.int64)))
+    sent = spark.sparkContext.broadcast(crowd)  # 4 MB
 
     @F.arrow_udf(f"struct<{','.join(f'{n}:bigint' for n in names)},head:array<bigint>>")
     def of(texts: pa.Array) -> pa.Array:
@@ -363,7 +378,7 @@ def sketches(text: Column, words: int, lanes: int, similarity: float, common: np
             found[i, :lanes] = lanes_of(hashes, lanes)
             found[i, lanes : lanes + 2] = np.frombuffer(xxhash.xxh3_128_digest(own.astype("<u8").tobytes(), SEED), "<u8")
             found[i, lanes + 2] = len(own)
-            first.append(head(own, *sent.value, similarity).view(np.int64))
+            first.append(head(own, sent.value, similarity).view(np.int64))
         found = found.view(np.int64)
         ends = pa.array(np.cumsum([0, *map(len, first)]), pa.int32())
         lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *first])))
@@ -506,7 +521,15 @@ def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Co
     ends = cut(nodes.select("node", "n", *(F.col(k).alias(f"_{k}") for k in key)).join(sent, "node"), "ends")
     rows = docs.select(F.col(f"`{text}`").alias("text"), *(c.alias(k) for k, c in key.items()))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key))
-    sets = rows.join(if_few(ends, ends.count()), same).select("node", "n", "gids", shingle_sets(F.col("text"), words).alias("set"))
+    n = ends.count()
+    if few(ends, n):
+        sets = rows.join(F.broadcast(ends), same).select("node", "n", "gids", shingle_sets(F.col("text"), words).alias("set"))
+    else:
+        # Sets of the rows that are needed are made where their texts are, and they move instead of texts.
+        here = among(docs, key, nodes.join(sent, "node", "left_semi"))
+        needed = docs if here is None else docs.where(here)
+        needed = needed.select(shingle_sets(F.col(f"`{text}`"), words).alias("set"), *(c.alias(k) for k, c in key.items()))
+        sets = needed.join(ends, same).select("node", "n", "gids", "set")
     sets = sets.select(F.explode("gids").alias("gid"), F.col("node").alias("u"), "n", "set")
 
     def decide(forest, mu, mv, a, n, b, m):
@@ -552,7 +575,7 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
     # Equal ids and texts, by 128 bits of hash, are one row for all decisions.
     key = {"id": F.col(f"`{doc_id}`"), "k0": F.xxhash64(column), "k1": F.xxhash64(F.lit(1), column)}
     with scope() as keep:
-        sketch = sketches(column, words, lanes, similarity, common_shingles(docs, text, words), docs.sparkSession)
+        sketch = sketches(column, words, lanes, similarity, crowds(docs, text, words), docs.sparkSession)
         rows = cut(docs.select(*(c.alias(k) for k, c in key.items()), sketch.alias("x")).select(*key, "x.*"), "rows")
         # A node is one set of shingles; the row that would stay stands for it.
         best = F.struct(F.col("id").isNull().alias("none"), *key)

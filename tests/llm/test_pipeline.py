@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from annospark.lineage import cut
 from annospark.llm import queries, simhash
 
 
@@ -144,3 +145,58 @@ def test_dedup_stages_decide_on_each_row(spark):
     for stage, blank in ((corpus_pipeline.exact, 1), (corpus_pipeline.near, 1)):
         got = collections.Counter((r["doc_id"], (r["text"] or "").lower()) for r in stage(spark, docs, None).collect())
         assert got == {(1, text): 1, (1, "other words"): 1, (None, "alone"): 1, (2, "b"): 1, (None, ""): blank}
+
+
+def exchanged(df):
+    """What each shuffle of a plan moves, as text."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [block for block in plan.split("\n") if "Exchange" in block]
+
+
+def test_rows_are_dropped_without_moving_texts(spark, monkeypatch):
+    from annospark import skew
+    from annospark.llm import keep
+
+    rows = [(i if i % 5 else None, f"text {i // 2}", i) for i in range(400)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own int").repartition(4)
+    key = {"id": F.col("doc_id"), "k0": F.xxhash64("text"), "sha": F.unhex(F.sha2("text", 256))}
+    each = docs.select(*(c.alias(k) for k, c in key.items()), "own").groupBy(*key).agg(F.min("own").alias("own"))
+    gone = cut(each.where("own % 3 < 2").select(*key, (F.col("own") % 3 == 1).alias("stays")), "gone")
+    by_join = sorted(map(tuple, keep.without(docs, key, gone).collect()), key=repr)
+    monkeypatch.setattr(skew, "SENT_ROWS", 0)
+    for most in (1 << 20, 10):  # by the cascade, and beyond its bound
+        got = keep.without(docs, key, gone, most)
+        assert sorted(map(tuple, got.select("doc_id", "text").collect()), key=repr) == sorted((r[:2] for r in by_join), key=repr)
+    only = keep.without(docs, key, cut(gone.withColumn("stays", F.lit(False)), "gone"))
+    assert 0 < only.count() < docs.count() and "Join" not in only._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_near_stage_is_the_same_where_nothing_may_be_sent(spark, monkeypatch):
+    from annospark import skew
+
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(60):
+        base = list(rng.choice(words, 60))
+        texts += [" ".join(base), " ".join([*base[:58], *rng.choice(words, int(rng.integers(0, 5)))])]
+    docs = spark.createDataFrame(list(enumerate([*texts, *texts[:5], None, ""])), "doc_id long, text string").repartition(3)
+    want = {r["doc_id"] for r in simhash.near_dedup(docs).collect()}
+    monkeypatch.setattr(skew, "SENT_ROWS", 0)
+    assert {r["doc_id"] for r in simhash.near_dedup(docs).collect()} == want and 60 <= len(want) < 120
+
+
+def test_crowds_count_all_shingles_and_order_common_ones_last(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD_BITS", 15)
+    rng = np.random.default_rng(13)
+    shared = " ".join(f"s{i}" for i in range(40))
+    # One text in a hundred holds the passage, so few of any small sample of rows do.
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 60)) + (" " + shared if i % 100 == 0 else "") for i in range(3000)] + [None, ""]
+    found = simhash.crowds(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), "text", 5)
+    want = np.zeros(1 << 15, np.int64)
+    for t in texts:
+        np.add.at(want, (simhash.shingle_hashes(t, 5) >> np.uint64(49)).astype(np.int64), 1)
+    assert (found == np.round(8 * np.log2(want + 1)).astype(np.uint16)).all()
+    passage = set(simhash.shingle_hashes(shared, 5).tolist())
+    heads = [set(simhash.head(np.unique(simhash.shingle_hashes(t, 5)), found, 0.8).tolist()) for t in texts[:1000:100]]
+    assert sum(len(h & passage) for h in heads) <= 0.1 * sum(map(len, heads))
