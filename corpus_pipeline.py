@@ -19,12 +19,24 @@ from annospark.llm import toxicity as tox
 from annospark.llm.queries import tokenizer_file
 
 
+#: Documents in an Arrow batch.  They are long: Spark's default of 10,000 is some 100 MB at once in a worker and in the JVM's buffers.
+BATCH = "1000"
+
+
+def in_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH`` documents, unless the session has a size of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text the model, fitted on the labels of ``labels``, gives a toxicity under one half.
 
     A null or empty text counts as no words, and stays unless most labelled rows are toxic.  Ids play no part in the verdict, so rows
     with a null id, and repeated rows, stay or go by their texts.  A long text is judged by all its passages.
     """
+    in_batches(spark)
     model = tox.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(tox.toxicity(spark, F.col("text"), model) < 0.5)
 
@@ -35,6 +47,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is an empty one; a null id is less than any other; of rows with equal ids and texts exactly one can stay.  A very long
     text is a few levels of names more.
     """
+    in_batches(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
@@ -44,6 +57,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without words, null ones too, are one class; a null id stays only if its class has no other; of rows with equal ids
     and texts exactly one can stay.  Of a very long text all shingles count; one task at a time has its set of them, eight bytes each.
     """
+    in_batches(spark)
     return simhash.near_dedup(docs)
 
 
@@ -53,6 +67,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts, null ids and repeated rows stay as they are; a null ``n_chars`` stays null.  A very long text is searched
     whole, in time proportional to its length.
     """
+    in_batches(spark)
     columns, before = docs.columns, free_name("before", docs.columns)
     out = secret_scan.redact(docs.withColumn(before, F.char_length("text")))
     if "n_chars" in columns:
@@ -67,6 +82,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have length 0; ties in length are told apart by id; null and repeated ids are rows like any others.  A very
     long text that exceeds the budget is a batch of its own.
     """
+    in_batches(spark)
     return packing.pack(docs, length=tokens.token_length(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
