@@ -36,7 +36,7 @@ UNIT, PAD = 576, 255
 #: Data bytes of an ADPCM block, behind a header of 4 bytes.
 ADPCM_DATA = 288
 #: ADPCM blocks in one step at most, and bytes of files that are decoded together.
-AT_ONCE, GROUP_BYTES = 4096, 4 << 20
+AT_ONCE, GROUP_BYTES = 4096, 1 << 20
 
 
 def mulaw_table() -> np.ndarray:
