@@ -9,26 +9,36 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.functions.bits import cell_grid, morton
 from annospark.functions.geometry import AXES, Box, bounds_of, in_bounds
 from annospark.names import free_name
-from annospark.operators.octree import cell_at
 
 #: Halvings of the bounds that the code tells apart, and rows in a file, about.
 LEVEL, FILE_ROWS = 12, 1_000_000
 
 
+def code_of(point: Column, bounds: Box) -> Column:
+    """The Morton code of a point in a grid of ``2 ** LEVEL`` cells an axis; it only clusters, so cells are told by a product, not by halvings."""
+    code = F.lit(0).cast("long")
+    for i, (a, low, width) in enumerate(zip(AXES, bounds.low, bounds.shape, strict=True)):
+        share = (point[a] - F.lit(float(low))) * F.lit((1 << LEVEL) / width if width else 0.0)
+        cell = F.least(F.greatest(share, F.lit(0.0)), F.lit(float((1 << LEVEL) - 1))).cast("long")
+        spread = cell
+        for shift, mask in ((16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)):
+            spread = spread.bitwiseOR(F.shiftleft(spread, shift)).bitwiseAND(F.lit(mask))
+        code = code.bitwiseOR(F.shiftleft(spread, i))
+    return code
+
+
 def write_zones(annotations: DataFrame, path: str, bounds: Box, file_rows: int = FILE_ROWS) -> None:
     """Write ``annotations`` (with ``points``) to ``path/rows``, clustered, and the table of zones to ``path/zones``.
 
     Rows without points are kept, in files like any others, and are in no box.  No rows give no zones.
     """
-    code, own = free_name("code", annotations.columns), free_name("cell", annotations.columns)
-    rows = annotations.withColumn(own, cell_at(F.get("points", F.lit(0)), bounds, LEVEL))
-    rows = rows.withColumn(code, morton(*(F.col(f"{own}.c{a}") for a in AXES), cell_grid(LEVEL))).drop(own)
+    code = free_name("code", annotations.columns)
+    rows = annotations.withColumn(code, code_of(F.get("points", F.lit(0)), bounds))
     files = max(1, -(-annotations.count() // file_rows))
     # Rows of one place may be very many, so the place alone doesn't deal them.
     by = [F.col(code), F.xxhash64(*(F.col(f"`{c}`") for c in annotations.columns if not dict(annotations.dtypes)[c].startswith("map")))]

@@ -193,3 +193,14 @@ def test_rows_on_their_way_down_are_narrow_and_go_where_halvings_send_them(spark
         at = told.where(F.col("split") <= level).withColumn("at", octree.above(F.col("cell"), depth - level)).select("id", *octree.unpacked("at"))
         got += [(r[0], level, *r[1:]) for r in at.collect()]
     assert sorted(got) == want
+
+
+def test_the_code_that_clusters_files_is_the_morton_code_without_loops(spark):
+    from annospark.functions.bits import cell_grid, morton
+
+    rng = np.random.default_rng(12)
+    rows = table(spark, [(i, [(rng.integers(0, 4096, 3) + 0.5).tolist()]) for i in range(200)] + [(300, [[4096, 0, 4096]])])
+    code = zones.code_of(F.col("points")[0], Box((0.0,) * 3, (4096.0,) * 3))
+    cell = [F.least(F.floor(F.col("points")[0][a]), F.lit(4095)) for a in "xyz"]
+    assert rows.where(code != morton(*cell, cell_grid(12))).count() == 0
+    assert "aggregate(" not in rows.select(code)._jdf.queryExecution().optimizedPlan().toString()
