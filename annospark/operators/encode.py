@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from annospark.config import PROPERTY_TYPES, DataConfig, PropertySpec, ShardingSpec
 from annospark.functions.bits import shard_hex, unsigned
-from annospark.lineage import cut
+from annospark.lineage import cut, written_bytes
 from annospark.sources.files import Output, can_move, names_in, put_in_place, remove_files, remove_folder
 
 #: numpy types of the properties that are single numbers.
@@ -37,6 +37,10 @@ PIECES = "shard long, minishard long, at long, kind int, part int, seq long, con
 #: Bits of a shard's number below the level, where levels are encoded together.
 LEVEL_BITS = 40
 ORDER = ["shard", "minishard", "at", "kind", "part", "seq"]
+#: Minishards, about, whose headers are made together.
+TOGETHER = 1 << 19
+#: Bytes of slices, about, whose headers one task makes.
+PART_BYTES = 64 << 20
 
 
 def property_order(specs) -> list[PropertySpec]:
@@ -146,20 +150,66 @@ def _slices(rows: DataFrame, chunk: str, order: list[str], config: DataConfig, k
     return cut(rows.mapInArrow(each, SLICES), "slices")
 
 
+def headers(shard: np.ndarray, minishard: np.ndarray, ids: np.ndarray, sizes: np.ndarray, minishards: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The headers of whole shards one after the other, as 8-byte numbers, and where each begins and the last one ends.
+
+    A header is the offsets of its minishard indices, then the indices, of chunks that come in the order of their bytes; ``minishards`` has
+    the number of each shard's.  An id that repeats in a minishard raises.
+    """
+    ids, sizes, n = ids.astype(np.uint64), sizes.astype(np.int64), len(ids)
+    new_shard = np.concatenate([[True], shard[1:] != shard[:-1]])
+    new = new_shard | np.concatenate([[True], minishard[1:] != minishard[:-1]])
+    bad = np.flatnonzero(~new[1:] & (ids[1:] <= ids[:-1]))
+    if len(bad):
+        raise ValueError(f"repeated chunk id in minishard {minishard[bad[0]]}")
+    first, own = np.flatnonzero(new_shard), np.cumsum(new_shard) - 1
+    chunks, words = np.diff(np.append(first, n)), 2 * minishards
+    ends = np.concatenate([[0], np.cumsum(words + 3 * chunks)])
+    out = np.zeros(int(ends[-1]), np.uint64)
+
+    # Each minishard's index is three rows: steps between ids, gaps, sizes.
+    begin, run = np.flatnonzero(new), np.cumsum(new) - 1
+    many = np.diff(np.append(begin, n))
+    at = (ends[:-1] + words)[own] + 3 * (begin[run] - first[own]) + np.arange(n) - begin[run]
+    out[at] = np.where(new, ids, ids - np.concatenate([ids[:1], ids[:-1]]))
+    before = np.cumsum(sizes) - sizes
+    # Data follow the indices: three 8-byte numbers a chunk.
+    out[at[begin] + many] = 24 * chunks[own[begin]] + before[begin] - before[first[own[begin]]]
+    out[at + 2 * many[run]] = sizes
+
+    # An empty minishard begins and ends where the one before it ends.
+    slots = np.zeros(int(minishards.sum()), np.int64)
+    base = np.cumsum(minishards) - minishards
+    slots[base[own[begin]] + minishard[begin]] = 24 * many
+    stops = np.cumsum(slots)
+    lead = np.repeat(stops[base] - slots[base], minishards)
+    to = np.repeat(ends[:-1] - 2 * base, minishards) + 2 * np.arange(len(slots))
+    out[to], out[to + 1] = stops - slots - lead, stops - lead
+    return out, ends
+
+
 def header(minishard: np.ndarray, ids: np.ndarray, sizes: np.ndarray, minishards: int) -> bytes:
-    """The offsets of the minishard indices, and the indices, of chunks that come in the order of their bytes.  An id that repeats in a minishard raises."""
-    ids, indices, position = ids.astype(np.uint64), [], 24 * len(ids)  # data follow the indices: three 8-byte numbers a chunk
-    ends = np.searchsorted(minishard, np.arange(minishards + 1))
-    for m, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-        own, size = ids[a:b], sizes[a:b].astype(np.uint64)
-        if len(own) > 1 and (own[1:] <= own[:-1]).any():
-            raise ValueError(f"repeated chunk id in minishard {m}")
-        gaps = np.zeros(len(own), np.uint64)
-        gaps[:1] = position
-        position += int(size.sum())
-        indices.append(np.stack([np.diff(own, prepend=np.uint64(0)), gaps, size]).astype("<u8").tobytes())
-    stop = np.cumsum([len(i) for i in indices])
-    return np.stack([np.concatenate([[0], stop[:-1]]), stop], axis=1).astype("<u8").tobytes() + b"".join(indices)
+    """The header of one shard."""
+    return headers(np.zeros(len(ids), np.int64), minishard, ids, sizes, np.array([minishards]))[0].astype("<u8").tobytes()
+
+
+def whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches that come by shard, joined so that no shard is in two of them."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shard = batch.column("shard").to_numpy()
+        if rest and rest[-1].column("shard")[-1].as_py() != shard[0]:
+            yield pa.Table.from_batches(rest)
+            rest = []
+        last = int(np.searchsorted(shard, shard[-1]))  # where the shard begins that may go on
+        if last:
+            yield pa.Table.from_batches([*rest, batch.slice(0, last)])
+            rest = []
+        rest.append(batch.slice(last))
+    if rest:
+        yield pa.Table.from_batches(rest)
 
 
 def _pieces(slices: DataFrame, grouped: bool, name: Column, minishards: Callable[[int], int] | None) -> DataFrame:
@@ -177,21 +227,29 @@ def _pieces(slices: DataFrame, grouped: bool, name: Column, minishards: Callable
     if minishards is None:
         return data.withColumn("name", name)
 
-    def of_groups(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["minishard", "at"])
-        return _head(rows, rows["minishard"].to_numpy(), rows["id"].to_numpy(), rows["size"].to_numpy())
-
-    def of_single(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["minishard", "part", "seq"])
-        ids, sizes = (np.frombuffer(b"".join(rows[c]), "<i8") for c in ("ids", "sizes"))
-        return _head(rows, np.repeat(rows["minishard"].to_numpy(), rows["n"].to_numpy()), ids, sizes)
-
-    def _head(rows, minishard, ids, sizes) -> pd.DataFrame:
-        out = {"shard": int(rows["shard"].iloc[0]), "minishard": -1, "at": 0, "kind": 0, "part": 0, "seq": 0}
-        return pd.DataFrame([out | {"content": header(minishard, ids, sizes, minishards(out["shard"]))}])
-
-    # A shard's header has 24 bytes a chunk; the planner bounds the chunks of a shard.
-    heads = known.groupBy("shard").applyInPandas(of_groups, PIECES) if grouped else slices.select("shard", "minishard", "part", "seq", "n", "ids", "sizes").groupBy("shard").applyInPandas(of_single, PIECES)
+    def head(batches):
+        for rows in whole_shards(batches):
+            shard, minishard = (rows[c].to_numpy() for c in ("shard", "minishard"))
+            if grouped:
+                ids, sizes = rows["id"].to_numpy(), rows["size"].to_numpy()
+            else:
+                n = rows["n"].to_numpy()
+                shard, minishard = np.repeat(shard, n), np.repeat(minishard, n)
+                ids, sizes = (np.frombuffer(b"".join(rows[c].to_pylist()), "<i8") for c in ("ids", "sizes"))
+            first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+            many = np.array([minishards(i) for i in shard[first].tolist()], np.int64)
+            runs = np.flatnonzero(np.diff(np.cumsum(many) // TOGETHER)) + 1
+            for a, b in zip([0, *runs.tolist()], [*runs.tolist(), len(first)], strict=True):
+                here = slice(first[a], first[b] if b < len(first) else len(shard))
+                data, ends = headers(shard[here], minishard[here], ids[here], sizes[here], many[a:b])
+                zero = [pa.array(np.full(b - a, v, t)) for v, t in ((-1, np.int64), (0, np.int64), (0, np.int32), (0, np.int32), (0, np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(shard[first[a:b]]), *zero, _binary(_bytes(data.astype("<u8")), 8 * ends)], [*ORDER, "content"])
+
+    # A shard's header has 24 bytes a chunk; the planner bounds the chunks of a shard.  Rows are few bytes and many shards' headers much work, so
+    # partitions have a number: Spark, which goes by bytes, would make one of them.
+    listed, order = (known, ["shard", "minishard", "at"]) if grouped else (slices.select("shard", "minishard", "part", "seq", "n", "ids", "sizes"), ["shard", "minishard", "part", "seq"])
+    partitions = max(slices.sparkSession.sparkContext.defaultParallelism, written_bytes(slices) // PART_BYTES)
+    heads = listed.repartition(partitions, "shard").sortWithinPartitions(*order).mapInArrow(head, PIECES)
     return heads.unionByName(data).withColumn("name", name)
 
 

@@ -275,6 +275,52 @@ def test_headers_byte_for_byte():
         encode.header(np.array([0, 0]), np.array([1, 1]), np.array([1, 1]), 1)
 
 
+def some_chunks(rng, shards):
+    """``shard, minishard, id, size`` of chunks in order, and the minishards of each shard; some minishards have none."""
+    minishards, rows = [1 << int(rng.integers(0, 5)) for _ in range(shards)], []
+    for shard, n in enumerate(minishards):
+        for m in sorted(rng.choice(n, int(rng.integers(1, n + 1)), replace=False).tolist()):
+            ids = np.unique(rng.integers(0, 1 << 64, 4, dtype=np.uint64))
+            rows += [(7 * shard, m, int(i), int(rng.integers(0, 99))) for i in ids]
+    return [np.array(c, t) for c, t in zip(zip(*rows, strict=True), (np.int64, np.int64, np.uint64, np.int64), strict=True)], np.array(minishards)
+
+
+def test_headers_of_many_shards_are_those_of_each():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        (shard, minishard, ids, sizes), minishards = some_chunks(rng, int(rng.integers(1, 8)))
+        data, ends = encode.headers(shard, minishard, ids.view(np.int64), sizes, minishards)
+        for k, n in enumerate(minishards.tolist()):
+            own, at, indices, position = shard == 7 * k, 0, [], 24 * int((shard == 7 * k).sum())
+            heads = []
+            for m in range(n):
+                i, size = ids[own & (minishard == m)], sizes[own & (minishard == m)]
+                gaps = [position] * (len(i) > 0) + [0] * (len(i) - 1)
+                index = struct.pack(f"<{3 * len(i)}Q", *np.diff(i, prepend=np.uint64(0)).tolist(), *gaps, *size.tolist())
+                heads.append(struct.pack("<2Q", at, at + len(index)))
+                indices.append(index)
+                at, position = at + len(index), position + int(size.sum())
+            assert data[ends[k] : ends[k + 1]].astype("<u8").tobytes() == b"".join(heads + indices)
+
+
+def test_shards_that_go_on_in_the_next_batch_stay_whole():
+    shard = np.sort(np.random.default_rng(2).integers(0, 9, 60))
+    for size in (1, 2, 7, 60):
+        batches = [pa.RecordBatch.from_pydict({"shard": pa.array(shard[k : k + size])}) for k in range(0, 60, size)]
+        found = [t["shard"].to_pylist() for t in encode.whole_shards(iter([*batches, batches[0].slice(0, 0)]))]
+        assert sum(found, []) == shard.tolist() and all(a[-1] < b[0] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_headers_are_made_by_several_tasks(spark):
+    """Headers of many shards are much work over few bytes."""
+    df, _ = some_lines(spark, 600, 8)
+    rows = df.select("id", "points", F.lit(None).cast("struct<none:int>").alias("properties"), F.create_map(F.lit("r"), F.array(F.col("id") % 200)).alias("relations"))
+    config, spec = DataConfig((), "id", "LINE", (), (), (Relationship("r", "r"),)), ShardingSpec(6, 1)
+    for pieces in (encode.id_shards(id_index(rows, spec), rows, config, spec), encode.relation_shards(relation_index(rows, spec), rows, config, spec, "r")):
+        heads = pieces.where("minishard = -1").select("shard", F.spark_partition_id().alias("task")).collect()
+        assert len(heads) == len({h["shard"] for h in heads}) > 50 and len({h["task"] for h in heads}) > 1
+
+
 def test_shards_of_a_hot_relation_are_spread_and_whole(spark):
     """Two thirds of all annotations belong to one object; ids are negative too, and order is unsigned."""
     df, points = some_lines(spark, 900, 8)
