@@ -16,7 +16,11 @@ from threading import local
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Share of the driver's largest heap that it may have taken when a table is written; beyond it, garbage is collected and the heap given back.
+FULL = 0.5
+
 _own: dict[str, str] = {}
+_taken: dict[str, int] = {}
 _open = local()
 
 
@@ -65,6 +69,19 @@ def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
             mine[0].sparkSession._jvm.System.gc()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver's garbage collected if its heap has grown beyond ``FULL``, and by a quarter since that was last done.
+
+    A plan is garbage once its table is written.  Left alone, the heap grows to its limit before plans go, and the shuffles and
+    broadcasts that they hold stay as long.
+    """
+    app, heap = spark.sparkContext.applicationId, spark._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() > max(FULL * heap.maxMemory(), 1.25 * _taken.get(app, 0)):
+        gc.collect()
+        spark._jvm.System.gc()
+        _taken[app] = heap.totalMemory()
+
+
 def new_folder(spark: SparkSession) -> str:
     """A new folder below the shared one; it goes when the session ends."""
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
@@ -83,6 +100,7 @@ def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{new_folder(spark)}/{name}"
     df.write.partitionBy(*by).parquet(path)
+    let_go(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     if getattr(_open, "tables", None) is not None:

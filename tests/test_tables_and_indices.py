@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_bits_and_plans import CONFIG
 
+from annospark import lineage
 from annospark.config import DataConfig, PropertySpec, Relationship, ShardingSpec
 from annospark.functions import values as V
 from annospark.functions.geometry import Box, convert, in_bounds
@@ -321,6 +322,17 @@ def test_headers_are_made_by_several_tasks(spark):
         assert len(heads) == len({h["shard"] for h in heads}) > 50 and len({h["task"] for h in heads}) > 1
 
 
+def test_the_drivers_garbage_goes_when_a_table_is_written(spark, monkeypatch):
+    beans, app = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans, spark.sparkContext.applicationId
+    whole = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    for taken, more in ((0, True), (1 << 60, False)):  # the heap has grown since it was last collected, or hasn't
+        monkeypatch.setattr(lineage, "FULL", 0.0)
+        monkeypatch.setattr(lineage, "_taken", {app: taken})
+        before = whole()
+        lineage.cut(spark.range(3), "some")
+        assert (whole() > before) == more == (0 < lineage._taken[app] < 1 << 60)
+
+
 def test_shards_of_a_hot_relation_are_spread_and_whole(spark):
     """Two thirds of all annotations belong to one object; ids are negative too, and order is unsigned."""
     df, points = some_lines(spark, 900, 8)
