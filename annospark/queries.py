@@ -35,6 +35,8 @@ BOX, SMALL_BOX = Box((20.0, 50.0, 100_000.0), (90.0, 300.0, 1_500_000.0)), Box((
 TYPES = (("STANDARD", 1), ("ECONOMY", 2), ("MEDIUM", 3), ("PROMO", 4), ("LARGE", 5))
 EVENTS = (("view", 10), ("click", 11), ("signup", 12), ("purchase", 13))
 SPLIT, ROW_BYTES = 7000, 149
+#: Rows, about, that one task gathers by order, whatever the number of all rows.
+TASK_ROWS = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +72,10 @@ def flat(df: DataFrame, n: int = 1) -> list:
 
 def orders_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, relations``: an order and the parts in it."""
-    parts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_partkey").alias("parts"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey")
+    # Sets and what follows by order stay in these partitions, so a task's memory doesn't grow with the table.
+    rows = rows.repartition(max(spark.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS)), "id")
+    parts = rows.groupBy("id").agg(F.collect_set("l_partkey").alias("parts"))
     return parts.select("id", F.create_map(F.lit("part"), F.array_sort("parts")).alias("relations"))
 
 

@@ -1,5 +1,6 @@
 import pytest
 
+from annospark import queries
 from annospark.queries import ORACLE_SQL, QUERIES
 
 
@@ -24,3 +25,10 @@ def test_entry_imports_without_the_llm_folders():
 
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr
+
+
+def test_lines_of_orders_are_dealt_by_their_number(spark, sf, monkeypatch):
+    """A task gathers as many lines in a large table as in a small one."""
+    monkeypatch.setattr(queries, "TASK_ROWS", 100)
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert queries.orders_of_parts(spark, sf).rdd.getNumPartitions() == -(-n // 100)
