@@ -17,6 +17,8 @@ Then texts of classes that are still apart meet under the shingles of their head
 of all shingles in one order, common ones last, two sets that are alike share one
 among the first ``n - ceil(similarity * n) + 1``.  This holds at any corpus size and
 for any order, so no link is lost; every such pair is verified before it joins classes.
+Where a shingle of heads has more than ``CROWD`` texts no pairs are written: the texts are
+members of a crowd, their sets go to its groups, and these give links of a spanning forest.
 
 The Hamming distances of each fingerprint to ``PIVOTS`` fixed reference fingerprints are
 tabulated once, before rows meet, and go with it as two longs.  By the triangle inequality
@@ -59,6 +61,8 @@ PER_KEY, LEAST_KEY = 64, 12
 NEAR_KEY = 32
 #: Groups of up to so many rows are compared shift by shift, larger ones by a search from row to row.
 SMALL = 128
+#: Texts of one shingle whose pairs are written one by one at most, and texts that a part of a larger crowd should have, in up to ``CROWD_PARTS`` parts.
+CROWD, CROWD_PART, CROWD_PARTS = 32, 256, 16
 #: Bits of the buckets that all shingles are counted in for their order, and bits of the buckets that are added up together.
 CROWD_BITS, PART_BITS = 21, 13
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -407,8 +411,12 @@ def may_be_alike(group: np.ndarray, at: np.ndarray, n: np.ndarray, member: np.nd
             yield i[good], j[good]
 
 
-def candidates(table: DataFrame, similarity: float, hot: int = HOT) -> DataFrame:
-    """All pairs ``u, v`` of nodes of different ``member`` that may have that Jaccard similarity, from ``node, member, n, head``."""
+def candidates(table: DataFrame, similarity: float, hot: int = HOT, crowd: int = CROWD) -> DataFrame:
+    """``u, v, crowd`` for all pairs of nodes of different ``member`` that may have that Jaccard similarity, from ``node, member, n, head``.
+
+    Of a group of up to ``crowd`` nodes these are the pairs ``u, v``; of a larger one, of any size, a row a node: ``v`` is in the crowd of ``u``,
+    its least node, and ``crowd`` is true.  So rows grow with the nodes of a group.
+    """
     expected = table.agg(F.coalesce(F.sum(F.size("head")), F.lit(0))).first()[0]
     rows = table.select("node", "member", "n", F.posexplode("head").alias("at", "shingle"))
     rows, keys = meeting(rows, ["shingle"], hot, expected)
@@ -416,22 +424,29 @@ def candidates(table: DataFrame, similarity: float, hot: int = HOT) -> DataFrame
     def compare(batches):
         for part, group in whole_groups(batches, keys):
             at, n, member, node = (part[c].to_numpy().astype(np.int64) for c in ("at", "n", "member", "node"))
-            found, size = [], 0
-
-            def out():
-                pairs = np.unique(np.concatenate(found), axis=0)  # noqa: B023
-                return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], ["u", "v"])
-
+            first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            size, least = np.bincount(group), np.minimum.reduceat(node, first)
+            many = (size > crowd)[group]
+            mixed = (np.minimum.reduceat(member, first) != np.maximum.reduceat(member, first))[group]
+
+            def out(found, crowded):
+                pairs = np.unique(np.concatenate(found), axis=0)
+                return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)), pa.array(np.full(len(pairs), crowded))], ["u", "v", "crowd"])
+
+            if (x := many & mixed).any():
+                yield out([np.stack([least[group[x]], node[x]], axis=1)], True)
+            found, made = [], 0
+            group, at, n, member, node = (a[~many] for a in (group, at, n, member, node))
             for i, j in may_be_alike(group, at, n, member, similarity):
                 found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1))
-                size += len(i)
-                if size > 1 << 18:
-                    yield out()
-                    found, size = [], 0
+                made += len(i)
+                if made > 1 << 18:
+                    yield out(found, False)
+                    found, made = [], 0
             if found:
-                yield out()
+                yield out(found, False)
 
-    return rows.mapInArrow(compare, "u long, v long").distinct()
+    return rows.mapInArrow(compare, "u long, v long, crowd boolean").distinct()
 
 
 def shingle_sets(text: Column, words: int) -> Column:
@@ -508,6 +523,21 @@ def may_share(found: DataFrame, nodes: DataFrame, heads: DataFrame, similarity:
     return in_groups(pairs, sets, decide, PAIRS)
 
 
+def with_sets(sent: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Column], text: str, words: int) -> DataFrame:
+    """``sent`` (a row a ``node``) with ``n`` and ``set``, the shingles of the row of ``docs`` that stands for the node."""
+    ends = cut(nodes.select("node", "n", *(F.col(k).alias(f"_{k}") for k in key)).join(sent, "node"), "ends")
+    rows = docs.select(F.col(f"`{text}`").alias("text"), *(c.alias(k) for k, c in key.items()))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key))
+    n = ends.count()
+    if few(ends, n):
+        return rows.join(F.broadcast(ends), same).select(*sent.columns, "n", shingle_sets(F.col("text"), words).alias("set"))
+    # Sets of the rows that are needed are made where their texts are, and they move instead of texts.
+    here = among(docs, key, nodes.join(sent, "node", "left_semi"))
+    needed = docs if here is None else docs.where(here)
+    needed = needed.select(shingle_sets(F.col(f"`{text}`"), words).alias("set"), *(c.alias(k) for k, c in key.items()))
+    return needed.join(ends, same).select(*sent.columns, "n", "set")
+
+
 def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Column], text: str, words: int, similarity: float) -> DataFrame:
     """Links ``u, v`` that connect what the pairs of ``found`` connect whose texts share ``similarity`` of their distinct shingles (Jaccard), exactly.
 
@@ -518,18 +548,7 @@ def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Co
     if "mu" not in found.columns:
         found = found.withColumns({"mu": F.col("u"), "mv": F.col("v")})
     pairs, sent = grouped_pairs(found, nodes)
-    ends = cut(nodes.select("node", "n", *(F.col(k).alias(f"_{k}") for k in key)).join(sent, "node"), "ends")
-    rows = docs.select(F.col(f"`{text}`").alias("text"), *(c.alias(k) for k, c in key.items()))
-    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key))
-    n = ends.count()
-    if few(ends, n):
-        sets = rows.join(F.broadcast(ends), same).select("node", "n", "gids", shingle_sets(F.col("text"), words).alias("set"))
-    else:
-        # Sets of the rows that are needed are made where their texts are, and they move instead of texts.
-        here = among(docs, key, nodes.join(sent, "node", "left_semi"))
-        needed = docs if here is None else docs.where(here)
-        needed = needed.select(shingle_sets(F.col(f"`{text}`"), words).alias("set"), *(c.alias(k) for k, c in key.items()))
-        sets = needed.join(ends, same).select("node", "n", "gids", "set")
+    sets = with_sets(sent, nodes, docs, key, text, words)
     sets = sets.select(F.explode("gids").alias("gid"), F.col("node").alias("u"), "n", "set")
 
     def decide(forest, mu, mv, a, n, b, m):
@@ -541,6 +560,72 @@ def alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, key: dict[str, Co
     return in_groups(pairs, sets, decide, PAIRS).select("u", "v")
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set, each the parity of the shingles that fall on it; sets differ in as many shingles at least as their rows in bits."""
+    n, most = len(sets), max(map(len, sets))
+    width = max(1024, 1 << min((8 * most).bit_length(), 20, 27 - n.bit_length()))  # eight bits a shingle, of 16 MB in all
+    out = np.zeros((n, width // 64), np.uint64)
+    for row, own in zip(out, sets, strict=True):
+        at = (own.view(np.uint64) * _MIX >> np.uint64(64 - width.bit_length() + 1)).astype(np.int64)
+        row[:] = np.packbits(np.bincount(at, minlength=width) & 1, bitorder="little").view("<u8")
+    return out
+
+
+def crowd_forest(sets: list[np.ndarray], member: np.ndarray, side: np.ndarray, similarity: float):
+    """Links ``i, j`` of a spanning forest of ``member`` over the pairs of ``sets`` that have that Jaccard similarity, of different ``side`` or of side 0.
+
+    Of two sets of ``n`` and ``m`` whose bitmaps differ in ``d`` bits, at most ``(n + m - d) / 2`` shingles are shared; what is left is verified.
+    """
+    n, rows = np.fromiter(map(len, sets), np.int64, len(sets)), bitmaps(sets)
+    label = np.unique(member, return_inverse=True)[1]
+    for i in range(len(sets) - 1):
+        j = np.arange(i + 1, len(sets))
+        j = j[(label[j] != label[i]) & ((side[j] != side[i]) | (side[j] == 0)) & (np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i]) - 1e-9)]
+        apart = np.bitwise_count(rows[j] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        good = (n[j] + n[i] - apart) / 2 >= similarity / (1 + similarity) * (n[j] + n[i]) - 1e-9
+        for x in j[good][np.argsort(apart[good], kind="stable")].tolist():
+            if label[x] != label[i]:
+                both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
+                if both >= similarity * (n[i] + n[x] - both) - 1e-9:
+                    yield i, x
+                    label[label == label[x]] = label[i]
+
+
+def crowd_links(gathered: DataFrame, table: DataFrame, docs: DataFrame, key: dict[str, Column], text: str, words: int, similarity: float, hot: int = HOT) -> DataFrame:
+    """Links ``u, v`` that connect what the pairs of nodes of one crowd connect whose texts share ``similarity`` of their distinct shingles, exactly.
+
+    ``gathered``: ``lead, node``; ``table``: ``node, n, member`` and ``key``.  A crowd is dealt into parts, and each pair of parts is a group of
+    at most ``hot`` nodes and ``GROUP_SHINGLES`` shingles, about; a node's set goes once to each part that its crowd has.
+    """
+    rows = gathered.join(table.select("node", "n", "member"), "node")
+    size = rows.groupBy("lead").agg(F.count("*").alias("size"), F.sum("n").alias("all"), (F.min("member") < F.max("member")).alias("mixed")).where("mixed")
+    parts = F.greatest(F.least(F.ceil(F.col("size") / CROWD_PART), F.lit(CROWD_PARTS)), F.ceil(F.col("size") * 2 / hot), F.ceil(F.col("all") * 2 / GROUP_SHINGLES))
+    size = cut(size.select("lead", parts.cast("int").alias("parts")), "crowd_parts")
+    if not (crowded := size.count()):
+        return docs.sparkSession.createDataFrame([], "u long, v long")
+    part = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    side = lambda x: F.when(x == F.col("part"), 0).when(x < F.col("part"), 1).otherwise(2)
+    group = lambda x: F.struct("lead", F.least("part", x).alias("low"), F.greatest("part", x).alias("high"), side(x).alias("side"))
+    placed = rows.join(if_few(size, crowded), "lead").withColumn("part", part)
+    placed = placed.select("node", "member", F.transform(F.sequence(F.lit(0), F.col("parts") - 1), group).alias("groups"))
+    sent = cut(placed.groupBy("node").agg(F.first("member").alias("member"), F.flatten(F.collect_list("groups")).alias("groups")), "crowd_sent")
+    sets = with_sets(sent, table, docs, key, text, words).select(F.explode("groups").alias("g"), "node", "member", "set").select("g.*", "node", "member", "set")
+    keys = ["lead", "low", "high"]
+
+    def verify(batches):
+        for part, group in whole_groups(batches, keys):
+            node, member, side = (part[c].to_numpy().astype(np.int64) for c in ("node", "member", "side"))
+            own, out = part["set"].combine_chunks(), []
+            ends = np.flatnonzero(np.concatenate([group[1:] != group[:-1], [True]])) + 1
+            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                sets = [own[k].values.to_numpy() for k in range(a, b)]
+                out += [(node[a + i], node[a + j]) for i, j in crowd_forest(sets, member[a:b], side[a:b], similarity)]
+            found = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in (0, 1)], ["u", "v"])
+
+    return sets.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(verify, "u long, v long").distinct()
+
+
 def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4, lanes: int = 1, hot: int = HOT) -> DataFrame:
     """``doc_id, f0, ..., component_id`` for each row of ``docs``: its fingerprint and the least ``doc_id`` of its class.
 
@@ -588,17 +673,19 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
             sure = keep_links(cut(alike(near_prints, nodes, docs, key, text, words, similarity), "sure"))
         with scope() as keep_links:
             member = cut(components(sure).withColumnRenamed("node", "_node"), "members")
-            table = nodes.join(member, F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"), "d0", "d1", F.col("best").alias("_best"))
+            table = nodes.join(member, F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"), "d0", "d1", F.col("best").alias("_best"), *key)
             first = rows.select(best.alias("best"), F.col("d0").alias("_d0"), F.col("d1").alias("_d1"), "head")
             # Only a node's own row gives its head, and equal rows give it once more, which changes nothing.
             first = first.join(table, (F.col("d0") == F.col("_d0")) & (F.col("d1") == F.col("_d1")) & F.col("best").eqNullSafe(F.col("_best")))
             heads = cut(first.select("node", "member", "n", "head"), "heads")
-            found = cut(candidates(heads, similarity, hot), "candidates")
+            met = cut(candidates(heads, similarity, hot), "candidates")
+            gathered, found = met.where("crowd").select(F.col("u").alias("lead"), F.col("v").alias("node")), met.where("not crowd").select("u", "v")
             for end in ("u", "v"):
                 found = found.join(table.select(F.col("node").alias(end), F.col("member").alias(f"m{end}")), end)
             found = cut(may_share(found, nodes, heads.select("node", "n", "head"), similarity), "may_share")
             more = keep_links(cut(alike(found, nodes, docs, key, text, words, similarity), "more"))
-        member = components(sure.unionByName(more)).withColumnRenamed("node", "_node")
+            crowded = keep_links(cut(crowd_links(gathered, table, docs, key, text, words, similarity, hot), "crowded_links"))
+        member = components(sure.unionByName(more).unionByName(crowded)).withColumnRenamed("node", "_node")
         stay = nodes.join(member, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best"))
         stay = stay.select(*(F.col(f"best.{k}").alias(f"_{k}") for k in key), F.lit(True).alias("stays"))
         each = rows.groupBy(*key).agg(F.count("*").alias("rows"))

@@ -200,3 +200,47 @@ def test_crowds_count_all_shingles_and_order_common_ones_last(spark, monkeypatch
     passage = set(simhash.shingle_hashes(shared, 5).tolist())
     heads = [set(simhash.head(np.unique(simhash.shingle_hashes(t, 5)), found, 0.8).tolist()) for t in texts[:1000:100]]
     assert sum(len(h & passage) for h in heads) <= 0.1 * sum(map(len, heads))
+
+
+def near_copies(rng, n, words=150):
+    """Copies of one text with one to four words replaced each: pairs on both sides of the threshold, most of them below it."""
+    base = rng.choice(WORDS, words).tolist()
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for at in rng.choice(words, int(rng.integers(1, 5)), replace=False):
+            copy[at] = str(rng.choice(WORDS))
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("hot, sent, per_group", [(simhash.HOT, None, None), (64, 0, 1 << 14)])
+def test_near_stage_finds_the_classes_of_many_copies_around_the_threshold(spark, monkeypatch, hot, sent, per_group):
+    from annospark import skew
+
+    if sent is not None:
+        monkeypatch.setattr(skew, "SENT_ROWS", sent)
+        monkeypatch.setattr(simhash, "GROUP_SHINGLES", per_group)
+    rng = np.random.default_rng(14)
+    texts = near_copies(rng, 400) + near_copies(rng, 60, 24) + [" ".join(rng.choice(WORDS, 80)) for _ in range(40)]
+    want = least_of_classes(texts)
+    assert 60 < len(want) < 400 and kept_of(spark, texts, hot=hot) == want
+
+
+def test_candidates_grow_with_the_nodes_of_a_group_not_with_its_pairs(spark):
+    def made(nodes):
+        table = spark.createDataFrame([(i, i, 10, [1, 2, 100 + i]) for i in range(nodes)], "node long, member long, n long, head array<long>")
+        return simhash.candidates(table, 0.8).collect()
+
+    assert len(made(20)) == 190  # all pairs
+    rows = made(3000)  # beyond HOT: chunks that meet pairwise
+    assert len(rows) <= 4 * 3000 and {r["v"] for r in rows if r["crowd"]} == set(range(3000))
+
+
+def test_bitmaps_never_reject_a_pair():
+    rng = np.random.default_rng(15)
+    pool = rng.integers(0, 1 << 63, 4000, dtype=np.int64)
+    sets = [np.unique(rng.choice(pool[:k], k // 2)) for k in (2, 40, 60, 400, 420, 3900, 4000) for _ in range(6)]
+    rows = simhash.bitmaps(sets)
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        assert np.bitwise_count(rows[i] ^ rows[j]).sum() <= len(set(sets[i].tolist()) ^ set(sets[j].tolist()))
