@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Share of the driver's largest heap that it may have taken when a table is written; beyond it, garbage is collected and the heap given back.
 FULL = 0.5
+#: Times what the last collection left that must be in use for another one.
+GROWN = 1.5
 
 _own: dict[str, str] = {}
 _taken: dict[str, int] = {}
@@ -65,21 +67,31 @@ def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
             elif outer is not None:
                 outer.append(df)
         if mine:
-            gc.collect()
-            mine[0].sparkSession._jvm.System.gc()
+            collect(mine[0].sparkSession)
+
+
+def _in_use(spark: SparkSession) -> int:
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    return heap.totalMemory() - heap.freeMemory()
+
+
+def collect(spark: SparkSession) -> None:
+    """Have the driver's garbage collected, and note what is left in use."""
+    gc.collect()
+    spark._jvm.System.gc()
+    _taken[spark.sparkContext.applicationId] = _in_use(spark)
 
 
 def let_go(spark: SparkSession) -> None:
-    """Have the driver's garbage collected if its heap has grown beyond ``FULL``, and by a quarter since that was last done.
+    """Have the driver's garbage collected if its heap has grown beyond ``FULL``, and what is in use by half since that was last done.
 
     A plan is garbage once its table is written.  Left alone, the heap grows to its limit before plans go, and the shuffles and
-    broadcasts that they hold stay as long.
+    broadcasts that they hold stay as long.  What is in use decides, not what the heap has taken: a heap that stayed large once
+    would otherwise never be collected again.
     """
-    app, heap = spark.sparkContext.applicationId, spark._jvm.java.lang.Runtime.getRuntime()
-    if heap.totalMemory() > max(FULL * heap.maxMemory(), 1.25 * _taken.get(app, 0)):
-        gc.collect()
-        spark._jvm.System.gc()
-        _taken[app] = heap.totalMemory()
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() > FULL * heap.maxMemory() and _in_use(spark) > GROWN * _taken.get(spark.sparkContext.applicationId, 0):
+        collect(spark)
 
 
 def new_folder(spark: SparkSession) -> str:

@@ -3,7 +3,8 @@
 Large-star and small-star steps in turn shorten all paths until every component is
 a star around its least node; the number of rounds is logarithmic.  Minima are
 aggregated with map-side combining and joined back by salts, so a node with very many links
-never gathers them in one task.  Each round is cut to a written table.
+never gathers them in one task.  Each round is cut to a written table, and no round
+follows once all links are those of stars.
 """
 
 from __future__ import annotations
@@ -29,6 +30,13 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def _is_stars(links: DataFrame) -> bool:
+    """Whether links ``u, v`` (distinct, ``u < v``) are stars around their least nodes: no node has two smaller neighbours, or smaller and larger ones."""
+    ends = links.select(F.col("v").alias("a"), F.lit(1).alias("smaller"), F.lit(0).alias("larger")).unionByName(links.select(F.col("u").alias("a"), F.lit(0).alias("smaller"), F.lit(1).alias("larger")))
+    ends = ends.groupBy("a").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger"))
+    return not ends.where("smaller + larger > 1 and smaller > 0").agg(F.count("*")).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for each node of ``u, v`` (longs): the least node it is connected with.
 
@@ -38,19 +46,13 @@ def components(links: DataFrame) -> DataFrame:
     now, before = cut(tidy, "links"), None
     own = now.where("u = v").select(F.col("u").alias("node"))
     alone = own.distinct()
-    state = lambda df: df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
     links = now.where("u <> v")
-    had = state(links)
-    while had[0]:
+    while not _is_stars(links):
         large = cut(_star(links, True), "large_stars")
-        step = cut(_star(large, False), "stars")
+        links = cut(_star(large, False), "stars")
         drop(large)
-        has = state(step)
         if before is not None:
             drop(before)
-        before, links = step, step
-        if has == had:
-            break
-        had = has
+        before = links
     found = links.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(links.select(F.col("u").alias("node"), F.col("u").alias("component")))
     return found.unionByName(alone.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))

@@ -672,7 +672,7 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
             near_prints = cut(links(one, int((1 - similarity) * 64 * lanes), lanes, hot, True, NEAR_KEY), "near_prints")
             sure = keep_links(cut(alike(near_prints, nodes, docs, key, text, words, similarity), "sure"))
         with scope() as keep_links:
-            member = cut(components(sure).withColumnRenamed("node", "_node"), "members")
+            member = keep_links(cut(components(sure).withColumnRenamed("node", "_node"), "members"))
             table = nodes.join(member, F.col("node") == F.col("_node"), "left").select("node", "n", F.coalesce("component", "node").alias("member"), "d0", "d1", F.col("best").alias("_best"), *key)
             first = rows.select(best.alias("best"), F.col("d0").alias("_d0"), F.col("d1").alias("_d1"), "head")
             # Only a node's own row gives its head, and equal rows give it once more, which changes nothing.
@@ -685,7 +685,9 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
             found = cut(may_share(found, nodes, heads.select("node", "n", "head"), similarity), "may_share")
             more = keep_links(cut(alike(found, nodes, docs, key, text, words, similarity), "more"))
             crowded = keep_links(cut(crowd_links(gathered, table, docs, key, text, words, similarity, hot), "crowded_links"))
-        member = components(sure.unionByName(more).unionByName(crowded)).withColumnRenamed("node", "_node")
+        # The first links are stars by now, which need fewer rounds than the links themselves.
+        stars = member.select(F.col("component").alias("u"), F.col("_node").alias("v"))
+        member = components(stars.unionByName(more).unionByName(crowded)).withColumnRenamed("node", "_node")
         stay = nodes.join(member, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best"))
         stay = stay.select(*(F.col(f"best.{k}").alias(f"_{k}") for k in key), F.lit(True).alias("stays"))
         each = rows.groupBy(*key).agg(F.count("*").alias("rows"))

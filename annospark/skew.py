@@ -39,6 +39,7 @@ def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, ho
     hot = hot.select(F.xxhash64(*keys).alias("_hot"), F.ceil(F.col(size) / together).cast("long").alias("_salts"))
     # A row that meets no key keeps the plan the same whether any group is hot or not.
     hot = hot.unionByName(groups.sparkSession.range(1).select(F.lit(None).cast("long").alias("_hot"), F.lit(1).cast("long").alias("_salts")))
+    hot = hot.coalesce(1)  # ``most`` rows of two longs, which need no shuffle of their own
     hot = F.broadcast(hot.groupBy("_hot").agg(F.max("_salts").alias("_salts")))
     deal = F.pmod(F.xxhash64(*rows.columns), "_salts")
     left = rows.join(hot, F.xxhash64(*keys) == F.col("_hot"), "left").withColumn("_salt", F.coalesce(deal, F.lit(0))).drop("_hot", "_salts")

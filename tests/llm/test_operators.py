@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from annospark import skew
 from annospark.llm import bpe, components, exact_dedup, lm_score, media, packing, pieces, queries, secret_scan, simhash, tokens, toxicity, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, name string, level int, fp string, size long, kept string, words int, key string"
@@ -291,6 +292,24 @@ def test_components_of_long_paths_and_loops(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_stars_take_no_round_and_paths_end_without_an_idle_one(spark, monkeypatch):
+    made, cut = [], components.cut
+    monkeypatch.setattr(components, "cut", lambda df, name: (made.append(name), cut(df, name))[1])
+    for links, rounds in (([(0, 1), (2, 0), (0, 0), (7, 8), (8, 7)], 0), ([(0, 1), (1, 2)], 1), ([(0, 2), (1, 2)], 1), ([(3, 3)], 0), ([], 0)):
+        made.clear()
+        got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
+        up = roots(9, links)
+        assert got == {x: up[x] for pair in links for x in pair} and made == ["links", *["large_stars", "stars"] * rounds]
+
+
+def test_salts_take_no_shuffle(spark):
+    """One shuffle for each side of the join and one for the sizes, none for the table of salts."""
+    rows = spark.range(1000).select((F.col("id") % 3).alias("a"), "id")
+    sizes = rows.groupBy("a").agg(F.count("*").alias("size"))
+    joined = skew.join_back(rows, sizes, ["a"], "size")
+    assert joined.count() == 1000 and "hashpartitioning(_hot" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_near_dedup_keeps_one_of_each_class(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
