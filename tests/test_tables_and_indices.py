@@ -336,14 +336,17 @@ def test_the_drivers_garbage_goes_when_a_table_is_written(spark, monkeypatch):
 
 @pytest.mark.parametrize(("used", "more"), [(600, True), (520, False)])
 def test_a_heap_that_stays_large_is_collected_again(monkeypatch, used, more):
-    """The last collection left 380 of 750 MB in use, and a heap of 620 MB; what came into use since is garbage again."""
-    state, done = {"used": used}, []
+    """A collection leaves 380 of 750 MB in use, and a heap of 620 MB; what comes into use after that is garbage again."""
+    state, done = {"used": 600}, []
     heap = SimpleNamespace(totalMemory=lambda: 620, maxMemory=lambda: 750, freeMemory=lambda: 620 - state["used"])
     runtime = SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda: heap))
     jvm = SimpleNamespace(java=SimpleNamespace(lang=runtime), System=SimpleNamespace(gc=lambda: (done.append(1), state.update(used=380))))
-    monkeypatch.setattr(lineage, "_taken", {"app": 380})
-    lineage.let_go(SimpleNamespace(_jvm=jvm, sparkContext=SimpleNamespace(applicationId="app")))
-    assert bool(done) == more and lineage._taken["app"] == 380
+    monkeypatch.setattr(lineage, "_taken", {})
+    session = SimpleNamespace(_jvm=jvm, sparkContext=SimpleNamespace(applicationId="app"))
+    lineage.let_go(session)
+    state["used"] = used
+    lineage.let_go(session)
+    assert len(done) == 1 + more
 
 
 def test_shards_of_a_hot_relation_are_spread_and_whole(spark):
